@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from leafline.llm import packing
+from leafline.llm import packing, quality
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_quality": quality.op2_quality,
 }
 
 ORACLES: dict[str, str] = {}

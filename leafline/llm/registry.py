@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from leafline.llm import packing, quality
+from leafline.llm import jaccard, licenses, lines, mixing, packing, quality, search, urls, vectors
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_quality": quality.op2_quality,
+    "op3_license_scan": licenses.op3_license_scan,
+    "op4_mixing": mixing.op4_mixing,
+    "op5_jaccard_join": jaccard.op5_jaccard_join,
+    "op6_topk_search": search.op6_topk_search,
+    "op7_url_filters": urls.op7_url_filters,
+    "op8_line_dedup": lines.op8_line_dedup,
+    "op10_embedding_dedup": vectors.op10_embedding_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_license_scan": licenses.OP3_SQL,
+    "op7_url_filters": urls.OP7_SQL,
+    "op8_line_dedup": lines.OP8_SQL,
+}

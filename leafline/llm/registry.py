@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafline.llm import jaccard, licenses, lines, mixing, packing, quality, search, urls, vectors
+from leafline.llm import jaccard, licenses, lines, lm, mixing, packing, quality, search, urls, vectors
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_topk_search": search.op6_topk_search,
     "op7_url_filters": urls.op7_url_filters,
     "op8_line_dedup": lines.op8_line_dedup,
+    "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_embedding_dedup": vectors.op10_embedding_dedup,
 }
 

@@ -166,9 +166,10 @@ def dealt(candidates: DataFrame, similarity: float, cell: int) -> DataFrame:
     return at.withColumn("cells", F.array_distinct(pairs)).drop("total", "s", "m", "root")
 
 
-def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int = NGRAM, rows: int = ROWS, recall: float = RECALL, cell: int = CELL) -> DataFrame:
+def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int = NGRAM, rows: int = ROWS, recall: float = RECALL, cell: int = CELL, with_key: bool = False) -> DataFrame:
     """A row for each document: doc_id, class_id (least doc_id of its near-duplicate class), copy_id (least doc_id with
-    the same text), copies (rows with that text) and n_links (other rows within the similarity, copies included)."""
+    the same text), copies (rows with that text) and n_links (other rows within the similarity, copies included); with_key adds
+    k1, the text's hash."""
     bands = bands_for(similarity, rows, recall)
     common.arrow_rows(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -188,7 +189,17 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int
     found = compare(sets.select(F.explode("cells").alias("cell"), "own", "k1", "mult", "grams"), similarity)
     near = graph.resolve(found, classes.withColumnRenamed("k1", "node")).withColumnRenamed("node", "k1")
     info = classes.join(near, "k1", "left").select("k1", "low", "mult", F.coalesce("first", "low").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-    return keys.join(info, "k1").select("doc_id", "class_id", F.col("low").alias("copy_id"), F.col("mult").alias("copies"), (F.col("links") + F.col("mult") - 1).alias("n_links"))
+    return keys.join(info, "k1").select(*["k1"] * with_key, "doc_id", "class_id", F.col("low").alias("copy_id"), F.col("mult").alias("copies"), (F.col("links") + F.col("mult") - 1).alias("n_links"))
+
+
+def deduplicated(documents: DataFrame, **how) -> DataFrame:
+    """The documents that keep their near-duplicate class's id, with their own columns; repeated rows stay once."""
+    near = near_duplicates(documents, with_key=True, **how).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = common.stored(near.groupBy(F.col("doc_id").alias("__id"), F.col("k1").alias("__k1")).agg(F.count("*").alias("__n")), "kept")
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    rows = documents.withColumn("__k", key).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__k1")))
+    once = rows.where("__n = 1").unionByName(rows.where("__n > 1").dropDuplicates(["__id", "__k1"]))
+    return once.select(*(F.col(f"`{c}`") for c in documents.columns))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,6 +145,18 @@ def scores(documents: DataFrame, model: Model, threshold: float = THRESHOLD) ->
     return rows.mapInPandas(judge, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def filtered(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents whose score reaches the threshold, with their own columns."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index("text")).to_pylist()
+            yield b.filter(pa.array(model.score(measure(texts, model.good, model.bad)) >= threshold))
+
+    common.arrow_rows(documents.sparkSession)
+    return documents.mapInArrow(judge, documents.schema)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = common.read(spark, sf_dir, "documents")
     return scores(documents, fit(sample(documents, common.read(spark, sf_dir, "labels"))))

@@ -30,7 +30,8 @@ from leafline.llm import common
 SCALE = 256
 K = 5
 EVERY = 50
-CELL_WIDTH = 32
+#: Integer steps a cell of the approximation spans. Bounds are (CELL_WIDTH - 1) * sum(|q|) apart.
+CELL_WIDTH = 4
 BLOCK = 4096
 QUERY_BLOCK = 1024
 
@@ -56,7 +57,8 @@ def packed(rows: DataFrame, block: int, extra: bool) -> DataFrame:
     def work(key: tuple, table: pa.Table) -> pa.Table:
         d = table.column("d")[0].as_py()
         vec = np.asarray(table.column("vec").combine_chunks().flatten(), dtype=np.int64).reshape(-1, d)
-        cell = (vec // CELL_WIDTH).astype(np.int32) if extra else vec[:0].astype(np.int32)
+        cell = vec // CELL_WIDTH if extra else vec[:0]
+        cell = cell.astype(next(t for t in (np.int8, np.int16, np.int32) if not cell.size or np.abs(cell).max() <= np.iinfo(t).max))
         ids = table.column("ids").combine_chunks()
         size = np.diff(np.asarray(ids.offsets)).astype(np.int32)
         cols = [[key[0].as_py()], [d], [np.asarray(ids.flatten(), dtype=np.int64).tobytes()], [size.tobytes()], [cell.tobytes()], [vec.astype(np.int32).tobytes()]]
@@ -65,6 +67,11 @@ def packed(rows: DataFrame, block: int, extra: bool) -> DataFrame:
     return rows.groupBy("block").applyInArrow(work, "block long, d int, ids binary, sizes binary, cells binary, exact binary")
 
 
+def cells_of(data: bytes, sizes: np.ndarray, d: int) -> np.ndarray:
+    """The cells of a block, of whatever width they were stored with."""
+    return np.frombuffer(data, f"i{max(1, len(data) // max(1, len(sizes) * d))}").reshape(-1, d)
+
+
 def bounds(q: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bounds of the scores of queries q with vectors in these cells."""
     low = cells.astype(np.float64) * CELL_WIDTH
@@ -98,7 +105,7 @@ def top_k(embeddings: DataFrame, queries: F.Column, k: int = K, scale: int = SCA
             for r in b.to_pylist():
                 q = np.frombuffer(r["q"], np.int32).reshape(-1, r["d"])
                 sizes_ = np.frombuffer(r["sizes"], np.int32)
-                low, _ = bounds(q, np.frombuffer(r["cells"], np.int32).reshape(-1, r["d"]))
+                low, _ = bounds(q, cells_of(r["cells"], sizes_, r["d"]))
                 low = np.repeat(low, np.minimum(sizes_, k + 1), axis=1)
                 keep = min(k + 1, low.shape[1])
                 best = -np.partition(-low, keep - 1, axis=1)[:, :keep]
@@ -111,7 +118,7 @@ def top_k(embeddings: DataFrame, queries: F.Column, k: int = K, scale: int = SCA
                 hs, least = np.frombuffer(r["hs"], np.int64), np.frombuffer(r["least"])
                 vec, sizes_ = np.frombuffer(r["exact"], np.int32).reshape(-1, r["d"]).astype(np.int64), np.frombuffer(r["sizes"], np.int32)
                 ids, to = np.frombuffer(r["ids"], np.int64), np.concatenate([[0], np.cumsum(np.frombuffer(r["sizes"], np.int32))])
-                _, up = bounds(q, np.frombuffer(r["cells"], np.int32).reshape(-1, r["d"]))
+                _, up = bounds(q, cells_of(r["cells"], sizes_, r["d"]))
                 out_h, out_id, out_s = [], [], []
                 for n in range(len(q)):
                     order = np.flatnonzero(up[n] >= least[n])

@@ -38,9 +38,10 @@ def manifest(spark: SparkSession, path: str, index: bool = False) -> DataFrame:
 
 def tree_schema(depth: int = 6) -> str:
     """A node struct nested so deep; Spark has no recursive types."""
-    s = f"struct<{NODE.replace(' ', ':').replace(',:', ',')}>"
+    own = ",".join(f.replace(" ", ":") for f in NODE.split(", "))
+    s = f"struct<{own}>"
     for _ in range(depth - 1):
-        s = s.replace("struct<", "struct<", 1)[:-1] + f",nodes:array<{s}>>"
+        s = f"struct<{own},nodes:array<{s}>>"
     return f"paper_id string, total_pages int, abstract string, root_nodes array<{s}>"
 
 

@@ -95,7 +95,7 @@ class EliasFano:
         return ((self._select(i, True) - i).astype(np.uint64) << np.uint64(self.width)) | self._lows(i)
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        """The first index of each value x, -1 where it is absent: the successor within the values that share its high part."""
+        """The first index of each value x, -1 where it is absent: the successor among the values that share its high part."""
         x = np.asarray(x, dtype=np.uint64)
         out = np.full(len(x), -1, dtype=np.int64)
         high = x >> np.uint64(self.width)
@@ -103,20 +103,19 @@ class EliasFano:
         if not len(ok):
             return out
         h, low = high[ok].astype(np.int64), x[ok] & np.uint64((1 << self.width) - 1)
-        bit = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) + 1, 0)
-        i = bit - h
-        live = np.arange(len(ok))
-        while len(live):
-            on = (self.high[bit[live] >> 6] >> (bit[live] & 63).astype(np.uint64)) & _ONE == _ONE
-            live = live[on]
-            if not len(live):
-                break
-            here = self._lows(i[live])
-            same = here == low[live]
-            out[ok[live[same]]] = i[live[same]]
-            live = live[here < low[live]]
-            bit[live] += 1
-            i[live] += 1
+        lo = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) + 1, 0) - h
+        hi = end = np.minimum(self._select(h, False) - h, self.n)
+        live = np.flatnonzero(lo < hi)
+        while len(live):  # bisect the low parts of the bucket: a frequent context's successors crowd into few buckets
+            mid = (lo[live] + hi[live]) >> 1
+            less = self._lows(mid) < low[live]
+            lo[live[less]] = mid[less] + 1
+            hi = hi.copy() if hi is end else hi
+            hi[live[~less]] = mid[~less]
+            live = live[lo[live] < hi[live]]
+        some = np.flatnonzero(lo < end)
+        some = some[self._lows(lo[some]) == low[some]]
+        out[ok[some]] = lo[some]
         return out
 
 

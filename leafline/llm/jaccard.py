@@ -96,8 +96,8 @@ def shingle_sets(rows: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(sets, f"{kept}, grams binary, size long")
 
 
-def linked(sets: list[np.ndarray], side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i < j) of sets with at least this Jaccard similarity; with two sides, only pairs across them."""
+def linked(sets: list[np.ndarray], side: np.ndarray | None, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i < j) of sets with at least this Jaccard similarity; with sides given, only pairs across two of them."""
     size = np.array([len(x) for x in sets])
     if len(sets) <= 6:
         hit = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if min(size[i], size[j]) >= similarity * max(size[i], size[j]) and (c := len(np.intersect1d(sets[i], sets[j], assume_unique=True))) / (size[i] + size[j] - c) >= similarity]
@@ -124,14 +124,14 @@ def linked(sets: list[np.ndarray], side: np.ndarray, similarity: float) -> tuple
         c = both[i, j].astype(np.int64)
         fit = c / (size[i] + size[j] - c) >= similarity
         i, j = i[fit], j[fit]
-    if side.min() != side.max():
+    if side is not None:
         across = side[i] != side[j]
         i, j = i[across], j[across]
     return i, j
 
 
 def compare(rows: DataFrame, similarity: float) -> DataFrame:
-    """graph.PARTS of rows(cell, own, k1, mult, grams) dealt by cell."""
+    """graph.PARTS of rows(cell, within, own, k1, mult, grams) dealt by cell; within: the cell is one part, not two."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in graph.whole_cells(batches):
@@ -142,14 +142,15 @@ def compare(rows: DataFrame, similarity: float) -> DataFrame:
                 if len(node) < 2:
                     continue
                 grams = cell.column("grams").to_pylist()
-                i, j = linked([np.frombuffer(grams[f], dtype=np.uint64) for f in first], cell.column("own").to_numpy()[first], similarity)
+                side = None if cell.column("within")[0].as_py() else cell.column("own").to_numpy()[first]
+                i, j = linked([np.frombuffer(grams[f], dtype=np.uint64) for f in first], side, similarity)
                 yield graph.parts(node, cell.column("mult").to_numpy()[first], i, j)
 
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, graph.PARTS)
 
 
 def dealt(candidates: DataFrame, similarity: float, cell: int) -> DataFrame:
-    """candidates(k1, root, size, ...) with the cells each takes part in: an array of structs (cell, own)."""
+    """candidates(k1, root, size, ...) with the cells each takes part in: an array of structs (cell, within)."""
     total = candidates.groupBy("root").agg(F.count("*").alias("total"))
     step = math.log(1 / similarity)
     banded = candidates.join(total, "root").withColumn("s", F.when(F.col("total") <= cell, 0).otherwise(F.floor(F.log("size") / step)).cast("long"))
@@ -162,7 +163,7 @@ def dealt(candidates: DataFrame, similarity: float, cell: int) -> DataFrame:
         return F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce(F.try_element_at("m", s), F.lit(0)) - 1), lambda c: s * 1_000_000 + c)
 
     every = F.concat(*(F.when(F.coalesce(F.try_element_at("m", F.col("s") + d), F.lit(0)) > 0, partners(d)).otherwise(F.array().cast("array<long>")) for d in (-1, 0, 1)))
-    pairs = F.transform(every, lambda o: F.xxhash64(F.col("root"), F.least(F.col("own"), o), F.greatest(F.col("own"), o)))
+    pairs = F.transform(every, lambda o: F.struct(F.xxhash64(F.col("root"), F.least(F.col("own"), o), F.greatest(F.col("own"), o)).alias("cell"), (F.col("own") == o).alias("within")))
     return at.withColumn("cells", F.array_distinct(pairs)).drop("total", "s", "m", "root")
 
 
@@ -186,7 +187,7 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int
     candidates = common.stored(candidates, "candidates")
     hit = texts.join(common.maybe_broadcast(candidates), (F.col("k1") == F.col("c1")) & F.col("doc_id").eqNullSafe(F.col("rep")))
     sets = shingle_sets(hit.select("k1", "own", "mult", "cells", "text"), n).where("size > 0")
-    found = compare(sets.select(F.explode("cells").alias("cell"), "own", "k1", "mult", "grams"), similarity)
+    found = compare(sets.select(F.explode("cells").alias("c"), "own", "k1", "mult", "grams").select("c.cell", "c.within", "own", "k1", "mult", "grams"), similarity)
     near = graph.resolve(found, classes.withColumnRenamed("k1", "node")).withColumnRenamed("node", "k1")
     info = classes.join(near, "k1", "left").select("k1", "low", "mult", F.coalesce("first", "low").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
     return keys.join(info, "k1").select(*["k1"] * with_key, "doc_id", "class_id", F.col("low").alias("copy_id"), F.col("mult").alias("copies"), (F.col("links") + F.col("mult") - 1).alias("n_links"))

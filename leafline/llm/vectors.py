@@ -86,12 +86,13 @@ def buckets(rows: DataFrame, tables: int) -> DataFrame:
 
 
 def compare(rows: DataFrame, tables: int, cosine: float) -> DataFrame:
-    """graph.PARTS of rows(cell, part, tbl, node, label, mult, x, keys) dealt by cell."""
+    """graph.PARTS of rows(cell, within, part, tbl, node, label, mult, x, keys) dealt by cell; within: the cell is one part, not two."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in graph.whole_cells(batches):
             to = graph.cells(t)
             node, part, tbl, label = (t.column(c).to_numpy() for c in ("node", "part", "tbl", "label"))
+            within = t.column("within").to_numpy()
             keys = np.frombuffer(b"".join(t.column("keys").to_pylist()), dtype=np.uint32).reshape(-1, tables)
             raw = t.column("x").to_pylist()
             length = np.array([len(x) for x in raw])
@@ -110,9 +111,7 @@ def compare(rows: DataFrame, tables: int, cosine: float) -> DataFrame:
                 i, j = np.nonzero(np.triu(x[a:b] @ x[a:b].T >= cosine - 1e-9, 1))
                 pairs.append((i + a, j + a))
             i, j = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in (0, 1))
-            cell = np.repeat(np.arange(len(size)), size)
-            split = np.maximum.reduceat(part, to[:-1]) != np.minimum.reduceat(part, to[:-1]) if len(part) else np.zeros(0, bool)
-            fit = (label[i] == label[j]) & (length[i] == length[j]) & ((part[i] != part[j]) | ~split[cell[i]])
+            fit = (label[i] == label[j]) & (length[i] == length[j]) & ((part[i] == part[j]) == within[i])
             i, j = i[fit], j[fit]
             fit = np.zeros(len(i), dtype=bool)
             for lo in range(0, len(i), 100_000):  # the first table that both meet in counts the pair
@@ -143,9 +142,9 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, recall: float
     every = buckets(rows, tables)
     several = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     met = every.join(several, "bucket").withColumn("parts", F.ceil(F.col("n") / cell)).withColumn("part", F.pmod(F.xxhash64("node", F.lit(5)), F.col("parts")))
-    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.xxhash64("bucket", F.least("part", o), F.greatest("part", o)))
-    met = met.select("node", "tbl", "part", F.explode(pair).alias("cell"))
-    found = compare(met.join(rows, "node").select("cell", "part", "tbl", "node", "label", "mult", "x", "keys"), tables, cosine)
+    pair = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.struct(F.xxhash64("bucket", F.least("part", o), F.greatest("part", o)).alias("cell"), (F.col("part") == o).alias("within")))
+    met = met.select("node", "tbl", "part", F.explode(pair).alias("c")).select("node", "tbl", "part", "c.cell", "c.within")
+    found = compare(met.join(rows, "node").select("cell", "within", "part", "tbl", "node", "label", "mult", "x", "keys"), tables, cosine)
     near = graph.resolve(found, classes.select("node", "low", "mult"))
     info = classes.select("node", "low", "mult").join(near, "node", "left").select("node", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("first", "low").alias("component_id"))
     out = keyed.select("vec_id", "node").join(info, "node", "left")

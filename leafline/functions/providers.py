@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 import zlib
 from collections.abc import Callable, Iterator
@@ -10,34 +9,21 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from leafline.functions import answers
+
 Provider = Callable[[str, str], str]
 ANSWER = "content string, finish_reason string, ok boolean, error string, attempts int, started_at double, ended_at double, input_tokens long, output_tokens long"
 
-# The keys of response schemas and the fields each answer must have.
-RESPONSES = {
-    "toc_detection": ["toc_detected"],
-    "page_index_detection": ["page_index_given_in_toc"],
-    "completion": ["completed"],
-    "title_appearance": ["answer"],
-    "title_start": ["start_begin"],
-    "index_fix": ["physical_index"],
-    "summary_verdict": ["faithful", "missed_topics"],
-    "abstract": ["abstract"],
-    "toc_items": ["table_of_contents"],
-    "toc_initial": ["table_of_contents"],
-}
-
-
 def stub(model: str, prompt: str) -> str:
     """A short answer that only depends on model and prompt."""
     return f"{model}:{zlib.crc32(prompt.encode()):08x}:{' '.join(prompt.split()[:12])}"
 
 
 def call(prompts: DataFrame, provider: Provider = stub, response: str | None = None, tries: int = 3, clock: Callable[[], float] = time.time) -> DataFrame:
-    """prompts(model, prompt, ...) with ANSWER. A failure is a row with ok false, never a failed task. With a response key the
-    answer must be JSON with that key's fields, asked for up to `tries` times."""
-    if response is not None and response not in RESPONSES:
-        raise KeyError(f"unknown response {response!r}")
+    """prompts(model, prompt, ...) with ANSWER. A failure is a row with ok false, never a failed task. With a response key
+    (answers.RESPONSES) the answer must be valid JSON for it, asked for up to `tries` times, and comes back normalised."""
+    if response is not None:
+        answers.known(response)
 
     def one(model: str, prompt: str) -> tuple:
         start, error = clock(), None
@@ -45,9 +31,7 @@ def call(prompts: DataFrame, provider: Provider = stub, response: str | None = N
             try:
                 content = provider(model, prompt)
                 if response:
-                    missing = [f for f in RESPONSES[response] if f not in json.loads(content)]
-                    if missing:
-                        raise ValueError(f"answer lacks {', '.join(missing)}")
+                    content = answers.normalised(response, content)
                 return content, "stop", True, None, n, start, clock(), len(prompt.split()), len(content.split())
             except Exception as e:  # noqa: BLE001 - the error becomes data
                 error = f"{type(e).__name__}: {e}"

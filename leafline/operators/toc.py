@@ -58,9 +58,9 @@ def corrected(toc: DataFrame, wrong: DataFrame, fixes: DataFrame) -> DataFrame:
 
 
 def accuracy(checks: DataFrame) -> DataFrame:
-    """(doc, accuracy): the share of answers 'yes'; gate: 0 if no row is located or the last located one lies before the
+    """(doc, accuracy): the share of answers 'yes' among located rows; gate: 0 if no row is located or the last located one lies before the
     middle. checks(doc, ord, answer, physical_index, slice_pages)."""
-    a = checks.groupBy("doc").agg(F.avg((F.col("answer") == "yes").cast("double")).alias("a"), F.max_by("physical_index", F.when(F.col("physical_index").isNotNull(), F.col("ord"))).alias("last"), F.max("slice_pages").alias("pages"))
+    a = checks.groupBy("doc").agg(F.avg(F.when(F.col("physical_index").isNotNull(), (F.col("answer") == "yes").cast("double"))).alias("a"), F.max_by("physical_index", F.when(F.col("physical_index").isNotNull(), F.col("ord"))).alias("last"), F.max("slice_pages").alias("pages"))
     return a.select("doc", F.when(F.col("last").isNull() | (F.col("last") < F.col("pages") / 2), F.lit(0.0)).otherwise(F.coalesce("a", F.lit(0.0))).alias("accuracy"))
 
 

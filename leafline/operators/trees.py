@@ -126,8 +126,8 @@ def distinct_pages(nodes: DataFrame, page_count: DataFrame) -> DataFrame:
 
 
 def too_large(nodes: DataFrame, max_pages: int, max_tokens: int, max_depth: int = 3) -> DataFrame:
-    """Whether a node is to be divided: more pages than max_pages, at least max_tokens, above max_depth."""
-    span = F.col("end_index") - F.col("start_index") + 1
+    """Whether a node is to be divided: its end more than max_pages after its start, at least max_tokens, above max_depth."""
+    span = F.col("end_index") - F.col("start_index")
     return nodes.withColumn("divide", (span > max_pages) & (F.col("tokens") >= max_tokens) & (F.col("depth") < max_depth))
 
 

@@ -167,7 +167,7 @@ def _(s, d):
     return A.ranges(s, d).select("doc", "key", join(b).alias("before"), join(a).alias("after"), join(trees.page_indexes(F.col("start_index"), F.col("end_index"))).alias("own"))
 
 
-@query("h10_divide", f"WITH {A.RANGES} SELECT doc, key, (end_index - start_index + 1 > 3) AND (n_chars >= 1000) AND dfs < 3 AS divide FROM ranges JOIN documents ON doc_id = doc")
+@query("h10_divide", f"WITH {A.RANGES} SELECT doc, key, (end_index - start_index > 3) AND (n_chars >= 1000) AND dfs < 3 AS divide FROM ranges JOIN documents ON doc_id = doc")
 def _(s, d):
     n = A.ranges(s, d).join(A.table(s, d, "documents").select(F.col("doc_id").alias("doc"), F.col("n_chars").alias("tokens")), "doc").withColumn("depth", F.col("dfs"))
     return trees.too_large(n, 3, 1000).select("doc", "key", "divide")
@@ -232,7 +232,7 @@ def _(s, d):
     return toc.corrected(t, t.where("appear_start = 'yes'"), t.where("ord % 2 = 0").select("doc", "ord", (F.col("line") + 100).alias("fixed"))).select("doc", "ord", "physical_index")
 
 
-@query("a8_accuracy", f"WITH {A.TOC}, g AS (SELECT doc, avg(CASE WHEN appear_start = 'yes' THEN 1.0 ELSE 0.0 END) AS a, arg_max(physical_index, ord) FILTER (WHERE physical_index IS NOT NULL) AS last FROM toc GROUP BY doc) SELECT doc, round(CASE WHEN last IS NULL OR last < 4 THEN 0.0 ELSE a END, 9) AS accuracy FROM g")
+@query("a8_accuracy", f"WITH {A.TOC}, g AS (SELECT doc, avg(CASE WHEN appear_start = 'yes' THEN 1.0 ELSE 0.0 END) FILTER (WHERE physical_index IS NOT NULL) AS a, arg_max(physical_index, ord) FILTER (WHERE physical_index IS NOT NULL) AS last FROM toc GROUP BY doc) SELECT doc, round(CASE WHEN last IS NULL OR last < 4 THEN 0.0 ELSE a END, 9) AS accuracy FROM g")
 def _(s, d):
     return toc.accuracy(A.toc(s, d).select("doc", "ord", F.col("appear_start").alias("answer"), "physical_index", F.lit(8).alias("slice_pages"))).withColumn("accuracy", F.round("accuracy", 9))
 

@@ -137,3 +137,12 @@ def render_kind(content: Column) -> Column:
         .when(F.rlike(content, F.lit(r"(?m)^\s*\|.*\|\s*$")), "table")
         .otherwise("pre")
     )
+
+
+def compact_stamp(at: Column) -> Column:
+    """A UTC time as 20240131T235959Z; the session's zone is UTC."""
+    return F.date_format(at, "yyyyMMdd'T'HHmmss'Z'")
+
+
+def iso_stamp(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

@@ -120,3 +120,11 @@ def likely_scanned(pages: DataFrame, fewest: int = 30) -> DataFrame:
 def expected_group_cap(total: int, max_tokens: int) -> int:
     """The cap that page_groups balances groups by; the driver's counterpart of its expression."""
     return math.ceil((total / max(1, math.ceil(total / max_tokens)) + max_tokens) / 2)
+
+
+def sampled(toc: DataFrame, n: int | None, seed: int) -> DataFrame:
+    """n rows of each document, the same for the same seed; all without n."""
+    if n is None:
+        return toc
+    nth = F.row_number().over(W.partitionBy("doc").orderBy(F.xxhash64(F.lit(seed), "doc", "ord"), "ord"))
+    return toc.withColumn("__nth", nth).where(F.col("__nth") <= n).drop("__nth")

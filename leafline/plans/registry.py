@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafline.functions import ids, text
-from leafline.operators import batch, chunks, elements, history, hosts, index, intervals, toc, trees
+from leafline.functions import answers, ids, prompts, providers, text
+from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, toc, trees
 from leafline.plans import adapters as A
 from leafline.sources import documents as sources
 from leafline.sources import sinks
@@ -693,3 +693,81 @@ def _(s, d):
     k = F.col("p_partkey")
     p = F.when(k % 9 == 0, F.concat(F.lit("x/"), k, F.lit(".txt"))).otherwise(F.concat(F.lit("x/doc"), k % 10, F.lit("_p"), k, F.lit("_img_1_m"), k % 3, F.lit("_ocr.md")))
     return sources.result_names(A.table(s, d, "part").select(p.alias("path"))).select("path", "pdf", "page", "model")
+
+
+@query("a28_grouped_results", "WITH n AS (SELECT 'doc' || (p_partkey % 10) AS pdf, CAST(p_partkey % 40 AS INTEGER) AS page, 'm' || (p_partkey % 3) AS model, 'ocr' || (p_partkey % 2) AS task FROM part) SELECT pdf, page, 'img' AS image, string_agg(model || ':' || task, ',' ORDER BY model, task) AS results FROM n GROUP BY pdf, page")
+def _(s, d):
+    k = F.col("p_partkey")
+    n = A.table(s, d, "part").select(F.concat(F.lit("doc"), k % 10).alias("pdf"), (k % 40).cast("int").alias("page"), F.lit("img").alias("image"), F.concat(F.lit("m"), k % 3).alias("model"), F.concat(F.lit("ocr"), k % 2).alias("task"))
+    return sources.grouped_results(n).select("pdf", "page", "image", F.array_join(F.transform("results", lambda x: F.concat(x["model"], F.lit(":"), x["task"])), ",").alias("results"))
+
+
+@query("f12_render_kinds", "SELECT page_id, CASE WHEN contains(html, '<analyze>') THEN 'analyze' WHEN contains(html, 'data-bbox') OR contains(html, 'data-label') THEN 'layout' WHEN regexp_matches(html, '(?m)^[ \\t]*\\|.*\\|[ \\t]*$') THEN 'table' ELSE 'pre' END AS kind FROM pages")
+def _(s, d):
+    return A.table(s, d, "pages").select("page_id", text.render_kind(F.col("html")).alias("kind"))
+
+
+@query("d1_stamps", "SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS compact, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS iso FROM events")
+def _(s, d):
+    t = F.col("ts").cast("timestamp")
+    return A.table(s, d, "events").select("event_id", text.compact_stamp(t).alias("compact"), text.iso_stamp(t).alias("iso"))
+
+
+@query("l3_sampled_toc")
+def _(s, d):
+    return toc.sampled(A.toc(s, d), 3, 7).select("doc", "ord", "title")
+
+
+_TITLES = "t AS (SELECT doc_id AS doc, CAST(1 AS INTEGER) AS ord, substr(text, 1, 12) AS title, CAST(1 AS INTEGER) AS page FROM documents UNION ALL SELECT doc_id, 2, 'No Such Title Here', 2 FROM documents UNION ALL SELECT doc_id, 3, 'x', NULL FROM documents)"
+
+
+def _titles(s, d) -> DataFrame:
+    docs = A.table(s, d, "documents").select(F.col("doc_id").alias("doc"), "text")
+    rows = F.array(F.struct(F.lit(1).alias("ord"), F.substring("text", 1, 12).alias("title"), F.lit(1).alias("physical_index")), F.struct(F.lit(2).alias("ord"), F.lit("No Such Title Here").alias("title"), F.lit(2).alias("physical_index")), F.struct(F.lit(3).alias("ord"), F.lit("x").alias("title"), F.lit(None).cast("int").alias("physical_index")))
+    return docs.select("doc", F.explode(rows).alias("x")).select("doc", "x.*")
+
+
+_SQUEEZE = "regexp_replace(lower({c}), '\\s+', '', 'g')"
+
+
+@query("h14_title_checks", f"WITH {A.PAGES}, {_TITLES} SELECT t.doc, ord, CASE WHEN coalesce(contains({_SQUEEZE.format(c='text')}, {_SQUEEZE.format(c='title')}), false) THEN 'yes' ELSE 'no' END AS answer, CASE WHEN coalesce(starts_with({_SQUEEZE.format(c='text')}, {_SQUEEZE.format(c='title')}), false) THEN 'yes' ELSE 'no' END AS appear_start FROM t LEFT JOIN pages_ p ON p.doc = t.doc AND page_idx + 1 = page")
+def _(s, d):
+    return building.title_checks(_titles(s, d), A.pages(s, d)).select("doc", "ord", "answer", "appear_start")
+
+
+@query("h12_repaired_toc")
+def _(s, d):
+    return building.repaired(_titles(s, d), A.pages(s, d)).select("doc", "ord", "title", "physical_index")
+
+
+@query("e5_section_text", f"WITH {A.PAGES}, {A.RANGES}, n AS (SELECT doc, count(*) AS total FROM pages_ GROUP BY doc), r AS (SELECT ranges.*, total FROM ranges JOIN n USING (doc) WHERE key <> 'none'), x AS (SELECT r.doc, key, any_value(start_index > 1 OR end_index < total) AS around, coalesce(string_agg(text, '' ORDER BY page_idx) FILTER (WHERE page_idx BETWEEN greatest(start_index - 2, 0) AND start_index - 2), '') AS b, coalesce(string_agg(text, '' ORDER BY page_idx) FILTER (WHERE page_idx BETWEEN start_index - 1 AND end_index - 1), '') AS c, coalesce(string_agg(text, '' ORDER BY page_idx) FILTER (WHERE page_idx = end_index), '') AS a, count(*) FILTER (WHERE page_idx = start_index - 2 OR page_idx = end_index) AS near, count(p.doc) FILTER (WHERE page_idx BETWEEN start_index - 2 AND end_index) AS got FROM r LEFT JOIN pages_ p ON p.doc = r.doc GROUP BY r.doc, key) SELECT doc, key, md5(CASE WHEN got = 0 THEN '' WHEN near = 0 THEN c ELSE '<<<context-before>>>' || chr(10) || b || chr(10) || '<<<section-content>>>' || chr(10) || c || chr(10) || '<<<context-after>>>' || chr(10) || a END) AS h FROM x")
+def _(s, d):
+    return building.section_text(A.ranges(s, d).where("key <> 'none'"), A.pages(s, d), 1).select("doc", "key", F.md5("node_text").alias("h"))
+
+
+@query("f10_assembled_toc", "SELECT conv_id, turn, role AS title, CAST(turn AS VARCHAR) AS page FROM conversations")
+def _(s, d):
+    item = F.concat(F.lit('[{"title":"'), "role", F.lit('","page":'), F.col("turn"), F.lit("}]"))
+    body = F.when(F.col("turn") % 3 == 0, item).when(F.col("turn") % 3 == 1, F.concat(F.lit('{"contents":'), item, F.lit("}"))).otherwise(F.concat(F.lit('{"rows":'), item, F.lit("}")))
+    return A.table(s, d, "conversations").select("conv_id", "turn", F.explode(answers.assembled_rows(body)).alias("r")).select("conv_id", "turn", "r.title", "r.page")
+
+
+@query("p19_toc_errors", "SELECT page_id, array_to_string(list_filter([CASE WHEN length(url) NOT BETWEEN 5 AND 300 THEN 'title' END, CASE WHEN length(url) > 16 THEN 'structure' END, CASE WHEN length(url) > 32 THEN 'physical_index' END], lambda x: x IS NOT NULL), ',') AS errors FROM pages")
+def _(s, d):
+    return A.table(s, d, "pages").select("page_id", F.array_join(answers.toc_errors(F.col("url"), F.col("url"), F.col("url"), F.lit(None).cast("string")), ",").alias("errors"))
+
+
+@query("f11_prompts", "SELECT page_id, 'Rewrite this table of contents as a JSON list of structure, title and page.' || chr(10) || url AS prompt FROM pages")
+def _(s, d):
+    return A.table(s, d, "pages").select("page_id", prompts.render("toc_transformer", "upstream", toc=F.col("url")).alias("prompt"))
+
+
+@query("x1_model_calls", "SELECT page_id, true AS ok, CAST(1 AS INTEGER) AS attempts, 'stop' AS finish_reason FROM pages")
+def _(s, d):
+    return providers.call(A.table(s, d, "pages").select("page_id", F.lit("stub").alias("model"), F.col("url").alias("prompt"))).select("page_id", "ok", "attempts", "finish_reason")
+
+
+@query("h15_summaries")
+def _(s, d):
+    n = A.ranges(s, d).where("key <> 'none'").withColumns({"title": F.col("key"), "summary": F.lit(None).cast("string")})
+    return building.summarised(n, A.pages(s, d), building.Options()).select("doc", "key", "summary")

@@ -198,8 +198,10 @@ def deduplicated(documents: DataFrame, **how) -> DataFrame:
     near = near_duplicates(documents, with_key=True, **how).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = common.stored(near.groupBy(F.col("doc_id").alias("__id"), F.col("k1").alias("__k1")).agg(F.count("*").alias("__n")), "kept")
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = documents.withColumn("__k", key).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__k1")))
-    once = rows.where("__n = 1").unionByName(rows.where("__n > 1").dropDuplicates(["__id", "__k1"]))
+    keyed = documents.withColumn("__k", key)
+    match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__k1"))
+    several = common.maybe_broadcast(common.stored(kept.where("__n > 1"), "repeated"))  # rows that repeat an id and its text
+    once = keyed.join(common.maybe_broadcast(kept.where("__n = 1")), match).unionByName(keyed.join(several, match).dropDuplicates(["__id", "__k1"]))
     return once.select(*(F.col(f"`{c}`") for c in documents.columns))
 
 

@@ -17,7 +17,7 @@ an empty table gives no rows; further columns of documents are kept out of the w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -62,10 +62,14 @@ def blocks(text: str) -> list[bytes]:
     return [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
 
 
-def measure(texts: Iterator[str | None], good: bytes, bad: bytes) -> np.ndarray:
-    """Compressed sizes with either dictionary, and raw size, of each whole text."""
+def spread(cut: list[bytes]) -> list[bytes]:
+    """At most FIT_BLOCKS of a text's blocks, evenly from the first to the last."""
+    return [cut[i] for i in sorted({round(i * (len(cut) - 1) / (FIT_BLOCKS - 1)) for i in range(FIT_BLOCKS)})] if cut else []
+
+
+def measure(cuts: Iterable[list[bytes]], good: bytes, bad: bytes) -> np.ndarray:
+    """Compressed sizes with either dictionary, and raw size, of each list of blocks."""
     a, b = (zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False) if d else zstandard.ZstdCompressor(level=LEVEL) for d in (good, bad))
-    cuts = (blocks(t or "") for t in texts)
     return np.array([(sum(len(a.compress(x)) for x in cut), sum(len(b.compress(x)) for x in cut), sum(map(len, cut))) for cut in cuts], dtype=np.float64).reshape(-1, 3)
 
 
@@ -74,7 +78,7 @@ def design(x: np.ndarray) -> np.ndarray:
     good, bad, raw = x.T
     d = np.clip(10 * (bad - good) / np.maximum(good + bad, 1), -1.5, 1.5)
     r = np.log(np.maximum(good + bad, 1) / np.maximum(2 * raw, 1))
-    n = np.log(np.maximum(raw, 20)) - 6
+    n = np.log(np.clip(raw, 20, FIT_BLOCKS * BLOCK)) - 6
     low = np.maximum(LOW - r, 0)
     return np.stack([np.ones_like(d), d, d * n, r, low, low * n, n], axis=1)
 
@@ -108,28 +112,34 @@ def dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def fit(rows: list[tuple[int, int, str]]) -> Model:
-    """A model of (part, quality, text): part 0 builds dictionaries, part 1 calibrates."""
+def fit(rows: list[tuple[int, int, list[bytes]]]) -> Model:
+    """A model of (part, quality, blocks): part 0 builds dictionaries, part 1 calibrates."""
     rows = [r for r in rows if r[2]]
-    spread = lambda cut: [cut[i] for i in sorted({round(i * (len(cut) - 1) / (FIT_BLOCKS - 1)) for i in range(FIT_BLOCKS)})]
-    good, bad = (dictionary([x for part, q, t in rows if part == 0 and q == want for x in spread(blocks(t))]) for want in (1, 0))
+    good, bad = (dictionary([x for part, q, cut in rows if part == 0 and q == want for x in cut]) for want in (1, 0))
     rest = [r for r in rows if r[0] == 1] or rows
     y = np.array([q for _, q, _ in rest], dtype=np.float64)
     share = float(y.mean()) if len(y) else 0.5
     if not len(y) or share in (0.0, 1.0):
         return Model(good, bad, np.array([30 if share == 1 else -30 if share == 0 else 0, *[0] * 6], dtype=np.float64), share)
-    return Model(good, bad, logistic(design(measure((t for *_, t in rest), good, bad)), y), share)
+    return Model(good, bad, logistic(design(measure((cut for *_, cut in rest), good, bad)), y), share)
 
 
-def sample(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[tuple[int, int, str]]:
-    """At most so many labelled rows of each class that aren't held out, as (part, quality, text)."""
+def sample(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[tuple[int, int, list[bytes]]]:
+    """FIT_BLOCKS blocks of at most so many labelled rows of each class that aren't held out, as (part, quality, blocks)."""
     ids = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most"))
     ids = ids.where((F.col("q") == F.col("most")) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("fit_id"), "q", F.xxhash64("doc_id").alias("h"))
-    # at most 2 * rows ids are broadcast, and as many texts reach the driver
+    # at most 2 * rows ids are broadcast, and FIT_BLOCKS * BLOCK bytes of each reach the driver
     few = [ids.where(F.col("q") == q).orderBy("h", "fit_id").limit(rows) for q in (0, 1)]
     hit = documents.select("doc_id", "text").join(F.broadcast(few[0].union(few[1])), F.col("doc_id") == F.col("fit_id"))
-    cut = hit.where(F.length("text") > 0).select(F.pmod(F.shiftright("h", 8), F.lit(2)).alias("part"), "q", "fit_id", "text").dropDuplicates(["fit_id"])
-    return [(r["part"], r["q"], r["text"]) for r in cut.toLocalIterator()]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([spread(blocks(t)) for t in b.column(3).to_pylist()], pa.list_(pa.binary()))], ["part", "q", "fit_id", "blocks"])
+
+    common.arrow_rows(documents.sparkSession)
+    short = hit.where(F.length("text") > 0).select(F.pmod(F.shiftright("h", 8), F.lit(2)).cast("int").alias("part"), F.col("q").cast("int").alias("q"), F.col("fit_id").cast("long").alias("fit_id"), "text")
+    got = short.mapInArrow(cut, "part int, q int, fit_id long, blocks array<binary>").groupBy("fit_id").agg(F.min_by(F.struct("part", "q", "blocks"), F.hash("blocks")).alias("x"))
+    return [(r["x"]["part"], r["x"]["q"], [bytes(x) for x in r["x"]["blocks"]]) for r in got.orderBy("fit_id").toLocalIterator()]
 
 
 def scores(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -137,7 +147,7 @@ def scores(documents: DataFrame, model: Model, threshold: float = THRESHOLD) ->
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            p = model.score(measure(b["text"], model.good, model.bad))
+            p = model.score(measure((blocks(t) for t in b["text"]), model.good, model.bad))
             yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": p, "predicted": (p >= threshold).astype(np.int32)})
 
     common.arrow_rows(documents.sparkSession)
@@ -151,7 +161,7 @@ def filtered(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            yield b.filter(pa.array(model.score(measure(texts, model.good, model.bad)) >= threshold))
+            yield b.filter(pa.array(model.score(measure((blocks(t or "") for t in texts), model.good, model.bad)) >= threshold))
 
     common.arrow_rows(documents.sparkSession)
     return documents.mapInArrow(judge, documents.schema)

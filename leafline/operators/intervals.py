@@ -1,7 +1,7 @@
 """Summaries of call records: counts, tokens, wall-clock time as the union of intervals, and peak concurrency.
 
-The union and the sweep work in two levels, first within (model, time bucket), then over one row per island or bucket, so
-a model with a third of all calls is not one task's work.
+The union and the sweep work within (model, time bucket) and carry one row a bucket between buckets, so a model with a
+third of all calls is not one task's work.
 """
 
 from __future__ import annotations
@@ -22,10 +22,15 @@ def _islands(rows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def union_length(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at", bucket: float = BUCKET_S) -> DataFrame:
-    """(key, wall_s): the length of the union of each key's intervals."""
+    """(key, wall_s): the length of the union of each key's intervals.
+
+    What earlier buckets cover of a bucket is all up to their greatest end, so a bucket only needs that one number from them.
+    """
     rows = calls.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(key, F.col(start).alias("s"), F.col(end).alias("e"), F.floor(F.col(start) / bucket).alias("b"))
-    merged = _islands(_islands(rows, [key, "b"]).drop("b"), [key])
-    return merged.groupBy(key).agg(F.sum(F.col("e") - F.col("s")).alias("wall_s"))
+    w = W.partitionBy(key).orderBy("b").rowsBetween(W.unboundedPreceding, -1)
+    covered = rows.groupBy(key, "b").agg(F.max("e").alias("top")).select(key, "b", F.max("top").over(w).alias("covered"))
+    own = rows.join(covered, [key, "b"]).withColumn("s", F.greatest("s", "covered")).where("e >= s").select(key, "b", "s", "e")
+    return _islands(own, [key, "b"]).groupBy(key).agg(F.sum(F.col("e") - F.col("s")).alias("wall_s"))
 
 
 def peak_concurrency(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at", bucket: float = BUCKET_S) -> DataFrame:

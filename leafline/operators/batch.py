@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from leafline.functions import ids, text
 
 SHARD = 50
+RANGE_ITEMS = 100_000
 ITEM_LIMIT, SHARD_LIMIT, REPORT_LIMIT = 2000, 1500, 500
 
 
@@ -32,16 +33,18 @@ def validated(items: DataFrame) -> DataFrame:
 def sharded(items: DataFrame, batch: str, size: int = SHARD) -> DataFrame:
     """items with shard and shard_id: `size` consecutive items each, by item_ord.
 
-    The global number of an item is its range's start, from counts a partition, plus its place there: no single-task sort.
+    An item's number is its range's base, from counts of equal ranges of item_ord, plus its place there: no single-task sort.
     """
     if size <= 0:
         raise ValueError("shard size must be positive")
-    sortd = items.repartitionByRange("item_ord").withColumn("__p", F.spark_partition_id())
-    local = sortd.withColumn("__n", F.row_number().over(W.partitionBy("__p").orderBy("item_ord")) - 1)
-    counts = local.groupBy("__p").agg(F.count("*").alias("__c"), F.min("item_ord").alias("__first"))
-    base = counts.select("__p", F.coalesce(F.sum("__c").over(W.orderBy("__first").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__base"))  # a row a partition
+    lo, hi, n = items.agg(F.min("item_ord"), F.max("item_ord"), F.count("*")).first()
+    ranges = max(1, n // RANGE_ITEMS)
+    step = max(1, -(-((hi or 0) - (lo or 0) + 1) // ranges))
+    dealt = items.withColumn("__p", F.floor((F.col("item_ord") - (lo or 0)) / step))
+    base = dealt.groupBy("__p").agg(F.count("*").alias("__c")).withColumn("__base", F.coalesce(F.sum("__c").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__c")  # a row a range
+    local = dealt.withColumn("__n", F.row_number().over(W.partitionBy("__p").orderBy("item_ord")) - 1)
     shard = F.floor((F.col("__base") + F.col("__n")) / size)
-    return local.join(F.broadcast(base), "__p").withColumn("shard", shard).withColumn("shard_id", ids.shard_id(F.lit(batch), F.col("shard"))).drop("__p", "__n", "__base")
+    return local.join(base, "__p").withColumn("shard", shard).withColumn("shard_id", ids.shard_id(F.lit(batch), F.col("shard"))).drop("__p", "__n", "__base")
 
 
 def counts(results: DataFrame) -> DataFrame:

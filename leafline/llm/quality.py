@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -145,14 +144,14 @@ def sample(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> lis
 def scores(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted of every row, judged by its text alone."""
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            p = model.score(measure((blocks(t) for t in b["text"]), model.good, model.bad))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "held_out": b["held_out"], "score": p, "predicted": (p >= threshold).astype(np.int32)})
+            p = model.score(measure((blocks(t) for t in b.column(2).to_pylist()), model.good, model.bad))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     common.arrow_rows(documents.sparkSession)
-    rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(judge, "doc_id long, held_out boolean, score double, predicted int")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(judge, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def filtered(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

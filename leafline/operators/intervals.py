@@ -75,8 +75,8 @@ def token_totals(calls: DataFrame) -> DataFrame:
 
 
 def priced(totals: DataFrame, prices: DataFrame) -> DataFrame:
-    """totals(model, input_tokens, output_tokens) with cost_usd; null for a model that has no price. prices is a small table."""
-    p = F.broadcast(prices.select(F.col("model").alias("priced_model"), "input_rate", "output_rate"))
+    """totals(model, input_tokens, output_tokens) with cost_usd; null for a model that has no price."""
+    p = prices.select(F.col("model").alias("priced_model"), "input_rate", "output_rate")
     j = totals.join(p, F.regexp_replace("model", "^ocr:", "") == F.col("priced_model"), "left")
     cost = F.round(F.col("input_tokens") / 1e6 * F.col("input_rate") + F.col("output_tokens") / 1e6 * F.col("output_rate"), 6)
     return j.withColumn("cost_usd", cost).drop("priced_model", "input_rate", "output_rate")

@@ -9,15 +9,26 @@ from functools import lru_cache
 
 import numpy as np
 
-_BLOCK = 8  # words of 64 bits a rank block
 _BIT = np.array([[next((p for p in range(8) if (b >> p) & 1 and bin(b & ((1 << p) - 1)).count("1") == r), 0) for r in range(8)] for b in range(256)], dtype=np.uint8)
 _ONE, _63 = np.uint64(1), np.uint64(63)
+_1, _2, _4, _BYTES, _TOPS = map(np.uint64, (0x5555555555555555, 0x3333333333333333, 0x0F0F0F0F0F0F0F0F, 0x0101010101010101, 0x8080808080808080))
+
+
+def _bit_in_word(x: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Position of the r-th (from 0) set bit of each word: bit counts of all bytes at once, summed from the low byte on."""
+    r = r.astype(np.uint64)
+    s = x - ((x >> _ONE) & _1)
+    s = (s & _2) + ((s >> np.uint64(2)) & _2)
+    s = ((s + (s >> np.uint64(4))) & _4) * _BYTES
+    full = np.bitwise_count(((r * _BYTES | _TOPS) - s) & _TOPS).astype(np.uint64) * np.uint64(8)
+    rank = r - (((s << np.uint64(8)) >> full) & np.uint64(255))
+    return (full + _BIT[((x >> full) & np.uint64(255)).astype(np.int64), rank.astype(np.int64)]).astype(np.int64)
 
 
 class EliasFano:
     """A non-decreasing sequence of 64-bit values: `width` low bits each, packed, and the high parts in unary.
 
-    Arrays: low and high (64-bit words), ones (set bits before each block of high).
+    Arrays: low and high (64-bit words), ones (set bits before each word of high).
     """
 
     def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
@@ -41,11 +52,10 @@ class EliasFano:
         low = np.zeros(len(raw) // 8 + 2, dtype=np.uint64)
         low.view(np.uint8)[: len(raw)] = raw
         at = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
-        words = (int(at[-1]) // 64 + 2 if n else 1) + _BLOCK
-        high = np.zeros(words - words % _BLOCK + _BLOCK, dtype=np.uint64)
+        high = np.zeros(int(at[-1]) // 64 + 2 if n else 1, dtype=np.uint64)
         np.bitwise_or.at(high, at >> 6, _ONE << (at & 63).astype(np.uint64))
-        count = np.bitwise_count(high).astype(np.int64).reshape(-1, _BLOCK).sum(axis=1)
-        return cls(n, width, low, high, np.concatenate([[0], np.cumsum(count)]))
+        ones = np.cumsum(np.bitwise_count(high), dtype=np.int64)
+        return cls(n, width, low, high, np.concatenate([[0], ones[:-1]]).astype(np.uint32 if n < 1 << 32 else np.int64))
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
         return {f"{name}.shape": np.array([self.n, self.width]), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones}
@@ -65,27 +75,11 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Position in high of the k-th (from 0) set or clear bit."""
-        before = self.ones if ones else np.arange(len(self.ones)) * 64 * _BLOCK - self.ones
-        block = np.searchsorted(before, k, side="right") - 1
-        rest, word = k - before[block], block * _BLOCK
-        for _ in range(_BLOCK - 1):
-            x = self.high[word]
-            c = np.bitwise_count(x).astype(np.int64)
-            c = c if ones else 64 - c
-            go = rest >= c
-            rest, word = rest - np.where(go, c, 0), word + go
-            if not go.any():
-                break
+        before = self.ones.astype(np.int64)
+        before = before if ones else np.arange(len(before)) * 64 - before
+        word = np.searchsorted(before, k, side="right") - 1
         x = self.high[word] if ones else ~self.high[word]
-        at = word * 64
-        for _ in range(7):
-            c = np.bitwise_count(x & np.uint64(255)).astype(np.int64)
-            go = rest >= c
-            rest, at = rest - np.where(go, c, 0), at + 8 * go
-            x = np.where(go, x >> np.uint64(8), x)
-            if not go.any():
-                break
-        return at + _BIT[(x & np.uint64(255)).astype(np.int64), np.minimum(rest, 7)]
+        return word * 64 + _bit_in_word(x, k - before[word])
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The values at indexes i."""

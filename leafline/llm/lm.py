@@ -8,13 +8,14 @@ Training counts words, then pairs of successive words, over all training documen
 2. Level 2: pairs of ids are counted per task, cut at key boundaries of equal training mass (so a frequent context is cut
    as well), and merged per part into a segment file: monotone pointers from each context to its successors (Elias-Fano),
    the successors' ids as one monotone sequence (each context's ids on top of the last value before it, Elias-Fano), and
-   the discounted probabilities quantised to 256 levels.
+   the discounted probabilities quantised to 256 levels. Level 3 does the same with the index of a pair as its context;
+   for it, level 2 also keeps the running sum of its counts (Elias-Fano).
 3. Scoring maps the segment files into memory from the folder in spark.checkpoint.dir, which must be a mounted path that
    executors share. A word's successor is searched relative to its context: pointer, base value, then the successor of
    base + id in the monotone sequence. Each batch looks up its distinct words and pairs once.
 
-The model interpolates absolute discounting: P(w|c) = max(n(c,w) - D2, 0) / n(c) + D2 * types(c) / n(c) * P1(w), with
-P1(w) = (n(w) - D1) / N, and D1 * V / N for the one unknown word; D1 = n1 / (n1 + 2 n2). A text is scored from an end token
+The model interpolates absolute discounting: P(w|c) = max(n(c,w) - D, 0) / n(c) + D * types(c) / n(c) * P(w|c') with c'
+a word shorter than c, P1(w) = (n(w) - D1) / N, and D1 * V / N for the one unknown word; D1 = n1 / (n1 + 2 n2). A text is scored from an end token
 to its end token, so an empty text has the probability of the end after an end.
 
 Defined cases: null text is empty; null doc_id counts as held out; repeated rows are learnt and scored each; very long
@@ -39,7 +40,8 @@ from leafline.llm.eliasfano import EliasFano, mapped, write
 from leafline.llm.words import word_hashes
 
 FOLDS, FOLD = 7, 2
-D2 = 0.75
+DISCOUNT = 0.75
+ORDER = 3
 SEGMENT = 1 << 20
 PART = 1 << 22
 FLUSH = 1 << 22
@@ -74,18 +76,83 @@ def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return book.astype(np.float32), code.astype(np.uint8)
 
 
+LOW = np.uint64(0xFFFFFFFF)
+
+
+def keyed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return (context.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
+
+
+@dataclass
+class Level:
+    """The segment files of one level from 2 on: some hundred bytes a segment."""
+
+    cuts: np.ndarray
+    parts: dict[int, tuple[str, int, int, int]] = field(default_factory=dict)  # path, first and last context, entries before
+    wide: dict[int, int] = field(default_factory=dict)  # successors of contexts that lie in several parts
+
+    def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(entry or -1, discounted probability or 0) of pairs that are sorted by context and word."""
+        key = keyed(context, word)
+        entry, out = np.full(len(key), -1, np.int64), np.zeros(len(key))
+        part = np.searchsorted(self.cuts, key, side="right")
+        to = np.searchsorted(part, np.arange(len(self.cuts) + 2))
+        for k in np.flatnonzero(np.diff(to)):
+            if k in self.parts:
+                path, first, last, before = self.parts[k]
+                span = np.arange(to[k], to[k + 1])
+                span = span[(context[span] >= first) & (context[span] <= last)]
+                if not len(span):
+                    continue
+                held = mapped(path)
+                pointer, after = EliasFano.of(held, "pointer"), EliasFano.of(held, "after")
+                c, inverse = np.unique(context[span] - first, return_inverse=True)
+                lo, hi = pointer.access(c).astype(np.int64), pointer.access(c + 1).astype(np.int64)
+                base = np.where(lo > 0, after.access(np.maximum(lo - 1, 0)), np.uint64(0))
+                i = after.find(base[inverse] + word[span].astype(np.uint64) + np.uint64(1))
+                ok = (i >= lo[inverse]) & (i < hi[inverse])
+                entry[span[ok]] = before + i[ok]
+                out[span[ok]] = 10.0 ** held["book"][held["code"][i[ok]]].astype(np.float64)
+        return entry, out
+
+    def successors(self, context: np.ndarray) -> np.ndarray:
+        """The number of distinct successors of sorted contexts."""
+        out = np.zeros(len(context), np.int64)
+        part, end = (np.searchsorted(self.cuts, keyed(context, np.full(len(context), w, np.uint64)), side="right") for w in (0, LOW))
+        for k in np.unique(np.concatenate([part, end])):
+            if k in self.parts:
+                path, first, last, _ = self.parts[k]
+                at = np.flatnonzero(((part == k) | (end == k)) & (context >= first) & (context <= last))
+                pointer = EliasFano.of(mapped(path), "pointer")
+                out[at] += (pointer.access(context[at] - first + 1) - pointer.access(context[at] - first)).astype(np.int64)
+        if self.wide:
+            for n in np.flatnonzero(np.isin(context, np.fromiter(self.wide, np.int64))):
+                out[n] = self.wide[int(context[n])]
+        return out
+
+    def counts(self, entry: np.ndarray) -> np.ndarray:
+        """Training counts of sorted entries."""
+        out = np.zeros(len(entry), np.int64)
+        order = sorted(self.parts.values(), key=lambda p: p[3])
+        to = np.append(np.searchsorted(entry, [p[3] for p in order]), len(entry))
+        for n, (path, _, _, before) in enumerate(order):
+            i = entry[to[n] : to[n + 1]] - before
+            if len(i):
+                mass = EliasFano.of(mapped(path), "mass")
+                out[to[n] : to[n + 1]] = (mass.access(i) - np.where(i > 0, mass.access(np.maximum(i - 1, 0)), np.uint64(0))).astype(np.int64)
+        return out
+
+
 @dataclass
 class Model:
-    """What scoring needs besides the files: sizes, discounts, segment paths and bounds. Some hundred bytes a segment."""
+    """What scoring needs besides the files: sizes, discounts, and the segments' paths and bounds."""
 
     tokens: int = 0
     types: int = 0
     d1: float = 0.5
     bits: int = 1
     level1: dict[int, tuple[str, int]] = field(default_factory=dict)  # top bits: path, first id
-    cuts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    level2: dict[int, tuple[str, int, int]] = field(default_factory=dict)  # part: path, first and last context
-    wide: dict[int, int] = field(default_factory=dict)  # successors of contexts that lie in several parts
+    levels: list[Level] = field(default_factory=list)  # 2 and on
 
     @property
     def unknown(self) -> float:
@@ -99,77 +166,68 @@ class Model:
             if seg in self.level1:
                 path, first = self.level1[seg]
                 held = mapped(path)
-                span = slice(to[seg], to[seg + 1])
-                i = EliasFano.of(held, "hash").find(hashes[span])
+                i = EliasFano.of(held, "hash").find(hashes[to[seg] : to[seg + 1]])
                 ok = i >= 0
                 at = np.flatnonzero(ok) + to[seg]
                 ids[at], count[at] = first + i[ok], held["count"][i[ok]]
                 p[at] = 10.0 ** held["book"][held["code"][i[ok]]].astype(np.float64)
         return ids, count, p
 
-    def pairs(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The discounted probabilities of pairs of ids that are sorted by context and word; 0 where unseen."""
-        key = (context.astype(np.uint64) << np.uint64(32)) | word.astype(np.uint64)
-        out = np.zeros(len(key))
-        part = np.searchsorted(self.cuts, key, side="right")
-        to = np.searchsorted(part, np.arange(len(self.cuts) + 2))
-        for k in np.flatnonzero(np.diff(to)):
-            if k in self.level2:
-                path, first, last = self.level2[k]
-                span = np.arange(to[k], to[k + 1])
-                span = span[(context[span] >= first) & (context[span] <= last)]
-                if not len(span):
-                    continue
-                held = mapped(path)
-                pointer, after = EliasFano.of(held, "pointer"), EliasFano.of(held, "after")
-                c, inverse = np.unique(context[span] - first, return_inverse=True)
-                lo, hi = pointer.access(c).astype(np.int64), pointer.access(c + 1).astype(np.int64)
-                base = np.where(lo > 0, after.access(np.maximum(lo - 1, 0)), np.uint64(0))
-                i = after.find(base[inverse] + word[span].astype(np.uint64) + np.uint64(1))
-                ok = (i >= lo[inverse]) & (i < hi[inverse])
-                out[span[ok]] = 10.0 ** held["book"][held["code"][i[ok]]].astype(np.float64)
-        return out
-
-    def successors(self, context: np.ndarray) -> np.ndarray:
-        """The number of distinct successors of sorted context ids."""
-        out = np.zeros(len(context), np.int64)
-        part = np.searchsorted(self.cuts, context.astype(np.uint64) << np.uint64(32), side="right")
-        part_end = np.searchsorted(self.cuts, (context.astype(np.uint64) << np.uint64(32)) | np.uint64(0xFFFFFFFF), side="right")
-        for k in np.unique(np.concatenate([part, part_end])):
-            if k in self.level2:
-                path, first, last = self.level2[k]
-                at = np.flatnonzero(((part == k) | (part_end == k)) & (context >= first) & (context <= last))
-                pointer = EliasFano.of(mapped(path), "pointer")
-                out[at] += (pointer.access(context[at] - first + 1) - pointer.access(context[at] - first)).astype(np.int64)
-        for n, c in enumerate(context):
-            if int(c) in self.wide:
-                out[n] = self.wide[int(c)]
-        return out
-
-    def score(self, texts: pa.Array) -> dict[str, np.ndarray]:
+    def walk(self, texts: pa.Array):
+        """The tokens of texts as places among their distinct words: (offsets, place of each token, of the token before it,
+        ids, counts and P1 of the distinct words). An end stands before each text."""
         t, to = tokens(texts)
-        start = to[:-1]
-        n = np.diff(to)
-        if not self.tokens:
-            return {"n_tokens": n, "n_known": np.zeros(len(n), np.int64), "base_score": np.zeros(len(n)), "score": np.zeros(len(n))}
         distinct, at = np.unique(np.append(t, END), return_inverse=True)
-        ids, count, p1 = self.words(distinct)
         end, at = at[-1], at[:-1]
         prev = np.empty_like(at)
         prev[1:] = at[:-1]
-        prev[start] = end
+        prev[to[:-1]] = end
+        return to, at, prev, *self.words(distinct)
+
+    def entries(self, level: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Level.find for contexts and words in any order, either -1 where there is none; distinct pairs are looked up once."""
+        entry, seen = np.full(len(context), -1, np.int64), np.zeros(len(context))
+        both = (context >= 0) & (word >= 0)
+        key, inverse = np.unique(keyed(context[both], word[both]), return_inverse=True)
+        e, p = self.levels[level].find((key >> np.uint64(32)).astype(np.int64), (key & LOW).astype(np.int64))
+        entry[both], seen[both] = e[inverse], p[inverse]
+        return entry, seen
+
+    def score(self, texts: pa.Array) -> dict[str, np.ndarray]:
+        if not self.tokens:
+            n = np.diff(tokens(texts)[1])
+            return {"n_tokens": n, "n_known": np.zeros(len(n), np.int64), "base_score": np.zeros(len(n)), "score": np.zeros(len(n))}
+        to, at, prev, ids, count, p1 = self.walk(texts)
         base = np.log10((count + 1) / (self.tokens + self.types + 1))
-        known = ids >= 0
-        known_at = np.flatnonzero(known)
-        back = np.ones(len(distinct))
-        back[known_at] = D2 * self.successors(ids[known_at]) / np.maximum(count[known_at], 1)
-        both = known[prev] & known[at]
-        key, inverse = np.unique((ids[prev[both]].astype(np.uint64) << np.uint64(32)) | ids[at[both]].astype(np.uint64), return_inverse=True)
-        seen = self.pairs((key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64))
-        p = back[prev] * p1[at]
-        p[both] += seen[inverse]
-        total = lambda x: np.add.reduceat(x, start) if len(start) else np.zeros(0)
-        return {"n_tokens": n, "n_known": total(known[at].astype(np.int64)), "base_score": total(base[at]), "score": total(np.log10(np.minimum(p, 1.0)))}
+        p = p1[at]
+        known = np.flatnonzero(ids >= 0)
+        back = np.ones(len(ids))
+        back[known] = DISCOUNT * self.levels[0].successors(ids[known]) / np.maximum(count[known], 1)
+        entry, seen = self.entries(0, ids[prev], ids[at])
+        p = seen + back[prev] * p
+        for n in range(1, len(self.levels)):
+            context = shifted(entry, to)
+            some, inverse = np.unique(context[context >= 0], return_inverse=True)
+            rest = DISCOUNT * self.levels[n].successors(some) / np.maximum(self.levels[n - 1].counts(some), 1)
+            entry, seen = self.entries(n, context, ids[at])
+            p = self._mixed(p, seen, context, rest, inverse)
+        total = lambda x: np.add.reduceat(x, to[:-1]) if len(to) > 1 else np.zeros(0)
+        return {"n_tokens": np.diff(to), "n_known": total((ids >= 0)[at].astype(np.int64)), "base_score": total(base[at]), "score": total(np.log10(np.minimum(p, 1.0)))}
+
+    @staticmethod
+    def _mixed(p: np.ndarray, seen: np.ndarray, context: np.ndarray, rest: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+        out = p.copy()
+        has = context >= 0
+        out[has] = seen[has] + rest[inverse] * p[has]
+        return out
+
+
+def shifted(entry: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """Each token's entry as the context of the next token of its text; -1 for first tokens."""
+    out = np.empty_like(entry)
+    out[1:] = entry[:-1]
+    out[to[:-1]] = -1
+    return out
 
 
 def _counted(chunks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +266,7 @@ def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(planes(raw[8 : 8 + 8 * n], np.uint64), dtype=np.uint64), planes(raw[8 + 8 * n :], np.uint32).astype(np.int64)
 
 
-def train(documents: DataFrame) -> Model:
+def train(documents: DataFrame, order: int = ORDER) -> Model:
     """A model of documents(text)."""
     spark = documents.sparkSession
     root = f"{common.local_path(common.shared_dir(spark))}/trie-{uuid.uuid4().hex}"
@@ -223,96 +281,116 @@ def train(documents: DataFrame) -> Model:
 
     def level1(key: tuple, table: pa.Table) -> pa.Table:
         h, n = table.column("h").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(h)
-        h, n = h[order], n[order]
+        by = np.argsort(h)
+        h, n = h[by], n[by]
         book, code = quantised(np.log10((n - d1) / total))
         path = f"{root}/words-{key[0].as_py()}"
         write(path, EliasFano.build(h).arrays("hash") | {"count": n, "book": book, "code": code})
-        return pa.table({"seg": [key[0].as_py()], "n": [len(h)], "tokens": [int(n.sum())], "path": [path]})
+        return pa.table({"seg": [key[0].as_py()], "n": [len(h)], "path": [path]})
 
-    made = counts.withColumn("seg", F.shiftrightunsigned("h", 64 - model.bits)).groupBy("seg").applyInArrow(level1, "seg long, n long, tokens long, path string")
-    first, before, parts = 0, 0, -(-total // PART)
-    cuts, spans = [], []
+    made = counts.withColumn("seg", F.shiftrightunsigned("h", 64 - model.bits)).groupBy("seg").applyInArrow(level1, "seg long, n long, path string")
+    first, segments = 0, []
     for r in sorted(made.collect(), key=lambda r: r["seg"]):  # a row a segment of a million words
         model.level1[r["seg"]] = (r["path"], first)
-        spans.append((first, r["path"]))
-        mass = before + np.cumsum(np.asarray(mapped(r["path"])["count"]))
+        segments.append((first, r["n"], r["path"]))
+        first += r["n"]
+    mass = lambda path: np.cumsum(np.asarray(mapped(path)["count"]))
+    for level in range(2, order + 1):
+        _grow(documents, model, level, order, segments, mass, f"{root}/level-{level}")
+        parts = sorted(model.levels[-1].parts.values(), key=lambda p: p[3])
+        ends = [p[3] for p in parts[1:]] + [None]
+        segments = [(p[3], (e - p[3]) if e is not None else None, p[0]) for p, e in zip(parts, ends, strict=True)]
+        mass = lambda path: (m := EliasFano.of(mapped(path), "mass")).access(np.arange(m.n)).astype(np.int64)
+    return model
+
+
+def _cuts(segments: list[tuple], mass, total: int, types: int) -> np.ndarray:
+    """Keys that cut the training tokens into parts of PART, by their contexts' counts; a context larger than that is cut inside."""
+    before, out, parts = 0, [np.zeros(0, np.uint64)], -(-total // PART)
+    for first, _, path in segments:  # a segment at a time
+        m = before + mass(path)
         goal = np.arange(1, parts) * (total / parts)
-        goal = goal[(goal > before) & (goal <= mass[-1])]
-        i = np.searchsorted(mass, goal)
-        start = np.where(i > 0, mass[np.maximum(i - 1, 0)], before)
-        within = (goal - start) / (mass[i] - start)
-        cuts.append(((first + i).astype(np.uint64) << np.uint64(32)) | (within * types).astype(np.uint64))
-        first, before = first + r["n"], int(mass[-1])
-    model.cuts = np.unique(np.concatenate(cuts))
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        goal = goal[(goal > before) & (goal <= m[-1])]
+        i = np.searchsorted(m, goal)
+        start = np.where(i > 0, m[np.maximum(i - 1, 0)], before)
+        out.append(keyed(first + i, ((goal - start) / (m[i] - start) * types).astype(np.uint64)))
+        before = int(m[-1])
+    return np.unique(np.concatenate(out))
+
+
+def _grow(documents: DataFrame, model: Model, level: int, order: int, segments: list[tuple], mass, root: str) -> None:
+    """Adds a level to the model: counts of (entry of the level before, word id), merged part by part."""
+    if segments[-1][0] >= 1 << 31 and segments[-1][0] + PART >= 1 << 32:
+        raise ValueError("entries have 32 bits")
+    cuts = _cuts(segments, mass, model.tokens, model.types)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: list[np.ndarray]) -> pa.RecordBatch:
             key, n = _counted(held)
-            to = np.concatenate([[0], np.searchsorted(key, model.cuts), [len(key)]])
+            to = np.concatenate([[0], np.searchsorted(key, cuts), [len(key)]])
             some = np.flatnonzero(np.diff(to))
             return pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([packed(key[to[k] : to[k + 1]], n[to[k] : to[k + 1]]) for k in some], pa.binary())], ["part", "blob"])
 
         held, size = [], 0
         for b in batches:
-            t, to = tokens(b.column(0))
-            distinct, at = np.unique(np.append(t, END), return_inverse=True)
-            ids = model.words(distinct)[0][at].astype(np.uint64)
-            end, ids = ids[-1], ids[:-1]
-            prev = np.empty_like(ids)
-            prev[1:] = ids[:-1]
-            prev[to[:-1]] = end
-            held.append((prev << np.uint64(32)) | ids)
-            size += len(ids)
+            to, at, prev, ids, *_ = model.walk(b.column(0))
+            context = ids[prev]
+            for n in range(level - 2):
+                context = shifted(model.entries(n, context, ids[at])[0], to)
+            has = context >= 0
+            held.append(keyed(context[has], ids[at][has]))
+            size += len(held[-1])
             if size >= FLUSH:
                 yield flush(held)
                 held, size = [], 0
-        if held:
+        if size:
             yield flush(held)
 
-    def level2(key: tuple, table: pa.Table) -> pa.Table:
-        part = key[0].as_py()
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
         each = [unpacked(x) for x in table.column("blob").to_pylist()]
         k = np.concatenate([x[0] for x in each])
-        order = np.argsort(k, kind="stable")
-        k, n = k[order], np.concatenate([x[1] for x in each])[order]
+        by = np.argsort(k, kind="stable")
+        k, n = k[by], np.concatenate([x[1] for x in each])[by]
         new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
         k, n = k[new], np.add.reduceat(n, new)
-        context, word = (k >> np.uint64(32)).astype(np.int64), k & np.uint64(0xFFFFFFFF)
+        context, word = (k >> np.uint64(32)).astype(np.int64), k & LOW
         lo, hi = int(context[0]), int(context[-1])
-        count = np.zeros(hi - lo + 1, np.int64)
-        for at, path in spans:
-            c = mapped(path)["count"]
-            a, b = max(lo, at), min(hi + 1, at + len(c))
-            if a < b:
-                count[a - lo : b - lo] = c[a - at : b - at]
+        if level == 2:
+            of = np.zeros(hi - lo + 1, np.int64)
+            for at, size, path in segments:
+                a, b = max(lo, at), min(hi + 1, at + size)
+                if a < b:
+                    of[a - lo : b - lo] = mapped(path)["count"][a - at : b - at]
+        else:
+            of = model.levels[-1].counts(np.arange(lo, hi + 1))
         pointer = np.searchsorted(context, np.arange(lo, hi + 2))
         ends = np.flatnonzero(np.append(context[1:] != context[:-1], True))
-        last = word[ends] + np.uint64(1)
-        base = np.concatenate([[np.uint64(0)], np.cumsum(last, dtype=np.uint64)[:-1]])
+        base = np.concatenate([[np.uint64(0)], np.cumsum(word[ends] + np.uint64(1), dtype=np.uint64)[:-1]])
         size = np.diff(np.concatenate([[0], ends + 1]))
-        book, code = quantised(np.log10((n - D2) / count[context - lo]))
-        path = f"{root}/pairs-{part}"
-        write(path, EliasFano.build(pointer).arrays("pointer") | EliasFano.build(np.repeat(base, size) + word + np.uint64(1)).arrays("after") | {"book": book, "code": code})
-        return pa.table({"part": [part], "path": [path], "lo": [lo], "hi": [hi], "n_lo": [int(size[0])], "n_hi": [int(size[-1])]})
-
-    blobs = documents.mapInArrow(pairs, "part long, blob binary")
-    made = blobs.groupBy("part").applyInArrow(level2, "part long, path string, lo long, hi long, n_lo long, n_hi long").collect()  # a row a part of 4 million tokens
-    ends: dict[int, list[int]] = {}
-    for r in made:
-        model.level2[r["part"]] = (r["path"], r["lo"], r["hi"])
+        book, code = quantised(np.log10((n - DISCOUNT) / of[context - lo]))
+        path = f"{root}-{key[0].as_py()}"
+        more = EliasFano.build(np.cumsum(n)).arrays("mass") if level < order else {}
+        write(path, EliasFano.build(pointer).arrays("pointer") | EliasFano.build(np.repeat(base, size) + word + np.uint64(1)).arrays("after") | {"book": book, "code": code} | more)
+        return pa.table({"part": [key[0].as_py()], "path": [path], "n": [len(k)], "lo": [lo], "hi": [hi], "n_lo": [int(size[0])], "n_hi": [int(size[-1])]})
+
+    blobs = documents.mapInArrow(count, "part long, blob binary")
+    made = blobs.groupBy("part").applyInArrow(merge, "part long, path string, n long, lo long, hi long, n_lo long, n_hi long").collect()  # a row a part of 4 million tokens
+    out, before, ends = Level(cuts), 0, {}
+    for r in sorted(made, key=lambda r: r["part"]):
+        out.parts[r["part"]] = (r["path"], r["lo"], r["hi"], before)
+        before += r["n"]
         ends.setdefault(r["lo"], []).append(r["n_lo"])
         if r["hi"] != r["lo"]:
             ends.setdefault(r["hi"], []).append(r["n_hi"])
-    model.wide = {c: sum(n) for c, n in ends.items() if len(n) > 1}
-    return model
+    out.wide = {c: sum(n) for c, n in ends.items() if len(n) > 1}
+    model.levels.append(out)
 
 
-def scores(documents: DataFrame) -> DataFrame:
+def scores(documents: DataFrame, order: int = ORDER) -> DataFrame:
     """Scores of documents by a model of those that aren't held out."""
     common.arrow_rows(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    model = train(rows.where("not held_out").select("text"))
+    model = train(rows.where("not held_out").select("text"), order)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # no counts: paths and bounds of the segments
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

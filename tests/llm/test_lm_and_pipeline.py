@@ -35,7 +35,7 @@ def words(text):
     return [*(text or "").encode().lower().split(), None]
 
 
-def brute(docs):
+def brute(docs, order=2):
     train = [words(t) for i, t in docs if i is not None and crc32(str(i).encode()) % 7 != 2]
     uni = Counter(w for t in train for w in t)
     pair = Counter(p for t in train for p in zip([None, *t[:-1]], t, strict=True))
@@ -48,17 +48,26 @@ def brute(docs):
     def p(c, w):
         if c not in uni:
             return p1(w)
-        return max(pair[c, w] - lm.D2, 0) / uni[c] + lm.D2 * types[c] / uni[c] * p1(w)
+        return max(pair[c, w] - lm.DISCOUNT, 0) / uni[c] + lm.DISCOUNT * types[c] / uni[c] * p1(w)
+
+    three = Counter(x for t in train for x in zip([None, *t[:-1]], t, t[1:], strict=False))
+    after = Counter(x[:2] for x in three)
+
+    def p3(a, b, w):
+        if order < 3 or not pair[a, b]:
+            return p(b, w)
+        return max(three[a, b, w] - lm.DISCOUNT, 0) / pair[a, b] + lm.DISCOUNT * after[a, b] / pair[a, b] * p(b, w)
 
     out = {}
     for i, t in docs:
         w = words(t)
-        out[i, t] = (len(w), sum(x in uni for x in w), n, sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w), sum(math.log10(p(a, b)) for a, b in zip([None, *w[:-1]], w, strict=True)))
+        out[i, t] = (len(w), sum(x in uni for x in w), n, sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w), math.log10(p(None, w[0])) + sum(math.log10(p3(a, b, c)) for a, b, c in zip([None, *w[:-1]], w, w[1:], strict=False)))
     return out, uni, p
 
 
+@pytest.mark.parametrize("order", [2, 3])
 @pytest.mark.parametrize(("segment", "part"), [(1 << 20, 1 << 22), (8, 64)])
-def test_scores_match_a_plain_model(spark, monkeypatch, segment, part):
+def test_scores_match_a_plain_model(spark, monkeypatch, segment, part, order):
     monkeypatch.setattr(lm, "SEGMENT", segment)
     monkeypatch.setattr(lm, "PART", part)
     random.seed(3)
@@ -66,8 +75,8 @@ def test_scores_match_a_plain_model(spark, monkeypatch, segment, part):
     docs = [(i, " ".join(random.choices(vocab, weights=range(60, 0, -1), k=random.randint(0, 30)))) for i in range(150)]
     docs += [(500, None), (501, ""), (None, "w1 unknown"), (502, "THE w1\tW1\nw2"), (503, "w1 " * 30000), (7, docs[7][1])]
     df = spark.createDataFrame([(a, b, 1.0) for a, b in docs], "doc_id long, text string, score double")
-    got = lm.scores(df).collect()
-    want, _, _ = brute(docs)
+    got = lm.scores(df, order).collect()
+    want, _, _ = brute(docs, order)
     assert len(got) == len(docs)
     for r in got:
         text = next(t for i, t in docs if i == r["doc_id"])

@@ -28,11 +28,11 @@ def _bit_in_word(x: np.ndarray, r: np.ndarray) -> np.ndarray:
 class EliasFano:
     """A non-decreasing sequence of 64-bit values: `width` low bits each, packed, and the high parts in unary.
 
-    Arrays: low and high (64-bit words), ones (set bits before each word of high).
+    Arrays: low and high (64-bit words), ones and zeros (set and clear bits before each word of high).
     """
 
-    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
-        self.n, self.width, self.low, self.high, self.ones = n, width, low, high, ones
+    def __init__(self, n: int, width: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray):
+        self.n, self.width, self.low, self.high, self.ones, self.zeros = n, width, low, high, ones, zeros
 
     @classmethod
     def build(cls, values: np.ndarray) -> EliasFano:
@@ -54,16 +54,17 @@ class EliasFano:
         at = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(at[-1]) // 64 + 2 if n else 1, dtype=np.uint64)
         np.bitwise_or.at(high, at >> 6, _ONE << (at & 63).astype(np.uint64))
-        ones = np.cumsum(np.bitwise_count(high), dtype=np.int64)
-        return cls(n, width, low, high, np.concatenate([[0], ones[:-1]]).astype(np.uint32 if n < 1 << 32 else np.int64))
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)[:-1]])
+        kind = np.uint32 if len(high) < 1 << 26 else np.int64
+        return cls(n, width, low, high, ones.astype(kind), (np.arange(len(high)) * 64 - ones).astype(kind))
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
-        return {f"{name}.shape": np.array([self.n, self.width]), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones}
+        return {f"{name}.shape": np.array([self.n, self.width]), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones, f"{name}.zeros": self.zeros}
 
     @classmethod
     def of(cls, held: dict[str, np.ndarray], name: str) -> EliasFano:
         n, width = held[f"{name}.shape"].tolist()
-        return cls(n, width, held[f"{name}.low"], held[f"{name}.high"], held[f"{name}.ones"])
+        return cls(n, width, held[f"{name}.low"], held[f"{name}.high"], held[f"{name}.ones"], held[f"{name}.zeros"])
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
@@ -75,9 +76,8 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
         """Position in high of the k-th (from 0) set or clear bit."""
-        before = self.ones.astype(np.int64)
-        before = before if ones else np.arange(len(before)) * 64 - before
-        word = np.searchsorted(before, k, side="right") - 1
+        before = self.ones if ones else self.zeros
+        word = np.searchsorted(before, k.astype(before.dtype), side="right") - 1
         x = self.high[word] if ones else ~self.high[word]
         return word * 64 + _bit_in_word(x, k - before[word])
 

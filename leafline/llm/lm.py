@@ -45,6 +45,8 @@ ORDER = 3
 SEGMENT = 1 << 20
 PART = 1 << 22
 FLUSH = 1 << 22
+#: Texts a batch: more share more lookups of distinct words and pairs.
+BATCH = 1024
 END = np.uint64(0x5EED0FE11D0C5EED)
 
 
@@ -106,7 +108,9 @@ class Level:
                     continue
                 held = mapped(path)
                 pointer, after = EliasFano.of(held, "pointer"), EliasFano.of(held, "after")
-                c, inverse = np.unique(context[span] - first, return_inverse=True)
+                own = context[span] - first
+                new = np.concatenate([[True], own[1:] != own[:-1]])
+                c, inverse = own[new], np.cumsum(new) - 1
                 lo, hi = pointer.access(c).astype(np.int64), pointer.access(c + 1).astype(np.int64)
                 base = np.where(lo > 0, after.access(np.maximum(lo - 1, 0)), np.uint64(0))
                 i = after.find(base[inverse] + word[span].astype(np.uint64) + np.uint64(1))
@@ -199,28 +203,21 @@ class Model:
             return {"n_tokens": n, "n_known": np.zeros(len(n), np.int64), "base_score": np.zeros(len(n)), "score": np.zeros(len(n))}
         to, at, prev, ids, count, p1 = self.walk(texts)
         base = np.log10((count + 1) / (self.tokens + self.types + 1))
-        p = p1[at]
         known = np.flatnonzero(ids >= 0)
         back = np.ones(len(ids))
         back[known] = DISCOUNT * self.levels[0].successors(ids[known]) / np.maximum(count[known], 1)
         entry, seen = self.entries(0, ids[prev], ids[at])
-        p = seen + back[prev] * p
+        p = seen + back[prev] * p1[at]
         for n in range(1, len(self.levels)):
             context = shifted(entry, to)
             some, inverse = np.unique(context[context >= 0], return_inverse=True)
             rest = DISCOUNT * self.levels[n].successors(some) / np.maximum(self.levels[n - 1].counts(some), 1)
             entry, seen = self.entries(n, context, ids[at])
-            p = self._mixed(p, seen, context, rest, inverse)
+            has = context >= 0
+            p[has] = seen[has] + rest[inverse] * p[has]
         total = lambda x: np.add.reduceat(x, to[:-1]) if len(to) > 1 else np.zeros(0)
         return {"n_tokens": np.diff(to), "n_known": total((ids >= 0)[at].astype(np.int64)), "base_score": total(base[at]), "score": total(np.log10(np.minimum(p, 1.0)))}
 
-    @staticmethod
-    def _mixed(p: np.ndarray, seen: np.ndarray, context: np.ndarray, rest: np.ndarray, inverse: np.ndarray) -> np.ndarray:
-        out = p.copy()
-        has = context >= 0
-        out[has] = seen[has] + rest[inverse] * p[has]
-        return out
-
 
 def shifted(entry: np.ndarray, to: np.ndarray) -> np.ndarray:
     """Each token's entry as the context of the next token of its text; -1 for first tokens."""
@@ -320,7 +317,7 @@ def _cuts(segments: list[tuple], mass, total: int, types: int) -> np.ndarray:
 
 def _grow(documents: DataFrame, model: Model, level: int, order: int, segments: list[tuple], mass, root: str) -> None:
     """Adds a level to the model: counts of (entry of the level before, word id), merged part by part."""
-    if segments[-1][0] >= 1 << 31 and segments[-1][0] + PART >= 1 << 32:
+    if segments[-1][0] + max(SEGMENT, PART) * 2 >= 1 << 32:
         raise ValueError("entries have 32 bits")
     cuts = _cuts(segments, mass, model.tokens, model.types)
 
@@ -388,7 +385,7 @@ def _grow(documents: DataFrame, model: Model, level: int, order: int, segments:
 
 def scores(documents: DataFrame, order: int = ORDER) -> DataFrame:
     """Scores of documents by a model of those that aren't held out."""
-    common.arrow_rows(documents.sparkSession)
+    common.arrow_rows(documents.sparkSession, BATCH)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     model = train(rows.where("not held_out").select("text"), order)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # no counts: paths and bounds of the segments

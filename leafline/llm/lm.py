@@ -46,7 +46,7 @@ SEGMENT = 1 << 20
 PART = 1 << 22
 FLUSH = 1 << 22
 #: Texts a batch: more share more lookups of distinct words and pairs.
-BATCH = 1024
+BATCH = 700
 END = np.uint64(0x5EED0FE11D0C5EED)
 
 
@@ -67,15 +67,12 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(codebook of at most 256 levels, codes): levels are means between quantiles, and each distinct value where they fit."""
-    distinct = np.unique(values)
-    if len(distinct) <= 256:
-        return distinct.astype(np.float32), np.searchsorted(distinct, values).astype(np.uint8)
-    edges = np.unique(np.quantile(values, np.linspace(0, 1, 257)[1:-1]))
-    code = np.searchsorted(edges, values, side="right")
-    n = np.bincount(code, minlength=len(edges) + 1)
-    book = np.divide(np.bincount(code, weights=values, minlength=len(n)), n, out=np.zeros(len(n)), where=n > 0)
-    return book.astype(np.float32), code.astype(np.uint8)
+    """(codebook of 256 levels, codes): equal steps from the least to the greatest value; a level is the mean of its values."""
+    low, high = values.min(), values.max()
+    code = ((values - low) * (255 / (high - low) if high > low else 0) + 0.5).astype(np.uint8)
+    n = np.bincount(code, minlength=256)
+    book = np.divide(np.bincount(code, weights=values, minlength=256), n, out=np.zeros(256), where=n > 0)
+    return book.astype(np.float32), code
 
 
 LOW = np.uint64(0xFFFFFFFF)

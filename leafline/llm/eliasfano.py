@@ -97,8 +97,13 @@ class EliasFano:
         if not len(ok):
             return out
         h, low = high[ok].astype(np.int64), x[ok] & np.uint64((1 << self.width) - 1)
-        lo = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) + 1, 0) - h
-        hi = end = np.minimum(self._select(h, False) - h, self.n)
+        bit = np.where(h > 0, self._select(np.maximum(h - 1, 0), False) + 1, 0)
+        lo = bit - h
+        rest = ~(self.high[bit >> 6] >> (bit & 63).astype(np.uint64))  # a clear bit ends the bucket, mostly in the same word
+        hi = end = lo + np.bitwise_count((rest & (~rest + _ONE)) - _ONE)
+        far = np.flatnonzero((bit & 63) + hi - lo >= 64)
+        if len(far):
+            hi[far] = self._select(h[far], False) - h[far]
         live = np.flatnonzero(lo < hi)
         while len(live):  # bisect the low parts of the bucket: a frequent context's successors crowd into few buckets
             mid = (lo[live] + hi[live]) >> 1

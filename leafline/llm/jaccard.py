@@ -67,7 +67,7 @@ def signatures(s: np.ndarray, to: np.ndarray, bands: int, rows: int) -> np.ndarr
 
 
 def sketches(texts: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
-    """(k1, size, bands) of each distinct text of texts(k1, text)."""
+    """(k1, size, bands) of each distinct text of texts(k1, text); size: its distinct shingles, as similarity counts them."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -76,9 +76,10 @@ def sketches(texts: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
             new = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]  # copies within a partition are sketched once
             batch = batch.take(pa.array(new, pa.int64()))
             s, to = words.shingles(*words.word_hashes(batch.column(1)), n)
+            size = [len(np.unique(s[a:b])) for a, b in zip(to[:-1], to[1:], strict=True)]
             flat = pa.array(signatures(s, to, bands, rows).view(np.int64).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * bands), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(to)), lists], ["k1", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), lists], ["k1", "size", "bands"])
 
     return texts.mapInArrow(sketch, "k1 long, size long, bands array<long>")
 

@@ -66,6 +66,16 @@ def test_large_group_in_cells(spark):
     assert sorted(((x["doc_id"], x["class_id"], x["n_links"]) for x in got.collect()), key=str) == brute(docs)
 
 
+def test_repeated_bodies_meet_in_a_large_group(spark):
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(base[:k] + [f"x{i}"] + base[k + 1 :])) for i, k in enumerate(r.choices(range(200), k=40))]
+    docs += [(100 + i, " ".join([text] * (2 + i % 2))) for i, text in docs[:20]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = jaccard.near_duplicates(df, cell=8)
+    assert sorted(((x["doc_id"], x["class_id"], x["n_links"]) for x in got.collect()), key=str) == brute(docs)
+
+
 def test_one_of_each_group_stays(spark):
     docs = [(3, "a b c d e f g h i j"), (2, "a b c d e f g h i j"), (2, "a b c d e f g h i j"), (9, "other words stand here today"), (8, "")]
     df = spark.createDataFrame([(a, b, "k") for a, b in docs], "doc_id long, text string, k1 string")

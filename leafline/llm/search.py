@@ -1,16 +1,17 @@
 """Exact top-k inner-product search by a vector-approximation file.
 
-Vectors become integers, floor(scale * x). Equal vectors form a class that keeps its k+1 least ids, enough for any answer
-since ties go to the least id. Candidate classes lie in blocks: an approximation (each component's cell of CELL_WIDTH
+Vectors become integers, floor(scale * x). Equal vectors form a class that keeps its k+1 least distinct ids, each as often
+as it stands there but k times at most. That is enough for any answer: ties go to the least id, a query leaves out one id,
+and k rows come from k other ids at most. Candidate classes lie in blocks: an approximation (each component's cell of CELL_WIDTH
 steps) and the exact vectors beside it. Query classes lie in blocks as well, and every pair of blocks is met once.
 
 Pass 1 scans the approximations only: the cells bound each score from below and above, and the k+1st largest lower bound
-of a query over all blocks is its threshold. Pass 2 drops the candidates whose upper bound is under it, then reads exact
-vectors in upper-bound order, and stops when the next bound is under the kth exact score. Blocks bound a task's memory; a
-query's candidates meet as k+1 rows a block, and are first reduced within groups of blocks.
+of a query over all ids, each with its best, is its threshold. Pass 2 drops the candidates whose upper bound is under it, then reads exact
+vectors in upper-bound order, and stops when the next bound is under the best exact score of k+1 ids. Blocks bound a task's memory;
+a query's candidates meet as the rows of k+1 ids a block.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no part, nor do rows with a null
-id; a repeated id is a row of its own and a query leaves out all rows of its id; vectors of another length than the query's
+id; a repeated id is a row of its own and a query leaves out all rows of its id; a query id asks once for each of its vectors; vectors of another length than the query's
 are no candidates; queries without a candidate give no rows; ties rank by the lesser id; an empty table gives no rows;
 further columns are ignored.
 """
@@ -43,12 +44,39 @@ def valid(vector: str = "embedding") -> F.Column:
 
 
 def classes(rows: DataFrame, keep: int) -> DataFrame:
-    """(vec, ids): the distinct integer vectors and their `keep` least ids, gathered in two steps against hot vectors."""
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(256)))
+    """(vec, ids): the distinct integer vectors and their `keep` least distinct ids, each repeated as in rows but keep - 1 times
+    at most, gathered in two steps against hot vectors."""
+    counted = rows.groupBy("h", "vec", "vec_id").agg(F.least(F.count("*"), F.lit(keep - 1)).cast("int").alias("times"))
+    salted = counted.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(256)))
     for key in (["h", "vec", "salt"], ["h", "vec"]):
         w = W.partitionBy(*key).orderBy("vec_id")
         salted = salted.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= keep)
-    return salted.groupBy("h", "vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))  # keep ids at most
+    return salted.groupBy("h", "vec").agg(F.sort_array(F.flatten(F.collect_list(F.array_repeat("vec_id", F.col("times"))))).alias("ids"))  # keep ids at most
+
+
+def best_rows(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """The ids and scores of the k+1 ids with the best rows, k rows of each at most, and the last of these ids' best score
+    (or -inf with fewer ids). Rows left out are in no answer, even if later rows join: k rows of any k others go before."""
+    order = np.lexsort((ids, -scores))
+    ids, scores = ids[order], scores[order]
+    _, first, of, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+    last = np.sort(first)[: k + 1]
+    nth = np.empty(len(ids), np.int64)
+    nth[np.argsort(of, kind="stable")] = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
+    keep = (first[of] <= last[-1]) & (nth < k) if len(last) else np.zeros(0, bool)
+    return ids[keep], scores[keep], float(scores[last[k]]) if len(last) > k else -np.inf
+
+
+def best_of_ids(scores: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids, their best scores by query) from scores by query and class, with the classes' ids in a row."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    new = np.append(True, (of[1:] != of[:-1]) | (ids[1:] != ids[:-1]))  # ids are sorted within a class
+    of, ids = of[new], ids[new]
+    order = np.argsort(ids, kind="stable")
+    each, start = np.unique(ids[order], return_index=True)
+    if len(each) == len(ids):
+        return ids, scores if len(ids) == len(sizes) else scores[:, of]
+    return each, np.maximum.reduceat(scores[:, of[order]], start, axis=1)
 
 
 def packed(rows: DataFrame, block: int, extra: bool) -> DataFrame:
@@ -106,10 +134,11 @@ def top_k(embeddings: DataFrame, queries: F.Column, k: int = K, scale: int = SCA
                 q = np.frombuffer(r["q"], np.int32).reshape(-1, r["d"])
                 sizes_ = np.frombuffer(r["sizes"], np.int32)
                 low, _ = bounds(q, cells_of(r["cells"], sizes_, r["d"]))
-                low = np.repeat(low, np.minimum(sizes_, k + 1), axis=1)
+                ids, low = best_of_ids(low, np.frombuffer(r["ids"], np.int64), sizes_)
                 keep = min(k + 1, low.shape[1])
-                best = -np.partition(-low, keep - 1, axis=1)[:, :keep]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.frombuffer(r["hs"], np.int64), keep)), pa.array(best.ravel())], ["h", "low"])
+                best = np.argpartition(-low, keep - 1, axis=1)[:, :keep]
+                cols = np.repeat(np.frombuffer(r["hs"], np.int64), keep), ids[best].ravel(), np.take_along_axis(low, best, axis=1).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["h", "vec_id", "low"])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -123,25 +152,21 @@ def top_k(embeddings: DataFrame, queries: F.Column, k: int = K, scale: int = SCA
                 for n in range(len(q)):
                     order = np.flatnonzero(up[n] >= least[n])
                     order = order[np.argsort(-up[n][order], kind="stable")]
-                    scores, at = np.zeros(0, np.int64), 0
-                    while at < len(order):  # read on until the k+1st exact score is certain
-                        if len(scores) and sizes_[order[:at]].sum() > k and np.sort(np.repeat(scores, sizes_[order[:at]]))[-k - 1] > up[n][order[at]]:
-                            break
+                    id_, score, sure, at = ids[:0], np.zeros(0, np.int64), -np.inf, 0
+                    while at < len(order) and sure <= up[n][order[at]]:  # read on until k+1 ids' best exact scores are certain
                         step = order[at : at + 64]
-                        scores = np.append(scores, vec[step] @ q[n].astype(np.int64))
+                        own = np.concatenate([ids[to[c] : to[c + 1]] for c in step])
+                        scores = np.repeat(vec[step] @ q[n].astype(np.int64), sizes_[step])
+                        id_, score, sure = best_rows(np.append(id_, own), np.append(score, scores), k)
                         at += len(step)
-                    read = order[:at]
-                    i = np.repeat(np.arange(len(read)), sizes_[read])
-                    id_ = np.concatenate([ids[to[c] : to[c + 1]] for c in read]) if len(read) else ids[:0]
-                    best = np.lexsort((id_, -scores[i]))[: k + 1]
-                    out_h.append(np.full(len(best), hs[n]))
-                    out_id.append(id_[best])
-                    out_s.append(scores[i][best])
+                    out_h.append(np.full(len(id_), hs[n]))
+                    out_id.append(id_)
+                    out_s.append(score)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_h, out_id, out_s)], ["qh", "vec_id", "score"])
 
     q_side = ask.select(F.col("block").alias("qb"), F.col("ids").alias("hs"), F.col("exact").alias("q"))
-    scan = pairs.join(q_side, "qb").join(cand.select(F.col("block").alias("cb"), "sizes", "cells"), "cb").select("d", "hs", "q", "sizes", "cells")
-    low = scan.mapInArrow(threshold, "h long, low double")
+    scan = pairs.join(q_side, "qb").join(cand.select(F.col("block").alias("cb"), "ids", "sizes", "cells"), "cb").select("d", "hs", "q", "ids", "sizes", "cells")
+    low = scan.mapInArrow(threshold, "h long, vec_id long, low double").groupBy("h", "vec_id").agg(F.max("low").alias("low"))
     w = W.partitionBy("h").orderBy(F.desc("low"))
     least = low.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k + 1).groupBy("h").agg(F.min("low").alias("low"), F.count("*").alias("n"))
     least = least.select("h", F.when(F.col("n") > k, F.col("low")).otherwise(F.lit(float("-inf"))).alias("low"))
@@ -158,10 +183,12 @@ def top_k(embeddings: DataFrame, queries: F.Column, k: int = K, scale: int = SCA
     aligned = least.join(member, "h").join(of, "qb").groupBy("qb").applyInArrow(line_up, "qb long, least binary")
     full = pairs.join(q_side, "qb").join(aligned, "qb").join(cand.withColumnRenamed("block", "cb").drop("d"), "cb")
     best = full.select("d", "hs", "q", "least", "ids", "sizes", "cells", "exact").mapInArrow(exact, "qh long, vec_id long, score long")
-    w = W.partitionBy("qh").orderBy(F.desc("score"), "vec_id")
-    best = best.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k + 1).drop("nth")
+    w = W.partitionBy("qh", "vec_id")
+    best = best.withColumns({"nth": F.row_number().over(w.orderBy(F.desc("score"))), "top": F.max("score").over(w)}).where(F.col("nth") <= k)
+    w = W.partitionBy("qh").orderBy(F.desc("top"), "vec_id")
+    best = best.withColumn("nth", F.dense_rank().over(w)).where(F.col("nth") <= k + 1).drop("nth", "top")
     own = asked.select(F.col("vec_id").alias("query_id"), F.col("h").alias("qh")).distinct()
-    w = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = W.partitionBy("query_id", "qh").orderBy(F.desc("score"), "vec_id")
     out = own.join(best, "qh").where("vec_id <> query_id").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return out.select("query_id", "rank", "vec_id", "score")
 

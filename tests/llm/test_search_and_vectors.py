@@ -38,6 +38,22 @@ def test_top_k_is_exact(spark, block, k):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize(("block", "k"), [(4096, 5), (16, 5), (7, 2)])
+def test_repeated_ids_leave_room_for_others(spark, block, k):
+    r = np.random.default_rng(8)
+    x = r.normal(size=(200, 8)).round(2)
+    data = [(i, v.tolist()) for i, v in enumerate(x)]
+    data += [(0, x[0].tolist())] * 7 + [(3, x[0].tolist())] * 9 + [(50, (x[50] * (1 + i / 50)).tolist()) for i in range(12)]
+    data += [(i, (x[150] * 1.5).tolist()) for i in (4, 4, 4, 5, 150, 9, 9, 6, 7, 8)] + [(6, (x[100] * (1 + i)).tolist()) for i in range(9)]
+    got = search.top_k(spark.createDataFrame(data, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0, k=k, block=block, query_block=3)
+    use = [(i, np.floor(256 * np.array(v, dtype=np.float32).astype(np.float64)).astype(np.int64)) for i, v in data]
+    want = []
+    for q, v in {(q, tuple(v)) for q, v in use if q % 50 == 0}:
+        best = sorted((-int(np.array(v) @ y), i) for i, y in use if i != q)[:k]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want)
+
+
 def test_few_or_no_candidates(spark):
     df = spark.createDataFrame([(0, [0.5, 0.5], 1, ""), (50, [0.1, 0.2], 1, "")], SCHEMA)
     assert sorted(tuple(r)[:3] for r in search.top_k(df, F.col("vec_id") % 50 == 0).collect()) == [(0, 1, 50), (50, 1, 0)]

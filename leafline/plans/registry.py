@@ -283,7 +283,7 @@ def _(s, d):
 
 @query("p8_assembled", f"WITH {A.PAGES}, c AS (SELECT doc, string_agg('<physical_index_' || (page_idx + 1) || '>' || chr(10) || text || chr(10) || '<physical_index_' || (page_idx + 1) || '>' || chr(10) || chr(10), '' ORDER BY page_idx) AS core FROM pages_ WHERE page_idx < 3 GROUP BY doc) SELECT doc, regexp_replace(regexp_replace(core, '\\.{{5,}}', ': ', 'g'), '(?:\\. ){{5,}}\\.?', ': ', 'g') AS core FROM c")
 def _(s, d):
-    p = A.pages(s, d).where("page_idx < 3").groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_idx", text.wrap_page(F.col("text"), F.col("page_idx") + 1).alias("t")))).alias("p"))
+    p = A.pages(s, d).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_idx", text.wrap_page(F.col("text"), F.col("page_idx") + 1).alias("t")))).alias("p"))
     return p.select("doc", text.transform_dots(F.array_join(F.transform("p", lambda x: x["t"]), "")).alias("core"))
 
 

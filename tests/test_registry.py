@@ -34,3 +34,11 @@ def test_query_matches_its_sql(spark, name):
         return sorted(tuple(cell(r[c]) for c in cols) for r in rows)
 
     assert canon(r.asDict() for r in got.collect()) == canon(dict(zip(names, r, strict=True)) for r in want)
+
+
+def test_assembled_text_holds_all_pages(spark, tmp_path):
+    docs = [(1, "\n".join(f"page {i} ....... {i}" for i in range(12))), (2, "one"), (3, "a\n\nb\nc")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc"]: r["core"] for r in registry.QUERIES["p8_assembled"](spark, str(tmp_path)).collect()}
+    tag = lambda i, x: f"<physical_index_{i}>\n{x}\n<physical_index_{i}>\n\n"
+    assert got == {k: "".join(tag(i, x) for i, x in enumerate(t.split("\n"), 1)).replace(".......", ": ") for k, t in docs}

@@ -90,7 +90,8 @@ def parts(node: np.ndarray, weight: np.ndarray, i: np.ndarray, j: np.ndarray) ->
 
 
 def resolve(found: DataFrame, classes: DataFrame) -> DataFrame:
-    """(node, links, first) of the nodes in found (PARTS): direct links to others, and the least `low` of the component.
+    """(node, root, links, first) of the nodes in found (PARTS): the component's least node, direct links to others, and the
+    least `low` of the component.
 
     classes(node, low, mult) has one row for each set of equal rows.
     """
@@ -99,4 +100,4 @@ def resolve(found: DataFrame, classes: DataFrame) -> DataFrame:
     root = components(found.where("other is not null").select(F.col("node").alias("src"), F.col("other").alias("dst")))
     member = common.stored(root.join(classes, "node").select("node", "root", "low"), "members")
     first = member.groupBy("root").agg(F.min("low").alias("first"))
-    return member.join(first, "root").join(links, "node", "left").select("node", F.coalesce("links", F.lit(0)).alias("links"), "first")
+    return member.join(first, "root").join(links, "node", "left").select("node", "root", F.coalesce("links", F.lit(0)).alias("links"), "first")

@@ -171,7 +171,7 @@ def dealt(candidates: DataFrame, similarity: float, cell: int) -> DataFrame:
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int = NGRAM, rows: int = ROWS, recall: float = RECALL, cell: int = CELL, with_key: bool = False) -> DataFrame:
     """A row for each document: doc_id, class_id (least doc_id of its near-duplicate class), copy_id (least doc_id with
     the same text), copies (rows with that text) and n_links (other rows within the similarity, copies included); with_key adds
-    k1, the text's hash."""
+    k1, the text's hash, and root, the least k1 of the class."""
     bands = bands_for(similarity, rows, recall)
     common.arrow_rows(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -190,14 +190,15 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int
     sets = shingle_sets(hit.select("k1", "own", "mult", "cells", "text"), n).where("size > 0")
     found = compare(sets.select(F.explode("cells").alias("c"), "own", "k1", "mult", "grams").select("c.cell", "c.within", "own", "k1", "mult", "grams"), similarity)
     near = graph.resolve(found, classes.withColumnRenamed("k1", "node")).withColumnRenamed("node", "k1")
-    info = classes.join(near, "k1", "left").select("k1", "low", "mult", F.coalesce("first", "low").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-    return keys.join(info, "k1").select(*["k1"] * with_key, "doc_id", "class_id", F.col("low").alias("copy_id"), F.col("mult").alias("copies"), (F.col("links") + F.col("mult") - 1).alias("n_links"))
+    info = classes.join(near, "k1", "left").select("k1", F.coalesce("root", "k1").alias("root"), "low", "mult", F.coalesce("first", "low").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    return keys.join(info, "k1").select(*["k1", "root"] * with_key, "doc_id", "class_id", F.col("low").alias("copy_id"), F.col("mult").alias("copies"), (F.col("links") + F.col("mult") - 1).alias("n_links"))
 
 
 def deduplicated(documents: DataFrame, **how) -> DataFrame:
-    """The documents that keep their near-duplicate class's id, with their own columns; repeated rows stay once."""
+    """One document of each near-duplicate class, with its own columns: the least (doc_id, text hash), null ids last."""
     near = near_duplicates(documents, with_key=True, **how).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = common.stored(near.groupBy(F.col("doc_id").alias("__id"), F.col("k1").alias("__k1")).agg(F.count("*").alias("__n")), "kept")
+    texts = near.groupBy("root", F.col("doc_id").alias("__id"), "k1").agg(F.count("*").alias("n"))  # several where a class's least id repeats or is null
+    kept = common.stored(texts.groupBy("root", "__id").agg(F.min("k1").alias("__k1"), F.min_by("n", "k1").alias("__n")).drop("root"), "kept")
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     keyed = documents.withColumn("__k", key)
     match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__k1"))

@@ -84,6 +84,15 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 8, 9]
 
 
+def test_one_stays_where_ids_repeat_or_are_null(spark):
+    near = [" ".join(f"{g}{i}" for i in range(60)) + f" end{k}" for g in "ab" for k in range(3)]
+    docs = [(None, x) for x in near[:3]] + [(None, near[0])] + [(4, near[3]), (4, near[4]), (4, near[4]), (6, near[5]), (None, near[5]), (4, "other text"), (None, "alone")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = [tuple(r) for r in jaccard.deduplicated(df).collect()]
+    assert len(kept) == 4 and sum(r in [(None, x) for x in near[:3]] for r in kept) == 1
+    assert sum(r in [(4, near[3]), (4, near[4])] for r in kept) == 1 and {(4, "other text"), (None, "alone")} < {*kept}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.near_duplicates(df).count() == 0 and jaccard.deduplicated(df).count() == 0

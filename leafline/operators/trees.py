@@ -6,6 +6,8 @@ independent, so every window and join is keyed by doc.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from leafline.functions import ids, text
 
 CITATION_RUN = 5
+#: Each so many levels of a walk, the level is kept, so that deeper ones don't compute all above again.
+KEPT_LEVELS = 8
 
 
 def _by_doc(order: str = "ord"):
@@ -44,17 +48,21 @@ def parents(toc: DataFrame) -> DataFrame:
     return j.groupBy(*toc.columns).agg(F.max("pord").alias("parent_ord"))
 
 
-def preorder(nodes: DataFrame, max_depth: int = 32) -> DataFrame:
+def preorder(nodes: DataFrame) -> DataFrame:
     """nodes(doc, ord, parent_ord, title) with depth, path (ordinals from the root), node_id and breadcrumb (titles from the root).
 
-    Level by level: each round joins the children of the level before, on (doc, parent).
+    Level by level until one is empty: each round joins the children of the level before, on (doc, parent). A node that is
+    its own ancestor is an error; nodes that no root reaches are in no tree.
     """
     level = nodes.where("parent_ord is null").withColumns({"depth": F.lit(1), "path": F.array("ord"), "breadcrumb": F.array("title")})
     out = level
-    for d in range(2, max_depth + 1):
+    for d in count(2):
         above = level.select(F.col("doc").alias("adoc"), F.col("ord").alias("aord"), F.col("path").alias("apath"), F.col("breadcrumb").alias("acrumb"))
         level = nodes.join(above, (F.col("doc") == F.col("adoc")) & (F.col("parent_ord") == F.col("aord")))
-        level = level.select(*nodes.columns, F.lit(d).alias("depth"), F.concat("apath", F.array("ord")).alias("path"), F.concat("acrumb", F.array("title")).alias("breadcrumb"))
+        cycle = F.raise_error(F.format_string("node %s of document %s is its own ancestor", "ord", "doc")).cast("boolean")
+        level = level.where(F.when(F.array_contains("apath", F.col("ord")), cycle).otherwise(F.lit(True))).select(*nodes.columns, F.lit(d).alias("depth"), F.concat("apath", F.array("ord")).alias("path"), F.concat("acrumb", F.array("title")).alias("breadcrumb"))
+        if d % KEPT_LEVELS == 0:
+            level = level.persist()
         if d > 2 and level.isEmpty():
             break
         out = out.unionByName(level)

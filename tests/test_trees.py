@@ -1,6 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
-from leafline.operators import toc, trees
+from leafline.operators import history, toc, trees
 from leafline.sources import documents, sinks
 
 TOC = "doc string, ord int, structure string, title string, physical_index int, appear_start string"
@@ -89,3 +90,19 @@ def test_tree_files_become_rows(spark, tmp_path):
     (tmp_path / "tree.json").write_text('{"paper_id":"p","total_pages":4,"root_nodes":[{"title":"A","node_id":"0000","start_index":1,"end_index":4,"nodes":[{"title":"B","node_id":"0001","start_index":2,"end_index":3}]}]}')
     got = documents.trees(spark, str(tmp_path / "tree.json"), 3)
     assert {(r["title"], tuple(r["path"]), tuple(r["parent_path"]), r["depth"]) for r in got.collect()} == {("A", (0,), (), 1), ("B", (0, 0), (0,), 2)}
+
+
+def test_deep_trees_are_walked_whole(spark):
+    n = spark.createDataFrame([("d", i, i - 1 if i else None, f"t{i}") for i in range(34)], "doc string, ord int, parent_ord int, title string").repartition(1)
+    assert sorted((r["ord"], r["depth"], r["node_id"]) for r in trees.preorder(n).collect()) == [(i, i + 1, f"{i:04d}") for i in range(34)]
+    w = n.select(F.col("ord").alias("workflow_id"), F.col("parent_ord").alias("parent_id"), F.col("title").alias("type"))
+    assert sorted(r["workflow_id"] for r in history.subtree(w, 15).collect()) == list(range(15, 34))
+    loop = w.where("workflow_id > 0").unionByName(spark.createDataFrame([(0, 3, "t")], "workflow_id int, parent_id int, type string"))
+    assert history.subtree(loop.where("workflow_id < 6"), 2).count() == 6
+    spark.catalog.clearCache()
+
+
+def test_a_node_above_itself_is_an_error(spark):
+    n = spark.createDataFrame([("d", 1, None, "a"), ("d", 1, 1, "b")], "doc string, ord int, parent_ord int, title string")
+    with pytest.raises(Exception, match="own ancestor"):
+        trees.preorder(n).collect()

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only when its counted rows stay under this bound (at some 100 bytes a row, 20 MB).
 BROADCAST_ROWS = 200_000
+#: A key of more rows than this is joined where its rows are, see joined().
+HOT = 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,6 +58,45 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if few(df, rows) else df
 
 
+def joined(big: DataFrame, counted: DataFrame, key: str, rows: int) -> DataFrame:
+    """big joined with counted(key, n, ...) on key, n being big's rows of that key and `rows` at least big's rows.
+
+    Hot keys are broadcast and their rows stay where they are; the others shuffle, HOT rows a key at most. The limit rises with
+    the rows, so that there are at most BROADCAST_ROWS hot keys.
+    """
+    limit = max(HOT, -(-rows // BROADCAST_ROWS))
+    hot, cold = counted.where(F.col("n") > limit).drop("n"), counted.where(F.col("n") <= limit).drop("n")
+    rest = big.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return big.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+
+
+def boxed(df: DataFrame, name: str = "row") -> Column:
+    """All columns of df in one struct, so that no name of theirs can clash with an operator's."""
+    return F.struct(*(F.col(quoted(c)) for c in df.columns)).alias(name)
+
+
+def unboxed(df: DataFrame, name: str = "row", **others: Column) -> list[Column]:
+    """The columns of a box, those named in others by them; others that the box lacks follow. A box's own column of such a
+    name gives way."""
+    inside = df.schema[name].dataType.names
+    return [others.get(c, F.col(name)[c]).alias(c) for c in inside] + [v.alias(k) for k, v in others.items() if k not in inside]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def told_apart(rows: DataFrame, distinct: DataFrame) -> DataFrame:
+    """rows(h1, h2, ...) with node, a 64-bit key of (h1, h2): h1 itself, but a mixture of both where h1 has several h2 in
+    distinct(h1, h2), a stored table. Values share a node only if both hashes agree."""
+    clash = distinct.groupBy("h1").agg(F.min("h2").alias("own"), F.count("*").alias("c")).where("c > 1").drop("c")
+    clash = stored(clash, "clashes")
+    if clash.isEmpty():
+        return rows.withColumn("node", F.col("h1"))
+    node = F.when(F.col("own").isNotNull() & (F.col("own") != F.col("h2")), F.xxhash64("h2", "h1")).otherwise(F.col("h1"))
+    return rows.join(maybe_broadcast(clash), "h1", "left").withColumn("node", node).drop("own")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -7,37 +7,67 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.llm import common
 
 #: What a compared cell gives: links counted at a node, or an edge of the cell's spanning forest.
 PARTS = "node long, other long, links long"
+LISTED = 64
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of edges(src, dst long): root is the smallest node reachable.
 
     Alternating large-star and small-star steps; each round's edges are a table in the shared folder, and the rounds end
-    when they repeat. Rounds grow with the logarithm of the component's size. A hub's rows are joined with one row, so a
-    component with a third of all nodes is split by the skew join.
+    when they repeat. Rounds grow with the logarithm of the component's size. Rows of hubs are joined where they are.
     """
     e = edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
     e, last = common.stored(e, "edges"), None
+    rows = e.count()
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        large = common.joined(both, low, "u", 2 * rows).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = common.joined(large, low, "u", 2 * rows).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         e = common.stored(small.where("u <> v").distinct(), "edges")
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == last:
             break
-        last = now
+        last, rows = now, now["n"]
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select("v", "v").distinct())
 
 
+def meetings(buckets: DataFrame, rows: int, size: int) -> DataFrame:
+    """(node, part, cells) of the nodes that share a bucket with another: cells, an array of at most LISTED structs (cell,
+    within), in which to compare them so that all nodes of a bucket meet. buckets(bucket, node) has at most `rows` rows.
+
+    A node's home is the largest of its buckets, and a home is cut by hash into parts of about `size` nodes. Parts that
+    share a bucket meet in a cell, each pair of parts once, and a part of several nodes meets itself (within). So nearly
+    equal groups, whose buckets overlap, are compared once and not once a bucket, and nodes without a common bucket seldom meet.
+    Buckets that hold the same parts count once. Nodes of a part with more than LISTED cells have several rows.
+    """
+    counts = common.stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    met = common.joined(buckets, counts.withColumn("size", F.col("n")), "bucket", rows)
+    met = common.stored(met.select("node", "bucket", "size"), "met")
+    home = met.groupBy("node").agg(F.max(F.struct("size", "bucket")).alias("home"))
+    chunk = F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("home.size") / size))
+    parts = common.stored(home.select("node", F.xxhash64("home.bucket", chunk).alias("part")), "parts")
+    touched = common.stored(met.join(parts, "node").select("bucket", "part").distinct(), "touched")
+    sets = touched.groupBy("bucket").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("part")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), F.col("part"))).alias("y"))
+    kept = sets.where("c > 1").groupBy("c", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.col("c").alias("n"))
+    kept = common.stored(kept, "kept")
+    several = common.joined(touched, kept.withColumn("c", F.col("n")), "bucket", max(1, touched.count())).select("bucket", "part")
+    pair = several.select("bucket", F.col("part").alias("p")).join(several.select("bucket", F.col("part").alias("q")), "bucket").where("p < q").select("p", "q").distinct()
+    both = pair.select(F.explode(F.array("p", "q")).alias("part"), F.xxhash64("p", "q").alias("cell"), F.lit(False).alias("within"))
+    own = parts.groupBy("part").agg(F.count("*").alias("c")).where("c > 1").select("part", F.xxhash64("part").alias("cell"), F.lit(True).alias("within"))
+    each = both.unionByName(own).withColumn("nth", F.floor((F.row_number().over(W.partitionBy("part").orderBy("cell")) - 1) / LISTED))
+    lists = each.groupBy("part", "nth").agg(F.collect_list(F.struct("cell", "within")).alias("cells"))
+    return parts.join(lists, "part").select("node", "part", "cells")
+
+
 def whole_cells(batches: Iterator[pa.RecordBatch], key: str = "cell") -> Iterator[pa.Table]:
     """Tables of whole cells from batches sorted by key; a cell's rows never straddle two tables."""
     held: list[pa.RecordBatch] = []
@@ -99,5 +129,5 @@ def resolve(found: DataFrame, classes: DataFrame) -> DataFrame:
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     root = components(found.where("other is not null").select(F.col("node").alias("src"), F.col("other").alias("dst")))
     member = common.stored(root.join(classes, "node").select("node", "root", "low"), "members")
-    first = member.groupBy("root").agg(F.min("low").alias("first"))
-    return member.join(first, "root").join(links, "node", "left").select("node", "root", F.coalesce("links", F.lit(0)).alias("links"), "first")
+    first = member.groupBy("root").agg(F.min("low").alias("first"), F.count("*").alias("n"))
+    return common.joined(member, first, "root", member.count()).join(links, "node", "left").select("node", "root", F.coalesce("links", F.lit(0)).alias("links"), "first")

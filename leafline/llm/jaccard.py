@@ -3,11 +3,12 @@
 1. Texts that are equal character by character form a class (two 64-bit hashes); each class is compared once, weighted.
 2. Every class gets bands * rows minima over its set of five-word shingles. With the similarity t a pair shares a band with
    probability 1 - (1 - t**rows)**bands; `bands_for` gives the bands for a target recall at t.
-3. The shuffle on band hashes links each class to the least class of its band bucket; connected components of these links
-   are the candidate groups. All pairs that share a band are within one group.
-4. Groups are compared on the full shingle sets. A group beyond CELL classes is split by size class (similar sets have
-   similar sizes) and hash into cells, and pairs of cells are compared as sparse products, so no task sees a whole large
-   group and no pair becomes a row: a cell gives link counts and a spanning forest of the links found.
+3. The shuffle on band hashes gives the buckets of texts that share a band. Texts are dealt into parts of about CELL by the
+   largest of their buckets; two parts are compared if a bucket holds texts of both (graph.meetings). So all pairs that
+   share a band meet, and chains of bands don't grow into one group to compare.
+4. Pairs of parts are compared on the full shingle sets as sparse products. No task sees a whole large group and no pair
+   becomes a row: a cell gives link counts and a spanning forest of the links found. The few pairs that meet in a cell
+   without a common band are verified alike.
 5. Components over the forests give the near-duplicate classes.
 
 A word is a run of bytes other than ASCII white space, with A-Z lower-cased; a text of one to four words is one shingle.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafline.llm import common, graph, words
@@ -67,7 +68,7 @@ def signatures(s: np.ndarray, to: np.ndarray, bands: int, rows: int) -> np.ndarr
 
 
 def sketches(texts: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
-    """(k1, size, bands) of each distinct text of texts(k1, text); size: its distinct shingles, as similarity counts them."""
+    """(node, size, bands) of each distinct text of texts(node, text); size: its shingles."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -76,12 +77,11 @@ def sketches(texts: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
             new = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]  # copies within a partition are sketched once
             batch = batch.take(pa.array(new, pa.int64()))
             s, to = words.shingles(*words.word_hashes(batch.column(1)), n)
-            size = [len(np.unique(s[a:b])) for a, b in zip(to[:-1], to[1:], strict=True)]
             flat = pa.array(signatures(s, to, bands, rows).view(np.int64).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * bands), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), lists], ["k1", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(to), pa.int64()), lists], ["node", "size", "bands"])
 
-    return texts.mapInArrow(sketch, "k1 long, size long, bands array<long>")
+    return texts.mapInArrow(sketch, "node long, size long, bands array<long>")
 
 
 def shingle_sets(rows: DataFrame, n: int) -> DataFrame:
@@ -132,79 +132,67 @@ def linked(sets: list[np.ndarray], side: np.ndarray | None, similarity: float) -
 
 
 def compare(rows: DataFrame, similarity: float) -> DataFrame:
-    """graph.PARTS of rows(cell, within, own, k1, mult, grams) dealt by cell; within: the cell is one part, not two."""
+    """graph.PARTS of rows(cell, within, part, node, mult, grams) dealt by cell; within: the cell is one part, not two."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in graph.whole_cells(batches):
             to = graph.cells(table)
             for a, b in zip(to[:-1], to[1:], strict=True):
                 cell = table.slice(int(a), int(b - a))
-                node, first = np.unique(cell.column("k1").to_numpy(), return_index=True)
+                node, first = np.unique(cell.column("node").to_numpy(), return_index=True)
                 if len(node) < 2:
                     continue
                 grams = cell.column("grams").to_pylist()
-                side = None if cell.column("within")[0].as_py() else cell.column("own").to_numpy()[first]
+                side = None if cell.column("within")[0].as_py() else cell.column("part").to_numpy()[first]
                 i, j = linked([np.frombuffer(grams[f], dtype=np.uint64) for f in first], side, similarity)
                 yield graph.parts(node, cell.column("mult").to_numpy()[first], i, j)
 
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, graph.PARTS)
 
 
-def dealt(candidates: DataFrame, similarity: float, cell: int) -> DataFrame:
-    """candidates(k1, root, size, ...) with the cells each takes part in: an array of structs (cell, within)."""
-    total = candidates.groupBy("root").agg(F.count("*").alias("total"))
-    step = math.log(1 / similarity)
-    banded = candidates.join(total, "root").withColumn("s", F.when(F.col("total") <= cell, 0).otherwise(F.floor(F.log("size") / step)).cast("long"))
-    split = banded.groupBy("root", "s").agg(F.ceil(F.count("*") / cell).alias("chunks"))
-    by_class = split.groupBy("root").agg(F.map_from_entries(F.collect_list(F.struct("s", "chunks"))).alias("m"))  # size classes: some dozens a group
-    at = banded.join(by_class, "root").withColumn("own", F.col("s") * 1_000_000 + F.pmod(F.xxhash64("k1", F.lit(3)), F.col("m")[F.col("s")]))
-
-    def partners(shift: int):
-        s = F.col("s") + shift
-        return F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce(F.try_element_at("m", s), F.lit(0)) - 1), lambda c: s * 1_000_000 + c)
-
-    every = F.concat(*(F.when(F.coalesce(F.try_element_at("m", F.col("s") + d), F.lit(0)) > 0, partners(d)).otherwise(F.array().cast("array<long>")) for d in (-1, 0, 1)))
-    pairs = F.transform(every, lambda o: F.struct(F.xxhash64(F.col("root"), F.least(F.col("own"), o), F.greatest(F.col("own"), o)).alias("cell"), (F.col("own") == o).alias("within")))
-    return at.withColumn("cells", F.array_distinct(pairs)).drop("total", "s", "m", "root")
+def hashes(text: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a text, which tell texts apart together."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
 
 def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int = NGRAM, rows: int = ROWS, recall: float = RECALL, cell: int = CELL, with_key: bool = False) -> DataFrame:
     """A row for each document: doc_id, class_id (least doc_id of its near-duplicate class), copy_id (least doc_id with
     the same text), copies (rows with that text) and n_links (other rows within the similarity, copies included); with_key adds
-    k1, the text's hash, and root, the least k1 of the class."""
+    h1 and h2, the text's hashes, and root, a key of the class."""
     bands = bands_for(similarity, rows, recall)
     common.arrow_rows(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    texts = texts.select("doc_id", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), F.col("text")).alias("k2"), "text")
-    keys = common.stored(texts.select("doc_id", "k1", "k2"), "keys")
-    classes = common.stored(keys.groupBy("k1").agg(F.min("doc_id").alias("low"), F.count("*").alias("mult")), "classes")
-    sketch = sketches(texts.select("k1", "text"), bands, rows, n).where("size > 0").groupBy("k1").agg(F.first("size").alias("size"), F.first("bands").alias("bands"))
+    h1, h2 = hashes(F.col("text"))
+    texts = texts.select("doc_id", h1.alias("h1"), h2.alias("h2"), "text")
+    keys = common.stored(texts.select("doc_id", "h1", "h2"), "keys")
+    found = common.stored(keys.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("mult")), "texts")
+    keys, texts = (common.told_apart(x, found) for x in (keys, texts))
+    classes = common.told_apart(found, found).select("node", "low", "mult")
+    sketch = sketches(texts.select("node", "text"), bands, rows, n).where("size > 0").groupBy("node").agg(F.first("bands").alias("bands"))
     sketch = common.stored(sketch, "sketches")
-    band = sketch.select("k1", F.explode("bands").alias("band"))
-    hub = band.groupBy("band").agg(F.min("k1").alias("hub"), F.count("*").alias("n")).where("n > 1").select("band", "hub")
-    group = graph.components(band.join(hub, "band").select(F.col("k1").alias("src"), F.col("hub").alias("dst")))
-    candidates = group.select(F.col("node").alias("k1"), "root").join(sketch.select("k1", "size"), "k1")
-    candidates = dealt(candidates, similarity, cell).drop("size").join(classes, "k1").withColumnsRenamed({"low": "rep", "k1": "c1"})
-    candidates = common.stored(candidates, "candidates")
-    hit = texts.join(common.maybe_broadcast(candidates), (F.col("k1") == F.col("c1")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    sets = shingle_sets(hit.select("k1", "own", "mult", "cells", "text"), n).where("size > 0")
-    found = compare(sets.select(F.explode("cells").alias("c"), "own", "k1", "mult", "grams").select("c.cell", "c.within", "own", "k1", "mult", "grams"), similarity)
-    near = graph.resolve(found, classes.withColumnRenamed("k1", "node")).withColumnRenamed("node", "k1")
-    info = classes.join(near, "k1", "left").select("k1", F.coalesce("root", "k1").alias("root"), "low", "mult", F.coalesce("first", "low").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-    return keys.join(info, "k1").select(*["k1", "root"] * with_key, "doc_id", "class_id", F.col("low").alias("copy_id"), F.col("mult").alias("copies"), (F.col("links") + F.col("mult") - 1).alias("n_links"))
+    met = graph.meetings(sketch.select(F.explode("bands").alias("bucket"), "node"), sketch.count() * bands, cell)
+    candidates = common.stored(met.join(classes, "node").withColumnsRenamed({"low": "rep", "node": "c1"}), "candidates")
+    hit = texts.join(common.maybe_broadcast(candidates), (F.col("node") == F.col("c1")) & F.col("doc_id").eqNullSafe(F.col("rep")))
+    sets = shingle_sets(hit.select("node", "part", "mult", "cells", "text"), n).where("size > 0")
+    links = compare(sets.select(F.explode("cells").alias("c"), "part", "node", "mult", "grams").select("c.cell", "c.within", "part", "node", "mult", "grams"), similarity)
+    near = graph.resolve(links, classes)
+    info = classes.join(near, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "low", "mult", F.col("mult").alias("n"), F.coalesce("first", "low").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    out = common.joined(keys, common.stored(info, "classes"), "node", keys.count())
+    return out.select(*["h1", "h2", "root"] * with_key, "doc_id", "class_id", F.col("low").alias("copy_id"), F.col("mult").alias("copies"), (F.col("links") + F.col("mult") - 1).alias("n_links"))
 
 
 def deduplicated(documents: DataFrame, **how) -> DataFrame:
-    """One document of each near-duplicate class, with its own columns: the least (doc_id, text hash), null ids last."""
+    """One document of each near-duplicate class, with its own columns: the least (doc_id, text hashes), null ids last."""
     near = near_duplicates(documents, with_key=True, **how).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    texts = near.groupBy("root", F.col("doc_id").alias("__id"), "k1").agg(F.count("*").alias("n"))  # several where a class's least id repeats or is null
-    kept = common.stored(texts.groupBy("root", "__id").agg(F.min("k1").alias("__k1"), F.min_by("n", "k1").alias("__n")).drop("root"), "kept")
-    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    keyed = documents.withColumn("__k", key)
-    match = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__k1"))
-    several = common.maybe_broadcast(common.stored(kept.where("__n > 1"), "repeated"))  # rows that repeat an id and its text
-    once = keyed.join(common.maybe_broadcast(kept.where("__n = 1")), match).unionByName(keyed.join(several, match).dropDuplicates(["__id", "__k1"]))
-    return once.select(*(F.col(f"`{c}`") for c in documents.columns))
+    texts = near.groupBy("root", "doc_id", "h1", "h2").agg(F.count("*").alias("n"))  # several where a class's least id repeats or is null
+    least = texts.groupBy("root").agg(F.min(F.struct(F.col("doc_id").alias("id"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), "n")).alias("x"))
+    kept = common.stored(least.select("x.*"), "representatives")
+    h1, h2 = hashes(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    keyed = documents.select(common.boxed(documents), F.col("doc_id").cast("long").alias("id_"), h1.alias("h1"), h2.alias("h2"))
+    match = F.col("id_").eqNullSafe(F.col("id")) & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2"))
+    several = common.maybe_broadcast(common.stored(kept.where("n > 1"), "repeated"))  # rows that repeat an id and its text
+    once = keyed.join(common.maybe_broadcast(kept.where("n = 1")), match).unionByName(keyed.join(several, match).dropDuplicates(["id", "k1", "k2"]))
+    return once.select(*common.unboxed(once))
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from leafline.llm import jaccard, words
 
@@ -57,6 +58,32 @@ def test_matches_all_pairs(spark, cell):
     assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in got.collect()), key=str) == brute(docs)
 
 
+def test_colliding_hashes_keep_texts_apart(spark, monkeypatch):
+    whole = jaccard.hashes
+    monkeypatch.setattr(jaccard, "hashes", lambda t: (F.pmod(whole(t)[0], F.lit(5)), whole(t)[1]))
+    docs = corpus(30) + [(5002, ""), (5003, None), (900, "a b c d e f"), (901, "a b c d e f")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(df).collect()), key=str) == brute(docs)
+    assert {r["doc_id"] for r in jaccard.deduplicated(df).collect()} == {c for _, c, _ in brute(docs)}
+
+
+def test_shuffled_sides_and_hot_keys_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(jaccard.common, "few", lambda df, rows=0: False)
+    monkeypatch.setattr(jaccard.common, "HOT", 3)
+    monkeypatch.setattr(jaccard.graph, "LISTED", 2)
+    docs = corpus(40, seed=8) + [(2000 + i, "the same text in many rows " * 3) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(df, cell=4).collect()), key=str) == brute(docs)
+
+
+def test_clashing_columns_pass_through(spark):
+    names = ["__k", "h1", "h2", "id", "id_", "root", "row", "node", "k1", "n", "bands"]
+    docs = [(1, "a b c d e f g", *[f"v{k}" for k in range(len(names))]), (2, "a b c d e f g", *["w"] * len(names)), (3, "x y", *[None] * len(names))]
+    df = spark.createDataFrame(docs, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = jaccard.deduplicated(df)
+    assert kept.columns == df.columns and sorted(tuple(r) for r in kept.collect()) == [docs[0], docs[2]]
+
+
 def test_large_group_in_cells(spark):
     r = random.Random(9)
     base = [f"w{i}" for i in range(200)]

@@ -95,6 +95,24 @@ def test_repeated_rows_and_empty_table(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_text_labels_compare_as_they_are(spark):
+    v = [[1.0, 0.0], [1.0, 0.02], [1.0, 0.0], [1.0, 0.01], [0.0, 1.0]]
+    df = spark.createDataFrame([(i, x, l) for i, (x, l) in enumerate(zip(v, ["a", "a", "A", " a", "a"], strict=True))], "vec_id long, embedding array<double>, label string")
+    assert sorted(tuple(r) for r in vectors.near_duplicates(df).collect()) == [(0, 1, 0, True), (1, 1, 0, False), (2, 0, 2, True), (3, 0, 3, True), (4, 0, 4, True)]
+
+
+def test_colliding_hashes_keep_vectors_apart(spark, monkeypatch):
+    whole = vectors.hashes
+    monkeypatch.setattr(vectors, "hashes", lambda *v: (F.pmod(whole(*v)[0], F.lit(3)), whole(*v)[1]))
+    test_near_vectors_match_all_pairs(spark, 5)
+
+
+def test_hot_keys_join_where_they_are(spark, monkeypatch):
+    monkeypatch.setattr(vectors.common, "HOT", 2)
+    test_near_vectors_match_all_pairs(spark, 5)
+    test_components_of_chains_and_stars(spark)
+
+
 def test_tables_reach_their_recall():
     bits, tables = vectors.plan(5000)
     p = (1 - np.arccos(0.93) / np.pi) ** bits

@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": licenses.OP3_SQL,
+    "op6_topk_search": search.OP6_SQL,
     "op7_url_filters": urls.OP7_SQL,
     "op8_line_dedup": lines.OP8_SQL,
 }

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -54,6 +55,36 @@ def test_repeated_ids_leave_room_for_others(spark, block, k):
     assert sorted(tuple(x) for x in got.collect()) == sorted(want)
 
 
+def test_large_components_and_scores_beyond_64_bits(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(120, 6))
+    x[::4] *= 1e8
+    x[::10] *= 1e9
+    x[7] = 1e300
+    x[50] = -1e300
+    data = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = search.top_k(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, block=16, query_block=2)
+    low, high = -(2**63), 2**63 - 1
+    use = [(i, [max(low, min(high, math.floor(256 * c))) for c in v]) for i, v in data]
+    want = []
+    for q, a in use:
+        if q % 50 == 0:
+            best = sorted((-max(low, min(high, sum(s * t for s, t in zip(a, b, strict=True)))), i) for i, b in use if i != q)[:5]
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted(tuple(t) for t in got.collect()) == sorted(want)
+
+
+def test_query_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    df = spark.createDataFrame([x[:2] for x in rows(7, 400) if x[0] is not None], "vec_id long, embedding array<float>")
+    df.coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    got = search.op6_topk_search(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(search.OP6_SQL).fetchall())
+
+
 def test_few_or_no_candidates(spark):
     df = spark.createDataFrame([(0, [0.5, 0.5], 1, ""), (50, [0.1, 0.2], 1, "")], SCHEMA)
     assert sorted(tuple(r)[:3] for r in search.top_k(df, F.col("vec_id") % 50 == 0).collect()) == [(0, 1, 50), (50, 1, 0)]

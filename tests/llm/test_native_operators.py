@@ -120,6 +120,32 @@ def test_url_filters(spark):
     assert not any(r["blocked"] for r in urls.judged(df, listed.limit(0), "id", "url", "at").collect())
 
 
+def test_hosts_paths_and_clashing_columns(spark):
+    at = dt.datetime(2024, 3, 1)
+    listed = spark.createDataFrame([("P.net/A/b/", "path", "add", at), ("[2001:DB8::1]", "host", "add", at), ("4]", "domain", "add", at), ("a.b", "domain", "add", at)], "entry string, kind string, action string, at timestamp")
+    long = "http://p.net/A/b/" + "/".join(["x"] * 3000)
+    urls_ = ["http://p.net/A/b/c", "http://P.NET//A///b", "http://p.net/a/b/c", "http://p.net/A/B", "http://u@[2001:db8::1]:80/x", "http://[::1.2.3.4]/", "http://x@y@q.a.b./", long, "HTTPS://Z.A.B:1?q", "http://" + "a." * 400 + "b/", "http://p.net"]
+    names = ["key", "id_", "cap", "row", "n", "k", "e", "entry", "blocked", "n_entries", "since"]
+    df = spark.createDataFrame([(i, u, at, *["v"] * len(names)) for i, u in enumerate(urls_)], "id long, url string, at timestamp, " + ", ".join(f"{n} string" for n in names))
+    got = urls.judged(df, listed, "id", "url", "at")
+    assert got.columns == df.columns and no_python(got)
+    rows = got.collect()
+    assert sorted(r["id"] for r in rows if r["blocked"]) == [0, 1, 4, 6, 7, 8, 9]
+    assert all(r["key"] == r["entry"] == "v" and r["n_entries"] == int(r["blocked"]) for r in rows)
+
+
+def test_url_query_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    hosts = ["casino-win.example.com", "WWW.Cheap-Pills.example.com:81", "u:p@a.free-bets.example.com.", "m.ads-track.example.com", "x.example.net", "blog.tionsh.example.com", "[2001:db8::7]", "other.org"]
+    pages = [(i, None if i % 41 == 0 else f"http{'s' * (i % 2)}://{hosts[i % 8]}{['', '/', '/de', '/De/x', '//de/x?y=/z', '/de2#de'][i % 6]}", "h") for i in range(0, 9000, 7)]
+    spark.createDataFrame(pages + pages[:50], "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = sorted(map(str, map(tuple, urls.op7_url_filters(spark, str(tmp_path)).collect())))
+    assert got == sorted(map(str, con.execute(urls.OP7_SQL).fetchall())) and sum("True" in x for x in got) > 300
+
+
 def test_a_large_list_is_joined_by_salt(spark, monkeypatch):
     monkeypatch.setattr(urls.common, "few", lambda df, rows=0: False)
     listed = spark.createDataFrame([(f"h{i}.com", "domain", "add", dt.datetime(2024, 1, 2)) for i in range(30)], "entry string, kind string, action string, at timestamp")

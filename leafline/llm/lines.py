@@ -2,16 +2,18 @@
 
 1. One aggregation over line hashes counts occurrences and the least and greatest site hash. A line with fewer
    occurrences than the threshold, or of one site, cannot reach it.
-2. The others get a HyperLogLog sketch of their sites, merged by aggregation. Estimates clear of the threshold by MARGIN
-   decide; lines nearer than that get exact distinct counts.
-3. Documents that hold a removed line are found by (document, line hash), and their lines are filtered in place.
+2. The others get a HyperLogLog sketch of their sites, made in each task and merged by aggregation. Estimates clear of the
+   threshold by MARGIN decide; lines nearer than that get exact distinct counts, and only their (line, site) pairs are shuffled.
+3. While the removed lines are few (counted), documents are cleaned where they are, against a table of the lines' hashes
+   that goes to every task; beyond that, documents that hold one are found by (document, line hash), and joined.
 
-A line is what stands between line feeds; it is compared trimmed of white space, blank lines are kept. Everything is
-DataFrame operations: no Python runs on the executors.
+A line is what stands between line feeds; it is compared without the blanks (U+0020) at its ends, other white space counts;
+blank lines are kept. Everything is DataFrame operations: no Python runs on the executors.
 
 Defined cases: null text stays null, with no line removed; a null source is a site of its own; a null doc_id is a document
 like others; repeated rows are cleaned alike; lines recur within a document without adding sites; a document whose lines
-all go keeps an empty text; an empty table gives no rows; further columns pass through `dedup_lines` unchanged.
+all go keeps an empty text; an empty table gives no rows; further columns pass through `dedup_lines` unchanged, but one
+named n_removed is replaced.
 """
 
 from __future__ import annotations
@@ -34,18 +36,24 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.trim(line))
 
 
+def site_lines(documents: DataFrame) -> DataFrame:
+    """(site, line): a row for each distinct line of a document."""
+    own = F.array_distinct(F.transform(F.filter(lines_of("text"), lambda x: F.trim(x) != ""), line_hash))
+    return documents.select(F.coalesce(F.xxhash64("source"), F.lit(0)).alias("site"), F.explode(own).alias("line"))
+
+
 def spread(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """(line, n_sites, exact) of the lines that at least `sites` distinct sites hold.
 
     n_sites is an estimate where exact is false; those lie beyond (1 + margin) * sites, fifteen standard errors of the sketch.
     """
-    each = documents.select(F.coalesce(F.xxhash64("source"), F.lit(0)).alias("site"), F.explode(F.array_distinct(F.transform(F.filter(lines_of("text"), lambda x: F.trim(x) != ""), line_hash))).alias("line"))
+    each = site_lines(documents)
     often = each.groupBy("line").agg(F.count("*").alias("n"), F.min("site").alias("a"), F.max("site").alias("b")).where((F.col("n") >= sites) & ((F.col("a") != F.col("b")) | F.lit(sites <= 1))).select("line")
     often = common.stored(often, "often")
-    pairs = each.join(common.maybe_broadcast(often), "line").select("line", "site").distinct()  # map-side distinct: few sites a line and task
-    sketched = common.stored(pairs.groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("estimate")), "sketched")
-    near = sketched.where(F.col("estimate").between(sites * (1 - margin), sites * (1 + margin)))
-    exact = pairs.join(near.select("line"), "line").groupBy("line").agg(F.countDistinct("site").alias("n_sites")).where(F.col("n_sites") >= sites)
+    sketched = each.join(common.maybe_broadcast(often), "line").groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("estimate"))
+    sketched = common.stored(sketched, "sketched")
+    near = sketched.where(F.col("estimate").between(sites * (1 - margin), sites * (1 + margin))).select("line")
+    exact = each.join(common.maybe_broadcast(common.stored(near, "near")), "line").groupBy("line").agg(F.countDistinct("site").alias("n_sites")).where(F.col("n_sites") >= sites)
     sure = sketched.where(F.col("estimate") > sites * (1 + margin))
     return sure.select("line", F.col("estimate").alias("n_sites"), F.lit(False).alias("exact")).union(exact.select("line", "n_sites", F.lit(True).alias("exact")))
 
@@ -53,17 +61,29 @@ def spread(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
 def dedup_lines(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """documents with boilerplate lines cut from text, and a column n_removed."""
     gone = common.stored(spread(documents, sites, margin).select("line"), "boilerplate")
-    if "__doc" in documents.columns:
-        raise ValueError("__doc is reserved")
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))
-    keyed = documents.withColumn("__doc", key)
-    held = keyed.select("__doc", F.explode(F.array_distinct(F.transform(lines_of("text"), line_hash))).alias("line"))
-    bad = held.join(common.maybe_broadcast(gone), "line").distinct().groupBy("__doc").agg(F.collect_list("line").alias("__gone"))  # a document's own lines at most
-    out = keyed.join(bad, "__doc", "left")
-    kept = F.filter(lines_of("text"), lambda x: (F.trim(x) == "") | ~F.array_contains("__gone", line_hash(x)))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size(lines_of("text")) - F.size(kept)).cast("int")
-    return out.select(*(text.alias(c) if c == "text" else F.col(f"`{c}`") for c in documents.columns), removed.alias("n_removed"))
+    rows = documents.select(common.boxed(documents), F.col("text").alias("t"))
+    n = gone.count()
+    if n <= common.BROADCAST_ROWS:
+        # the hashes in as many lists as there are lines, some of them empty: a look-up reads one short list
+        size = max(1, n)
+        lists = gone.groupBy(F.pmod("line", F.lit(size)).alias("at")).agg(F.collect_list("line").alias("own"))
+        table = gone.sparkSession.range(size).join(F.broadcast(lists), F.col("id") == F.col("at"), "left")
+        table = table.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("own", F.array().cast("array<long>")).alias("own")))), lambda x: x["own"]).alias("lists"))
+        rows = rows.withColumn("lists", table.scalar())
+        held = lambda h: F.array_contains(F.get("lists", F.pmod(h, F.lit(size)).cast("int")), h)
+    else:
+        key = lambda: F.struct(F.xxhash64("row.doc_id", "t"), F.xxhash64(F.lit(1), F.col("row.doc_id"), F.col("t")))
+        rows = rows.withColumn("key", key())
+        own = rows.where("t is not null").select("key", F.explode(F.array_distinct(F.transform(lines_of("t"), line_hash))).alias("line"))
+        bad = own.join(gone, "line").distinct().groupBy("key").agg(F.collect_list("line").alias("gone"))  # a document's own lines at most
+        rows = rows.join(common.maybe_broadcast(common.stored(bad, "affected")), "key", "left")
+        held = lambda h: F.array_contains(F.coalesce("gone", F.array().cast("array<long>")), h)
+    kept = F.filter(lines_of("t"), lambda x: (F.trim(x) == "") | ~held(line_hash(x)))
+    out = rows.select("row", "t", kept.alias("kept"))
+    removed = F.when(F.col("t").isNull(), F.lit(0)).otherwise(F.size(lines_of("t")) - F.size("kept")).cast("int")
+    out = out.select("row", "t", "kept", removed.alias("removed"))
+    text = F.when(F.col("removed") == 0, F.col("t")).otherwise(F.array_join("kept", "\n"))
+    return out.select(*common.unboxed(out, text=text, n_removed=F.col("removed")))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,20 @@ def test_lines(spark):
     assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, want))
 
 
+def test_many_boilerplate_lines_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(lines.common, "BROADCAST_ROWS", 1)
+    test_lines(spark)
+
+
+def test_line_columns_that_clash(spark):
+    names = ["n_removed", "row", "t", "key", "gone", "kept", "removed", "line", "__doc", "__gone"]
+    docs = [(i, f"own {i}\nfoot", f"s{i}", *["v"] * len(names)) for i in range(6)] + [(9, "foot\r\nown", "s9", *["v"] * len(names))]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    got = lines.dedup_lines(df, sites=5)
+    assert got.columns == df.columns
+    assert {(r["text"], r["n_removed"], r["row"]) for r in got.collect()} == {(f"own {i}", 1, "v") for i in range(6)} | {("foot\r\nown", 0, "v")}
+
+
 @pytest.mark.parametrize("sites", [8, 10, 12])
 def test_lines_near_the_threshold_are_exact(spark, sites):
     rows = [(f"{n} sites", f"s{k}") for n in range(6, 16) for k in range(n)]

@@ -108,6 +108,14 @@ def test_line_columns_that_clash(spark):
     assert {(r["text"], r["n_removed"], r["row"]) for r in got.collect()} == {(f"own {i}", 1, "v") for i in range(6)} | {("foot\r\nown", 0, "v")}
 
 
+def test_a_hot_source_hides_no_shared_passage(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    docs = [(i, f"own {i}\n{passage}", "hot" if i % 3 == 0 else f"s{i % 11}") for i in range(12)] + [(100 + i, f"hot {i}", "hot") for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    assert len({s for _, t, s in docs if passage in t}) == 9
+    assert not any(passage in r["text"] for r in lines.dedup_lines(df).collect())
+
+
 @pytest.mark.parametrize("sites", [8, 10, 12])
 def test_lines_near_the_threshold_are_exact(spark, sites):
     rows = [(f"{n} sites", f"s{k}") for n in range(6, 16) for k in range(n)]

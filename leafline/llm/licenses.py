@@ -1,26 +1,28 @@
 """License scans: MinHash bands over overlapping text windows retrieve templates, exact shingle containment verifies them.
 
-A template of t distinct five-word shingles is looked for in windows of W shingles, W the least power of two that is 2 t
-and 8 at least, at steps of W / 2: any run of t shingles lies within one window. Window and template collide in a band
-when their minima under that band's hash agree (one row a band), which has the probability J of their Jaccard similarity,
-so the miss probability is (1 - J)**BANDS. J is 1/8 at least where a one-shingle template stands, 0.19 at least where
-0.8 of a longer one does: with 128 bands, one in 20 million is missed at most.
+A template of r five-word shingles, t of them distinct, is looked for in windows of W shingles, W the least power of two that
+is 2 r and 8 at least, at steps of W / 2. Window and template collide in a band when their minima under that band's hash
+agree (one row a band). The template's minimum in a band is one of its shingles, so only windows that hold it can collide:
+the stored band table (shingle, band, license) is joined with the documents' shingles on the shingle's hash, and the windows
+around a hit are hashed in that band, to see that nothing in them is less. Documents are read once for any library.
 
-A window can only collide with a template if it holds one of its shingles (its minimum is a shingle's). So windows
-without any template shingle are not hashed further; the candidates are the same, and most documents end there.
-Candidates are verified on the whole document: the share of the template's distinct shingles that the document holds.
+A document that holds a share c of the template's shingles, wherever they stand, holds a band's minimum with probability
+c, and the W other shingles around it leave it the least with t / (t + W) at least. The bands of a template are set for a
+probability MISS that no band collides. Candidates are verified on the whole document: the share of the template's distinct
+shingles that the document holds.
 
-Words are runs of ASCII letters and digits, compared in lower case. Everything is DataFrame operations. The template
-library is broadcast; one of more than CHUNK shingles is scanned in chunks of templates, so its size is bounded as well.
+Words are runs of ASCII letters and digits, compared in lower case. Everything is DataFrame operations. Band table and
+templates are broadcast while their counted rows are few, and joined by shuffles beyond that.
 
 Defined cases: null and empty texts, texts and templates of under five words match nothing; a null doc_id is reported as
-null; a row that repeats (doc_id, text) is reported once; a document may match several templates, `best` marks the highest
+null; a row that repeats (doc_id, text), by two 64-bit hashes, is reported once; a document may match several templates, `best` marks the highest
 containment, ties going to more shingles and then the lesser id; very long texts are scanned whole; empty tables give no
 rows; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,8 +33,8 @@ from leafline.llm import common
 
 NGRAM = 5
 CONTAINMENT = 0.8
-BANDS = 128
-CHUNK = 20_000
+#: The probability that no band finds a template that a document holds.
+MISS = 1e-8
 
 #: Notices by which texts state their license (fixed values).
 TEMPLATES = {
@@ -60,54 +62,50 @@ def grams(text: Column, n: int = NGRAM) -> Column:
     return F.transform(F.array(words), lambda w: F.when(F.size(w) >= n, one(w)).otherwise(F.array().cast("array<bigint>")))
 
 
-def minima(window: Column, bands: int) -> Column:
-    """The least hash of the window's shingles in each band."""
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda k: F.array_min(F.transform(window, lambda x: F.xxhash64(x, k))))
+def window_size(shingles: Column) -> Column:
+    """The least power of two that is twice the shingles of a template, 8 at least."""
+    return F.greatest(F.lit(8), F.pow(2, F.ceil(F.log2(2 * shingles)))).cast("int")
 
 
-def window_size(shingles: int) -> int:
-    return max(8, 1 << (2 * shingles - 1).bit_length())
+def band_table(templates: DataFrame, containment: float, n: int, miss: float) -> DataFrame:
+    """(license, n_shingles, w, band, low, s) of templates(license, text): each band's least hash, and the shingle that has it."""
+    sets = templates.where("license is not null").select("license", grams(F.col("text"), n)[0].alias("g")).where(F.size("g") > 0)
+    sets = sets.select("license", F.array_distinct("g").alias("t"), window_size(F.size("g")).alias("w")).distinct()
+    t = F.size("t")
+    hit = F.least(F.lit(containment), F.lit(0.999)) * t / (t + F.col("w"))
+    bands = F.ceil(F.lit(math.log(miss)) / F.log(1 - hit)).cast("int")
+    each = sets.select("license", t.alias("n_shingles"), "w", "t", F.explode(F.sequence(F.lit(1), bands)).alias("band"))
+    least = F.array_min(F.transform("t", lambda x: F.struct(F.xxhash64(x, "band").alias("low"), x.alias("s"))))
+    return each.withColumn("m", least).select("license", "n_shingles", "w", "band", "m.low", "m.s")
 
 
-def scan(documents: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, n: int = NGRAM, bands: int = BANDS) -> DataFrame:
+def scan(documents: DataFrame, templates: DataFrame, containment: float = CONTAINMENT, n: int = NGRAM, miss: float = MISS) -> DataFrame:
     """(doc_id, license, containment, n_matched, n_shingles, best) of templates(license, text) found in documents."""
-    spark = documents.sparkSession
-    sets = templates.where("license is not null").select("license", F.array_distinct(grams(F.col("text"), n)[0]).alias("t")).where(F.size("t") > 0).distinct()
-    library = [(r["license"], r["t"]) for r in sets.orderBy("license").toLocalIterator()]  # templates: a bounded library, chunked below
-    chunks: list[list] = [[]]
-    for item in library:
-        if sum(len(t) for _, t in chunks[-1]) + len(item[1]) > CHUNK and chunks[-1]:
-            chunks.append([])
-        chunks[-1].append(item)
+    table = common.stored(band_table(templates, containment, n, miss), "bands")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = [_scan_chunk(spark, docs, chunk, containment, n, bands) for chunk in chunks]
-    out = found[0]
-    for other in found[1:]:
-        out = out.union(other)
-    rank = F.row_number().over(W.partitionBy("__doc").orderBy(F.desc("containment"), F.desc("n_shingles"), "license"))
-    return out.withColumn("best", rank == 1).drop("__doc")
-
-
-def _scan_chunk(spark: SparkSession, docs: DataFrame, library: list[tuple[str, list[int]]], containment: float, n: int, bands: int) -> DataFrame:
-    known = sorted({x for _, t in library for x in t})
-    hit = lambda x: x.isin(known) if known else F.lit(False)
-    # exploding what the filter leaves of the one array evaluates the shingles once, where a WHERE would do so twice
-    held = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("__doc"), F.explode(F.filter(grams(F.col("text"), n), lambda h: F.exists(h, hit))).alias("h"))
-    held = common.stored(held.dropDuplicates(["__doc"]), "licensed")
-    table = spark.createDataFrame([(a, t, window_size(len(t))) for a, t in library], "license string, t array<long>, w int")
-    bands_of = table.select("license", "w", F.posexplode(minima(F.col("t"), bands)).alias("band", "low"))
-    sizes = sorted({window_size(len(t)) for _, t in library})
-
-    def windows(w: int) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size("h"), F.lit(w // 2)), lambda s: F.exists(F.slice("h", s, w), hit))
-        return F.transform(starts, lambda s: F.struct(F.lit(w).alias("w"), minima(F.slice("h", s, w), bands).alias("lows")))
-
-    each = held.select("__doc", F.explode(F.concat(*(windows(w) for w in sizes))).alias("x")) if sizes else held.select("__doc", F.struct(F.lit(0).alias("w"), F.array().cast("array<bigint>").alias("lows")).alias("x"))
-    rows = each.select("__doc", "x.w", F.posexplode("x.lows").alias("band", "low"))
-    pairs = rows.join(F.broadcast(bands_of), ["w", "band", "low"]).select("__doc", "license").distinct()  # CHUNK * bands rows at most
-    both = held.join(pairs, "__doc").join(F.broadcast(table.select("license", "t")), "license")
-    matched = F.size(F.array_intersect("t", "h"))
-    return both.select("__doc", "doc_id", "license", F.round(matched / F.size("t"), 6).alias("containment"), matched.alias("n_matched"), F.size("t").alias("n_shingles")).where(F.col("n_matched") / F.col("n_shingles") >= containment)
+    key = [F.xxhash64("doc_id", "text").alias("d1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("d2")]
+    shingles = docs.select(*key, F.explode(grams(F.col("text"), n)[0]).alias("s"))
+    minima = table.select("s").distinct()
+    holding = shingles.join(common.maybe_broadcast(common.stored(minima, "minima")), "s").select("d1", "d2").distinct()
+    holding = common.stored(holding, "holding").withColumnsRenamed({"d1": "e1", "d2": "e2"})
+    keyed = docs.select("doc_id", "text", *key).join(common.maybe_broadcast(holding), (F.col("d1") == F.col("e1")) & (F.col("d2") == F.col("e2")), "left_semi")
+    held = common.stored(keyed.dropDuplicates(["d1", "d2"]).select("d1", "d2", "doc_id", grams(F.col("text"), n)[0].alias("g")), "held")
+    hits = held.select("d1", "d2", F.posexplode("g").alias("pos", "s")).join(common.maybe_broadcast(table), "s")
+    step = F.col("w") / 2
+    turn = F.floor(F.col("pos") / step)  # of the two windows that hold the position, counted in steps
+    starts = F.transform(F.array(turn, F.greatest(turn - 1, F.lit(0).cast("long"))), lambda k: (k * step).cast("int"))
+    windows = hits.select("d1", "d2", "license", "w", "band", "low", F.explode(starts).alias("at"))
+    listed = windows.groupBy("d1", "d2").agg(F.collect_set(F.struct("license", "w", "band", "low", "at")).alias("windows"))  # a document's own windows
+    meets = lambda x: F.forall(F.slice("g", x["at"] + 1, x["w"]), lambda y: F.xxhash64(y, x["band"]) >= x["low"])
+    found = F.array_distinct(F.transform(F.filter("windows", meets), lambda x: x["license"]))
+    pairs = common.stored(held.join(listed, ["d1", "d2"]).select("d1", "d2", "doc_id", "g", F.explode(found).alias("license")), "collisions")
+    sets = templates.where("license is not null").select("license", F.array_distinct(grams(F.col("text"), n)[0]).alias("t")).where(F.size("t") > 0).distinct()
+    both = pairs.join(common.maybe_broadcast(common.stored(sets, "templates")), "license")
+    matched, size = F.size(F.array_intersect("t", "g")), F.size("t")
+    found = both.select("d1", "d2", "doc_id", "license", F.round(matched / size, 6).alias("containment"), matched.alias("n_matched"), size.alias("n_shingles"))
+    found = found.where(F.col("n_matched") / F.col("n_shingles") >= containment)
+    rank = F.row_number().over(W.partitionBy("d1", "d2").orderBy(F.desc("containment"), F.desc("n_shingles"), "license"))
+    return found.withColumn("best", rank == 1).drop("d1", "d2")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

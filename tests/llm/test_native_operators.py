@@ -57,13 +57,27 @@ def test_license_edges(spark):
     assert [tuple(r)[:2] for r in licenses.scan(docs, mit).collect()] == [(1, "mit")]
 
 
-def test_a_large_library_is_scanned_in_chunks(spark, monkeypatch):
-    monkeypatch.setattr(licenses, "CHUNK", 10)
+def test_a_large_library_is_joined(spark, monkeypatch):
+    monkeypatch.setattr(licenses.common, "few", lambda df, rows=0: False)
     docs = spark.createDataFrame([(1, licenses.TEMPLATES["mit"]), (2, licenses.TEMPLATES["gpl-3.0"])], "doc_id long, text string")
     got = licenses.scan(docs, spark.createDataFrame(list(licenses.TEMPLATES.items()), "license string, text string"))
     assert {(r["doc_id"], r["license"]) for r in got.collect()} == {(1, "mit"), (2, "gpl-3.0"), (2, "gpl-2.0")}
 
 
+def test_scattered_and_repetitive_templates_are_found(spark):
+    r = random.Random(3)
+    noise = lambda n: " ".join(f"n{r.randrange(10**6)}" for _ in range(n))
+    words = [f"t{i}" for i in range(40)]
+    again = " ".join(words[:8] * 12)
+    pieces = lambda: "\n".join(noise(200) + " " + " ".join(words[i : i + 5]) for i in r.sample(range(36), 36))
+    docs = [(i, pieces()) for i in range(30)] + [(100 + i, noise(300) + " " + " ".join(words[:8] * 2) + " " + noise(300)) for i in range(30)]
+    docs += [(200 + i, noise(500) + " " + " ".join(words[: 30 + i])) for i in range(10)]
+    library = spark.createDataFrame([("long", " ".join(words)), ("again", again)], "license string, text string")
+    got = {(x["doc_id"], x["license"]) for x in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"), library).collect()}
+    want = {(d, k) for d, t in docs for k, body in (("long", " ".join(words)), ("again", again)) if len(shingles(body) & shingles(t)) >= 0.8 * len(shingles(body))}
+    assert got == want and {d for d, _ in want} >= {*range(30), *range(100, 130)}
+
+
 # --- lines
 
 

@@ -15,6 +15,7 @@ from leafline.llm import common
 #: What a compared cell gives: links counted at a node, or an edge of the cell's spanning forest.
 PARTS = "node long, other long, links long"
 LISTED = 64
+ROUNDS = 2
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -44,7 +45,8 @@ def meetings(buckets: DataFrame, rows: int, size: int) -> DataFrame:
     """(node, part, cells) of the nodes that share a bucket with another: cells, an array of at most LISTED structs (cell,
     within), in which to compare them so that all nodes of a bucket meet. buckets(bucket, node) has at most `rows` rows.
 
-    A node's home is the largest of its buckets, and a home is cut by hash into parts of about `size` nodes. Parts that
+    A node's home is the largest of its buckets; homes that share buckets gather at the most frequent one, twice, so that a
+    large group has few; and a home is cut by hash into parts of about `size` nodes. Parts that
     share a bucket meet in a cell, each pair of parts once, and a part of several nodes meets itself (within). So nearly
     equal groups, whose buckets overlap, are compared once and not once a bucket, and nodes without a common bucket seldom meet.
     Buckets that hold the same parts count once. Nodes of a part with more than LISTED cells have several rows.
@@ -52,9 +54,18 @@ def meetings(buckets: DataFrame, rows: int, size: int) -> DataFrame:
     counts = common.stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     met = common.joined(buckets, counts.withColumn("size", F.col("n")), "bucket", rows)
     met = common.stored(met.select("node", "bucket", "size"), "met")
-    home = met.groupBy("node").agg(F.max(F.struct("size", "bucket")).alias("home"))
-    chunk = F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("home.size") / size))
-    parts = common.stored(home.select("node", F.xxhash64("home.bucket", chunk).alias("part")), "parts")
+    home = met.groupBy("node").agg(F.max(F.struct("size", "bucket")).alias("x")).select("node", F.col("x.bucket").alias("home"))
+    home = common.stored(home, "homes")
+    nodes = home.count()
+    for _ in range(ROUNDS):  # a home moves to the one that is most frequent in a bucket of its nodes
+        sharing = common.stored(met.join(home, "node").groupBy("bucket", "home").agg(F.count("*").alias("c")), "sharing")
+        lead = sharing.groupBy("bucket").agg(F.max(F.struct("c", F.col("home").alias("to"))).alias("lead"))
+        moved = sharing.join(lead, "bucket").groupBy("home").agg(F.max("lead").alias("lead"))
+        moved = moved.join(home.groupBy("home").agg(F.count("*").alias("n")), "home").select("home", "n", F.col("lead.to").alias("to"))
+        home = common.stored(common.joined(home, moved, "home", nodes).select("node", F.col("to").alias("home")), "homes")
+    sized = home.groupBy("home").agg(F.count("*").alias("n")).withColumn("chunks", F.ceil(F.col("n") / size))
+    chunk = F.pmod(F.xxhash64("node", F.lit(5)), F.col("chunks"))
+    parts = common.stored(common.joined(home, sized, "home", nodes).select("node", F.xxhash64("home", chunk).alias("part")), "parts")
     touched = common.stored(met.join(parts, "node").select("bucket", "part").distinct(), "touched")
     sets = touched.groupBy("bucket").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("part")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), F.col("part"))).alias("y"))
     kept = sets.where("c > 1").groupBy("c", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", F.col("c").alias("n"))

@@ -21,6 +21,7 @@ LAYERED_OXIDE = r"(?:P2|P3|O3|O2)-type\s*Na[x0-9\.]*[A-Z][a-z]?\d?O\d"
 GENERAL_FORMULA = r"\b(?:Na|Li|K|Mg|Ca|Al|Zr|Ti|Mn|Co|Ni|Fe|Cr|V|P|S|O|Cl|F|N|C)(?:[a-z])?(?:\d+\.?\d*)?(?:[A-Z][a-z]?(?:\d+\.?\d*)?){1,8}\b"
 MEASURED_VALUE = r"\d+\.?\d*\s*(?:mS/cm|S/cm|mAh/g|Wh/kg|V\s*vs\.?\s*Na\+?/?Na|μS/cm|eV|GPa|MPa|kPa|mA/cm[²2]|μA/cm[²2]|mol/L|M\b|wt\.?%|vol\.?%)"
 YES = ("yes", "y", "true", "1")
+LINE_MARK = "<0x0A>"
 
 
 def word_count(text: Column) -> Column:
@@ -63,7 +64,10 @@ def parse_page_tag(value: Column) -> Column:
 
 
 def yes_no(value: Column) -> Column:
-    return F.when(F.lower(F.trim(value.cast("string"))).isin(*YES), "yes").otherwise("no")
+    """Yes for true and for YES in any case, no for anything else; values that are neither text nor boolean are no."""
+    kind = F.typeof(value).isin("string", "boolean")
+    bare = F.regexp_replace(value.cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.when(kind & F.lower(bare).isin(*YES), "yes").otherwise("no")
 
 
 def slug(name: Column) -> Column:
@@ -130,11 +134,14 @@ def element_text(ocr: Column, caption: Column) -> Column:
 
 
 def render_kind(content: Column) -> Column:
-    """How a recognised block is to be shown: analyze, layout, table or pre."""
+    """How a recognised block is to be shown: a closed analysis, blocks with layout attributes, a table of two lines or more
+    with spaced pipes, or as it is."""
+    has = lambda s: F.contains(content, F.lit(s))
+    lines = F.regexp_replace(F.replace(content, F.lit(LINE_MARK), F.lit("\n")), r"(?U)^\s+|\s+$", "")
     return (
-        F.when(F.contains(content, F.lit("<analyze>")), "analyze")
-        .when(F.contains(content, F.lit("data-bbox")) | F.contains(content, F.lit("data-label")), "layout")
-        .when(F.rlike(content, F.lit(r"(?m)^\s*\|.*\|\s*$")), "table")
+        F.when(F.rlike(content, F.lit("(?s)<analyze>.*?</analyze>")), "analyze")
+        .when(has("data-bbox=") | has("data-label="), "layout")
+        .when(has(" | ") & (has(LINE_MARK) | has("\n")) & F.contains(lines, F.lit("\n")), "table")
         .otherwise("pre")
     )
 

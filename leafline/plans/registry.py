@@ -281,7 +281,7 @@ def _(s, d):
     return sources.text_pages(A.table(s, d, "documents"))
 
 
-@query("p8_assembled", f"WITH {A.PAGES}, c AS (SELECT doc, string_agg('<physical_index_' || (page_idx + 1) || '>' || chr(10) || text || chr(10) || '<physical_index_' || (page_idx + 1) || '>' || chr(10) || chr(10), '' ORDER BY page_idx) AS core FROM pages_ WHERE page_idx < 3 GROUP BY doc) SELECT doc, regexp_replace(regexp_replace(core, '\\.{{5,}}', ': ', 'g'), '(?:\\. ){{5,}}\\.?', ': ', 'g') AS core FROM c")
+@query("p8_assembled", f"WITH {A.PAGES}, c AS (SELECT doc, string_agg('<physical_index_' || (page_idx + 1) || '>' || chr(10) || text || chr(10) || '<physical_index_' || (page_idx + 1) || '>' || chr(10) || chr(10), '' ORDER BY page_idx) AS core FROM pages_ GROUP BY doc) SELECT doc, regexp_replace(regexp_replace(core, '\\.{{5,}}', ': ', 'g'), '(?:\\. ){{5,}}\\.?', ': ', 'g') AS core FROM c")
 def _(s, d):
     p = A.pages(s, d).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_idx", text.wrap_page(F.col("text"), F.col("page_idx") + 1).alias("t")))).alias("p"))
     return p.select("doc", text.transform_dots(F.array_join(F.transform("p", lambda x: x["t"]), "")).alias("core"))
@@ -303,9 +303,9 @@ def _(s, d):
     return A.table(s, d, "pages").select("page_id", F.md5(text.without_tags(F.col("html"))).alias("chunked"), F.md5(text.tags_to_space(F.col("html"))).alias("spaced"))
 
 
-@query("p18_yes_no", "SELECT conv_id, turn, CASE WHEN lower(trim(role)) IN ('yes', 'y', 'true', '1') THEN 'yes' ELSE 'no' END AS a, CASE WHEN turn = 1 THEN 'yes' ELSE 'no' END AS b FROM conversations")
+@query("p18_yes_no", "SELECT conv_id, turn, CASE WHEN lower(trim(role)) IN ('yes', 'y', 'true', '1') THEN 'yes' ELSE 'no' END AS a, 'no' AS b, CASE WHEN turn = 1 THEN 'yes' ELSE 'no' END AS c, CASE WHEN turn IN (1, 2) THEN 'yes' ELSE 'no' END AS d FROM conversations")
 def _(s, d):
-    return A.table(s, d, "conversations").select("conv_id", "turn", text.yes_no(F.col("role")).alias("a"), text.yes_no(F.col("turn")).alias("b"))
+    return A.table(s, d, "conversations").select("conv_id", "turn", text.yes_no(F.col("role")).alias("a"), text.yes_no(F.col("turn")).alias("b"), text.yes_no(F.col("turn") == 1).alias("c"), text.yes_no(F.when(F.col("turn") == 2, " Yes ").otherwise(F.col("turn").cast("string"))).alias("d"))
 
 
 @query("p28_truncated", f"WITH {A.RESULTS} SELECT document_id, CASE WHEN length(error) > 2000 THEN substr(error, 1, 2000) || '…[+' || (length(error) - 2000) || ' more chars]' ELSE error END AS error FROM results")
@@ -702,9 +702,11 @@ def _(s, d):
     return sources.grouped_results(n).select("pdf", "page", "image", F.array_join(F.transform("results", lambda x: F.concat(x["model"], F.lit(":"), x["task"])), ",").alias("results"))
 
 
-@query("f12_render_kinds", "SELECT page_id, CASE WHEN contains(html, '<analyze>') THEN 'analyze' WHEN contains(html, 'data-bbox') OR contains(html, 'data-label') THEN 'layout' WHEN regexp_matches(html, '(?m)^[ \\t]*\\|.*\\|[ \\t]*$') THEN 'table' ELSE 'pre' END AS kind FROM pages")
+@query("f12_render_kinds", "WITH x AS (SELECT page_id, CASE page_id % 6 WHEN 0 THEN html WHEN 1 THEN '<analyze>' || html WHEN 2 THEN html || '<analyze>[]</analyze>' WHEN 3 THEN html || ' data-label=x' WHEN 4 THEN url || ' | b' || chr(10) || 'c' ELSE url || ' | b<0x0A>' END AS h FROM pages), b AS (SELECT *, regexp_replace(replace(h, '<0x0A>', chr(10)), '^\\s+|\\s+$', '', 'g') AS t FROM x) SELECT page_id, CASE WHEN contains(substr(h, position('<analyze>' IN h)), '</analyze>') AND contains(h, '<analyze>') THEN 'analyze' WHEN contains(h, 'data-bbox=') OR contains(h, 'data-label=') THEN 'layout' WHEN contains(h, ' | ') AND (contains(h, '<0x0A>') OR contains(h, chr(10))) AND len(string_split(t, chr(10))) >= 2 THEN 'table' ELSE 'pre' END AS kind FROM b")
 def _(s, d):
-    return A.table(s, d, "pages").select("page_id", text.render_kind(F.col("html")).alias("kind"))
+    n, h, u = F.col("page_id") % 6, F.col("html"), F.col("url")
+    x = F.when(n == 0, h).when(n == 1, F.concat(F.lit("<analyze>"), h)).when(n == 2, F.concat(h, F.lit("<analyze>[]</analyze>"))).when(n == 3, F.concat(h, F.lit(" data-label=x"))).when(n == 4, F.concat(u, F.lit(" | b\nc"))).otherwise(F.concat(u, F.lit(" | b<0x0A>")))
+    return A.table(s, d, "pages").select("page_id", text.render_kind(x).alias("kind"))
 
 
 @query("d1_stamps", "SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS compact, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS iso FROM events")

@@ -22,6 +22,16 @@ def one(spark, value, f):
         (text.yes_no, " Yes ", "yes"),
         (text.yes_no, "maybe", "no"),
         (text.yes_no, None, "no"),
+        (lambda c: text.yes_no(F.lit(1)), "x", "no"),
+        (lambda c: text.yes_no(F.lit(True)), "x", "yes"),
+        (lambda c: text.yes_no(F.lit(False)), "x", "no"),
+        (lambda c: text.yes_no(F.lit("1")), "x", "yes"),
+        (text.render_kind, "x <analyze>y</analyze>", "analyze"),
+        (text.render_kind, "x <analyze>y", "pre"),
+        (text.render_kind, '<div data-bbox="1">', "layout"),
+        (text.render_kind, "data-bbox", "pre"),
+        (text.render_kind, "a | b\nc | d", "table"),
+        (text.render_kind, "a | b", "pre"),
         (text.parse_page_tag, "<physical_index_12>", 12),
         (text.parse_page_tag, "page 12", None),
         (text.without_fences, '```json\n{"a": 1}\n```', '{"a": 1}'),
@@ -63,6 +73,7 @@ def test_uuid5(spark):
         ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table>", "| a | b |\n| --- | --- |\n| c |  |"),
         ("<table><tr><td> hello \n world </td><td>a|b</td><td>line1<br>line2</td><td><b>bold</b> value</td></tr></table>", "| hello world | a\\|b | line1 line2 | bold value |\n| --- | --- | --- | --- |"),
         ("<table></table>", ""),
+        ("<td>x</td><TABLE><TR><TH>a &amp; b<TD>c</TR>lost<tr></tr><tr><td>d</td></tr></TABLE><td>y</td>", "| a & b | c |\n| --- | --- |\n| d |  |"),
     ],
 )
 def test_tables(source, want):
@@ -77,6 +88,10 @@ def test_vision():
     got = html.vision('<div data-label="Text" data-bbox="1 2 3 4"><div>a <math>x</math></div></div><div data-label="B" data-bbox="no">b</div>')
     assert [(b["label"], b["bbox"], b["text"]) for b in got["blocks"]] == [("Text", [1, 2, 3, 4], "a x"), ("B", None, "b")] and got["blocks"][0]["math"] == ["x"]
     assert html.vision("z" * 900)["raw_head"] == "z" * 500
+    assert html.vision('<ANALYZE>{"legends":["a"],"other":1}</Analyze>')["panels"] == [{"legend": ["a"]}]
+    assert "error" in html.vision("<analyze>[}</analyze>")
+    nested = html.vision('<div><div data-label="A">x<div data-label="In">y</div></div></div><div data-bbox="1 2 3 -4" data-label=C>z<br/></div><div data-label="open">w')
+    assert [(b["label"], b["bbox"], b["text"]) for b in nested["blocks"]] == [("A", None, "x y"), ("C", [1, 2, 3, -4], "z")]
 
 
 def test_captions_go_one_to_one(spark, rows):

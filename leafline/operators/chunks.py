@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,18 +24,22 @@ def tokens(s: str) -> int:
     return len(_TOKEN.findall(s))
 
 
-def _pieces(s: str, budget: int, level: int = 0) -> list[str]:
-    """s cut at paragraphs, then sentences, then words, then characters, until each piece is within the budget."""
-    if tokens(s) <= budget:
-        return [s]
-    if level == len(_LEVELS):
-        return [s[i : i + budget] for i in range(0, len(s), budget)]
-    cut, at = [], 0
-    for m in _LEVELS[level].finditer(s):
-        cut.append(s[at : m.end()])
-        at = m.end()
-    cut.append(s[at:])
-    return [p for c in cut if c for p in _pieces(c, budget, level + 1)]
+def _pieces(s: str, at: list[int], budget: int, start: int, end: int, level: int = 0) -> Iterator[tuple[int, int, int]]:
+    """(start, end, tokens) of s[start:end] cut at paragraphs, then sentences, then words, then characters, until each piece is
+    within the budget; at: where the tokens of s start."""
+    n = bisect_left(at, end) - bisect_left(at, start)
+    if n <= budget:
+        yield start, end, n
+    elif level == len(_LEVELS):
+        for i in range(start, end, budget):
+            yield i, min(i + budget, end), tokens(s[i : min(i + budget, end)])
+    else:
+        for m in _LEVELS[level].finditer(s, start, end):
+            if m.end() > start:
+                yield from _pieces(s, at, budget, start, m.end(), level + 1)
+                start = m.end()
+        if start < end:
+            yield from _pieces(s, at, budget, start, end, level + 1)
 
 
 def split(s: str, max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP_TOKENS) -> list[str]:
@@ -42,20 +47,19 @@ def split(s: str, max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP_TOKENS) -
     if not s or not s.strip():
         return []
     out: list[str] = []
-    held: list[tuple[str, int]] = []
-    for p in _pieces(s, max(1, max_tokens - overlap)):
-        n = tokens(p)
-        if held and sum(k for _, k in held) + n > max_tokens:
-            out.append("".join(x for x, _ in held).strip())
-            tail, k = [], 0
-            for x, m in reversed(held):
-                if k + m > min(overlap, max_tokens - n):
-                    break
-                tail.insert(0, (x, m))
-                k += m
-            held = tail
-        held.append((p, n))
-    out.append("".join(x for x, _ in held).strip())
+    held: list[tuple[int, int]] = []  # where each piece starts, and its tokens; pieces follow each other without gaps
+    total = 0
+    for start, _, n in _pieces(s, [m.start() for m in _TOKEN.finditer(s)], max(1, max_tokens - overlap), 0, len(s)):
+        if held and total + n > max_tokens:
+            out.append(s[held[0][0] : start].strip())
+            cut, total = len(held), 0
+            while cut and total + held[cut - 1][1] <= min(overlap, max_tokens - n):
+                cut -= 1
+                total += held[cut][1]
+            held = held[cut:]
+        held.append((start, n))
+        total += n
+    out.append(s[held[0][0] :].strip())
     return [x for x in out if x]
 
 
@@ -67,7 +71,7 @@ def units(papers: DataFrame, leaves: DataFrame, elements: DataFrame) -> DataFram
     """
     crumb = F.array().cast("array<string>")
     cols = ["paper", "key", "node_id", "node_title", "breadcrumb", "page_start", "page_end", "kind", "source_kind", "text"]
-    key = lambda rank, node, ord_, branch: F.struct(F.lit(rank).alias("rank"), node.cast("string").alias("leaf"), ord_.cast("long").alias("elem"), F.lit(branch).alias("branch"))
+    key = lambda rank, node, ord_, branch: F.struct(F.lit(rank).alias("rank"), F.length(node).alias("digits"), node.cast("string").alias("leaf"), ord_.cast("long").alias("elem"), F.lit(branch).alias("branch"))
     zero = F.lit(0)
     a = papers.where(F.coalesce("abstract", F.lit("")) != "").select("paper", key(0, F.lit(""), zero, 0).alias("key"), F.lit("abstract").alias("node_id"), F.lit("Abstract").alias("node_title"), crumb.alias("breadcrumb"), F.lit(1).alias("page_start"), F.least(F.lit(3), "total_pages").alias("page_end"), F.lit(ABSTRACT).alias("kind"), F.lit("llm_abstract").alias("source_kind"), F.col("abstract").alias("text"))
     s = leaves.where(F.trim("raw_text") != "").select("paper", key(1, F.col("node_id"), zero, 0).alias("key"), "node_id", F.col("title").alias("node_title"), "breadcrumb", F.col("start_index").alias("page_start"), F.col("end_index").alias("page_end"), F.lit(SECTION).alias("kind"), F.lit("pymupdf").alias("source_kind"), F.col("raw_text").alias("text"))

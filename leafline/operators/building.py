@@ -1,6 +1,7 @@
 """Building trees with model calls: verification and repair of tables of contents, generation by page group, summaries.
 
-Each step is a batch of prompts over all documents at once (providers.call); rounds run on the driver, bounded in number.
+Each step is a batch of prompts over all documents at once, whose answers are stored, so that a prompt is asked once however
+often its answer is used; rounds run on the driver, bounded in number.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, prompts, providers, text
-from leafline.operators import elements, toc, trees
+from leafline.operators import elements, scratch, toc, trees
 
 FIX_ROUNDS, CONTINUATIONS, ABSTRACT_PAGES = 3, 5, 3
 
@@ -41,6 +42,11 @@ class Options:
         return cls(llm["model"], llm.get("model_fast") or llm["model"], style, tree["toc_check_pages"], tree["max_pages_per_node"], tree["max_tokens_per_node"], tree.get("add_node_id", True), tree.get("add_node_summary", True), tree.get("add_doc_description", False), tree.get("summary_overlap_pages", 1), tree.get("verify_summaries", True))
 
 
+def asked_of(asked: DataFrame, provider: providers.Provider, response: str | None = None) -> DataFrame:
+    """providers.call, its answers stored."""
+    return scratch.stored(providers.call(asked, provider, response), "answers")
+
+
 def squeezed(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), r"(?U)\s+", "")
 
@@ -67,9 +73,10 @@ def repaired(rows: DataFrame, pages: DataFrame, rounds: int = FIX_ROUNDS) -> Dat
         spans = toc.anchors(known.join(total, "doc"), F.lit(1), F.col("total").cast("int")).join(wrong, ["doc", "ord"])
         near = (F.col("doc") == F.col("pdoc")) & F.col("pnum").between(F.col("prev_index"), F.col("next_index"))
         found = spans.join(p, near).where(F.contains("ptext", squeezed(F.col("title")))).groupBy("doc", "ord").agg(F.min("pnum").alias("fixed"))
+        found = scratch.stored(found, "found")
         if found.isEmpty():
             break
-        rows = toc.corrected(rows, wrong, found)
+        rows = scratch.stored(toc.corrected(rows, wrong, found), "toc")
     return rows
 
 
@@ -93,15 +100,15 @@ def summarised(nodes: DataFrame, pages: DataFrame, opt: Options, provider: provi
     """nodes with summary: generated, checked, and rewritten once where topics are missed. A failed check keeps the summary."""
     base = nodes.drop("summary")
     asked = section_text(base, pages, opt.overlap_pages)
-    first = providers.call(asked.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("generate_node_summary", opt.style, node_text=F.col("node_text")).alias("prompt")), provider).select("doc", "key", F.when(F.col("ok"), F.col("content")).alias("summary"))
+    first = asked_of(asked.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("generate_node_summary", opt.style, node_text=F.col("node_text")).alias("prompt")), provider).select("doc", "key", F.when(F.col("ok"), F.col("content")).alias("summary"))
     out = base.join(first, ["doc", "key"], "left")
     if not opt.verify:
         return out
     own = section_text(out, pages, opt.overlap_pages, only_section=True).where("coalesce(summary, '') <> ''")
-    verdict = providers.call(own.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("verify_node_summary", opt.style, title=F.col("title"), summary=F.col("summary"), section_text=F.col("node_text")).alias("prompt")), provider, "summary_verdict")
+    verdict = asked_of(own.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("verify_node_summary", opt.style, title=F.col("title"), summary=F.col("summary"), section_text=F.col("node_text")).alias("prompt")), provider, "summary_verdict")
     missed = verdict.where("ok").select("doc", "key", F.from_json("content", "missed_topics array<string>")["missed_topics"].alias("missed")).where("size(missed) > 0")
     again = section_text(out.join(missed, ["doc", "key"]), pages, opt.overlap_pages)
-    new = providers.call(again.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("regenerate_summary_with_missed_topics", opt.style, prior_summary=F.col("summary"), missed_topics=F.array_join("missed", ", "), node_text=F.col("node_text")).alias("prompt")), provider)
+    new = asked_of(again.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("regenerate_summary_with_missed_topics", opt.style, prior_summary=F.col("summary"), missed_topics=F.array_join("missed", ", "), node_text=F.col("node_text")).alias("prompt")), provider)
     new = new.where("ok").select("doc", "key", F.col("content").alias("better"))
     return out.join(new, ["doc", "key"], "left").withColumn("summary", F.coalesce("better", "summary")).drop("better")
 
@@ -110,7 +117,7 @@ def abstracts(pages: DataFrame, opt: Options, provider: providers.Provider = pro
     """(doc, abstract) from the first three pages; null where the call fails or finds none."""
     head = pages.where(F.col("page_idx") < ABSTRACT_PAGES).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_idx", "text"))).alias("p"))
     asked = head.select("doc", F.lit(opt.model_fast).alias("model"), prompts.render("extract_abstract", opt.style, content=F.array_join(F.transform("p", lambda x: x["text"]), "")).alias("prompt"))
-    return providers.call(asked, provider, "abstract").select("doc", F.when(F.col("ok"), F.from_json("content", "abstract string")["abstract"]).alias("abstract"))
+    return asked_of(asked, provider, "abstract").select("doc", F.when(F.col("ok"), F.from_json("content", "abstract string")["abstract"]).alias("abstract"))
 
 
 def generated_toc(pages: DataFrame, opt: Options, provider: providers.Provider, budget: int = 10_000) -> DataFrame:
@@ -128,7 +135,7 @@ def generated_toc(pages: DataFrame, opt: Options, provider: providers.Provider,
         else:
             so_far = rows.groupBy("doc").agg(F.to_json(F.array_sort(F.collect_list(F.struct("grp", "n", "structure", "title", "physical_index")))).alias("previous"))
             asked = part.join(so_far, "doc", "left").select("doc", F.lit(opt.model).alias("model"), prompts.render("generate_toc_continue", opt.style, previous=F.col("previous"), content=F.col("content")).alias("prompt"))
-        got = providers.call(asked, provider, "toc_list" if rows is not None else "toc_list_initial").where("ok")
+        got = asked_of(asked, provider, "toc_list" if rows is not None else "toc_list_initial").where("ok")
         new = got.select("doc", F.lit(g).alias("grp"), F.posexplode(answers.assembled_rows(F.col("content"))).alias("n", "r")).select("doc", "grp", "n", "r.structure", "r.title", F.coalesce(text.parse_page_tag(F.col("r.physical_index")), F.col("r.physical_index").try_cast("int")).alias("physical_index"))
         rows = new if rows is None else rows.unionByName(new)
     if rows is None:
@@ -142,15 +149,15 @@ def transformed_toc(texts: DataFrame, opt: Options, provider: providers.Provider
     """(doc, content, rounds): a printed table of contents as JSON, continued while the model says it isn't complete."""
     ask = lambda df, prompt: df.select(*df.columns, F.lit(opt.model).alias("model"), prompt.alias("prompt"))
     keep = lambda df, *extra: df.select("doc", "toc", *extra)
-    out = providers.call(ask(texts.select("doc", "toc"), prompts.render("toc_transformer", opt.style, toc=F.col("toc"))), provider)
+    out = asked_of(ask(texts.select("doc", "toc"), prompts.render("toc_transformer", opt.style, toc=F.col("toc"))), provider)
     out = keep(out, text.without_fences(F.col("content")).alias("body"), F.lit(1).alias("rounds"))
     for _ in range(rounds - 1):
-        told = providers.call(ask(out, prompts.render("toc_completion", opt.style, toc=F.col("toc"), rewritten=F.col("body"))), provider, "toc_completion")
+        told = asked_of(ask(out, prompts.render("toc_completion", opt.style, toc=F.col("toc"), rewritten=F.col("body"))), provider, "toc_completion")
         told = told.withColumn("complete", ~F.col("ok") | (F.from_json("content", "completed string")["completed"] == "yes")).select("doc", "toc", "body", "rounds", "complete")
         open_ = told.where("not complete")
         if open_.isEmpty():
             break
-        more = providers.call(ask(open_.drop("complete"), prompts.render("generate_toc_continue", opt.style, previous=F.col("body"), content=F.col("toc"))), provider)
+        more = asked_of(ask(open_.drop("complete"), prompts.render("generate_toc_continue", opt.style, previous=F.col("body"), content=F.col("toc"))), provider)
         more = keep(more, F.concat("body", text.without_fences(F.col("content"))).alias("body"), (F.col("rounds") + 1).alias("rounds"))
         out = told.where("complete").drop("complete").unionByName(more)
     return out.select("doc", F.col("body").alias("content"), "rounds")
@@ -164,7 +171,7 @@ def figure_summaries(nodes: DataFrame, found: DataFrame, opt: Options, provider:
     """
     blocks = elements.figure_blocks(found).withColumnRenamed("block", "figures")
     leaf = nodes.join(blocks, ["doc", "key"])
-    told = providers.call(leaf.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("resummarise_leaf", opt.style, node_text=F.col("raw_text"), figures=F.col("figures")).alias("prompt")), provider).where("ok").select("doc", "key", F.col("content").alias("new"))
+    told = asked_of(leaf.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("resummarise_leaf", opt.style, node_text=F.col("raw_text"), figures=F.col("figures")).alias("prompt")), provider).where("ok").select("doc", "key", F.col("content").alias("new"))
     out = nodes.join(told, ["doc", "key"], "left").withColumn("changed", F.col("new").isNotNull()).withColumn("summary", F.coalesce("new", "summary")).drop("new")
     deepest = nodes.agg(F.max("depth")).first()[0] or 0
     for d in range(deepest - 1, 0, -1):
@@ -172,7 +179,7 @@ def figure_summaries(nodes: DataFrame, found: DataFrame, opt: Options, provider:
         touched = children.where("changed").select("doc", F.col("parent").alias("key")).distinct()
         block = trees.summary_block(children).withColumnsRenamed({"parent": "key", "block": "children"})
         asked = out.where(F.col("depth") == d).join(touched, ["doc", "key"]).join(block, ["doc", "key"])
-        new = providers.call(asked.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("resummarise_parent", opt.style, title=F.col("title"), children=F.col("children")).alias("prompt")), provider).where("ok").select("doc", "key", F.col("content").alias("new"))
+        new = asked_of(asked.select("doc", "key", F.lit(opt.model_fast).alias("model"), prompts.render("resummarise_parent", opt.style, title=F.col("title"), children=F.col("children")).alias("prompt")), provider).where("ok").select("doc", "key", F.col("content").alias("new"))
         out = out.join(new, ["doc", "key"], "left").withColumns({"changed": F.col("changed") | F.col("new").isNotNull(), "summary": F.coalesce("new", "summary")}).drop("new")
     return out.drop("changed")
 
@@ -180,7 +187,7 @@ def figure_summaries(nodes: DataFrame, found: DataFrame, opt: Options, provider:
 def read_elements(found: DataFrame, opt: Options, provider: providers.Provider = providers.stub) -> DataFrame:
     """Recognised text for elements with a picture; a failed call leaves its message as text and a row for the metrics."""
     asked = elements.readable(found).withColumns({"model": F.concat(F.lit("ocr:"), F.lit(opt.model)), "prompt": F.concat(F.lit(prompts.template("vision_layout")), F.lit("\n"), F.col("asset_uri"))})
-    told = providers.call(asked, provider)
+    told = asked_of(asked, provider)
     return told.withColumns({"ocr_text": F.col("content"), "errored": ~F.col("ok"), "ocr_parsed": elements.vision_json("content")})
 
 
@@ -188,4 +195,4 @@ def described(nodes: DataFrame, opt: Options, provider: providers.Provider = pro
     """(doc, description) from titles, ids and summaries in order."""
     outline = nodes.groupBy("doc").agg(F.to_json(F.array_sort(F.collect_list(F.struct("node_id", "title", "summary")))).alias("structure"))
     asked = outline.select("doc", F.lit(opt.model).alias("model"), prompts.render("generate_doc_description", opt.style, structure=F.col("structure")).alias("prompt"))
-    return providers.call(asked, provider).select("doc", F.when(F.col("ok"), F.col("content")).alias("description"))
+    return asked_of(asked, provider).select("doc", F.when(F.col("ok"), F.col("content")).alias("description"))

@@ -6,13 +6,11 @@ closed_at, status); activities(workflow_id, activity_type, scheduled_at, last_st
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafline.operators import scratch
 from leafline.operators.intervals import stat_summary
-from leafline.operators.trees import KEPT_LEVELS
 
 # Outcomes by terminal event, the type that counts as an item, flag limits.
 OUTCOMES = {"completed": "success", "failed": "failure", "timed_out": "timed_out", "canceled": "canceled"}
@@ -24,12 +22,11 @@ def subtree(workflows: DataFrame, root: str) -> DataFrame:
     """The run `root` and all runs started under it, each once, level by level until one is empty."""
     level = workflows.where(F.col("workflow_id") == root).withColumn("__path", F.array("workflow_id"))
     out = level
-    for d in count(1):
+    while True:
         above = level.select(F.col("workflow_id").alias("__up"), F.col("__path").alias("__above")).dropDuplicates(["__up"])
         level = workflows.join(above, F.col("parent_id") == F.col("__up")).where(~F.coalesce(F.array_contains("__above", F.col("workflow_id")), F.lit(False)))
         level = level.withColumn("__path", F.concat("__above", F.array("workflow_id"))).drop("__up", "__above")
-        if d % KEPT_LEVELS == 0:
-            level = level.persist()
+        level = scratch.stored(level, "level")
         if level.isEmpty():
             break
         out = out.unionByName(level)

@@ -13,10 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.functions import ids, text
+from leafline.operators import scratch
 
 CITATION_RUN = 5
-#: Each so many levels of a walk, the level is kept, so that deeper ones don't compute all above again.
-KEPT_LEVELS = 8
 
 
 def _by_doc(order: str = "ord"):
@@ -51,7 +50,7 @@ def parents(toc: DataFrame) -> DataFrame:
 def preorder(nodes: DataFrame) -> DataFrame:
     """nodes(doc, ord, parent_ord, title) with depth, path (ordinals from the root), node_id and breadcrumb (titles from the root).
 
-    Level by level until one is empty: each round joins the children of the level before, on (doc, parent). A node that is
+    Level by level until one is empty: each round joins the children of the level before, on (doc, parent), and stores them. A node that is
     its own ancestor is an error; nodes that no root reaches are in no tree.
     """
     level = nodes.where("parent_ord is null").withColumns({"depth": F.lit(1), "path": F.array("ord"), "breadcrumb": F.array("title")})
@@ -61,9 +60,8 @@ def preorder(nodes: DataFrame) -> DataFrame:
         level = nodes.join(above, (F.col("doc") == F.col("adoc")) & (F.col("parent_ord") == F.col("aord")))
         cycle = F.raise_error(F.format_string("node %s of document %s is its own ancestor", "ord", "doc")).cast("boolean")
         level = level.where(F.when(F.array_contains("apath", F.col("ord")), cycle).otherwise(F.lit(True))).select(*nodes.columns, F.lit(d).alias("depth"), F.concat("apath", F.array("ord")).alias("path"), F.concat("acrumb", F.array("title")).alias("breadcrumb"))
-        if d % KEPT_LEVELS == 0:
-            level = level.persist()
-        if d > 2 and level.isEmpty():
+        level = scratch.stored(level, "level")
+        if level.isEmpty():
             break
         out = out.unionByName(level)
     return out.withColumn("node_id", ids.node_id(F.row_number().over(W.partitionBy("doc").orderBy("path")) - 1))

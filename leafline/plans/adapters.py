@@ -61,7 +61,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, n, s = (table(spark, sf_dir, t) for t in ("region", "nation", "supplier"))
     top = r.select(F.col("r_regionkey").alias("doc"), F.lit(0).cast("long").alias("ord"), F.lit(None).cast("long").alias("parent_ord"), F.col("r_name").alias("title"))
     mid = n.select(F.col("n_regionkey").alias("doc"), (F.lit(100) + F.col("n_nationkey")).cast("long").alias("ord"), F.lit(0).cast("long").alias("parent_ord"), F.col("n_name").alias("title"))
-    low = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select(F.col("n_regionkey").alias("doc"), (F.lit(10000) + F.col("s_suppkey")).alias("ord"), (F.lit(100) + F.col("n_nationkey")).cast("long").alias("parent_ord"), F.col("s_name").alias("title"))
+    low = s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("n_regionkey").alias("doc"), (F.lit(10000) + F.col("s_suppkey")).alias("ord"), (F.lit(100) + F.col("n_nationkey")).cast("long").alias("parent_ord"), F.col("s_name").alias("title"))
     return top.unionByName(mid).unionByName(low)
 
 

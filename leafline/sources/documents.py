@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafline.operators import scratch
+
 PAGES = "doc string, page_idx int, text string, token_count long"
 MANIFEST = "batch_id string, items array<struct<document_id:string,pdf_uri:string>>"
 INDEX_MANIFEST = "batch_id string, items array<struct<document_id:string,tree_uri:string>>"
@@ -36,28 +40,23 @@ def manifest(spark: SparkSession, path: str, index: bool = False) -> DataFrame:
     return each.select("batch_id", "item_ord", "i.document_id", F.col("i.tree_uri" if index else "i.pdf_uri").alias("uri"))
 
 
-def tree_schema(depth: int = 6) -> str:
-    """A node struct nested so deep; Spark has no recursive types."""
-    own = ",".join(f.replace(" ", ":") for f in NODE.split(", "))
-    s = f"struct<{own}>"
-    for _ in range(depth - 1):
-        s = f"struct<{own},nodes:array<{s}>>"
-    return f"paper_id string, total_pages int, abstract string, root_nodes array<{s}>"
-
+def trees(spark: SparkSession, path: str) -> DataFrame:
+    """Tree files as adjacency rows (doc, path array<int>, parent_path, title, ..., depth), level by level until one is empty.
 
-def trees(spark: SparkSession, path: str, depth: int = 6) -> DataFrame:
-    """Tree files as adjacency rows (doc, path array<int>, parent_path, title, ..., depth), `depth` levels at most."""
-    t = spark.read.schema(tree_schema(depth)).option("multiLine", True).json(path)
-    level = t.select(F.col("paper_id").alias("doc"), F.posexplode("root_nodes").alias("n", "node")).select("doc", F.array("n").alias("path"), "node")
-    fields = [f.split(" ")[0] for f in NODE.split(", ")]
+    Spark has no recursive types, so nodes are variants; a file that isn't JSON fails.
+    """
+    t = spark.read.option("wholetext", True).text(path).select(F.parse_json("value").alias("v"))
+    nodes = lambda v, at: F.posexplode(F.variant_get(v, at, "array<variant>")).alias("n", "node")
+    level = t.select(F.variant_get("v", "$.paper_id", "string").alias("doc"), nodes("v", "$.root_nodes")).select("doc", F.array("n").alias("path"), "node")
+    fields = [F.variant_get("node", f"$.{f.split(' ')[0]}", f.split(" ")[1]).alias(f.split(" ")[0]) for f in NODE.split(", ")]
     out = None
-    for d in range(1, depth + 1):
-        rows = level.select("doc", "path", F.slice("path", 1, d - 1).alias("parent_path"), *(F.col(f"node.{f}") for f in fields), F.lit(d).alias("depth"))
+    for d in count(1):
+        level = scratch.stored(level, "level")
+        if out is not None and level.isEmpty():
+            return out
+        rows = level.select("doc", "path", F.slice("path", 1, d - 1).alias("parent_path"), *fields, F.lit(d).alias("depth"))
         out = rows if out is None else out.unionByName(rows)
-        if "nodes" not in level.schema["node"].dataType.names:
-            break
-        level = level.select("doc", "path", F.posexplode("node.nodes").alias("n", "node")).select("doc", F.concat("path", F.array("n")).alias("path"), "node")
-    return out
+        level = level.select("doc", "path", nodes("node", "$.nodes")).select("doc", F.concat("path", F.array("n")).alias("path"), "node")
 
 
 RESULT_NAME = r"([^/]+)_p(\d+)_(.+)_([^_/]+)_([^_/]+)\.md$"

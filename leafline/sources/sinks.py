@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from leafline.operators import scratch
+
+#: Each so many levels of a fold, what is folded so far is stored, so that plans stay short.
+KEPT_LEVELS = 8
+
 
 def run_pages(pages: DataFrame, path: str) -> None:
     """pages(document_id, run_id, ...) under document and run."""
@@ -24,13 +29,11 @@ def portable(path: Column, anchor: str) -> Column:
     return F.when(F.startswith(path, F.lit(base)), F.substring(path, len(base) + 1, 1 << 30)).otherwise(path)
 
 
-def nested_trees(nodes: DataFrame, max_depth: int = 16) -> DataFrame:
+def nested_trees(nodes: DataFrame) -> DataFrame:
     """(doc, tree): JSON forests of nodes(doc, path, title, node_id, start_index, end_index), children folded into parents bottom up."""
     own = F.struct("title", "node_id", "start_index", "end_index")
     rows = nodes.select("doc", "path", F.to_json(own).alias("j"))
     deepest = rows.agg(F.max(F.size("path"))).first()[0] or 0
-    if deepest > max_depth:
-        raise ValueError(f"trees nest {deepest} deep, at most {max_depth}")
     carried = None
     for d in range(deepest, 0, -1):
         level = rows.where(F.size("path") == d)
@@ -38,6 +41,8 @@ def nested_trees(nodes: DataFrame, max_depth: int = 16) -> DataFrame:
             level = level.join(carried, ["doc", "path"], "left")
             level = level.select("doc", "path", F.when(F.col("children").isNull(), F.col("j")).otherwise(F.concat(F.expr("left(j, length(j) - 1)"), F.lit(',"nodes":'), F.col("children"), F.lit("}"))).alias("j"))
         folded = level.groupBy("doc", F.slice("path", 1, d - 1).alias("parent")).agg(F.array_sort(F.collect_list(F.struct("path", "j"))).alias("x"))
+        if d % KEPT_LEVELS == 0:
+            folded = scratch.stored(folded, "level")
         carried = folded.select("doc", F.col("parent").alias("path"), F.concat(F.lit("["), F.array_join(F.transform("x", lambda r: r["j"]), ","), F.lit("]")).alias("children"))
     return carried.select("doc", F.col("children").alias("tree")) if carried is not None else nodes.select("doc", F.lit("[]").alias("tree")).limit(0)
 
@@ -47,11 +52,13 @@ def chunk_json(chunks: DataFrame) -> DataFrame:
 
 
 def upsert_points(points: DataFrame, path: str) -> int:
-    """points replace those of the same papers in the table; papers not named stay. Returns the number written."""
-    n = points.count()
-    if n:
-        points.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("paper").parquet(path)
-    return n
+    """points replace those of the same papers in the table; papers not named stay. Returns the number written.
+
+    One pass: the rows are counted as they are written, and no row writes nothing.
+    """
+    seen = Observation()
+    points.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("paper").parquet(path)
+    return seen.get["n"]
 
 
 def delete_papers(spark, path: str, papers: list[str]) -> None:

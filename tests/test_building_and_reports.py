@@ -122,3 +122,22 @@ def test_reports(spark, tmp_path):
     with pytest.raises(ValueError):
         reports.live_report(w, e, m, dt.datetime(2024, 1, 1), at(1))
     assert reports.scaled(2048) == "2.0 KiB" and reports.run_record("process", "d", "a", "b", {}, None, error="e")["status"] == "error"
+
+
+def test_every_prompt_is_asked_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def counted(name, prompt):
+        with open(log, "a") as f:
+            f.write(prompt.split("\n")[0] + "\n")
+        return model(name, prompt)
+
+    grouped = building.generated_toc(pages(spark), building.Options(), counted, budget=160)
+    groups = building.toc.page_groups(pages(spark), 160, 1, 15).agg(F.max("grp")).first()[0] + 1
+    assert grouped.count() == grouped.count() == groups and len(open(log).readlines()) == groups
+    open(log, "w").close()
+    n = spark.createDataFrame([("d", "a", "A", 2, 2, None), ("d", "b", "B", 4, 4, None)], "doc string, key string, title string, start_index int, end_index int, summary string")
+    out = building.summarised(n, pages(spark), building.Options(overlap_pages=0), counted)
+    assert out.count() == 2 and len(out.collect()) == 2
+    asked = open(log).readlines()
+    assert len(asked) == 5 and sum(x.startswith("Summarise") for x in asked) == 2

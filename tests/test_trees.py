@@ -88,7 +88,7 @@ def test_anchors_and_corrections(spark, rows):
 
 def test_tree_files_become_rows(spark, tmp_path):
     (tmp_path / "tree.json").write_text('{"paper_id":"p","total_pages":4,"root_nodes":[{"title":"A","node_id":"0000","start_index":1,"end_index":4,"nodes":[{"title":"B","node_id":"0001","start_index":2,"end_index":3}]}]}')
-    got = documents.trees(spark, str(tmp_path / "tree.json"), 3)
+    got = documents.trees(spark, str(tmp_path / "tree.json"))
     assert {(r["title"], tuple(r["path"]), tuple(r["parent_path"]), r["depth"]) for r in got.collect()} == {("A", (0,), (), 1), ("B", (0, 0), (0,), 2)}
 
 
@@ -106,3 +106,15 @@ def test_a_node_above_itself_is_an_error(spark):
     n = spark.createDataFrame([("d", 1, None, "a"), ("d", 1, 1, "b")], "doc string, ord int, parent_ord int, title string")
     with pytest.raises(Exception, match="own ancestor"):
         trees.preorder(n).collect()
+
+
+def test_deep_trees_are_read_and_written_whole(spark, tmp_path):
+    import json
+
+    node = None
+    for d in range(40, 0, -1):
+        node = {"title": f"T{d}", "node_id": f"{d:04d}", "start_index": d, "end_index": 40} | ({"nodes": [node]} if node else {})
+    (tmp_path / "tree.json").write_text(json.dumps({"paper_id": "p", "root_nodes": [node]}))
+    got = documents.trees(spark, str(tmp_path / "tree.json"))
+    assert [(r["depth"], r["title"], len(r["path"])) for r in got.orderBy("depth").collect()] == [(d, f"T{d}", d) for d in range(1, 41)]
+    assert json.loads(sinks.nested_trees(got).first()["tree"]) == [node]

@@ -87,6 +87,25 @@ def test_scores_match_a_plain_model(spark, monkeypatch, segment, part, order):
         assert abs(r["score"] - score) < 0.02 * n + 1e-6  # probabilities are quantised
 
 
+def test_ids_of_any_width_give_the_same_pairs():
+    r = np.random.default_rng(3)
+    context, word = r.integers(0, 50, 4000), r.integers(0, 30, 4000)
+    for shift, by in ((5, 0), (5, 2**58), (40, 2**33)):
+        c, w, n = lm.pairs_counted(context + by, word, shift)
+        want = Counter(zip((context + by).tolist(), word.tolist(), strict=True))
+        assert dict(zip(zip(c.tolist(), w.tolist(), strict=True), n.tolist(), strict=True)) == want
+        assert list(zip(c.tolist(), w.tolist(), strict=True)) == sorted(want)
+
+
+def test_pairs_lie_between_their_cuts():
+    r = np.random.default_rng(4)
+    cuts = sorted({(int(c), int(w)) for c, w in zip(r.integers(0, 6, 40), r.integers(0, 9, 40), strict=True)})
+    pairs = [(c, w) for c in range(-1, 8) for w in range(-1, 11)]
+    c, w, a, b = (np.array(x) for x in ([x for x, _ in cuts], [y for _, y in cuts], [x for x, _ in pairs], [y for _, y in pairs]))
+    assert lm.placed(c, w, a, b).tolist() == [sum(x <= p for x in cuts) for p in pairs]
+    assert lm.placed(c[:0], w[:0], a, b).tolist() == [0] * len(pairs)
+
+
 def test_probabilities_sum_to_one(spark):
     docs = [(i, t) for i, t in enumerate(["a b a", "b c", "a a c", "", "c b a b"])]
     _, uni, p = brute(docs)

@@ -52,7 +52,10 @@ def meetings(buckets: DataFrame, rows: int, size: int) -> DataFrame:
     Buckets that hold the same parts count once. Nodes of a part with more than LISTED cells have several rows.
     """
     counts = common.stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    met = common.joined(buckets, counts.withColumn("size", F.col("n")), "bucket", rows)
+    if common.few(counts):
+        met = buckets.join(F.broadcast(counts.withColumnRenamed("n", "size")), "bucket")
+    else:
+        met = common.joined(buckets, counts.withColumn("size", F.col("n")), "bucket", rows)
     met = common.stored(met.select("node", "bucket", "size"), "met")
     home = met.groupBy("node").agg(F.max(F.struct("size", "bucket")).alias("x")).select("node", F.col("x.bucket").alias("home"))
     home = common.stored(home, "homes")

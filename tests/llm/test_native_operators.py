@@ -222,6 +222,61 @@ def test_marginals_and_paths_agree(spark, targets):
     assert expected <= 0.6 * total + 1e-6 and (abs(expected - 0.6 * total) < 1e-3 * total or max(r["__probability"] for r in rows) == 1)
 
 
+def test_weights_are_those_of_plain_raking(spark):
+    df = documents(spark)
+    targets = {"lang": {"en": 3.0, "fr": 1.0, "(none)": 1.0}, "topic": {"tabular": 1.0, "short": 4.0}}
+    rows = mixing.mixed(df, targets).collect()
+    cell = lambda r: (r["source"] or "(none)", r["lang"] or "(none)", "tabular" if r["text"] and " | " in r["text"] else "prose" if r["text"] is None else "short")
+    mass = defaultdict(int)
+    for r in rows:
+        mass[cell(r)] += len((r["text"] or "").split())
+    goal = []
+    for k, m in enumerate(("source", "lang", "topic")):
+        raw = defaultdict(float)
+        for c, t in mass.items():
+            raw[c[k]] += t
+        raw = {v: targets[m].get(v, 0.0) if m in targets else t**0.5 for v, t in raw.items() if t}
+        goal.append({v: x / sum(raw.values()) for v, x in raw.items()})
+    w = {c: float(t) for c, t in mass.items()}
+    for n in range(3000):
+        total = defaultdict(float)
+        for c, x in w.items():
+            total[c[n % 3]] += x
+        w = {c: x * goal[n % 3].get(c[n % 3], 0) / total[c[n % 3]] if total[c[n % 3]] else 0.0 for c, x in w.items()}
+    whole = sum(mass.values())
+    weight = {c: w[c] * whole / t if t else 0.0 for c, t in mass.items()}
+    lo, hi = 0.0, 1e6
+    for _ in range(200):  # the factor by bisection
+        f = (lo + hi) / 2
+        lo, hi = (f, hi) if sum(t * min(1, f * weight[c]) for c, t in mass.items()) < 0.6 * whole else (lo, f)
+    for r in rows:
+        assert r["__tokens"] == len((r["text"] or "").split())
+        assert abs(r["__weight"] - weight[cell(r)]) < 1e-4 * max(1, weight[cell(r)]) and abs(r["__probability"] - min(1, f * weight[cell(r)])) < 1e-4
+
+
+@pytest.mark.parametrize("cells", [10**6, 0])
+def test_targets_out_of_reach_warn(spark, monkeypatch, cells):
+    monkeypatch.setattr(mixing, "ROUNDS", 4)
+    df = spark.createDataFrame([(1, "a b", "s", "en"), (2, "a b", "t", "fr")], "doc_id long, text string, source string, lang string")
+    with pytest.warns(UserWarning, match="doesn't meet"):
+        out = mixing.mixed(df, {"source": {"s": 1, "t": 1}, "lang": {"en": 3, "fr": 1}}, max_cells=cells)
+    assert out.count() == 2
+
+
+@pytest.mark.parametrize("cells", [10**6, 0])
+def test_mixing_keeps_clashing_columns(spark, monkeypatch, cells):
+    monkeypatch.setattr(mixing.common, "HOT", 20)
+    names = ["__source", "__tokens", "topic", "weight", "cell", "row", "id", "n", "tokens"]
+    rows = [(i, "w " * (i % 9 + 1) + ("long " * 50000 if i == 7 else ""), f"s{i % 2}", "en", "a", "b", f"t{i % 3}", *["v"] * 6) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, " + ", ".join(f"{n} string" for n in names))
+    out = mixing.mixed(df, max_cells=cells)
+    assert no_python(out) and out.columns == df.columns + ["__lang", "__topic", "__weight", "__probability", "__sampled"]
+    got = out.collect()
+    assert len(got) == 90 and all(r["__topic"] == r["topic"] == f"t{r['doc_id'] % 3}" and r["weight"] == r["cell"] == "v" and r["__tokens"] == len(r["text"].split()) for r in got)
+    kept = mixing.sampled(df, max_cells=cells)
+    assert kept.columns == df.columns and {tuple(r) for r in kept.collect()} == {t for r, t in zip(got, [rows[r["doc_id"]] for r in got], strict=True) if r["__sampled"]}
+
+
 def test_sampling_follows_the_probabilities(spark):
     df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("w w w").alias("text"), F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"), F.lit("en").alias("lang"))
     got = mixing.mixed(df, {"source": {"a": 1.0, "b": 1.0}}, budget=0.4)

@@ -61,6 +61,19 @@ def spread(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
 
 def dedup_lines(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """documents with boilerplate lines cut from text, and a column n_removed."""
+    out = _cleaned(documents, sites, margin)
+    return out.select(*common.unboxed(out, text=F.col("text"), n_removed=F.col("removed")))
+
+
+def cleaned(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
+    """documents with boilerplate lines cut from text and n_chars, if there is one, following it; other columns as they are."""
+    out = _cleaned(documents, sites, margin)
+    n = {"n_chars": F.length("text").cast(documents.schema["n_chars"].dataType)} if "n_chars" in documents.columns else {}
+    return out.select(*common.unboxed(out, text=F.col("text"), **n))
+
+
+def _cleaned(documents: DataFrame, sites: int, margin: float) -> DataFrame:
+    """(row, text, removed): each document's columns in a box, its text without boilerplate lines, and their number."""
     gone = common.stored(spread(documents, sites, margin).select("line"), "boilerplate")
     rows = documents.select(common.boxed(documents), F.col("text").alias("t"))
     n = gone.count()
@@ -84,7 +97,7 @@ def dedup_lines(documents: DataFrame, sites: int = SITES, margin: float = MARGIN
     removed = F.when(F.col("t").isNull(), F.lit(0)).otherwise(F.size(lines_of("t")) - F.size("kept")).cast("int")
     out = out.select("row", "t", "kept", removed.alias("removed"))
     text = F.when(F.col("removed") == 0, F.col("t")).otherwise(F.array_join("kept", "\n"))
-    return out.select(*common.unboxed(out, text=text, n_removed=F.col("removed")))
+    return out.select("row", text.alias("text"), "removed")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

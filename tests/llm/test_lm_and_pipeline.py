@@ -167,3 +167,35 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     run = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(tuple, run.collect())) == sorted(map(tuple, seen["packing"]))
     assert run.select(F.sum("length")).first()[0] == sum(r["length"] for r in seen["packing"])
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(5)
+    prose = lambda n: " ".join(r.choices([f"word{i}" for i in range(200)], k=n))
+    names = ["__k", "__doc", "__gone", "n_removed", "__topic", "row", "h1", "key", "blocked"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    row = lambda i, t, lang="en", source="s", *x: (i, t, lang, source, None if t is None else len(t), *(x or ["v"] * len(names)))
+    rows = [row(i, prose(40) + "\nfoot", "en", f"s{i % 7}") for i in range(60)]
+    rows += [row(100, None), row(101, ""), row(None, prose(30)), row(102, "foot", None, None), row(103, prose(30000)), rows[3], rows[3], row(104, rows[4][1], *[None] * (2 + len(names)))]
+    labels = [(i, int(i % 6 > 0), 0) for i in range(60)] + [(None, 1, 0), (3, None, 0)]
+    for name, docs in (("all", rows), ("none", [])):
+        at = f"{tmp_path}/{name}"
+        spark.createDataFrame(docs, schema).write.parquet(f"{at}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+        docs, left = spark.read.parquet(f"{at}/documents.parquet"), {}
+        for stage, f in corpus_pipeline.STAGES:
+            out = f(spark, docs, at)
+            left[stage] = out.collect()
+            if stage != "packing":
+                assert out.columns == docs.columns and out.dtypes == docs.dtypes
+                docs = spark.createDataFrame(left[stage], out.schema)
+        assert bool(left["quality"]) == bool(name == "all")
+        if name == "all":
+            texts = [x["text"] for x in left["near duplicates"]]
+            assert len(texts) == len(set(texts)) and not any("foot" in (t or "") for t in texts)
+            assert {x["text"] for x in left["near duplicates"]} <= {x["text"] for x in left["line dedup"]}
+            assert all(x["key"] == "v" for x in left["mixing"] if x["doc_id"] not in (4, 104))
+        got = corpus_pipeline.run(spark, at)
+        assert got.count() == len(left["packing"]) and sum(x["length"] for x in left["packing"]) == (got.agg(F.sum("length")).first()[0] or 0)

@@ -7,7 +7,6 @@ every stage's result to the shared folder and reads it again, so a lost executor
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leafline.llm import common, jaccard, lines, mixing, packing, quality
 
@@ -19,8 +18,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many sources repeat; n_chars follows the text."""
-    out = lines.dedup_lines(docs).drop("n_removed")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return lines.cleaned(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

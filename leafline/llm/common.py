@@ -61,9 +61,12 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def joined(big: DataFrame, counted: DataFrame, key: str, rows: int) -> DataFrame:
     """big joined with counted(key, n, ...) on key, n being big's rows of that key and `rows` at least big's rows.
 
-    Hot keys are broadcast and their rows stay where they are; the others shuffle, HOT rows a key at most. The limit rises with
-    the rows, so that there are at most BROADCAST_ROWS hot keys.
+    Every key of counted has a row in big, so that counted is broadcast where big has few rows. Beyond that, hot keys are
+    broadcast and their rows stay where they are; the others shuffle, HOT rows a key at most. The limit rises with the rows, so
+    that there are at most BROADCAST_ROWS hot keys.
     """
+    if rows <= BROADCAST_ROWS:
+        return big.join(F.broadcast(counted.drop("n")), key)
     limit = max(HOT, -(-rows // BROADCAST_ROWS))
     hot, cold = counted.where(F.col("n") > limit).drop("n"), counted.where(F.col("n") <= limit).drop("n")
     rest = big.join(F.broadcast(hot.select(key)), key, "left_anti")

@@ -70,6 +70,7 @@ def test_colliding_hashes_keep_texts_apart(spark, monkeypatch):
 def test_shuffled_sides_and_hot_keys_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(jaccard.common, "few", lambda df, rows=0: False)
     monkeypatch.setattr(jaccard.common, "HOT", 3)
+    monkeypatch.setattr(jaccard.common, "BROADCAST_ROWS", 40)
     monkeypatch.setattr(jaccard.graph, "LISTED", 2)
     docs = corpus(40, seed=8) + [(2000 + i, "the same text in many rows " * 3) for i in range(30)]
     df = spark.createDataFrame(docs, "doc_id long, text string")

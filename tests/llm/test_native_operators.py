@@ -266,6 +266,7 @@ def test_targets_out_of_reach_warn(spark, monkeypatch, cells):
 @pytest.mark.parametrize("cells", [10**6, 0])
 def test_mixing_keeps_clashing_columns(spark, monkeypatch, cells):
     monkeypatch.setattr(mixing.common, "HOT", 20)
+    monkeypatch.setattr(mixing.common, "BROADCAST_ROWS", 40)
     names = ["__source", "__tokens", "topic", "weight", "cell", "row", "id", "n", "tokens"]
     rows = [(i, "w " * (i % 9 + 1) + ("long " * 50000 if i == 7 else ""), f"s{i % 2}", "en", "a", "b", f"t{i % 3}", *["v"] * 6) for i in range(90)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, " + ", ".join(f"{n} string" for n in names))

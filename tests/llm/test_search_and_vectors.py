@@ -140,6 +140,7 @@ def test_colliding_hashes_keep_vectors_apart(spark, monkeypatch):
 
 def test_hot_keys_join_where_they_are(spark, monkeypatch):
     monkeypatch.setattr(vectors.common, "HOT", 2)
+    monkeypatch.setattr(vectors.common, "BROADCAST_ROWS", 40)
     test_near_vectors_match_all_pairs(spark, 5)
     test_components_of_chains_and_stars(spark)
 

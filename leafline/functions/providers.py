@@ -14,6 +14,30 @@ from leafline.functions import answers
 Provider = Callable[[str, str], str]
 ANSWER = "content string, finish_reason string, ok boolean, error string, attempts int, started_at double, ended_at double, input_tokens long, output_tokens long"
 
+#: Seconds before the second and each further try, and tries, of calls on processors and on graphics cards.
+RETRY_FIRST_S, RETRY_FACTOR = 2.0, 3.0
+RETRIES = {"cpu": 3, "gpu": 5}
+
+
+def delays(kind: str) -> list[float]:
+    """The waits between the tries of a kind of call."""
+    return [RETRY_FIRST_S * RETRY_FACTOR**n for n in range(RETRIES[kind] - 1)]
+
+
+def patient(provider: Provider, kind: str = "cpu", sleep: Callable[[float], None] = time.sleep) -> Provider:
+    """provider, asked again after growing waits where it fails; the last failure stands."""
+
+    def ask(model: str, prompt: str) -> str:
+        for wait in delays(kind):
+            try:
+                return provider(model, prompt)
+            except Exception:  # noqa: BLE001 - asked again
+                sleep(wait)
+        return provider(model, prompt)
+
+    return ask
+
+
 def stub(model: str, prompt: str) -> str:
     """A short answer that only depends on model and prompt."""
     return f"{model}:{zlib.crc32(prompt.encode()):08x}:{' '.join(prompt.split()[:12])}"

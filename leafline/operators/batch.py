@@ -90,3 +90,28 @@ def signed(value: Column) -> Column:
 
 def ratio(value: Column) -> Column:
     return F.when(F.isnan(value), "—").otherwise(F.format_string("%.2f×", value))
+
+
+def of_batch(items: DataFrame, batch: str) -> DataFrame:
+    """items, failing on one of another batch."""
+    same = F.coalesce(F.col("batch_id") == batch, F.lit(False))
+    return items.where(F.assert_true(same, F.lit(f"the manifest is not of batch {batch}")).isNull())
+
+
+def with_failed_shards(items: DataFrame, results: DataFrame, failed: DataFrame) -> DataFrame:
+    """(item_ord, document_id, shard, status, error) of every item in order of its manifest: its result; where its shard failed,
+    or gave no result for it, a failure. failed(shard, error) overrules what the shard's items had reached."""
+    r = results.select("item_ord", F.col("status").alias("own"), F.col("error").alias("own_error"))
+    j = items.select("item_ord", "document_id", "shard").join(r, "item_ord", "left").join(failed.select("shard", F.col("error").alias("reason")), "shard", "left")
+    lost = F.col("reason").isNotNull()
+    told = F.when(lost, text.truncated(F.concat(F.lit("shard-level failure: "), "reason"), SHARD_LIMIT)).when(F.col("own").isNull(), "no result").otherwise(F.col("own_error"))
+    return j.select("item_ord", "document_id", "shard", F.when(lost | F.col("own").isNull(), "failure").otherwise(F.col("own")).alias("status"), told.alias("error"))
+
+
+def pending(targets: DataFrame, ready: DataFrame) -> DataFrame:
+    """The targets that aren't ready."""
+    return targets.select("name").distinct().join(ready.select("name").distinct(), "name", "left_anti")
+
+
+def preview(items: DataFrame, n: int = 5) -> DataFrame:
+    return items.orderBy("item_ord").limit(n)

@@ -122,3 +122,21 @@ def figure_blocks(elements: DataFrame) -> DataFrame:
     return g.select("doc", "key", F.array_join(F.transform("x", lambda r: r["line"]), "\n").alias("block"))
 
 
+
+
+def suppressed(found: DataFrame, iou: float) -> DataFrame:
+    """Detections without those that overlap a surer one of their page and class by more than iou (intersection over union);
+    equally sure ones in their order. What is left depends on what was left before, so a page goes through one function call."""
+
+    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+        box = pdf.sort_values(["confidence", "ord"], ascending=[False, True])
+        kept: list[int] = []
+        x0, y0, x1, y1 = (box[c].to_numpy(float) for c in ("x0", "y0", "x1", "y1"))
+        area = (x1 - x0).clip(0) * (y1 - y0).clip(0)
+        for n in range(len(box)):
+            both = (x1[kept].clip(max=x1[n]) - x0[kept].clip(min=x0[n])).clip(0) * (y1[kept].clip(max=y1[n]) - y0[kept].clip(min=y0[n])).clip(0)
+            if not (both > iou * (area[kept] + area[n] - both)).any():
+                kept.append(n)
+        return box.iloc[kept]
+
+    return found.groupBy("doc", "page", "label").applyInPandas(keep, found.schema)

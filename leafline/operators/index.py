@@ -73,3 +73,17 @@ def payload(chunks: DataFrame) -> DataFrame:
 
 def points(zipped_rows: DataFrame) -> DataFrame:
     return zipped_rows.withColumn("point_id", ids.uuid5(F.col("doc_id")))
+
+
+def embedded(chunks: DataFrame, model, dim: int, batch: int = 64) -> DataFrame:
+    """chunks with embedding: model(list of texts) gives a row of dim numbers for each, `batch` texts a call; another shape fails."""
+
+    def work(batches):
+        for b in batches:
+            made = [np.asarray(model(b["text"].iloc[i : i + batch].tolist()), dtype=np.float16).reshape(-1, dim) if len(b) else None for i in range(0, len(b), batch)]
+            if sum(map(len, made)) != len(b):
+                raise ValueError(f"the model gave {sum(map(len, made))} vectors for {len(b)} texts")
+            yield b.assign(embedding=[v.astype(np.float32).tolist() for m in made for v in m])
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chunks.schema.fields)
+    return chunks.mapInPandas(work, f"{kept}, embedding array<float>")

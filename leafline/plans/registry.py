@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, ids, prompts, providers, text
-from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, toc, trees
+from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, processing, toc, trees
 from leafline.plans import adapters as A
 from leafline.sources import documents as sources
 from leafline.sources import sinks
@@ -167,6 +167,17 @@ def _(s, d):
     return A.ranges(s, d).select("doc", "key", join(b).alias("before"), join(a).alias("after"), join(trees.page_indexes(F.col("start_index"), F.col("end_index"))).alias("own"))
 
 
+@query("h3_post_processed", f"WITH {A.TOC}, r AS (SELECT doc, ord, structure, title, physical_index AS start_index, CAST(CASE WHEN lead(ord) OVER w IS NULL THEN 8 WHEN lead(appear_start) OVER w = 'yes' THEN lead(physical_index) OVER w - 1 ELSE lead(physical_index) OVER w END AS INTEGER) AS end_index FROM toc WINDOW w AS (PARTITION BY doc ORDER BY ord)), k AS (SELECT c.doc, c.ord, any_value(c.title) AS title, any_value(c.start_index) AS start_index, any_value(c.end_index) AS end_index, max(p.ord) AS parent FROM r c LEFT JOIN r p ON p.doc = c.doc AND p.ord < c.ord AND p.structure = CASE WHEN contains(c.structure, '.') THEN regexp_replace(c.structure, '\\.[^.]*$', '') END GROUP BY c.doc, c.ord) SELECT *, NOT EXISTS (SELECT 1 FROM k x WHERE x.doc = k.doc AND x.parent = k.ord) AS is_leaf FROM k")
+def _(s, d):
+    return processing.post_processed(A.toc(s, d), F.lit(8))
+
+
+@query("p16_outline", f"{_WALK} SELECT doc, array_to_string(path, '/') AS path, title, node_id FROM n")
+def _(s, d):
+    n = trees.preorder(A.places(s, d)).withColumn("page_number", F.lit(1))
+    return processing.outline(n).withColumn("path", F.array_join(F.transform("path", lambda x: x.cast("string")), "/"))
+
+
 @query("h10_divide", f"WITH {A.RANGES} SELECT doc, key, (end_index - start_index > 3) AND (n_chars >= 1000) AND dfs < 3 AS divide FROM ranges JOIN documents ON doc_id = doc")
 def _(s, d):
     n = A.ranges(s, d).join(A.table(s, d, "documents").select(F.col("doc_id").alias("doc"), F.col("n_chars").alias("tokens")), "doc").withColumn("depth", F.col("dfs"))
@@ -339,6 +350,11 @@ def _(s, d):
     return elements.kept_detections(A.boxes(s, d), ["figure", "table"], 0.4).select("ord", "label", "nx0", "ny0", "nx1", "ny1")
 
 
+@query("p24_suppressed")
+def _(s, d):
+    return elements.suppressed(A.boxes(s, d).select("doc", "page", "ord", "label", "confidence", "x0", "y0", "x1", "y1"), 0.3)
+
+
 @query("m2_pixel_box", f"WITH {A.BOXES} SELECT ord, CAST(trunc(x0 * 1.37) AS INTEGER) AS x0, CAST(trunc(y0 * 1.37) AS INTEGER) AS y0 FROM boxes")
 def _(s, d):
     return elements.pixel_box(A.boxes(s, d), 1.37).select("ord", "x0", "y0")
@@ -651,6 +667,33 @@ def _(s, d):
     return batch.manifest_errors(A.table(s, d, "customer").select(k.alias("item_ord"), F.when(k % 17 == 0, "").when(k % 19 == 0, "a/b").when(k % 23 == 0, "same").otherwise(F.concat(F.lit("c"), k)).alias("document_id")))
 
 
+@query("o3_failed_shards", f"WITH {A.RESULTS} SELECT item_ord, document_id, shard, CASE WHEN shard % 5 = 0 OR item_ord % 7 = 0 THEN 'failure' ELSE status END AS status, CASE WHEN shard % 5 = 0 THEN 'shard-level failure: lost ' || shard WHEN item_ord % 7 = 0 THEN 'no result' ELSE error END AS error FROM results")
+def _(s, d):
+    r = A.results(s, d)
+    failed = r.where("shard % 5 = 0").select("shard", F.concat(F.lit("lost "), "shard").alias("error")).distinct()
+    return batch.with_failed_shards(r, r.where("item_ord % 7 <> 0"), failed)
+
+
+@query("t4_pending", "SELECT DISTINCT event_type || '-' || user_id AS name FROM events WHERE event_type <> 'click' EXCEPT SELECT event_type || '-' || user_id FROM events WHERE event_id % 2 = 0")
+def _(s, d):
+    e = A.table(s, d, "events").select("event_type", "event_id", F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("name"))
+    return batch.pending(e.where("event_type <> 'click'"), e.where("event_id % 2 = 0"))
+
+
+@query("l7_preview", "SELECT o_orderkey AS item_ord, 'doc-' || o_orderkey AS document_id FROM orders ORDER BY o_orderkey LIMIT 5")
+def _(s, d):
+    return batch.preview(A.results(s, d).select("item_ord", "document_id"))
+
+
+@query("j15_source_images", "WITH n AS (SELECT DISTINCT 'doc' || (p_partkey % 10) AS pdf, CAST(p_partkey % 40 AS INTEGER) AS page, 'img' || (p_partkey % 3) AS image FROM part) SELECT pdf, page, image, CASE WHEN page % 3 = 0 THEN 'r/' || pdf || '/' || page || '/doclayout_yolo/figures/' || image || '.png' WHEN page % 3 = 1 THEN 'r/' || pdf || '/' || page || '/doclayout_yolo/figures/' || image || '.jpg' END AS source FROM n")
+def _(s, d):
+    k = F.col("p_partkey")
+    n = A.table(s, d, "part").select(F.concat(F.lit("doc"), k % 10).alias("pdf"), (k % 40).cast("int").alias("page"), F.concat(F.lit("img"), k % 3).alias("image")).distinct()
+    at = F.concat(F.lit("r/"), "pdf", F.lit("/"), "page", F.lit("/doclayout_yolo/figures/"), "image")
+    files = n.where("page % 3 = 0").select(F.explode(F.array(F.concat(at, F.lit(".png")), F.concat(at, F.lit(".jpg")))).alias("path")).unionByName(n.where("page % 3 = 1").select(F.concat(at, F.lit(".jpg")).alias("path")))
+    return sources.source_images(n, files, "r")
+
+
 @query("p26_indexable", f"WITH {A.RESULTS} SELECT document_id, tree_path FROM results WHERE status = 'success' AND coalesce(tree_path, '') <> ''")
 def _(s, d):
     return batch.indexable(A.results(s, d)).select("document_id", "tree_path")

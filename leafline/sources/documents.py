@@ -5,8 +5,10 @@ from __future__ import annotations
 from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from leafline.functions import text
 from leafline.operators import scratch
 
 PAGES = "doc string, page_idx int, text string, token_count long"
@@ -70,3 +72,25 @@ def result_names(paths: DataFrame, col: str = "path") -> DataFrame:
 
 def grouped_results(named: DataFrame) -> DataFrame:
     return named.groupBy("pdf", "page", "image").agg(F.array_sort(F.collect_list(F.struct("model", "task"))).alias("results"))
+
+
+def inputs(spark: SparkSession, pdf_dir: str | None = None, tree_dir: str | None = None, manifest_path: str | None = None) -> DataFrame:
+    """(item_ord, document_id, uri) of the one given source: documents of a folder, trees of its subfolders, or a manifest."""
+    given = [x for x in (pdf_dir, tree_dir, manifest_path) if x]
+    if len(given) != 1:
+        raise ValueError("give exactly one of pdf_dir, tree_dir and manifest_path")
+    if manifest_path:
+        return manifest(spark, manifest_path).select("item_ord", "document_id", "uri")
+    found = spark.read.format("binaryFile").load(f"{pdf_dir}/*.pdf" if pdf_dir else f"{tree_dir}/*/tree.json").select("path")
+    name = F.regexp_extract("path", r"([^/]+)\.pdf$" if pdf_dir else r"([^/]+)/tree\.json$", 1)
+    ids = found.select("path", (text.slug(name) if pdf_dir else name).alias("document_id"))
+    nth = F.row_number().over(W.orderBy("path")) - 1  # a row a file
+    return ids.select(nth.alias("item_ord"), "document_id", F.col("path").alias("uri"))
+
+
+def source_images(named: DataFrame, files: DataFrame, root: str) -> DataFrame:
+    """named(pdf, page, image) with source: the first of a png and a jpg that files(path) has under root."""
+    at = lambda ext: F.concat(F.lit(f"{root}/"), "pdf", F.lit("/"), F.col("page").cast("string"), F.lit("/doclayout_yolo/figures/"), "image", F.lit(ext))
+    each = named.select("*", F.explode(F.array(F.struct(F.lit(0).alias("rank"), at(".png").alias("path")), F.struct(F.lit(1).alias("rank"), at(".jpg").alias("path")))).alias("x"))
+    found = each.join(files.select("path").distinct(), F.col("x.path") == F.col("path"), "left")
+    return found.groupBy("pdf", "page", "image").agg(F.min_by("path", F.when(F.col("path").isNotNull(), F.col("x.rank"))).alias("source"))

@@ -85,3 +85,21 @@ def batch_files(summary: DataFrame, items: DataFrame, failed: DataFrame, path: s
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/summary")
     items.write.mode("overwrite").option("header", True).csv(f"{path}/per_item")
     failed.write.mode("overwrite").json(f"{path}/failures")
+
+
+def index_chunks(spark, rows: DataFrame, path: str, dim: int) -> int:
+    """Rows (paper, point_id, embedding, ...) as the whole of their papers in the index, however often: made where it is missing,
+    checked, and each named paper's points replaced. Returns the number written."""
+    from leafline.operators import index
+
+    create_table(spark, path, dim)
+    return upsert_points(index.checked(rows, dim), f"{path}/points")
+
+
+def write_bytes(spark, uri: str, data: bytes) -> str:
+    """data as one object at a path or address that Spark's file systems know."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(data))
+    out.close()
+    return uri

@@ -89,12 +89,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def told_apart(rows: DataFrame, distinct: DataFrame) -> DataFrame:
-    """rows(h1, h2, ...) with node, a 64-bit key of (h1, h2): h1 itself, but a mixture of both where h1 has several h2 in
-    distinct(h1, h2), a stored table. Values share a node only if both hashes agree."""
-    clash = distinct.groupBy("h1").agg(F.min("h2").alias("own"), F.count("*").alias("c")).where("c > 1").drop("c")
-    clash = stored(clash, "clashes")
-    if clash.isEmpty():
+def clashes(distinct: DataFrame) -> DataFrame | None:
+    """(h1, own): the h1 that have several h2 in distinct(h1, h2), and the least of these; nothing where there is none."""
+    found = stored(distinct.groupBy("h1").agg(F.min("h2").alias("own"), F.count("*").alias("c")).where("c > 1").drop("c"), "clashes")
+    return None if found.isEmpty() else found
+
+
+def told_apart(rows: DataFrame, clash: DataFrame | None) -> DataFrame:
+    """rows(h1, h2, ...) with node, a 64-bit key of (h1, h2): h1 itself, but a mixture of both where h1 clashes. Values share a
+    node only if both hashes agree."""
+    if clash is None:
         return rows.withColumn("node", F.col("h1"))
     node = F.when(F.col("own").isNotNull() & (F.col("own") != F.col("h2")), F.xxhash64("h2", "h1")).otherwise(F.col("h1"))
     return rows.join(maybe_broadcast(clash), "h1", "left").withColumn("node", node).drop("own")

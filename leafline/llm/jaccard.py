@@ -166,8 +166,9 @@ def near_duplicates(documents: DataFrame, similarity: float = SIMILARITY, n: int
     texts = texts.select("doc_id", h1.alias("h1"), h2.alias("h2"), "text")
     keys = common.stored(texts.select("doc_id", "h1", "h2"), "keys")
     found = common.stored(keys.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("mult")), "texts")
-    keys, texts = (common.told_apart(x, found) for x in (keys, texts))
-    classes = common.told_apart(found, found).select("node", "low", "mult")
+    clash = common.clashes(found)
+    keys, texts = (common.told_apart(x, clash) for x in (keys, texts))
+    classes = common.told_apart(found, clash).select("node", "low", "mult")
     sketch = sketches(texts.select("node", "text"), bands, rows, n).where("size > 0").groupBy("node").agg(F.first("bands").alias("bands"))
     sketch = common.stored(sketch, "sketches")
     met = graph.meetings(sketch.select(F.explode("bands").alias("bucket"), "node"), sketch.count() * bands, cell)

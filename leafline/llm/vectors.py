@@ -137,7 +137,8 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, recall: float
     use = e.where("ok")
     found = use.groupBy("h1", "h2").agg(F.min("vec_id").alias("low"), F.count("*").alias("mult"), F.first("l1").alias("l1"), F.first("l2").alias("l2"), F.first("embedding").alias("embedding"))
     found = common.stored(found, "vectors")
-    classes = common.told_apart(found, found.select("h1", "h2"))
+    clash = common.clashes(found)
+    classes = common.told_apart(found, clash)
     largest = found.groupBy("l1", "l2").count().agg(F.max("count")).first()[0] or 0
     bits, tables = plan(largest, cosine, recall)
     every = common.stored(buckets(classes, bits, tables), "buckets")
@@ -147,7 +148,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, recall: float
     near = graph.resolve(links, classes.select("node", "low", "mult"))
     info = classes.select("node", "h1", "h2", "low", "mult").join(near, "node", "left")
     info = info.select("node", F.col("mult").alias("n"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("first", "low").alias("component_id"))
-    own = common.told_apart(use.select("vec_id", "h1", "h2"), found.select("h1", "h2"))
+    own = common.told_apart(use.select("vec_id", "h1", "h2"), clash)
     part = common.joined(own.select("vec_id", "node"), common.stored(info, "classes"), "node", embeddings.count())
     part = part.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
     return part.unionByName(e.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept")))

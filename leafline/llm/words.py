@@ -16,6 +16,7 @@ _TABLE = _rng.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+EXACT = _TABLE  # for words that keep their case
 _TABLE = _TABLE[_LOWER]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -51,9 +52,9 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (data[offsets[0] : offsets[-1]], offsets - offsets[0]) if len(texts) else (data[:0], np.zeros(1, np.int64))
 
 
-def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the len+1 offsets of each text's words."""
-    inside = ~_SPACE[data]
+def bounds(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the len+1 offsets of each text's words; space: whether a byte separates words."""
+    inside = ~space[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -68,6 +69,11 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(64-bit hashes of all words in order, the len+1 offsets of each text's words)."""
     data, offsets = buffers(texts)
     starts, ends, doc = bounds(data, offsets)
+    return hashed(data, starts, ends), doc
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _TABLE) -> np.ndarray:
+    """64-bit hashes of the words at these places; table: EXACT keeps A-Z apart from a-z."""
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):
@@ -77,10 +83,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         up, down = _pow(int(e[-1]) + 1)
         sums = np.empty(int(e[-1]) + 1, dtype=np.uint64)
         sums[0] = 0
-        np.cumsum(_TABLE[data[lo : lo + e[-1]]] * up[: e[-1]], out=sums[1:])
+        np.cumsum(table[data[lo : lo + e[-1]]] * up[: e[-1]], out=sums[1:])
         out[at:to] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
         at = to
-    return out, doc
+    return out
 
 
 def shingles(words: np.ndarray, doc: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafline.llm import jaccard, licenses, lines, lm, mixing, packing, periods, quality, search, urls, vectors
+from leafline.llm import decontamination, jaccard, licenses, lines, lm, mixing, packing, periods, quality, search, urls, vectors
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": lines.op8_line_dedup,
     "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_embedding_dedup": vectors.op10_embedding_dedup,
+    "op11_decontamination": decontamination.op11_decontamination,
     "op13_periodic_runs": periods.op13_periodic_runs,
 }
 

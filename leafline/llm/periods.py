@@ -224,3 +224,23 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("r"), F.sha2(text.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"), "n_words")
     best = {"start": -F.col("r.start"), "length": F.col("r.length"), "period": -F.col("r.period"), "exponent_milli": F.floor(1000 * F.col("r.length") / -F.col("r.period"))}
     return out.select("doc_id", "n_runs", *(v.cast("long").alias(k) for k, v in best.items()), "runs_sha256", "collapsed_sha256", "n_words")
+
+
+OP13_SQL = r"""
+WITH ids AS (SELECT *, row_number() OVER () AS r, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bytes FROM documents),
+hashed AS (SELECT *, xor(list_reduce(bytes, lambda c, b: list_reduce(range(8), lambda x, k: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)), 4294967295), 4294967295) AS h FROM ids),
+split AS (SELECT r, doc_id, h, h // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM hashed),
+tails AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN g % len(w) END AS a FROM split),
+steps AS (SELECT *, 1 + (len(w) - a) // (3 + g % 8) AS p FROM tails),
+w AS (SELECT r, doc_id, i, CASE WHEN i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS x FROM (SELECT *, unnest(range(len(w))) AS i FROM steps)),
+pairs AS (SELECT u.r, u.i, v.i - u.i AS q FROM w AS u JOIN w AS v ON u.r = v.r AND u.x = v.x AND v.i > u.i),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM pairs),
+found AS (SELECT r, min(i) AS s, max(i) + 1 + q AS e, q FROM islands GROUP BY r, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, s AS start, e - s AS length, min(q) AS period FROM found GROUP BY r, s, e),
+listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines, arg_min({'start': start, 'length': length, 'period': period}, [-length, start, period]) AS best FROM runs GROUP BY r),
+dropped AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) FILTER (WHERE dropped.r IS NULL) AS t FROM w LEFT JOIN dropped USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period, CAST(1000 * best.length // best.period AS BIGINT) AS exponent_milli,
+sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256, CAST(len(w) AS BIGINT) AS n_words
+FROM split LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""

@@ -24,4 +24,6 @@ ORACLES: dict[str, str] = {
     "op6_topk_search": search.OP6_SQL,
     "op7_url_filters": urls.OP7_SQL,
     "op8_line_dedup": lines.OP8_SQL,
+    "op11_decontamination": decontamination.OP11_SQL,
+    "op13_periodic_runs": periods.OP13_SQL,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from leafline.llm import decontamination, jaccard, licenses, lines, lm, mixing, packing, periods, quality, search, urls, vectors
+from leafline.llm import collocations, decontamination, jaccard, licenses, lines, lm, mixing, packing, periods, quality, search, urls, vectors
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_embedding_dedup": vectors.op10_embedding_dedup,
     "op11_decontamination": decontamination.op11_decontamination,
+    "op12_collocations": collocations.op12_collocations,
     "op13_periodic_runs": periods.op13_periodic_runs,
 }
 
@@ -25,5 +26,6 @@ ORACLES: dict[str, str] = {
     "op7_url_filters": urls.OP7_SQL,
     "op8_line_dedup": lines.OP8_SQL,
     "op11_decontamination": decontamination.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
     "op13_periodic_runs": periods.OP13_SQL,
 }

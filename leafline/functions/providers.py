@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
 import time
 import zlib
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leafline.functions import answers
 
@@ -43,31 +49,108 @@ def stub(model: str, prompt: str) -> str:
     return f"{model}:{zlib.crc32(prompt.encode()):08x}:{' '.join(prompt.split()[:12])}"
 
 
-def call(prompts: DataFrame, provider: Provider = stub, response: str | None = None, tries: int = 3, clock: Callable[[], float] = time.time) -> DataFrame:
+def heading_reader(coarse: str, fine: str, words: int = 4) -> Provider:
+    """A deterministic reader of tagged pages. A page is a heading if its text matches one of two patterns; its title is its first
+    words. Where pages beyond the first are coarse headings, these are listed, else all; a list that is continued keeps
+    its kind, and pages up to its last one aren't listed again."""
+    page = re.compile(r"<physical_index_(\d+)>\n(.*?)\n<physical_index_\1>", re.DOTALL)
+    title = lambda x: " ".join(x.split(" ")[:words])
+
+    def read(model: str, prompt: str) -> str:
+        seen = [int(x) for x in re.findall(r'"physical_index":(\d+)', prompt)]
+        pages = {int(n): x for n, x in page.findall(prompt)}
+        listed = [n for n, x in pages.items() if n > max(seen, default=0) and (re.match(coarse, x) or re.match(fine, x))]
+        first = min(pages, default=0)
+        top = [n for n in listed if re.match(coarse, pages[n])]
+        if (any(n > first for n in top) and not seen) or len(re.findall(rf'"title":"{coarse}', prompt)) > 1:
+            listed = top
+        return json.dumps({"toc": [{"structure": str(len(seen) + k), "title": title(pages[n]), "physical_index": f"<physical_index_{n}>"} for k, n in enumerate(listed, 1)]})
+
+    return read
+
+
+def in_order(ask: Callable[[tuple], tuple], rows: Iterator[tuple], window: int) -> Iterator[tuple]:
+    """ask(row) of each row, in the rows' order, at most `window` of them begun and not yet given."""
+    if window <= 1:
+        yield from map(ask, rows)
+        return
+    with ThreadPoolExecutor(window) as pool:
+        begun: deque = deque()
+        for row in rows:
+            if len(begun) == window:
+                yield begun.popleft().result()
+            begun.append(pool.submit(ask, row))
+        while begun:
+            yield begun.popleft().result()
+
+
+def call(prompts: DataFrame, provider: Provider = stub, response: str | None = None, tries: int = 3, clock: Callable[[], float] = time.time, window: int = 1, tasks: int | None = None, batch: int = 64) -> DataFrame:
     """prompts(model, prompt, ...) with ANSWER. A failure is a row with ok false, never a failed task. With a response key
-    (answers.RESPONSES) the answer must be valid JSON for it, asked for up to `tries` times, and comes back normalised."""
+    (answers.RESPONSES) the answer must be valid JSON for it, asked for up to `tries` times, and comes back normalised.
+
+    A task has at most `window` calls under way, across its batches, and gives answers in its rows' order; with `tasks` the
+    rows are dealt to so many tasks, so that at most tasks * window calls are under way in all.
+    """
     if response is not None:
         answers.known(response)
 
-    def one(model: str, prompt: str) -> tuple:
+    def one(row: tuple) -> tuple:
+        model, prompt = row[-2:]
         start, error = clock(), None
         for n in range(1, tries + 1):
             try:
                 content = provider(model, prompt)
                 if response:
                     content = answers.normalised(response, content)
-                return content, "stop", True, None, n, start, clock(), len(prompt.split()), len(content.split())
+                return *row[0], content, "stop", True, None, n, start, clock(), len(prompt.split()), len(content.split())
             except Exception as e:  # noqa: BLE001 - the error becomes data
                 error = f"{type(e).__name__}: {e}"
                 if not response:
                     break
-        return f"ERROR: {error}", "error", False, error, n, start, clock(), len(prompt.split()), 0
+        return *row[0], f"ERROR: {error}", "error", False, error, n, start, clock(), len(prompt.split()), 0
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [f.split(" ")[0] for f in ANSWER.split(", ")]
-        for b in batches:
-            got = pd.DataFrame([one(m, p) for m, p in zip(b["model"], b["prompt"], strict=True)], columns=names)
-            yield pd.concat([b.reset_index(drop=True), got], axis=1)
+    names = [*prompts.columns, *(f.split(" ")[0] for f in ANSWER.split(", "))]
 
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in prompts.schema.fields)
-    return prompts.mapInPandas(work, f"{kept}, {ANSWER}")
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = ((x, m, p) for b in batches for x, m, p in zip(b.itertuples(index=False, name=None), b["model"], b["prompt"], strict=True))
+        held = []
+        for row in in_order(one, rows, window):
+            held.append(row)
+            if len(held) == batch:
+                yield pd.DataFrame(held, columns=names)
+                held = []
+        if held:
+            yield pd.DataFrame(held, columns=names)
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields)
+    return (prompts if tasks is None else prompts.repartition(tasks)).mapInPandas(work, f"{kept}, {ANSWER}")
+
+
+@dataclass
+class Service:
+    """A provider with its bounds: calls under way in a task, tasks at once, the patience of a kind of call. It keeps a ledger of
+    the calls of all the answers that were stored through it: a stored answer's row is written once, however often its task ran."""
+
+    provider: Provider = stub
+    window: int = 1
+    tasks: int | None = None
+    kind: str | None = None
+    answered: list[DataFrame] = field(default_factory=list)
+
+    def call(self, prompts: DataFrame, response: str | None = None) -> DataFrame:
+        provider = patient(self.provider, self.kind) if self.kind else self.provider
+        return call(prompts, provider, response, window=self.window, tasks=self.tasks)
+
+    def keep(self, stored: DataFrame) -> DataFrame:
+        self.answered.append(stored)
+        return stored
+
+    def calls(self, spark: SparkSession) -> DataFrame:
+        """(model, started_at, ended_at, input_tokens, output_tokens, errored, attempts) of all calls so far."""
+        out = spark.createDataFrame([], LEDGER)
+        for a in self.answered:
+            out = out.unionAll(a.select("model", "started_at", "ended_at", "input_tokens", "output_tokens", (~F.col("ok")).alias("errored"), "attempts"))
+        return out
+
+
+LEDGER = "model string, started_at double, ended_at double, input_tokens long, output_tokens long, errored boolean, attempts int"

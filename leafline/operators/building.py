@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, prompts, providers, text
@@ -42,20 +43,22 @@ class Options:
         return cls(llm["model"], llm.get("model_fast") or llm["model"], style, tree["toc_check_pages"], tree["max_pages_per_node"], tree["max_tokens_per_node"], tree.get("add_node_id", True), tree.get("add_node_summary", True), tree.get("add_doc_description", False), tree.get("summary_overlap_pages", 1), tree.get("verify_summaries", True))
 
 
-def asked_of(asked: DataFrame, provider: providers.Provider, response: str | None = None) -> DataFrame:
-    """providers.call, its answers stored."""
-    return scratch.stored(providers.call(asked, provider, response), "answers")
+def asked_of(asked: DataFrame, provider: providers.Provider | providers.Service, response: str | None = None) -> DataFrame:
+    """The answers to asked(model, prompt, ...), stored; a service keeps them in its ledger and bounds the calls under way."""
+    service = provider if isinstance(provider, providers.Service) else providers.Service(provider)
+    return service.keep(scratch.stored(service.call(asked, response), "answers"))
 
 
 def squeezed(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), r"(?U)\s+", "")
 
 
-def title_checks(rows: DataFrame, pages: DataFrame) -> DataFrame:
+def title_checks(rows: DataFrame, pages: DataFrame, source: str = "doc") -> DataFrame:
     """rows(doc, ord, title, physical_index) with answer and appear_start: whether the page holds the title, and opens with
-    it, white space and case aside. The deterministic stand-in for the model's fuzzy reading; rows without a page get no."""
+    it, white space and case aside. The deterministic stand-in for the model's fuzzy reading; rows without a page get no.
+    source: the column of rows that names the pages' document."""
     p = pages.select(F.col("doc").alias("pdoc"), (F.col("page_idx") + 1).alias("pnum"), squeezed(F.col("text")).alias("ptext"))
-    j = rows.join(p, (F.col("doc") == F.col("pdoc")) & (F.col("physical_index") == F.col("pnum")), "left")
+    j = rows.join(p, (F.col(source) == F.col("pdoc")) & (F.col("physical_index") == F.col("pnum")), "left")
     t = squeezed(F.col("title"))
     yes = lambda c: F.when(F.coalesce(c, F.lit(False)), "yes").otherwise("no")
     return j.withColumns({"answer": yes(F.contains("ptext", t)), "appear_start": yes(F.startswith("ptext", t))}).drop("pdoc", "pnum", "ptext")
@@ -139,9 +142,8 @@ def generated_toc(pages: DataFrame, opt: Options, provider: providers.Provider,
         new = got.select("doc", F.lit(g).alias("grp"), F.posexplode(answers.assembled_rows(F.col("content"))).alias("n", "r")).select("doc", "grp", "n", "r.structure", "r.title", F.coalesce(text.parse_page_tag(F.col("r.physical_index")), F.col("r.physical_index").try_cast("int")).alias("physical_index"))
         rows = new if rows is None else rows.unionByName(new)
     if rows is None:
-        return pages.sparkSession.createDataFrame([], "doc string, ord int, structure string, title string, physical_index int")
-    from pyspark.sql import Window as W
-
+        none = pages.select("doc", *(F.lit(None).cast(t).alias(c) for c, t in (("ord", "int"), ("structure", "string"), ("title", "string"), ("physical_index", "int"))))
+        return none.where("false")
     return rows.select("doc", F.row_number().over(W.partitionBy("doc").orderBy("grp", "n")).alias("ord"), "structure", "title", "physical_index")
 
 

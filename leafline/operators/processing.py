@@ -123,12 +123,14 @@ def without_page_numbers(printed: DataFrame, pages: DataFrame, opt: Options, pro
     return rows
 
 
-def checked(sections: DataFrame, pages: DataFrame, opt: Options, provider: providers.Provider | None = None) -> DataFrame:
-    """sections with answer and appear_start, by a model's reading of their pages; without a provider by building.title_checks."""
+def checked(sections: DataFrame, pages: DataFrame, opt: Options, provider: providers.Provider | None = None, units: DataFrame | None = None) -> DataFrame:
+    """sections with answer and appear_start, by a model's reading of their pages; without a provider by building.title_checks.
+    units(doc, source): the document whose pages a unit's sections are on; without it a unit is a document."""
+    rows = sections.withColumn("source", F.col("doc")) if units is None else sections.join(units.select("doc", "source"), "doc")
     if provider is None:
-        return building.title_checks(sections, pages)
-    page = pages.select("doc", (F.col("page_idx") + 1).alias("physical_index"), F.col("text").alias("body"))
-    ask = sections.select("doc", "ord", "title", "physical_index").join(page, ["doc", "physical_index"])
+        return building.title_checks(rows, pages, "source").drop("source")
+    page = pages.select(F.col("doc").alias("source"), (F.col("page_idx") + 1).alias("physical_index"), F.col("text").alias("body"))
+    ask = rows.select("doc", "ord", "title", "physical_index", "source").join(page, ["source", "physical_index"])
     out = sections
     for name, schema, field, column in (("check_title_appearance", "title_appearance", "answer", "answer"), ("check_title_appearance_in_start", "title_starts_section", "start_begin", "appear_start")):
         told = asked(ask, name, opt, provider, schema, title=F.col("title"), page_text=F.col("body"))
@@ -136,56 +138,94 @@ def checked(sections: DataFrame, pages: DataFrame, opt: Options, provider: provi
     return out
 
 
-def fixed(sections: DataFrame, pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None, rounds: int = building.FIX_ROUNDS) -> DataFrame:
-    """sections whose pages lack their titles, moved to the page that a model names between the right ones around them."""
-    total = pages.groupBy("doc").agg(F.count("*").cast("int").alias("total"))
+def whole(pages: DataFrame) -> DataFrame:
+    """(doc, source, first, last): each document as a unit of its own, pages from 1."""
+    return pages.groupBy("doc").agg(F.count("*").cast("int").alias("last")).select("doc", F.col("doc").alias("source"), F.lit(1).alias("first"), "last")
+
+
+def fixed(seen: DataFrame, pages: DataFrame, units: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None, rounds: int = building.FIX_ROUNDS) -> DataFrame:
+    """Checked sections whose answer is no, moved to the page that a model names between the right ones around them, if a check
+    finds the title there; otherwise they stay where they are and are asked for again, for so many rounds. seen(doc, ord,
+    structure, title, physical_index, answer)."""
+    rows = scratch.stored(seen.select("doc", "ord", "structure", "title", "physical_index", F.coalesce(F.col("answer") == "yes", F.lit(False)).alias("right")), "to-fix")
     for _ in range(rounds):
-        seen = scratch.stored(checked(sections, pages, opt, checks), "checked")
-        wrong = seen.where("answer = 'no'")
+        wrong = rows.where("not right").select("doc", "ord", "title")
         if wrong.isEmpty():
             break
-        known = seen.withColumn("physical_index", F.when(F.col("answer") == "yes", F.col("physical_index")))
-        spans = toc.anchors(known.join(total, "doc"), F.lit(0), F.col("total")).join(wrong.select("doc", "ord"), ["doc", "ord"]).where("next_index >= prev_index")
-        near = spans.select("doc", "ord", F.explode(F.sequence("prev_index", "next_index")).alias("number")).where("number > 0").select("doc", "ord", (F.col("number") - 1).alias("page_idx"))
-        ask = content(near, pages, "ord").withColumnRenamed("content", "body").join(spans.select("doc", "ord", "title"), ["doc", "ord"])
+        known = rows.withColumn("physical_index", F.when(F.col("right"), F.col("physical_index"))).join(units, "doc")
+        spans = toc.anchors(known, F.col("first") - 1, F.col("last")).join(wrong.select("doc", "ord"), ["doc", "ord"])
+        low, high = F.greatest("prev_index", "first"), F.least("next_index", "last")
+        near = spans.where(low <= high).select("doc", "ord", "source", F.explode(F.sequence(low, high)).alias("number"))
+        near = near.select(F.col("source").alias("doc"), F.struct("doc", "ord").alias("at"), (F.col("number") - 1).alias("page_idx"))
+        ask = content(near, pages, "at").select("at.doc", "at.ord", F.col("content").alias("body")).join(wrong, ["doc", "ord"])
         told = asked(ask, "single_toc_item_index_fixer", opt, provider, "physical_index_fix", section_title=F.col("title"), content=F.col("body"))
         v = answer("physical_index", "")
-        found = told.select("doc", "ord", F.coalesce(text.parse_page_tag(v), v.try_cast("int")).alias("fixed"))
-        sections = scratch.stored(toc.corrected(sections, wrong, found), "sections")
-    return sections
-
-
-def processed(pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
-    """(doc, ord, structure, title, physical_index, appear_start, mode) of every document's sections.
+        found = told.select("doc", "ord", "title", F.coalesce(text.parse_page_tag(v), v.try_cast("int")).alias("physical_index")).where("physical_index is not null")
+        found = checked(scratch.stored(found, "found"), pages, opt, checks, units).where("answer = 'yes'").select("doc", "ord", F.col("physical_index").alias("fixed"))
+        moved = rows.join(found, ["doc", "ord"], "left")
+        rows = scratch.stored(moved.select("doc", "ord", "structure", "title", F.coalesce("fixed", "physical_index").alias("physical_index"), (F.col("right") | F.col("fixed").isNotNull()).alias("right")), "sections")
+    return rows.drop("right")
+
+
+def accepted(made: DataFrame, pages: DataFrame, units: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None, last_way: bool) -> DataFrame:
+    """The sections of the units that stay with this way: all verified, or mostly and then fixed; with the last way all others
+    too, as they are. made(doc, ord, structure, title, physical_index)."""
+    own = made.select("doc", "ord", "structure", "title", "physical_index").join(units.select("doc", "first", (F.col("last") - F.col("first") + 1).alias("slice_pages")), "doc")
+    own = scratch.stored(toc.located(toc.within_document(own, F.col("slice_pages"), F.col("first"))).drop("first"), "made")
+    seen = scratch.stored(checked(own, pages, opt, checks, units), "checked")
+    right, wrong = toc.accuracy(seen), seen.groupBy("doc").agg(F.count_if(F.col("answer") == "no").alias("errors"))
+    verdict = F.when((F.col("accuracy") == 1) & (F.col("errors") == 0), "keep").when((F.col("accuracy") > GOOD_ENOUGH) & (F.col("errors") > 0), "fix").otherwise("keep" if last_way else "next")
+    verdicts = scratch.stored(right.join(wrong, "doc").select("doc", verdict.alias("verdict")), "verdicts")
+    some = lambda v: seen.join(verdicts.where(F.col("verdict") == v), "doc", "left_semi")
+    kept = some("keep").select("doc", "ord", "structure", "title", "physical_index")
+    mend = some("fix")
+    return scratch.stored(kept if mend.isEmpty() else kept.unionByName(fixed(mend, pages, units, opt, provider, checks)), "accepted")
+
+
+def without_toc(units: DataFrame, pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
+    """(doc, ord, structure, title, physical_index) of units(doc, source, first, last), runs of a document's pages, by the way that
+    needs no printed table; a unit without any section is one section."""
+    own = units.select(F.col("doc").alias("unit"), F.col("source").alias("doc"), F.explode(F.sequence(F.col("first") - 1, F.col("last") - 1)).alias("page_idx"))
+    own = scratch.stored(own.join(pages, ["doc", "page_idx"]).select(F.col("unit").alias("doc"), "page_idx", "text", "token_count"), "slices")
+    rows = accepted(building.generated_toc(own, opt, provider), pages, units, opt, provider, checks, True)
+    bare = units.join(rows.select("doc").distinct(), "doc", "left_anti")
+    return rows.unionByName(bare.select("doc", F.lit(1).alias("ord"), F.lit(WHOLE[0]).alias("structure"), F.lit(WHOLE[1]).alias("title"), F.col("first").alias("physical_index")))
+
+
+def sections(pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
+    """(doc, ord, structure, title, physical_index, mode) of every document's sections.
 
     A document begins with the way that its printed table allows. Sections that all verify stay; those that mostly do are fixed;
     others go to the next way. The last way keeps what it has; a document without any section is one section.
     """
     pages = scratch.stored(pages, "pages")
-    total = scratch.stored(pages.groupBy("doc").agg(F.count("*").cast("int").alias("total")), "totals")
+    units = scratch.stored(whole(pages), "units")
     printed = scratch.stored(printed_toc(detected_pages(pages, opt, provider), pages, opt, provider), "printed")
-    begin = total.join(printed, "doc", "left").select("doc", F.when(F.col("toc").isNull(), 2).when(F.col("given") == "yes", 0).otherwise(1).alias("way"))
-    pending, out = scratch.stored(begin, "ways"), None
+    begin = units.join(printed, "doc", "left").select("doc", F.when(F.col("toc").isNull(), 2).when(F.col("given") == "yes", 0).otherwise(1).alias("way"))
+    pending, out = scratch.stored(begin, "ways"), []
     for way, mode in enumerate(MODES):
         docs = pending.where(F.col("way") <= way).select("doc")
-        of = lambda df: df.join(docs, "doc", "left_semi")
+        if docs.isEmpty():
+            continue
+        of = lambda df: df.join(docs, "doc", "left_semi")  # noqa: E731, B023
         if mode == "none":
-            made = building.generated_toc(of(pages), opt, provider).withColumn("page", F.lit(None).cast("int")).select(*ROWS)
+            rows = without_toc(of(units), pages, opt, provider, checks)
         else:
             made = (with_page_numbers if way == 0 else without_page_numbers)(of(printed), of(pages), opt, provider)
-        made = toc.located(toc.within_document(made.join(total, "doc"), F.col("total"))).drop("page")
-        seen = scratch.stored(checked(scratch.stored(made, "made"), pages, opt, checks), "checked")
-        right = toc.accuracy(seen.withColumnRenamed("total", "slice_pages"))
-        wrong = seen.groupBy("doc").agg(F.count_if(F.col("answer") == "no").alias("errors"))
-        verdict = scratch.stored(right.join(wrong, "doc").select("doc", F.when((F.col("accuracy") == 1) & (F.col("errors") == 0), "keep").when((F.col("accuracy") > GOOD_ENOUGH) & (F.col("errors") > 0), "fix").otherwise("keep" if mode == "none" else "next").alias("verdict")), "verdicts")
-        some = lambda v: made.join(verdict.where(F.col("verdict") == v), "doc", "left_semi").drop("total")  # noqa: E731, B023
-        rows = some("keep").unionByName(fixed(some("fix"), pages, opt, provider, checks).select(some("keep").columns)).withColumn("mode", F.lit(mode))
-        rows = scratch.stored(rows, "accepted")
-        out = rows if out is None else out.unionByName(rows)
+            rows = accepted(made, pages, of(units), opt, provider, checks, False)
+        out.append(rows.withColumn("mode", F.lit(mode)))
         pending = scratch.stored(pending.join(rows.select("doc").distinct(), "doc", "left_anti"), "ways")
-    whole = pending.select("doc", F.lit(1).alias("ord"), *(F.lit(v).alias(c) for c, v in zip(("structure", "title", "physical_index"), WHOLE, strict=True)), F.lit("none").alias("mode"))
-    out = scratch.stored(out.select(whole.columns).unionByName(whole), "sections")
-    return checked(out, pages, opt, checks).drop("answer").select("doc", "ord", "structure", "title", "physical_index", "appear_start", "mode")
+    if not out:
+        return without_toc(units, pages, opt, provider, checks).withColumn("mode", F.lit(MODES[-1]))
+    rows = out[0]
+    for more in out[1:]:
+        rows = rows.unionByName(more)
+    return scratch.stored(rows, "sections")
+
+
+def processed(pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
+    """`sections` with appear_start: whether a section's title opens its page."""
+    return checked(sections(pages, opt, provider, checks), pages, opt, checks).select("doc", "ord", "structure", "title", "physical_index", "appear_start", "mode")
 
 
 def projected(nodes: DataFrame, order: list[str], drop: tuple[str, ...] = ("page_number",)) -> DataFrame:

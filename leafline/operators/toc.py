@@ -14,8 +14,8 @@ def parsed_pages(toc: DataFrame) -> DataFrame:
     return toc.withColumn("page_number", F.col("page").try_cast("int"))
 
 
-def within_document(toc: DataFrame, last_page: Column, start: int = 1) -> DataFrame:
-    """physical_index beyond the document becomes null; the row stays."""
+def within_document(toc: DataFrame, last_page: Column, start: int | Column = 1) -> DataFrame:
+    """physical_index beyond the document, or a slice of so many pages from `start` on, becomes null; the row stays."""
     return toc.withColumn("physical_index", F.when(F.col("physical_index") <= last_page + start - 1, F.col("physical_index")))
 
 

@@ -50,8 +50,8 @@ def stub(model: str, prompt: str) -> str:
 
 
 def heading_reader(coarse: str, fine: str, words: int = 4) -> Provider:
-    """A deterministic reader of tagged pages. A page is a heading if its text matches one of two patterns; its title is its first
-    words. Where pages beyond the first are coarse headings, these are listed, else all; a list that is continued keeps
+    """A deterministic reader of tagged pages. A page is a heading if its text matches one of two patterns and its title, its first
+    words, is neither too short nor too long for a title. Where pages beyond the first are coarse headings, these are listed, else all; a list that is continued keeps
     its kind, and pages up to its last one aren't listed again."""
     page = re.compile(r"<physical_index_(\d+)>\n(.*?)\n<physical_index_\1>", re.DOTALL)
     title = lambda x: " ".join(x.split(" ")[:words])
@@ -59,10 +59,12 @@ def heading_reader(coarse: str, fine: str, words: int = 4) -> Provider:
     def read(model: str, prompt: str) -> str:
         seen = [int(x) for x in re.findall(r'"physical_index":(\d+)', prompt)]
         pages = {int(n): x for n, x in page.findall(prompt)}
-        listed = [n for n, x in pages.items() if n > max(seen, default=0) and (re.match(coarse, x) or re.match(fine, x))]
+        fits = lambda x: answers.TITLE_LENGTHS[0] <= len(title(x)) <= answers.TITLE_LENGTHS[1]
+        listed = [n for n, x in pages.items() if n > max(seen, default=0) and fits(x) and (re.match(coarse, x) or re.match(fine, x))]
         first = min(pages, default=0)
         top = [n for n in listed if re.match(coarse, pages[n])]
-        if (any(n > first for n in top) and not seen) or len(re.findall(rf'"title":"{coarse}', prompt)) > 1:
+        before = len(re.findall('"title":"', prompt))
+        if before == len(re.findall(rf'"title":"{coarse}', prompt)) if seen else any(n > first for n in top):
             listed = top
         return json.dumps({"toc": [{"structure": str(len(seen) + k), "title": title(pages[n]), "physical_index": f"<physical_index_{n}>"} for k, n in enumerate(listed, 1)]})
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, ids, prompts, providers, text
-from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, processing, toc, trees
+from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, processing, toc, trees, treebuild
 from leafline.plans import adapters as A
 from leafline.sources import documents as sources
 from leafline.sources import sinks
@@ -184,6 +184,27 @@ def _(s, d):
     return trees.too_large(n, 3, 1000).select("doc", "key", "divide")
 
 
+#: Lines that begin with a capital of the first or second half are headings of sections or subsections.
+READER = providers.heading_reader("[A-D]", "[E-R]")
+
+
+@query("h10_tree_structure", f"""WITH {A.PAGES}, p AS (SELECT doc, page_idx + 1 AS n, text, len(regexp_extract_all(text, '[A-Za-z0-9]{{1,4}}|[^\\sA-Za-z0-9]')) AS tokens FROM pages_), docs AS (SELECT doc, count(*) AS total FROM p GROUP BY doc),
+h AS (SELECT doc, n, array_to_string(string_split(text, ' ')[:4], ' ') AS title, regexp_matches(text, '^[A-D]') AS coarse FROM p WHERE regexp_matches(text, '^[A-R]') AND length(title) BETWEEN 5 AND 300),
+listed AS (SELECT doc, n, title FROM h JOIN (SELECT doc, bool_or(coarse AND n > 1) AS any_coarse FROM h GROUP BY doc) USING (doc) WHERE coarse OR NOT any_coarse),
+top AS (SELECT * FROM listed UNION ALL SELECT doc, 1, 'Document' FROM docs WHERE doc NOT IN (SELECT doc FROM listed) UNION ALL SELECT doc, 1, 'Preface' FROM listed GROUP BY doc HAVING min(n) > 1),
+node AS (SELECT doc, n, title, coalesce(lead(n) OVER (PARTITION BY doc ORDER BY n) - 1, total) AS last FROM top JOIN docs USING (doc)),
+big AS (SELECT node.doc, node.n, node.title, last FROM node JOIN p ON p.doc = node.doc AND p.n BETWEEN node.n AND last WHERE last - node.n > 3 GROUP BY ALL HAVING sum(tokens) >= 100),
+inner_ AS (SELECT big.doc, big.n AS up, big.title AS own, last, h.n, h.title FROM big JOIN h ON h.doc = big.doc AND h.n BETWEEN big.n AND last),
+below AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc, up ORDER BY n) AS nth FROM inner_) WHERE NOT (nth = 1 AND trim(title) = trim(own)) UNION ALL SELECT doc, n, title, last, n, 'Document', 1 FROM big WHERE NOT EXISTS (SELECT 1 FROM inner_ WHERE inner_.doc = big.doc AND up = big.n)),
+child AS (SELECT doc, up, n, title, coalesce(lead(n) OVER (PARTITION BY doc, up ORDER BY n) - 1, last) AS last FROM below),
+cut AS (SELECT doc, up, min(n) AS cut FROM below GROUP BY doc, up),
+both_ AS (SELECT node.doc, node.n AS up, 0 AS below, node.n, title, coalesce(cut, last) AS last, 1 AS depth FROM node LEFT JOIN cut ON cut.doc = node.doc AND cut.up = node.n UNION ALL SELECT doc, up, n, n, title, last, 2 FROM child)
+SELECT doc, printf('%04d', row_number() OVER (PARTITION BY doc ORDER BY up, below) - 1) AS node_id, depth, title, CAST(n AS INTEGER) AS start_index, CAST(last AS INTEGER) AS end_index FROM both_""")
+def _(s, d):
+    opt = building.Options(toc_check_pages=1, max_pages=3, max_tokens=100)
+    return treebuild.structured(A.pages(s, d), opt, READER).select("doc", "node_id", F.size("path").alias("depth"), "title", "start_index", "end_index")
+
+
 # --- tables of contents
 
 @query("p11_within_document", f"WITH {A.TOC} SELECT doc, ord, CASE WHEN physical_index <= 5 THEN physical_index END AS physical_index FROM toc")

@@ -80,9 +80,12 @@ def boxed(df: DataFrame, name: str = "row") -> Column:
 
 def unboxed(df: DataFrame, name: str = "row", **others: Column) -> list[Column]:
     """The columns of a box, those named in others by them; others that the box lacks follow. A box's own column of such a
-    name gives way."""
-    inside = df.schema[name].dataType.names
-    return [others.get(c, F.col(name)[c]).alias(c) for c in inside] + [v.alias(k) for k, v in others.items() if k not in inside]
+    name gives way, in any case of its letters unless the session tells cases apart."""
+    same = (lambda c: c) if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    inside, by = df.schema[name].dataType.names, {same(k): (k, v) for k, v in others.items()}
+    own = {same(c) for c in inside}
+    kept = [by[same(c)][1].alias(by[same(c)][0]) if same(c) in by else F.col(name)[c].alias(c) for c in inside]
+    return kept + [v.alias(k) for k, v in others.items() if same(k) not in own]
 
 
 def quoted(name: str) -> str:

@@ -114,7 +114,7 @@ def linked(sets: list[np.ndarray], side: np.ndarray | None, similarity: float) -
         kept = count[column] > 1  # a shingle of a single set meets no other
         _, column = np.unique(column[kept], return_inverse=True)
         owner = owner[kept]
-        both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+        both = np.zeros((len(sets), len(sets)))  # sums of slabs, each exact in 32 bits
         slab = max(256, (16 << 20) // (4 * len(sets)))
         for lo in range(0, int(column.max(initial=-1)) + 1, slab):
             a, b = np.searchsorted(column, [lo, lo + slab])

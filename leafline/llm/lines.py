@@ -49,16 +49,25 @@ def spread(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) ->
     n_sites is an estimate where exact is false; those lie beyond (1 + margin) * sites, fifteen standard errors of the sketch.
     """
     each = site_lines(documents)
-    often = each.groupBy("line").agg(F.count("*").alias("n"), F.min("site").alias("a"), F.max("site").alias("b")).where((F.col("n") >= sites) & ((F.col("a") != F.col("b")) | F.lit(sites <= 1))).select("line")
+    often = each.groupBy("line").agg(F.count("*").alias("n"), F.min("site").alias("a"), F.max("site").alias("b")).where((F.col("n") >= sites) & ((F.col("a") != F.col("b")) | F.lit(sites <= 1))).select("line", "n")
     often = common.stored(often, "often")
-    sketched = each.join(common.maybe_broadcast(often), "line").groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("estimate"))
+    sketched = chosen(each, often).groupBy("line").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("estimate"))
     sketched = common.stored(sketched, "sketched")
     near = sketched.where(F.col("estimate").between(sites * (1 - margin), sites * (1 + margin))).select("line")
-    exact = each.join(common.maybe_broadcast(common.stored(near, "near")), "line").groupBy("line").agg(F.countDistinct("site").alias("n_sites")).where(F.col("n_sites") >= sites)
+    near = common.stored(near.join(often, "line"), "near")
+    exact = chosen(each, near).groupBy("line").agg(F.countDistinct("site").alias("n_sites")).where(F.col("n_sites") >= sites)
     sure = sketched.where(F.col("estimate") > sites * (1 + margin))
     return sure.select("line", F.col("estimate").alias("n_sites"), F.lit(False).alias("exact")).union(exact.select("line", "n_sites", F.lit(True).alias("exact")))
 
 
+def chosen(each: DataFrame, lines: DataFrame) -> DataFrame:
+    """The rows of each(site, line) whose line is in lines(line, n): the lines are broadcast while they are few; beyond that only
+    those of very many rows are, whose rows stay where they are."""
+    if common.few(lines):
+        return each.join(F.broadcast(lines.select("line")), "line")
+    return common.joined(each, lines, "line", lines.agg(F.sum("n")).first()[0])
+
+
 def dedup_lines(documents: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """documents with boilerplate lines cut from text, and a column n_removed."""
     out = _cleaned(documents, sites, margin)

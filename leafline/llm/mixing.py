@@ -1,9 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are summed into cells of source x language x topic. Raking scales the cells in turn to the target share of each
-source, language and topic until all three hold. A cell's raked mass over its tokens is the weight of a token there; the
-inclusion probability is that weight times one factor, 1 at most, with the factor such that the expected tokens meet the
-budget. A document is sampled when its hash, uniform in [0, 1), is under its cell's probability.
+source, language and topic until all three hold. A cell's raked mass over its tokens is the weight of a token there.
+
+Inclusion probabilities come from raking the weights once more to the token counts that the budget gives each margin, with no
+cell above its own tokens: full cells stay full, the others make up for them, until the expected sample meets all margins. A
+budget is lowered to what a given share allows (a value can't give more tokens than it has), and by steps of STEP where the
+margins can't be met together; default shares are cut to what their values have. `margins` reports what is reached. A document
+is sampled when its hash, uniform in [0, 1), is under its cell's probability.
 
 Only cells leave the documents. While their counted number is under MAX_CELLS they are raked in driver memory (a bounded
 table); beyond it the same steps run as aggregations over a table of cells.
@@ -38,6 +42,8 @@ BUDGET = 0.6
 ROUNDS = 100
 #: How far a share of all tokens may be from its target.
 TOLERANCE = 1e-7
+#: Bounded raking: how far a share of the sample may be off, rounds without gain that end it, the step and the least of the budget.
+REACHED, PATIENCE, STEP, LOWEST = 1e-7, 20, 0.9, 0.01
 MAX_CELLS = 100_000
 SEED = 17
 
@@ -112,11 +118,44 @@ def rake_local(rows: list[tuple], targets: Targets | None, temperature: float, b
             break
     _met(dict(zip(MARGINS, map(float, off), strict=True)))
     weight = np.divide(w * mass.sum(), mass, out=np.zeros_like(w), where=mass > 0)
-    f = factor(mass, weight, budget * mass.sum())
-    p = np.where(weight > 0, np.minimum(1, np.where(weight > 0, f, 0) * weight), 0)
+    p = calibrated(mass, weight, index, goal, [m in (targets or {}) for m in MARGINS], budget * mass.sum(), max(off) < TOLERANCE)
     return [(*r[:3], float(a), float(b)) for r, a, b in zip(rows, weight, p, strict=True)]
 
 
+def reachable(total: np.ndarray, share: np.ndarray, tokens: float) -> np.ndarray:
+    """Tokens for each value in proportion to its share, none more than it has."""
+    ratio = np.divide(share, total, out=np.zeros_like(share), where=total > 0)
+    return total * np.minimum(1, min(factor(total, ratio, tokens), 1e300) * ratio)
+
+
+def calibrated(mass: np.ndarray, weight: np.ndarray, index: list[np.ndarray], goal: list[np.ndarray], given: list[bool], tokens: float, met: bool) -> np.ndarray:
+    """Inclusion probabilities of cells: min(1, the weight times a factor of each margin's value), such that the expected tokens
+    meet the margins; without margins that the weights meet, min(1, the weight times one factor)."""
+    total = [np.bincount(i, weights=mass, minlength=len(g)) for i, g in zip(index, goal, strict=True)]
+    asked = tokens
+    for t, g, own in zip(total, goal, given, strict=True):
+        if own and (g > 0).any():
+            tokens = min(tokens, (t[g > 0] / g[g > 0]).min())
+    while met and tokens > LOWEST * asked > 0:
+        want = [tokens * g if own else reachable(t, g, tokens) for t, g, own in zip(total, goal, given, strict=True)]
+        u, best, since = weight * mass * tokens / mass.sum(), np.inf, 0
+        while since < PATIENCE:
+            for i, x in zip(index, want, strict=True):
+                full = np.bincount(i, weights=np.where(u >= mass, mass, 0), minlength=len(x))
+                rest = np.bincount(i, weights=np.where(u >= mass, 0, u), minlength=len(x))
+                now = full + rest
+                scale = np.divide(x - full, rest, out=np.ones_like(x), where=(rest > 0) & (x > full))
+                scale = np.where((x <= full) & (now > 0), np.divide(x, now, out=np.zeros_like(x), where=now > 0), scale)
+                u = u * scale[i]
+            off = max(np.abs(np.bincount(i, weights=np.minimum(u, mass), minlength=len(x)) - x).max(initial=0) for i, x in zip(index, want, strict=True)) / tokens
+            if off < REACHED:
+                return np.minimum(1, np.divide(u, mass, out=np.zeros_like(u), where=mass > 0))
+            best, since = (off, 0) if off < 0.9 * best else (best, since + 1)
+        tokens *= STEP
+    f = factor(mass, weight, asked)
+    return np.where(weight > 0, np.minimum(1, np.where(weight > 0, f, 0) * weight), 0)
+
+
 def rake_table(cells: DataFrame, targets: Targets | None, temperature: float, budget: float) -> DataFrame:
     """rake_local as aggregations over cells(source, lang, topic, tokens), for any number of them."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
@@ -142,15 +181,63 @@ def rake_table(cells: DataFrame, targets: Targets | None, temperature: float, bu
             break
     _met(off)
     w = common.stored(w.withColumn("weight", F.when(F.col("tokens") > 0, F.col("w") * total / F.col("tokens")).otherwise(0.0)), "weights")
+    p = calibrated_table(w, goals, set(targets or {}), budget * total, max(off.values()) < TOLERANCE)
+    return p.select(*MARGINS, "weight", "probability")
+
+
+def calibrated_table(cells: DataFrame, goals: dict[str, DataFrame], given: set[str], tokens: float, met: bool) -> DataFrame:
+    """cells(MARGINS, tokens, weight, ...) with probability, as calibrated() gives them; goals: (value, goal) of each margin."""
+    asked, of = tokens, {}
+    for m in MARGINS:
+        have = cells.groupBy(m).agg(F.sum("tokens").alias("have"))
+        of[m] = common.stored(have.join(goals[m], m, "left").select(m, "have", F.coalesce("goal", F.lit(0.0)).alias("goal")), "margins")
+        if m in given:
+            least = of[m].where("goal > 0").agg(F.min(F.col("have") / F.col("goal"))).first()[0]
+            tokens = min(tokens, tokens if least is None else least)
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    while met and tokens > LOWEST * asked > 0:
+        want = {}
+        for m in MARGINS:
+            f = tokens if m in given else table_factor(of[m].where("goal > 0"), F.col("have"), F.col("goal") / F.col("have"), tokens)
+            want[m] = of[m].select(m, F.when(F.col("goal") > 0, F.col("goal") * f if m in given else F.least(F.col("have").cast("double"), F.col("goal") * f)).otherwise(0.0).alias("want"))
+        u, best, since = cells.withColumn("u", F.col("weight") * F.col("tokens") * tokens / total), float("inf"), 0
+        while since < PATIENCE:
+            for m in MARGINS:
+                sums = u.groupBy(m).agg(F.sum(F.when(F.col("u") >= F.col("tokens"), F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(F.col("u") < F.col("tokens"), F.col("u")).otherwise(0.0)).alias("rest"))
+                now = F.col("full") + F.col("rest")
+                scale = F.when((F.col("want") <= F.col("full")) & (now > 0), F.col("want") / now).when((F.col("want") > F.col("full")) & (F.col("rest") > 0), (F.col("want") - F.col("full")) / F.col("rest")).otherwise(1.0)
+                u = u.join(sums.join(want[m], m).select(m, scale.alias("scale")), m).withColumn("u", F.col("u") * F.col("scale")).drop("scale")
+            u = common.stored(u, "bounded")
+            held = F.sum(F.least(F.col("u"), F.col("tokens").cast("double")))
+            off = max((u.groupBy(m).agg(held.alias("now")).join(want[m], m).agg(F.max(F.abs(F.col("now") - F.col("want")))).first()[0] or 0.0) for m in MARGINS) / tokens
+            if off < REACHED:
+                return u.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("u") / F.col("tokens"))).otherwise(0.0))
+            best, since = (off, 0) if off < 0.9 * best else (best, since + 1)
+        tokens *= STEP
+    f = table_factor(cells.where("weight > 0"), F.col("tokens"), F.col("weight"), asked)
+    return cells.withColumn("probability", F.when(F.col("weight") > 0, F.least(F.lit(1.0), F.lit(f) * F.col("weight"))).otherwise(0.0))
+
+
+def table_factor(rows: DataFrame, mass: Column, weight: Column, budget: float) -> float:
+    """factor() by aggregations: rows past 1 are kept whole, the factor rises for the others, until no more pass."""
     f, last = 0.0, None
-    while f != last:  # cells past probability 1 are kept whole, the factor rises for the others, until no more pass
+    while f != last:
         last = f
-        whole, rest = w.where("weight > 0").agg(F.sum(F.when(F.col("weight") * f >= 1, F.col("tokens"))), F.sum(F.when(F.col("weight") * f < 1, F.col("tokens") * F.col("weight")))).first()
-        f = max((budget * total - (whole or 0)) / rest, last) if rest else float("inf")
+        whole, rest = rows.agg(F.sum(F.when(weight * f >= 1, mass)), F.sum(F.when(weight * f < 1, mass * weight))).first()
+        f = max((budget - (whole or 0)) / rest, last) if rest else float("inf")
         if f == float("inf"):
             break
-    p = F.when(F.col("weight") > 0, F.least(F.lit(1.0), F.lit(f) * F.col("weight"))).otherwise(0.0)
-    return w.select(*MARGINS, "weight", p.alias("probability"))
+    return f
+
+
+def margins(documents: DataFrame) -> DataFrame:
+    """(margin, value, share, expected) of mixed documents: a value's share of all tokens and of the expected sample's."""
+    out = None
+    for m in MARGINS:
+        one = documents.groupBy(F.lit(m).alias("margin"), F.col(f"__{m}").alias("value")).agg(F.sum("__tokens").alias("t"), F.sum(F.col("__tokens") * F.col("__probability")).alias("e"))
+        out = one if out is None else out.unionAll(one)
+    whole = documents.agg(F.sum("__tokens").alias("all_t"), F.sum(F.col("__tokens") * F.col("__probability")).alias("all_e"))
+    return out.select("margin", "value", (F.col("t") / whole.select("all_t").scalar()).alias("share"), (F.col("e") / whole.select("all_e").scalar()).alias("expected"))
 
 
 def mixed(documents: DataFrame, targets: Targets | None = None, budget: float = BUDGET, temperature: float = TEMPERATURE, seed: int = SEED, max_cells: int = MAX_CELLS, topic_of=None) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 import re
 from collections import defaultdict
@@ -245,13 +246,36 @@ def test_weights_are_those_of_plain_raking(spark):
         w = {c: x * goal[n % 3].get(c[n % 3], 0) / total[c[n % 3]] if total[c[n % 3]] else 0.0 for c, x in w.items()}
     whole = sum(mass.values())
     weight = {c: w[c] * whole / t if t else 0.0 for c, t in mass.items()}
-    lo, hi = 0.0, 1e6
-    for _ in range(200):  # the factor by bisection
-        f = (lo + hi) / 2
-        lo, hi = (f, hi) if sum(t * min(1, f * weight[c]) for c, t in mass.items()) < 0.6 * whole else (lo, f)
+    p = {}
     for r in rows:
         assert r["__tokens"] == len((r["text"] or "").split())
-        assert abs(r["__weight"] - weight[cell(r)]) < 1e-4 * max(1, weight[cell(r)]) and abs(r["__probability"] - min(1, f * weight[cell(r)])) < 1e-4
+        assert abs(r["__weight"] - weight[cell(r)]) < 1e-4 * max(1, weight[cell(r)]) and p.setdefault(cell(r), r["__probability"]) == r["__probability"]
+    # the sample: shares hold for given targets, default shares are cut to what there is, and the budget is what those allow
+    kept = sum(t * p[c] for c, t in mass.items())
+    have = lambda k, v: sum(t for c, t in mass.items() if c[k] == v)
+    most = min([0.6 * whole, *(have(k, v) / g for k in (1, 2) for v, g in goal[k].items() if g)])
+    assert 0.9 * most < kept < most * (1 + 1e-4)
+    for k in range(3):
+        lo, hi = 0.0, 1e9
+        for _ in range(200):  # the factor of default shares by bisection
+            f = (lo + hi) / 2
+            lo, hi = (f, hi) if sum(min(have(k, v), f * g) for v, g in goal[k].items()) < kept else (lo, f)
+        for v, g in goal[k].items():
+            want = min(have(k, v), f * g) if k == 0 else kept * g
+            assert abs(sum(t * p[c] for c, t in mass.items() if c[k] == v) - want) < 1e-3 * kept, (k, v)
+    # and probabilities below 1 are weights times factors of the values, so that log ratios over any four cells of a square vanish
+    ratio = {c: math.log(p[c] / weight[c]) for c in mass if 0 < p[c] < 1 - 1e-9}
+    squares = [(a, b, (a[0], *b[1:]), (b[0], *a[1:])) for a in ratio for b in ratio]
+    assert all(abs(ratio[a] + ratio[b] - ratio[c] - ratio[d]) < 1e-6 for a, b, c, d in squares if c in ratio and d in ratio)
+
+
+def test_probabilities_meet_reachable_targets(spark):
+    df = documents(spark)
+    targets = {"lang": {"en": 1.0, "fr": 1.0, "(none)": 1.0}, "topic": {"tabular": 1.0, "short": 2.0}, "source": {"hot": 1.0, "s0": 0.5, "s1": 0.5, "s2": 0.5, "s3": 0.5, "s4": 0.5, "s5": 0.5, "s6": 0.5}}
+    out = mixing.mixed(df, targets, budget=0.6)
+    for r in mixing.margins(out).collect():
+        assert abs(r["expected"] - targets[r["margin"]].get(r["value"], 0.0) / sum(targets[r["margin"]].values())) < 1e-3
+    assert out.agg(F.max("__probability")).first()[0] == 1.0
 
 
 @pytest.mark.parametrize("cells", [10**6, 0])

@@ -52,6 +52,8 @@ def test_odd_rows(spark):
     assert quality.scores(docs.limit(0), model).count() == 0
     kept = quality.filtered(docs.union(odd), model)
     assert kept.columns == docs.columns and 0 < kept.count() < 65
+    boxed = docs.select("*", F.expr("map('a', doc_id) as m"), F.expr("interval 3 month as span"))  # kinds that Arrow lacks stay in the JVM
+    assert quality.filtered(boxed, model).columns == boxed.columns and 0 < quality.filtered(boxed, model).count() <= 60
 
 
 def test_without_labels(spark):
@@ -77,7 +79,7 @@ def test_scores_are_those_of_the_formula(spark):
         data = text[r["doc_id"]].encode()
         cuts = [data[i : i + 4096] for i in range(0, len(data), 4096)]
         g, b = (sum(size(x, d) for x in cuts) for d in (m.good, m.bad))
-        d, n, q = max(-1.5, min(1.5, 10 * (b - g) / (g + b))), math.log(min(max(len(data), 20), m.longest)) - 6, math.log((g + b) / (2 * len(data)))
+        d, n, q = 10 * (b - g) / (g + b), math.log(len(data) + 20) - 6, math.log((g + b) / (2 * len(data)))
         z = sum(w * v for w, v in zip(m.weights, (1, d, d * n, q, max(m.low - q, 0), max(m.low - q, 0) * n, n), strict=True))
         assert abs(r["score"] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafline.operators import scratch
-from leafline.operators.intervals import stat_summary
+from leafline.operators.intervals import summarised
 
 # Outcomes by terminal event, the type that counts as an item, flag limits.
 OUTCOMES = {"completed": "success", "failed": "failure", "timed_out": "timed_out", "canceled": "canceled"}
@@ -58,20 +58,21 @@ def seconds(start: str, end: str) -> Column:
 
 def workflow_stats(workflows: DataFrame) -> DataFrame:
     """By type: count, successes, failures, others, and durations of the closed ones."""
-    g = workflows.groupBy("type").agg(F.count("*").alias("count"), F.count_if(F.col("status") == "COMPLETED").alias("success_count"), F.count_if(F.col("status") == "FAILED").alias("failure_count"), stat_summary(seconds("started_at", "closed_at")).alias("duration"))
+    g = summarised(workflows, ["type"], F.count("*").alias("count"), F.count_if(F.col("status") == "COMPLETED").alias("success_count"), F.count_if(F.col("status") == "FAILED").alias("failure_count"), duration=seconds("started_at", "closed_at"))
     return g.withColumn("other_count", F.col("count") - F.col("success_count") - F.col("failure_count"))
 
 
 def activity_stats(activities: DataFrame) -> DataFrame:
     """By type: count, successes, failures (time-outs too, cancellations not), retries, and both durations."""
-    return activities.groupBy("activity_type").agg(
+    return summarised(
+        activities, ["activity_type"],
         F.count("*").alias("count"),
         F.count_if(F.col("outcome") == "success").alias("success_count"),
         F.count_if(F.col("outcome").isin("failure", "timed_out")).alias("failure_count"),
         F.sum(F.greatest(F.col("attempts") - 1, F.lit(0))).cast("long").alias("retry_count"),
-        stat_summary(seconds("scheduled_at", "closed_at")).alias("schedule_to_close"),
-        stat_summary(seconds("last_started_at", "closed_at")).alias("start_to_close"),
-    )
+        schedule_to_close=seconds("scheduled_at", "closed_at"),
+        start_to_close=seconds("last_started_at", "closed_at"),
+    )
 
 
 def items(stats: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafline.operators.intervals import stat_summary
+from leafline.operators.intervals import summarised
 
 # Sampling periods by age in days.
 PERIODS = ((15, 60), (63, 300))
@@ -49,11 +49,11 @@ def interfaces(metrics: DataFrame) -> DataFrame:
 def throughput(metrics: DataFrame) -> DataFrame:
     """(instance, summary): values of all but the loopback interface, summed at each time, then summarised."""
     at = metrics.where("interface is null or interface <> 'lo'").groupBy("instance", "ts").agg(F.sum("value").alias("v"))
-    return at.groupBy("instance").agg(stat_summary(F.col("v")).alias("summary"))
+    return summarised(at, ["instance"], summary=F.col("v"))
 
 
 def summaries(metrics: DataFrame) -> DataFrame:
-    return metrics.groupBy("instance", "metric").agg(stat_summary(F.col("value")).alias("summary"))
+    return summarised(metrics, ["instance", "metric"], summary=F.col("value"))
 
 
 def seen(metrics: DataFrame) -> DataFrame:

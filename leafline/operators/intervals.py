@@ -6,10 +6,15 @@ third of all calls is not one task's work.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from leafline.operators import scratch
+
 BUCKET_S = 3600.0
 
 
@@ -92,3 +97,49 @@ def stat_summary(value: Column) -> Column:
     """count, max, p50, p95, p99 of the non-null values (linear interpolation); null without any."""
     p = F.percentile(value, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
     return F.when(F.count(value) > 0, F.struct(F.count(value).alias("count"), F.max(value).cast("double").alias("max"), p[0].alias("p50"), p[1].alias("p95"), p[2].alias("p99")))
+
+
+#: A group of more rows than this has its percentiles selected by ranges of values instead of in one task.
+GROUP_ROWS = 1_000_000
+RANKS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def summarised(rows: DataFrame, keys: list[str], *aggregates: Column, most: int = GROUP_ROWS, ranges: int | None = None, **values: Column) -> DataFrame:
+    """rows grouped by keys: the aggregates, and stat_summary of each of the values. Groups of any size: where one has more than
+    `most` rows, by `selected`."""
+    largest = rows.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= most:
+        return rows.groupBy(*keys).agg(*aggregates, *(stat_summary(v).alias(c) for c, v in values.items()))
+    out = rows.groupBy(*keys).agg(*aggregates) if aggregates else rows.select(*keys).distinct()
+    for name, value in values.items():
+        own = selected(rows.select(*keys, value.cast("double").alias("v")), keys, name, ranges).withColumnsRenamed({k: f"of_{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
+        out = out.join(own, reduce(and_, same), "left").drop(*(f"of_{k}" for k in keys))
+    return out
+
+
+def selected(rows: DataFrame, keys: list[str], name: str, ranges: int | None = None) -> DataFrame:
+    """(keys, name) of rows(keys, v), name being a stat_summary, for groups of any size.
+
+    Distinct values with their counts are dealt into ranges of (keys, value), so that a large group spreads over many. Ranges know
+    how many rows of a group come before them, and only those that hold a wanted rank are ordered, each in a task of its own.
+    """
+    n = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.where("v is not null").groupBy(*keys, "v").agg(F.count("*").alias("c"))
+    dealt = scratch.stored(counted.repartitionByRange(n, *keys, "v").withColumn("part", F.spark_partition_id()), "ranges")
+    w = W.partitionBy(*keys)
+    parts = dealt.groupBy(*keys, "part").agg(F.sum("c").alias("size"), F.max("v").alias("top"))
+    parts = parts.withColumns({"before": F.sum("size").over(w.orderBy("part")) - F.col("size"), "count": F.sum("size").over(w), "max": F.max("top").over(w)})
+    place = {p: F.lit(q) * (F.col("count") - 1) for p, q in RANKS.items()}
+    ends = {f"{p}_{side}": (F.floor(x) if side == "low" else F.least(F.floor(x) + 1, F.col("count") - 1)) for p, x in place.items() for side in ("low", "high")}
+    parts = scratch.stored(parts.withColumns(ends), "ranks")
+    holds = lambda e, a, b: (F.col(e) >= a) & (F.col(e) < b)
+    wanted = parts.where(reduce(or_, (holds(e, F.col("before"), F.col("before") + F.col("size")) for e in ends)))
+    wanted = wanted.select(*(F.col(k).alias(f"of_{k}") for k in keys), F.col("part").alias("of_part"), "before", *ends)
+    near = dealt.join(wanted, reduce(and_, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys] + [F.col("part") == F.col("of_part")]))
+    upto = F.sum("c").over(W.partitionBy(*keys, "part").orderBy("v")) + F.col("before")
+    at = near.withColumn("upto", upto).groupBy(*keys).agg(*(F.max(F.when(holds(e, F.col("upto") - F.col("c"), F.col("upto")), F.col("v"))).alias(f"v_{e}") for e in ends))
+    heads = parts.groupBy(*keys).agg(F.max("count").alias("count"), F.max("max").alias("max"))
+    both = heads.join(at.withColumnsRenamed({k: f"at_{k}" for k in keys}), reduce(and_, [F.col(k).eqNullSafe(F.col(f"at_{k}")) for k in keys]))
+    between = {p: F.col(f"v_{p}_low") + (F.col(f"v_{p}_high") - F.col(f"v_{p}_low")) * (x - F.floor(x)) for p, x in place.items()}
+    return both.select(*keys, F.struct("count", "max", *(v.alias(p) for p, v in between.items())).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, ids, prompts, providers, text
-from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, processing, toc, trees, treebuild
+from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, processing, retrieval, series, toc, trees, treebuild
 from leafline.plans import adapters as A
 from leafline.sources import documents as sources
 from leafline.sources import sinks
@@ -837,3 +837,46 @@ def _(s, d):
 def _(s, d):
     n = A.ranges(s, d).where("key <> 'none'").withColumns({"title": F.col("key"), "summary": F.lit(None).cast("string")})
     return building.summarised(n, A.pages(s, d), building.Options()).select("doc", "key", "summary")
+
+
+# --- charts and retrieval
+
+_POINTS = """pt AS (SELECT o_custkey AS key, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS nth, o_orderstatus AS series, o_orderkey AS x, o_orderpriority AS p, o_orderkey % 2 = 1 AS odd FROM orders)"""
+
+
+@query("a29_series_tables", f"""WITH {_POINTS}, c AS (SELECT key, min(CASE WHEN odd THEN nth END) AS y, min(CASE WHEN NOT odd THEN nth END) AS z FROM pt GROUP BY key),
+o AS (SELECT *, min(nth) OVER (PARTITION BY key, series) AS began FROM pt), r AS (SELECT *, dense_rank() OVER (PARTITION BY key ORDER BY began) AS series_nth, row_number() OVER (PARTITION BY key, series ORDER BY nth) AS row_nth FROM o)
+SELECT r.key, CASE series WHEN 'P' THEN 'data' ELSE series END AS series, CAST(series_nth AS INTEGER) AS series_nth, CAST(row_nth AS INTEGER) AS row_nth,
+'x,' || CASE WHEN z IS NULL THEN 'y' WHEN y IS NULL THEN 'z' WHEN y < z THEN 'y,z' ELSE 'z,y' END AS columns,
+x || ',' || CASE WHEN z IS NULL THEN p WHEN y IS NULL THEN p WHEN (y < z) = odd THEN p || ',' ELSE ',' || p END AS cells FROM r JOIN c USING (key)""")
+def _(s, d):
+    o = A.table(s, d, "orders")
+    first = {"series": F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")), "panel": F.lit("a"), "x": F.col("o_orderkey")}
+    odd = F.col("o_orderkey") % 2 == 1
+    point = F.to_json(F.struct(*(v.alias(k) for k, v in first.items()), F.when(odd, F.col("o_orderpriority")).alias("y"), F.when(~odd, F.col("o_orderpriority")).alias("z")))
+    each = o.groupBy(F.col("o_custkey").alias("key")).agg(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", point.alias("j")))), lambda x: x["j"]).alias("p"))
+    head, tail = F.get("p", F.lit(0)), F.array_join(F.slice("p", 2, 1 << 30), ",")
+    data = each.select("key", F.concat(F.lit("["), head, F.when(F.size("p") > 1, F.concat(F.lit(",["), tail, F.lit("]"))).otherwise(""), F.lit("]")).alias("data"))
+    t = series.tables(data)
+    return t.select("key", "series", "series_nth", "row_nth", F.array_join("columns", ",").alias("columns"), F.array_join("cells", ",").alias("cells"))
+
+
+@query("c9_hybrid_retrieval", """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents), t AS (SELECT doc_id, len(w) AS length, unnest(w) AS term FROM w),
+n AS (SELECT doc_id, term, count(*) AS n, first(length) AS length FROM t GROUP BY doc_id, term), total AS (SELECT count(DISTINCT doc_id) AS total FROM n),
+idf AS (SELECT term, ln(1 + (total - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM n, total GROUP BY term, total), q AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+lex AS (SELECT a.doc_id AS query_id, b.doc_id AS id, round(sum(b.n * 2.2 / (b.n + 1.2 * (0.25 + 0.75 * b.length / 256.0)) * a.n * idf), 6) AS score FROM n AS a JOIN n AS b USING (term) JOIN idf USING (term) WHERE a.doc_id % 20 = 0 AND a.doc_id IN (SELECT id FROM q) GROUP BY 1, 2),
+den AS (SELECT a.id AS query_id, b.id AS id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM q AS a, q AS b WHERE a.id % 20 = 0 AND a.id IN (SELECT doc_id FROM documents)),
+l AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM lex QUALIFY rank <= 50), v AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM den QUALIFY rank <= 50),
+f AS (SELECT query_id, id, round(sum(1.0 / (60 + rank)), 12) AS score FROM (SELECT query_id, id, rank FROM l UNION ALL SELECT query_id, id, rank FROM v) GROUP BY 1, 2)
+SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM f QUALIFY rank <= 10""")
+def _(s, d):
+    docs = A.table(s, d, "documents").select("doc_id", "text")
+    vectors = A.table(s, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    asked = docs.join(vectors, F.col("doc_id") == F.col("id")).where(F.col("id") % 20 == 0).select(F.col("id").alias("query_id"), "text", "embedding")
+    return retrieval.hybrid(index.terms(docs), vectors, asked)
+
+
+@query("a13_selected_percentiles", f"WITH {A.METRICS} SELECT metric, count(value) AS n, round(max(value), 6) AS max, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM metrics GROUP BY metric")
+def _(s, d):
+    found = intervals.selected(A.metrics(s, d).select("metric", F.col("value").cast("double").alias("v")), ["metric"], "summary")
+    return found.select("metric", F.col("summary.count").alias("n"), *(F.round(f"summary.{c}", 6).alias(c) for c in ("max", "p50", "p95", "p99")))

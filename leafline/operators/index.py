@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leafline.functions import ids
+from leafline.functions import ids, providers
+from leafline.operators import scratch
 
 # Public BM25 constants.
 K1, B, AVERAGE_LENGTH = 1.2, 0.75, 256.0
@@ -87,3 +91,33 @@ def embedded(chunks: DataFrame, model, dim: int, batch: int = 64) -> DataFrame:
 
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in chunks.schema.fields)
     return chunks.mapInPandas(work, f"{kept}, embedding array<float>")
+
+
+OUTCOME = "paper string, ok boolean, n_points long, attempts int, error string"
+
+
+def tail(rows: DataFrame, write: Callable[[str, pd.DataFrame], None], kind: str = "cpu", sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """OUTCOME of write(paper, its rows) for each paper of rows(paper, ...): a paper that fails is tried again after the waits of its kind
+    of call and then leaves an error, while the others are written. Outcomes are stored, so that a paper is not written
+    again when they are read; write must replace what it wrote, as a task may run twice."""
+
+    def one(paper: pd.DataFrame) -> pd.DataFrame:
+        name, error = paper["paper"].iloc[0], None
+        waits = providers.delays(kind)
+        for n in range(len(waits) + 1):
+            try:
+                write(name, paper)
+                return pd.DataFrame([(name, True, len(paper), n + 1, None)], columns=columns)
+            except Exception as e:  # noqa: BLE001 - the error becomes data
+                error = f"{type(e).__name__}: {e}"
+                if n < len(waits):
+                    sleep(waits[n])
+        return pd.DataFrame([(name, False, 0, len(waits) + 1, error)], columns=columns)
+
+    columns = [c.split(" ")[0] for c in OUTCOME.split(", ")]
+    return scratch.stored(rows.groupBy("paper").applyInPandas(one, OUTCOME), "outcomes")
+
+
+def outcome_summary(outcomes: DataFrame) -> DataFrame:
+    """(total_items, success_count, failure_count); zeros without any."""
+    return outcomes.agg(F.count("*").alias("total_items"), F.count_if("ok").alias("success_count"), F.count_if(~F.col("ok")).alias("failure_count"))

@@ -26,8 +26,8 @@ def _islands(rows: DataFrame, by: list[str]) -> DataFrame:
     return marked.groupBy(*by, "island").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("island")
 
 
-def union_length(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at", bucket: float = BUCKET_S) -> DataFrame:
-    """(key, wall_s): the length of the union of each key's intervals.
+def disjoint(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at", bucket: float = BUCKET_S) -> DataFrame:
+    """(key, s, e): disjoint intervals that cover what each key's intervals cover.
 
     What earlier buckets cover of a bucket is all up to their greatest end, so a bucket only needs that one number from them.
     """
@@ -35,20 +35,40 @@ def union_length(calls: DataFrame, key: str = "model", start: str = "started_at"
     w = W.partitionBy(key).orderBy("b").rowsBetween(W.unboundedPreceding, -1)
     covered = rows.groupBy(key, "b").agg(F.max("e").alias("top")).select(key, "b", F.max("top").over(w).alias("covered"))
     own = rows.join(covered, [key, "b"]).withColumn("s", F.greatest("s", "covered")).where("e >= s").select(key, "b", "s", "e")
-    return _islands(own, [key, "b"]).groupBy(key).agg(F.sum(F.col("e") - F.col("s")).alias("wall_s"))
+    return _islands(own, [key, "b"]).select(key, "s", "e")
 
 
-def peak_concurrency(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at", bucket: float = BUCKET_S) -> DataFrame:
-    """(key, peak): the most intervals open at once; an end comes before a start at the same time."""
+def union_length(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at", bucket: float = BUCKET_S) -> DataFrame:
+    """(key, wall_s): the length of the union of each key's intervals."""
+    return disjoint(calls, key, start, end, bucket).groupBy(key).agg(F.sum(F.col("e") - F.col("s")).alias("wall_s"))
+
+
+def steps(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at") -> DataFrame:
+    """(key, at, step): how many intervals begin (above 0) and end (below 0) at each time."""
     ok = calls.where(F.col(start).isNotNull() & F.col(end).isNotNull())
-    events = ok.select(key, F.explode(F.array(F.struct(F.col(start).alias("t"), F.lit(1).alias("d")), F.struct(F.col(end).alias("t"), F.lit(-1).alias("d")))).alias("x")).select(key, "x.t", "x.d")
-    at = events.groupBy(key, "t", "d").agg(F.sum("d").alias("d_sum")).withColumn("b", F.floor(F.col("t") / bucket))
-    w = W.partitionBy(key, "b").orderBy("t", "d").rowsBetween(W.unboundedPreceding, 0)
-    within = at.withColumn("run", F.sum("d_sum").over(w)).groupBy(key, "b").agg(F.max("run").alias("top"), F.sum("d_sum").alias("net"))
+    each = ok.select(key, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("step")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("step")))).alias("x")).select(key, "x.at", "x.step")
+    return added(each, key)
+
+
+def added(each: DataFrame, key: str = "model") -> DataFrame:
+    """Steps at equal times summed, those up apart from those down."""
+    return each.groupBy(key, "at", (F.col("step") > 0).alias("up")).agg(F.sum("step").alias("step")).drop("up")
+
+
+def peak_of(found: DataFrame, key: str = "model", bucket: float = BUCKET_S) -> DataFrame:
+    """(key, peak) of steps(key, at, step): the most intervals open at once; an end comes before a start at the same time."""
+    at = found.withColumn("b", F.floor(F.col("at") / bucket))
+    w = W.partitionBy(key, "b").orderBy("at", "step").rowsBetween(W.unboundedPreceding, 0)
+    within = at.withColumn("run", F.sum("step").over(w)).groupBy(key, "b").agg(F.max("run").alias("top"), F.sum("step").alias("net"))
     base = F.coalesce(F.sum("net").over(W.partitionBy(key).orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     return within.withColumn("high", base + F.col("top")).groupBy(key).agg(F.greatest(F.max("high"), F.lit(0)).cast("long").alias("peak"))
 
 
+def peak_concurrency(calls: DataFrame, key: str = "model", start: str = "started_at", end: str = "ended_at", bucket: float = BUCKET_S) -> DataFrame:
+    """(key, peak): the most intervals open at once; an end comes before a start at the same time."""
+    return peak_of(steps(calls, key, start, end), key, bucket)
+
+
 def call_totals(calls: DataFrame, key: str = "model") -> DataFrame:
     """(key, count, errors, input_tokens, output_tokens, compute_s): failed calls bring tokens but no interval."""
     ok = ~F.coalesce(F.col("errored"), F.lit(False))

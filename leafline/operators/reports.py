@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leafline.operators import history, hosts
 
@@ -94,13 +98,66 @@ def write_pair(report: Report, title: str, path: str) -> dict[str, str]:
     return {name: f"{path}/report.{name}" for name in ("json", "md")}
 
 
-def cached(spark, path: str) -> dict | None:
-    """A written report, or null where there is none or it doesn't read as one."""
+#: What each table of a written report holds, as DDL; a row may lack what is null, but has no other fields.
+STAT = "count long, max double, p50 double, p95 double, p99 double"
+RECORDS = {
+    "workflows": f"type string not null, count long not null, success_count long not null, failure_count long not null, duration struct<{STAT}>, other_count long not null",
+    "activities": f"activity_type string, count long not null, success_count long not null, failure_count long not null, retry_count long, schedule_to_close struct<{STAT}>, start_to_close struct<{STAT}>",
+    "items": "items long not null, succeeded long not null, failed long not null",
+    "window": "started_at timestamp, closed_at timestamp, status string",
+    "hosts": f"instance string not null, cpu struct<{STAT}>, memory struct<{STAT}>",
+    "flags": "subject string, flag string not null",
+}
+
+
+def conforms(value: object, kind: T.DataType) -> bool:
+    """Whether a JSON value is of this type: objects with no field more than the type's and all those that can't be null."""
+    if value is None:
+        return True
+    if isinstance(kind, T.StructType):
+        fields = {f.name: f for f in kind}
+        return isinstance(value, dict) and value.keys() <= fields.keys() and all(f.nullable or value.get(n) is not None for n, f in fields.items()) and all(conforms(v, fields[k].dataType) for k, v in value.items())
+    if isinstance(kind, T.ArrayType):
+        return isinstance(value, list) and all(conforms(v, kind.elementType) for v in value)
+    if isinstance(kind, T.NumericType):
+        return isinstance(value, int | float) and not isinstance(value, bool) and (isinstance(kind, T.FractionalType) or value == int(value))
+    return isinstance(value, bool) if isinstance(kind, T.BooleanType) else isinstance(value, str)
+
+
+def cached(spark: SparkSession, path: str) -> dict | None:
+    """A written report, or null where there is none or it isn't made of RECORDS."""
     try:
         found = json.loads("\n".join(r[0] for r in spark.read.text(f"{path}/report.json").collect()))
     except Exception:  # noqa: BLE001 - then it is built again
         return None
-    return found if isinstance(found, dict) and set(found) == set(Report.__dataclass_fields__) else None
+    fine = isinstance(found, dict) and found.keys() == RECORDS.keys() and all(isinstance(rows, list) and all(isinstance(r, dict) and conforms(r, T.StructType.fromDDL(RECORDS[k])) for r in rows) for k, rows in found.items())
+    return found if fine else None
+
+
+def side_by_side(pulls: dict[str, Callable[[], object]], enabled: dict[str, bool] | None = None) -> dict[str, object]:
+    """The results of independent pulls, each a job or several, run at once, each in a fair pool of its own; None for those that
+    aren't enabled. Where several fail the first one's error, in the order of their names, is raised when all have ended."""
+    spark = SparkSession.active()
+
+    def within(name: str, pull: Callable[[], object]) -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return pull()
+
+    chosen = {n: p for n, p in pulls.items() if (enabled or {}).get(n, True)}
+    with ThreadPoolExecutor(max(1, len(chosen))) as pool:
+        begun = {n: pool.submit(inheritable_thread_target(spark)(within), n, p) for n, p in chosen.items()}
+    return {n: begun[n].result() if n in begun else None for n in sorted(pulls)}
+
+
+def rows(report: Report) -> DataFrame:
+    """(section, subject, name, value) of a report's numbers."""
+    long = lambda df, section, subject, **values: df.select(F.lit(section).alias("section"), F.col(subject).cast("string").alias("subject"), F.explode(F.array(*(F.struct(F.lit(k).alias("name"), v.cast("double").alias("value")) for k, v in values.items()))).alias("x")).select("section", "subject", "x.*")
+    counts = lambda *names: {n: F.col(n) for n in names}
+    stats = lambda *names: {f"{n}_{p}": F.col(f"{n}.{p}") for n in names for p in ("max", "p50", "p95", "p99")}
+    out = long(report.workflows, "workflows", "type", **counts("count", "success_count", "failure_count", "other_count"), **stats("duration"))
+    out = out.unionAll(long(report.activities, "activities", "activity_type", **counts("count", "success_count", "failure_count", "retry_count"), **stats("schedule_to_close", "start_to_close")))
+    out = out.unionAll(long(report.hosts, "hosts", "instance", **stats("cpu", "memory")))
+    return out.unionAll(long(report.items.withColumn("all", F.lit("all")), "items", "all", **counts("items", "succeeded", "failed")))
 
 
 def run_record(method: str, document_id: str, started_at: str, ended_at: str, inputs: dict, result: dict | None, metrics: dict | None = None, error: str | None = None) -> dict:

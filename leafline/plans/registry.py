@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, ids, prompts, providers, text
-from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, processing, retrieval, series, toc, trees, treebuild
+from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, ledger, processing, reports, retrieval, series, toc, trees, treebuild
 from leafline.plans import adapters as A
 from leafline.sources import documents as sources
 from leafline.sources import sinks
@@ -880,3 +881,31 @@ def _(s, d):
 def _(s, d):
     found = intervals.selected(A.metrics(s, d).select("metric", F.col("value").cast("double").alias("v")), ["metric"], "summary")
     return found.select("metric", F.col("summary.count").alias("n"), *(F.round(f"summary.{c}", 6).alias(c) for c in ("max", "p50", "p95", "p99")))
+
+
+@query("e13_merged_partials", f"WITH {A.CALLS}, {_TOTALS}, {_UNION}, {_PEAK} SELECT model, count, errors, input_tokens, output_tokens, round(compute_s, 3) AS compute_time_s, round(coalesce(wall, 0), 3) AS wall_clock_time_s, round(compute_s / count, 3) AS avg_call_s, coalesce(peak, 0) AS max_concurrent FROM t LEFT JOIN u USING (model) LEFT JOIN p USING (model)")
+def _(s, d):
+    shard = F.pmod(F.xxhash64("started_at", "ended_at"), F.lit(3))
+    return ledger.finished(ledger.merged([ledger.partial(A.calls(s, d).where(shard == k)) for k in range(3)]))
+
+
+_MARKS = lambda x: f"max({x}), quantile_cont({x}, 0.5), quantile_cont({x}, 0.95), quantile_cont({x}, 0.99)"
+_NAMED = lambda *n: ", ".join(f"'{c}_{p}'" for c in n for p in ("max", "p50", "p95", "p99"))
+
+
+@query("q2_live_report", f"""WITH {A.ACTIVITIES}, {A.WORKFLOWS}, {A.METRICS},
+ch AS (SELECT *, {_SECONDS.format(a='started_at', b='closed_at')} AS sec FROM workflows WHERE type = 'ProcessPdfWorkflow' AND closed_at IS NOT NULL),
+ac AS (SELECT *, {_SECONDS.format(a='scheduled_at', b='closed_at')} AS x, {_SECONDS.format(a='last_started_at', b='closed_at')} AS y FROM activities WHERE workflow_id IN (SELECT workflow_id FROM ch)),
+r AS (SELECT 'workflows' AS section, type AS subject, ['count', 'success_count', 'failure_count', 'other_count', {_NAMED('duration')}] AS name,
+CAST([count(*), count(*) FILTER (WHERE status = 'COMPLETED'), count(*) FILTER (WHERE status = 'FAILED'), count(*) FILTER (WHERE status NOT IN ('COMPLETED', 'FAILED')), {_MARKS('sec')}] AS DOUBLE[]) AS value FROM ch GROUP BY type
+UNION ALL SELECT 'activities', activity_type, ['count', 'success_count', 'failure_count', 'retry_count', {_NAMED('schedule_to_close', 'start_to_close')}],
+CAST([count(*), count(*) FILTER (WHERE outcome = 'success'), count(*) FILTER (WHERE outcome IN ('failure', 'timed_out')), sum(greatest(attempts - 1, 0)), {_MARKS('x')}, {_MARKS('y')}] AS DOUBLE[]) FROM ac GROUP BY activity_type
+UNION ALL SELECT 'hosts', CAST(instance AS VARCHAR), [{_NAMED('cpu', 'memory')}], CAST([{_MARKS("CASE WHEN metric = 'view' THEN value END")}, {_MARKS("CASE WHEN metric = 'click' THEN value END")}] AS DOUBLE[]) FROM metrics GROUP BY instance
+UNION ALL SELECT 'items', 'all', ['items', 'succeeded', 'failed'], CAST([count(*), count(*) FILTER (WHERE status = 'COMPLETED'), count(*) FILTER (WHERE status <> 'COMPLETED')] AS DOUBLE[]) FROM ch)
+SELECT section, subject, name, round(value, 6) AS value FROM (SELECT section, subject, unnest(name) AS name, unnest(value) AS value FROM r)""")
+def _(s, d):
+    metric = F.col("metric")
+    m = A.metrics(s, d).withColumn("metric", F.when(metric == "view", "cpu").when(metric == "click", "memory").otherwise(metric))
+    since, until = (datetime(y, 1, 1, tzinfo=UTC) for y in (1970, 2200))
+    pulled = reports.side_by_side({"runs": lambda: A.workflows(s, d), "events": lambda: A.run_events(s, d), "hosts": lambda: m})
+    return reports.rows(reports.live_report(pulled["runs"], pulled["events"], pulled["hosts"], since, until)).withColumn("value", F.round("value", 6))

@@ -441,11 +441,13 @@ def _(s, d):
     return elements.figure_blocks(e)
 
 
-@query("f4_table_markdown")
+@query("f4_table_markdown", r"""WITH l AS (SELECT page_id, regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1) AS x FROM pages),
+t AS (SELECT page_id, list_transform(x, lambda c: replace(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(c, '(?i)<br[^>]*>', ' ', 'g'), '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', chr(160)), '&amp;', '&'), '[\s\x{00a0}]+', ' ', 'g')), '|', '\|')) AS c FROM l)
+SELECT page_id, CASE WHEN len(c) = 0 THEN '' ELSE '| ' || c[1] || ' |' || chr(10) || '| --- |' || array_to_string(list_transform(c[2:], lambda x: chr(10) || '| ' || x || ' |'), '') END AS md FROM t""")
 def _(s, d):
-    rows = A.table(s, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("n"))
-    cell = F.array_join(F.transform("n", lambda x: F.concat(F.lit("<tr><td>"), x, F.lit("</td><td>a|b</td></tr>"))), "")
-    return rows.select("n_regionkey", elements.table_markdown(F.concat(F.lit("<table><tr><th>Name</th></tr>"), cell, F.lit("</table>"))).alias("md"))
+    # the pages hold lists but no tables: each list item becomes a row of one cell
+    row = F.regexp_replace(F.regexp_replace("html", "<li>", "<tr><td>"), "</li>", "</td></tr>")
+    return A.table(s, d, "pages").select("page_id", elements.table_markdown(row).alias("md"))
 
 
 @query("f5_vision_parse")

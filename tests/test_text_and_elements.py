@@ -73,7 +73,9 @@ def test_uuid5(spark):
         ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table>", "| a | b |\n| --- | --- |\n| c |  |"),
         ("<table><tr><td> hello \n world </td><td>a|b</td><td>line1<br>line2</td><td><b>bold</b> value</td></tr></table>", "| hello world | a\\|b | line1 line2 | bold value |\n| --- | --- | --- | --- |"),
         ("<table></table>", ""),
-        ("<td>x</td><TABLE><TR><TH>a &amp; b<TD>c</TR>lost<tr></tr><tr><td>d</td></tr></TABLE><td>y</td>", "| a & b | c |\n| --- | --- |\n| d |  |"),
+        ("<td>x</td><TABLE><TR><TH>a &amp; b</TH><TD>c</td></TR>lost<tr></tr><tr><td>d</td></tr></TABLE><td>y</td>", "| a & b | c |\n| --- | --- |\n| d |  |"),
+        ("<table><tr><td>open<td>a</td></tr><tr><th>never<td>b</td></tr><tr><td>c</td></table>", "| b |\n| --- |\n| a |"),  # an open cell or row is dropped, an open header cell still leads
+        ("<table><!-- <tr><td>no</td></tr> --><tr class='a>b'><td>x<!-- y --></td><td/><td>z</th></tr></table>", "| x | z |\n| --- | --- |"),
     ],
 )
 def test_tables(source, want):
@@ -85,13 +87,17 @@ def test_vision():
     assert html.vision('<analyze>[{"titles":"T","x_labels":""},{}]</analyze>') == {"format": "figure_analysis", "panels": [{"title": "T"}]}
     assert html.vision('<analyze>[{"titles":"T"},{"titles":"U') == {"format": "figure_analysis", "panels": [{"title": "T"}], "truncated": True}
     assert html.vision("<analyze>[")["error"] == "unrecoverable"
+    assert html.vision('<analyze>[{"titles":["a"]},{"titles":"b","x":{"y":1},') == {"format": "figure_analysis", "truncated": True, "panels": [], "error": "unrecoverable"}
+    assert html.vision('<analyze> {"titles":"T"} and more')["panels"] == [{"title": "T"}]
+    block = html.vision('<div data-label="T"><!-- c --><P CLASS=\'x "y"\' hidden>a &amp; b &lt;i&gt;<BR/></P></div>')["blocks"][0]
+    assert (block["html"], block["text"]) == ('<p class="x "y"">a & b <i><br/></p>', "a & b")
     got = html.vision('<div data-label="Text" data-bbox="1 2 3 4"><div>a <math>x</math></div></div><div data-label="B" data-bbox="no">b</div>')
     assert [(b["label"], b["bbox"], b["text"]) for b in got["blocks"]] == [("Text", [1, 2, 3, 4], "a x"), ("B", None, "b")] and got["blocks"][0]["math"] == ["x"]
     assert html.vision("z" * 900)["raw_head"] == "z" * 500
     assert html.vision('<ANALYZE>{"legends":["a"],"other":1}</Analyze>')["panels"] == [{"legend": ["a"]}]
     assert "error" in html.vision("<analyze>[}</analyze>")
     nested = html.vision('<div><div data-label="A">x<div data-label="In">y</div></div></div><div data-bbox="1 2 3 -4" data-label=C>z<br/></div><div data-label="open">w')
-    assert [(b["label"], b["bbox"], b["text"]) for b in nested["blocks"]] == [("A", None, "x y"), ("C", [1, 2, 3, -4], "z")]
+    assert [(b["label"], b["bbox"], b["text"]) for b in nested["blocks"]] == [("A", None, "x y"), ("C", None, "z")]
 
 
 def test_captions_go_one_to_one(spark, rows):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -9,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, ids, prompts, providers, text
-from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, ledger, processing, reports, retrieval, series, toc, trees, treebuild
+from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, ledger, processing, reports, retrieval, scratch, series, toc, trees, treebuild
 from leafline.plans import adapters as A
 from leafline.sources import documents as sources
-from leafline.sources import sinks
+from leafline.sources import npy, queue, sinks
+from leafline.streaming import ingest
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -526,7 +528,12 @@ def _(s, d):
     return index.checked(A.table(s, d, "embeddings"), 64).select("vec_id", F.size("embedding").alias("dim"))
 
 
-@query("m5_half_precision")
+#: A number rounded to 11 significant bits, ties to even, as 16-bit floats do (their subnormal steps included).
+_HALF = "CASE WHEN x = 0 THEN 0.0 ELSE round_even(x / pow(2, greatest(floor(log2(abs(x))), -14) - 10), 0) * pow(2, greatest(floor(log2(abs(x))), -14) - 10) END"
+_HALVES = f"CAST(list_transform(CAST(embedding AS DOUBLE[]), lambda x: {_HALF}) AS FLOAT[])"
+
+
+@query("m5_half_precision", f"SELECT vec_id, {_HALVES} AS embedding FROM embeddings")
 def _(s, d):
     return A.table(s, d, "embeddings").select("vec_id", index.half_precision("embedding").alias("embedding"))
 
@@ -911,3 +918,29 @@ def _(s, d):
     since, until = (datetime(y, 1, 1, tzinfo=UTC) for y in (1970, 2200))
     pulled = reports.side_by_side({"runs": lambda: A.workflows(s, d), "events": lambda: A.run_events(s, d), "hosts": lambda: m})
     return reports.rows(reports.live_report(pulled["runs"], pulled["events"], pulled["hosts"], since, until)).withColumn("value", F.round("value", 6))
+
+
+@query("k6_npy_round_trip", f"SELECT row_number() OVER (ORDER BY vec_id) - 1 AS position, {_HALVES} AS embedding FROM embeddings")
+def _(s, d):
+    s.dataSource.register(npy.NpySource)
+    path = f"{scratch.folder(s)}/vectors-{uuid.uuid4().hex}"
+    ordered = A.table(s, d, "embeddings").select("vec_id", F.col("embedding").cast("array<float>").alias("embedding")).repartitionByRange("vec_id").sortWithinPartitions("vec_id")
+    ordered.select("embedding").write.format("npy").mode("append").save(path)
+    return s.read.format("npy").load(path)
+
+
+@query("s11_queue_runs", """WITH n AS (SELECT trim(url) AS uri, regexp_replace(regexp_extract(trim(url), '([^/]+)$', 1), '\\.[^.]+$', '') AS name FROM pages WHERE trim(coalesce(url, '')) <> ''),
+g AS (SELECT uri, trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM n)
+SELECT CASE WHEN slug = '' THEN 'unknown' ELSE slug END AS document_id, uri, CAST(1 AS INTEGER) AS receives FROM g""")
+def _(s, d):
+    where = f"{scratch.folder(s)}/queue-{uuid.uuid4().hex}"
+
+    def send(rows) -> None:
+        q = queue.Queue(f"{where}/q")
+        for r in rows:
+            q.send(r["url"] or "")
+
+    urls = A.table(s, d, "pages").select("url")
+    urls.foreachPartition(send)
+    ingest.served(s, f"{where}/q", f"{where}/runs", f"{where}/checkpoint", most=urls.count() + 1).awaitTermination()
+    return ingest.started(s, f"{where}/runs").select("document_id", "uri", "receives")

@@ -45,7 +45,7 @@ def served(spark: SparkSession, path: str, out: str, checkpoint: str, start: Cal
     start(uri) is called for each message in a task; a message whose start raises gives no run and is received again when its
     lease ends, the others are deleted once their rows are written. A run id is made of the message and of how often it was received, so
     that equal messages have runs of their own and a batch that runs again writes the same rows. poll_s: seconds
-    between polls; without it the stream takes what is visible and ends.
+    between polls; without it the stream takes what is visible, `most` messages at most, and ends.
     """
     spark.dataSource.register(queue.QueueSource)
 

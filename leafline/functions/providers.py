@@ -10,6 +10,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,19 @@ from pyspark.sql import functions as F
 
 from leafline.functions import answers
 
-Provider = Callable[[str, str], str]
+
+class Answer(NamedTuple):
+    """What a provider may return instead of a text alone; numbers of tokens that it doesn't tell are counted as words."""
+
+    content: str
+    finish_reason: str = "stop"
+    input_tokens: int | None = None
+    output_tokens: int | None = None
+
+
+Provider = Callable[[str, str], "str | Answer"]
+# Names that providers have for an answer cut at its limit.
+FINISHED = {"max_tokens": "length", "": "stop"}
 ANSWER = "content string, finish_reason string, ok boolean, error string, attempts int, started_at double, ended_at double, input_tokens long, output_tokens long"
 
 #: Seconds before the second and each further try, and tries, of calls on processors and on graphics cards.
@@ -101,10 +114,11 @@ def call(prompts: DataFrame, provider: Provider = stub, response: str | None = N
         start, error = clock(), None
         for n in range(1, tries + 1):
             try:
-                content = provider(model, prompt)
-                if response:
-                    content = answers.normalised(response, content)
-                return *row[0], content, "stop", True, None, n, start, clock(), len(prompt.split()), len(content.split())
+                got = provider(model, prompt)
+                got = got if isinstance(got, Answer) else Answer(got)
+                content = answers.normalised(response, got.content) if response else got.content
+                tokens = (len(t.split()) if k is None else k for t, k in ((prompt, got.input_tokens), (content, got.output_tokens)))
+                return *row[0], content, FINISHED.get(got.finish_reason or "", got.finish_reason), True, None, n, start, clock(), *tokens
             except Exception as e:  # noqa: BLE001 - the error becomes data
                 error = f"{type(e).__name__}: {e}"
                 if not response:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafline.operators import history, hosts
+from leafline.sources import sinks
 
 
 @dataclass
@@ -28,8 +29,8 @@ class Report:
 
 
 def of_runs(workflows: DataFrame, events: DataFrame, metrics: DataFrame, window: DataFrame) -> Report:
-    w = history.workflow_stats(workflows)
-    a = history.activity_stats(history.folded(events.join(workflows.select("workflow_id"), "workflow_id", "left_semi")))
+    w = history.workflow_stats(workflows).orderBy("type")
+    a = history.activity_stats(history.folded(events.join(workflows.select("workflow_id"), "workflow_id", "left_semi"))).orderBy("activity_type")
     s = hosts.summaries(metrics)
     pick = lambda m: F.max_by("summary", F.when(F.col("metric") == m, F.lit(1)))
     h = s.groupBy(F.col("instance").cast("string").alias("instance")).agg(pick("cpu").alias("cpu"), pick("memory").alias("memory"))
@@ -163,3 +164,9 @@ def rows(report: Report) -> DataFrame:
 def run_record(method: str, document_id: str, started_at: str, ended_at: str, inputs: dict, result: dict | None, metrics: dict | None = None, error: str | None = None) -> dict:
     """One run as a dictionary; without a result its status is error."""
     return {"method": method, "document_id": document_id, "inputs": inputs, "started_at": started_at, "ended_at": ended_at, "status": "ok" if result is not None else "error", "error": error, "result": result, "metrics": metrics or {}}
+
+
+def write_run_record(spark: SparkSession, record: dict, folder: str) -> str:
+    """A run's record as JSON under its document and start, in any store that Spark writes; returns its address."""
+    name = "".join(c if c.isalnum() else "-" for c in record["started_at"])
+    return sinks.write_bytes(spark, f"{folder.rstrip('/')}/{record['document_id']}/{record['method']}-{name}.json", json.dumps(record, ensure_ascii=False, indent=2).encode())

@@ -67,6 +67,12 @@ def preorder(nodes: DataFrame) -> DataFrame:
     return out.withColumn("node_id", ids.node_id(F.row_number().over(W.partitionBy("doc").orderBy("path")) - 1))
 
 
+def postorder(nodes: DataFrame) -> DataFrame:
+    """nodes(doc, path) with visit, from 1: every node after all that is below it, siblings in order."""
+    last = F.concat("path", F.array(F.lit(2**31 - 1)).cast(nodes.schema["path"].dataType))  # beyond any ordinal below
+    return nodes.withColumn("visit", F.row_number().over(W.partitionBy("doc").orderBy(last)))
+
+
 def leaves(nodes: DataFrame) -> DataFrame:
     """The nodes that no node names as parent."""
     p = nodes.where("parent_ord is not null").select("doc", F.col("parent_ord").alias("ord")).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, ids, prompts, providers, text
-from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, ledger, processing, reports, retrieval, scratch, series, toc, trees, treebuild
+from leafline.operators import batch, building, chunks, elements, history, hosts, index, intervals, ledger, pagetext, processing, reports, retrieval, scratch, series, toc, trees, treebuild
 from leafline.plans import adapters as A
 from leafline.sources import documents as sources
 from leafline.sources import npy, queue, sinks
@@ -944,3 +944,26 @@ def _(s, d):
     urls.foreachPartition(send)
     ingest.served(s, f"{where}/q", f"{where}/runs", f"{where}/checkpoint", most=urls.count() + 1).awaitTermination()
     return ingest.started(s, f"{where}/runs").select("document_id", "uri", "receives")
+
+
+@query("h7_walk", f"{_WALK} SELECT doc, title, row_number() OVER (PARTITION BY doc ORDER BY list_append(path, 2147483647)) AS visit FROM n")
+def _(s, d):
+    return trees.postorder(trees.preorder(A.places(s, d))).select("doc", "title", F.col("visit").cast("long").alias("visit"))
+
+
+@query("p8_prompt_specs", f"""WITH {A.PAGES}, t AS (SELECT doc, list(text ORDER BY page_idx) AS p, list('<physical_index_' || (page_idx + 1) || '>' || chr(10) || text || chr(10) || '<physical_index_' || (page_idx + 1) || '>' || chr(10) || chr(10) ORDER BY page_idx) AS w FROM pages_ GROUP BY doc),
+k AS (SELECT doc, 'toc' AS key, 'List the sections of these pages as JSON with structure, title and physical_index.' || chr(10) || regexp_replace(regexp_replace(array_to_string(w, ''), '\\.{{5,}}', ': ', 'g'), '(?:\\. ){{5,}}\\.?', ': ', 'g') AS prompt FROM t
+UNION ALL SELECT doc, 'summary', 'Write a concise summary of the main points of this section.' || chr(10) || '<<<context-before>>>' || chr(10) || p[1] || chr(10) || '<<<section-content>>>' || chr(10) || array_to_string(p[2:len(p) - 1], '') || chr(10) || '<<<context-after>>>' || chr(10) || p[len(p)] FROM t WHERE len(p) > 2
+UNION ALL SELECT doc, 'title', 'Does the section ' || doc || '{{x}} open this page? Answer as JSON with start_begin yes or no.' || chr(10) || p[1] FROM t)
+SELECT doc, key, md5(prompt) AS prompt FROM k""")
+def _(s, d):
+    pages = A.pages(s, d)
+    of = pages.groupBy("doc").agg(F.count("*").cast("int").alias("n"))
+    last, uri = F.col("n") - 1, F.concat(F.lit("pages/"), "doc")
+    every = prompts.page_spec(F.sequence(F.lit(0), last), "physical_index", dots=True)
+    inner = prompts.page_spec(F.sequence(F.lit(1), last - 1), before=F.array(F.lit(0)), after=F.array(last))
+    first = prompts.page_spec(F.array(F.lit(0)))
+    specs = of.select("doc", F.lit("toc").alias("key"), prompts.spec("generate_toc_init", "local", uri, page={"content": every}).alias("spec"))
+    specs = specs.unionAll(of.where("n > 2").select("doc", F.lit("summary"), prompts.spec("generate_node_summary", "upstream", uri, page={"node_text": inner})))
+    specs = specs.unionAll(of.select("doc", F.lit("title"), prompts.spec("check_title_appearance_in_start", "local", uri, small={"title": F.concat(F.col("doc"), F.lit("{x}"))}, page={"page_text": first})))
+    return pagetext.rendered(specs, pages).select("doc", "key", F.md5("prompt").alias("prompt"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
@@ -967,3 +969,74 @@ def _(s, d):
     specs = specs.unionAll(of.where("n > 2").select("doc", F.lit("summary"), prompts.spec("generate_node_summary", "upstream", uri, page={"node_text": inner})))
     specs = specs.unionAll(of.select("doc", F.lit("title"), prompts.spec("check_title_appearance_in_start", "local", uri, small={"title": F.concat(F.col("doc"), F.lit("{x}"))}, page={"page_text": first})))
     return pagetext.rendered(specs, pages).select("doc", "key", F.md5("prompt").alias("prompt"))
+
+
+# --- written and read back
+
+def _place(s, name: str) -> str:
+    return f"{scratch.folder(s)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("s5_pages_json", f"WITH {A.PAGES} SELECT CAST(doc AS VARCHAR) AS doc, page_idx, text, CAST(len(regexp_extract_all(text, '[A-Za-z0-9]{{1,4}}|[^\\sA-Za-z0-9]')) AS BIGINT) AS token_count FROM pages_")
+def _(s, d):
+    path = _place(s, "pages")
+    sources.text_pages(A.table(s, d, "documents")).write.json(path)
+    return sources.pages(s, path)
+
+
+@query("k2_run_pages", f"WITH {A.PAGES}, g AS (SELECT 'd' || doc % 40 AS document_id, doc, page_idx, text FROM pages_) SELECT document_id, r AS run_id, doc, page_idx, CASE r WHEN 'second' THEN 'x' || text ELSE text END AS text FROM g, (VALUES ('first'), ('second')) v(r) WHERE r = 'first' OR doc % 40 < 10")
+def _(s, d):
+    # documents of 40 groups have a first run, those of ten groups a second, which is written again and so replaced
+    path, pages = _place(s, "runs"), A.pages(s, d).select(F.concat(F.lit("d"), F.col("doc") % 40).alias("document_id"), "doc", "page_idx", "text")
+    some = pages.where(F.col("doc") % 40 < 10).withColumn("run_id", F.lit("second"))
+    for rows in (pages.withColumn("run_id", F.lit("first")), some, some.withColumn("text", F.concat(F.lit("x"), "text"))):
+        sinks.run_pages(rows.repartition("document_id"), path)
+    return s.read.option("basePath", path).schema("doc long, page_idx int, text string, document_id string, run_id string").parquet(path)
+
+
+@query("k3_page_elements", f"WITH {A.BOXES} SELECT doc, page, ord, label, x0, y0 FROM boxes")
+def _(s, d):
+    path = _place(s, "elements")
+    rows = A.boxes(s, d).select("doc", "page", "ord", "label", "x0", "y0")
+    sinks.page_elements(rows, path, "raw")
+    return s.read.schema(rows.schema).json(f"{path}/raw")
+
+
+@query("k8_points_replaced", "SELECT vec_id AS n, 'p' || (vec_id % 20) AS paper FROM embeddings WHERE vec_id % 20 <> 7 AND (vec_id % 20 >= 5 OR vec_id // 20 % 2 = 0)")
+def _(s, d):
+    # all papers, then every other vector of five of them as their whole, then a paper and one that isn't there deleted
+    path = _place(s, "index")
+    rows = A.table(s, d, "embeddings").select(F.col("vec_id").alias("n"), F.concat(F.lit("p"), F.col("vec_id") % 20).alias("paper"), F.col("embedding"))
+    dim = rows.agg(F.max(F.size("embedding"))).first()[0]
+    sinks.index_chunks(s, rows, path, dim)
+    sinks.index_chunks(s, rows.where((F.col("n") % 20 < 5) & (F.floor(F.col("n") / 20) % 2 == 0)), path, dim)
+    sinks.delete_papers(s, f"{path}/points", ["p7", "nobody"])
+    return s.read.parquet(f"{path}/points").select("n", "paper")
+
+
+@query("f3_first_table", "SELECT page_id, md5(nullif(regexp_extract(replace(replace(html, '<ul', '<TABLE'), '</ul>', '</table>'), '(?is)<table.*?</table>', 0), '')) AS found FROM pages")
+def _(s, d):
+    listed = F.regexp_replace(F.regexp_replace("html", "<ul", "<TABLE"), "</ul>", "</table>")
+    return A.table(s, d, "pages").select("page_id", F.md5(text.first_table(listed)).alias("found"))
+
+
+@query("f9_without_fences", "SELECT doc_id, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS inside FROM documents WHERE NOT contains(text, '```')")
+def _(s, d):
+    docs = A.table(s, d, "documents").where(~F.contains("text", F.lit("```")))
+    fenced = F.concat(F.lit("Here it is:\n```json\n"), "text", F.lit("\n```\nDone."))
+    return docs.select("doc_id", F.md5(text.without_fences(fenced)).alias("inside"))
+
+
+@query("l5_abstracts", f"WITH {A.PAGES} SELECT doc, md5('Copy the abstract from these pages, or null. Answer as JSON with abstract.' || chr(10) || string_agg(text, '' ORDER BY page_idx)) AS abstract FROM pages_ WHERE page_idx < 3 GROUP BY doc")
+def _(s, d):
+    digest = lambda m, p: json.dumps({"abstract": hashlib.md5(p.encode()).hexdigest()})
+    return building.abstracts(A.pages(s, d), building.Options(), digest)
+
+
+@query("x2_structured_calls", "SELECT conv_id, turn, CAST(to_json({'answer': CASE WHEN turn % 3 = 1 AND lower(trim(role)) IN ('yes', 'y', 'true', '1') OR turn % 3 = 2 THEN 'yes' ELSE 'no' END}) AS VARCHAR) AS content, CAST(CASE WHEN turn % 3 = 0 THEN 3 ELSE 1 END AS INTEGER) AS attempts, turn % 3 <> 0 AS ok FROM conversations WHERE turn % 3 <> 0 UNION ALL SELECT conv_id, turn, 'invalid', 3, false FROM conversations WHERE turn % 3 = 0")
+def _(s, d):
+    # the provider gives the prompt back: a role, a truth value, or no JSON at all
+    turn = F.col("turn")
+    prompt = F.when(turn % 3 == 1, F.to_json(F.struct(F.col("role").alias("answer")))).when(turn % 3 == 2, '{"answer": true, "more": 1}').otherwise("yes, it does")
+    told = providers.call(A.table(s, d, "conversations").select("conv_id", "turn", F.lit("echo").alias("model"), prompt.alias("prompt")), lambda m, p: p, "title_appearance")
+    return told.select("conv_id", "turn", F.when(F.col("ok"), F.regexp_replace("content", " ", "")).otherwise("invalid").alias("content"), "attempts", "ok")

@@ -200,7 +200,7 @@ top AS (SELECT * FROM listed UNION ALL SELECT doc, 1, 'Document' FROM docs WHERE
 node AS (SELECT doc, n, title, coalesce(lead(n) OVER (PARTITION BY doc ORDER BY n) - 1, total) AS last FROM top JOIN docs USING (doc)),
 big AS (SELECT node.doc, node.n, node.title, last FROM node JOIN p ON p.doc = node.doc AND p.n BETWEEN node.n AND last WHERE last - node.n > 3 GROUP BY ALL HAVING sum(tokens) >= 100),
 inner_ AS (SELECT big.doc, big.n AS up, big.title AS own, last, h.n, h.title FROM big JOIN h ON h.doc = big.doc AND h.n BETWEEN big.n AND last),
-below AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc, up ORDER BY n) AS nth FROM inner_) WHERE NOT (nth = 1 AND trim(title) = trim(own)) UNION ALL SELECT doc, n, title, last, n, 'Document', 1 FROM big WHERE NOT EXISTS (SELECT 1 FROM inner_ WHERE inner_.doc = big.doc AND up = big.n)),
+below AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc, up ORDER BY n) AS nth FROM inner_) WHERE NOT (nth = 1 AND trim(title) = trim(own)) UNION ALL SELECT doc, n, title, last, n, 'Document', 1 FROM big WHERE title <> 'Document' AND NOT EXISTS (SELECT 1 FROM inner_ WHERE inner_.doc = big.doc AND up = big.n)),
 child AS (SELECT doc, up, n, title, coalesce(lead(n) OVER (PARTITION BY doc, up ORDER BY n) - 1, last) AS last FROM below),
 cut AS (SELECT doc, up, min(n) AS cut FROM below GROUP BY doc, up),
 both_ AS (SELECT node.doc, node.n AS up, 0 AS below, node.n, title, coalesce(cut, last) AS last, 1 AS depth FROM node LEFT JOIN cut ON cut.doc = node.doc AND cut.up = node.n UNION ALL SELECT doc, up, n, n, title, last, 2 FROM child)

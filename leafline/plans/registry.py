@@ -296,7 +296,10 @@ def _(s, d):
     return A.table(s, d, "documents").select(F.col("doc_id").alias("doc"), toc.search_limit(20, F.col("n_chars") / 100).cast("int").alias("pages"))
 
 
-@query("w8_page_groups")
+@query("w8_page_groups", f"""WITH RECURSIVE {A.PAGES}, p AS (SELECT doc, list(len(regexp_extract_all(text, '[A-Za-z0-9]{{1,4}}|[^\\sA-Za-z0-9]')) + 15 ORDER BY page_idx) AS t FROM pages_ GROUP BY doc),
+c AS (SELECT doc, t, CASE WHEN list_sum(t) > 400 THEN ceil((list_sum(t) / ceil(list_sum(t) / 400) + 400) / 2) END AS cap FROM p),
+r AS (SELECT doc, 0 AS k, t[1] AS n, 0 AS g FROM c UNION ALL SELECT r.doc, k + 1, CASE WHEN n + t[k + 2] > cap THEN t[k + 1] + t[k + 2] ELSE n + t[k + 2] END, CASE WHEN n + t[k + 2] > cap THEN g + 1 ELSE g END FROM r JOIN c USING (doc) WHERE k + 2 <= len(t))
+SELECT doc, g AS grp, k AS page_idx FROM r UNION ALL SELECT a.doc, b.g, a.k FROM r AS a JOIN r AS b ON a.doc = b.doc AND b.k = a.k + 1 AND b.g > a.g""")
 def _(s, d):
     return toc.page_groups(A.pages(s, d), 400, 1, text.PAGE_OVERHEAD_TOKENS)
 
@@ -376,7 +379,12 @@ def _(s, d):
     return elements.kept_detections(A.boxes(s, d), ["figure", "table"], 0.4).select("ord", "label", "nx0", "ny0", "nx1", "ny1")
 
 
-@query("p24_suppressed")
+@query("p24_suppressed", f"""WITH RECURSIVE {A.BOXES}, o AS (SELECT doc, page, ord, label, confidence, x0, y0, x1, y1, row_number() OVER (PARTITION BY doc, page, label ORDER BY confidence DESC, ord) AS k FROM boxes),
+i AS (SELECT b.doc, b.page, b.label, b.k, a.k AS j, greatest(0, least(a.x1, b.x1) - greatest(a.x0, b.x0)) * greatest(0, least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS both_, (a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) AS area FROM o AS a JOIN o AS b ON a.doc = b.doc AND a.page = b.page AND a.label = b.label AND a.k < b.k),
+v AS (SELECT doc, page, label, k, list(j) AS over_ FROM i WHERE both_ > 0.3 * (area - both_) GROUP BY ALL),
+r AS (SELECT doc, page, label, 1 AS k, [CAST(1 AS BIGINT)] AS kept FROM o WHERE k = 1 UNION ALL
+SELECT r.doc, r.page, r.label, CAST(o.k AS INTEGER), CASE WHEN list_has_any(coalesce(over_, []), kept) THEN kept ELSE list_append(kept, o.k) END FROM r JOIN o ON o.doc = r.doc AND o.page = r.page AND o.label = r.label AND o.k = r.k + 1 LEFT JOIN v ON v.doc = o.doc AND v.page = o.page AND v.label = o.label AND v.k = o.k)
+SELECT o.doc, o.page, o.ord, o.label, o.confidence, o.x0, o.y0, o.x1, o.y1 FROM o JOIN r USING (doc, page, label, k) WHERE list_contains(kept, o.k)""")
 def _(s, d):
     return elements.suppressed(A.boxes(s, d).select("doc", "page", "ord", "label", "confidence", "x0", "y0", "x1", "y1"), 0.3)
 
@@ -395,7 +403,11 @@ def _(s, d):
     return elements.caption_candidates(A.boxes(s, d))
 
 
-@query("j6_caption_pairs")
+@query("j6_caption_pairs", f"""WITH RECURSIVE {_CAND}, l AS (SELECT doc, page, content, list(caption ORDER BY gap, caption) AS near FROM j WHERE gap IS NOT NULL GROUP BY ALL),
+g AS (SELECT *, row_number() OVER (PARTITION BY doc, page ORDER BY content) AS k FROM l),
+r AS (SELECT DISTINCT doc, page, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS taken, CAST(NULL AS BIGINT) AS content, CAST(NULL AS BIGINT) AS caption FROM g UNION ALL
+SELECT doc, page, k, CASE WHEN free IS NULL THEN taken ELSE list_append(taken, free) END, content, free FROM (SELECT g.doc, g.page, g.k, taken, g.content, list_filter(near, lambda x: NOT list_contains(taken, x))[1] AS free FROM r JOIN g ON g.doc = r.doc AND g.page = r.page AND g.k = r.k + 1))
+SELECT doc, page, content, caption FROM r WHERE caption IS NOT NULL""")
 def _(s, d):
     return elements.paired_captions(A.boxes(s, d))
 

@@ -182,14 +182,20 @@ def counted_pairs(source: DataFrame) -> DataFrame:
     return source.select("ids").mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def in_place(counts: DataFrame) -> DataFrame:
+    """counts, stored with each row's partition and place in it: what a later job reads them as doesn't depend on its splits."""
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return common.stored(counts.withColumns({"part": F.spark_partition_id(), "nth": at}), "counts")
+
+
 def with_numbers(frequent: DataFrame) -> DataFrame:
-    """A stored table with consecutive numbers `id` from 0: a row's place in its partition beyond those of the partitions before."""
-    size = {r["p"]: r["n"] for r in frequent.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()}
-    if sum(size.values()) >= 1 << 31:
+    """Rows that are in_place() with numbers `id` from 0: a row's place, beyond those of the partitions before."""
+    parts = sorted((r["part"], r["n"]) for r in frequent.groupBy("part").agg((F.max("nth") + 1).alias("n")).collect())  # a row a partition
+    before = np.cumsum([0, *(n for _, n in parts)]).tolist()
+    if before[-1] >= 1 << 31:
         raise ValueError("over 2**31 frequent grams of one length: raise `least`")
-    before = np.cumsum([0, *(size.get(p, 0) for p in range(max(size, default=0)))]).tolist()
-    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return common.stored(frequent.withColumn("id", F.get(F.array(*map(F.lit, before)), F.spark_partition_id()) + at), "frequent")
+    first = frequent.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(parts, before, strict=False)], "part int, first long")
+    return common.stored(frequent.join(F.broadcast(first), "part").withColumn("id", F.col("first") + F.col("nth")).drop("part", "nth", "first"), "frequent")
 
 
 def scored(k: int) -> Column:
@@ -208,7 +214,7 @@ def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGES
     """
     common.arrow_rows(documents.sparkSession, ROWS)
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = common.stored(counted_words(texts).where((F.col("n") >= least) | F.col("word").isNull()), "words")
+    counts = in_place(counted_words(texts).where((F.col("n") >= least) | F.col("word").isNull()))
     sizes = counts.where("word is null").select("lang", F.col("n").alias("all"))
     frequent = with_numbers(counts.where("word is not null"))
     level = frequent.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.col("n").alias("a"), F.array("n").alias("heads"), F.array("n").alias("tails"))
@@ -216,7 +222,7 @@ def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGES
     levels = []
     for k in range(2, longest + 1):
         source = numbered(source, frequent, k - 1, broadcast)
-        frequent = with_numbers(common.stored(counted_pairs(source).where(F.col("n") >= least), "pairs"))
+        frequent = with_numbers(in_place(counted_pairs(source).where(F.col("n") >= least)))
         head, tail = F.shiftright("key", 32).alias("head"), F.col("key").bitwiseAND(F.lit((1 << 32) - 1)).alias("tail")
         gram = frequent.select("id", F.col("n").alias("a"), head, tail)
         most = gram.select(F.explode(F.array("head", "tail")).alias("id"), "a").groupBy("id").agg(F.max("a").alias("longer"))

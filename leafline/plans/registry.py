@@ -189,8 +189,9 @@ def _(s, d):
     return trees.too_large(n, 3, 1000).select("doc", "key", "divide")
 
 
-#: Lines that begin with a capital of the first or second half are headings of sections or subsections.
-READER = providers.heading_reader("[A-D]", "[E-R]")
+#: Lines that begin with a capital up to R are headings, those up to D of sections, the others of subsections. The reader lists
+#: both, as it sees one page group at a time; which of them a document's list keeps is settled over all groups (Options.outer).
+READER = providers.heading_reader("[A-R]", "[A-R]")
 
 
 @query("h10_tree_structure", f"""WITH {A.PAGES}, p AS (SELECT doc, page_idx + 1 AS n, text, len(regexp_extract_all(text, '[A-Za-z0-9]{{1,4}}|[^\\sA-Za-z0-9]')) AS tokens FROM pages_), docs AS (SELECT doc, count(*) AS total FROM p GROUP BY doc),
@@ -206,7 +207,7 @@ cut AS (SELECT doc, up, min(n) AS cut FROM below GROUP BY doc, up),
 both_ AS (SELECT node.doc, node.n AS up, 0 AS below, node.n, title, coalesce(cut, last) AS last, 1 AS depth FROM node LEFT JOIN cut ON cut.doc = node.doc AND cut.up = node.n UNION ALL SELECT doc, up, n, n, title, last, 2 FROM child)
 SELECT doc, printf('%04d', row_number() OVER (PARTITION BY doc ORDER BY up, below) - 1) AS node_id, depth, title, CAST(n AS INTEGER) AS start_index, CAST(last AS INTEGER) AS end_index FROM both_""")
 def _(s, d):
-    opt = building.Options(toc_check_pages=1, max_pages=3, max_tokens=100)
+    opt = building.Options(toc_check_pages=1, max_pages=3, max_tokens=100, outer="^[A-D]")
     return treebuild.structured(A.pages(s, d), opt, READER).select("doc", "node_id", F.size("path").alias("depth"), "title", "start_index", "end_index")
 
 

@@ -1,9 +1,10 @@
 """Hybrid retrieval over index rows: a lexical leg over postings, a dense leg over vectors, and the fusion of their ranks.
 
-Queries are a stated set, taken in blocks of at most QUERIES: a block goes to every task, postings and vectors stay where they
-are. Each task gives the best k of its rows for each query (vectors), or sums by query and document before anything moves
-(postings); the final ranking sees k rows a query and task. Scores are compared after rounding to DIGITS places, so that the order of
-additions does not decide; ties go to the smaller id.
+Queries are a stated set, taken in blocks of at most QUERIES: a block goes to every task, documents and vectors stay where they
+are. A document's postings are one row, so that a task knows whole scores; it keeps the best k of its rows for each query and gives
+only these, so that the final ranking sees k rows a query and task. Every query meets every row: time grows with their product,
+memory and what moves don't. Scores are compared after rounding to DIGITS places, so that the order of additions does not decide;
+ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ QUERIES = 2000
 DIGITS = 6
 # Public constant of reciprocal-rank fusion.
 RRF = 60
+#: Rows scored at a time, products of single postings at a time, and the share of a block's queries from which a term is multiplied as
+#: a column of a matrix.
+ROWS, PRODUCTS, COMMON = 256, 1_000_000, 0.05
 
 
 def best(scores: DataFrame, k: int) -> DataFrame:
@@ -41,18 +46,102 @@ def in_blocks(queries: DataFrame, leg, size: int = QUERIES) -> DataFrame:
     return rows
 
 
+class Best:
+    """The k best of the scores seen so far, by query; not a number counts as the highest, as in a descending sort."""
+
+    def __init__(self, queries: int, k: int):
+        self.k, self.score, self.id = k, np.full((queries, k), -np.inf), np.zeros((queries, k), np.int64)
+
+    def add(self, score: np.ndarray, ids: np.ndarray) -> None:
+        """score: queries by ids, -inf where a pair is none."""
+        score[np.isnan(score)] = np.inf
+        floor = self.score[:, -1:]
+        if score.shape[1] > self.k and np.isneginf(floor).any():
+            floor = np.maximum(floor, np.partition(score, -self.k, axis=1)[:, -self.k, None])
+        q, at = np.nonzero((score >= floor) & (score > -np.inf))
+        some = np.unique(q)
+        q, s, i = np.concatenate([q, np.repeat(some, self.k)]), np.concatenate([score[q, at], self.score[some].ravel()]), np.concatenate([ids[at], self.id[some].ravel()])
+        order = np.lexsort((i, -s, q))
+        q = q[order]
+        order = order[np.arange(len(q)) - np.searchsorted(q, q) < self.k]
+        self.score[some], self.id[some] = s[order].reshape(-1, self.k), i[order].reshape(-1, self.k)
+
+    def rows(self, queries: np.ndarray) -> pa.RecordBatch:
+        q, n = np.nonzero(self.score > -np.inf)
+        score = self.score[q, n]
+        score[np.isposinf(score)] = np.nan
+        return pa.RecordBatch.from_arrays([pa.array(queries[q]), pa.array(self.id[q, n]), pa.array(score)], ["query_id", "id", "score"])
+
+
+SCORES = "query_id long, id long, score double"
+
+
+def asked_terms(asked: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of asked(query_id, term, w): the queries; the terms; the column of each common term or -1, and the matrix of queries by common
+    terms; and for the others, by term, where its queries begin, and their places and weights."""
+    ids, q = np.unique(asked.column("query_id").to_numpy(), return_inverse=True)
+    coded = asked.column("term").combine_chunks().dictionary_encode()
+    term, w = coded.indices.to_numpy().astype(np.int64), asked.column("w").to_numpy()
+    n = np.bincount(term, minlength=len(coded.dictionary))
+    common = n > COMMON * len(ids)
+    column = np.where(common, np.cumsum(common) - 1, -1)
+    matrix = np.zeros((len(ids), int(common.sum())))
+    hot = common[term]
+    matrix[q[hot], column[term[hot]]] = w[hot]
+    cold = np.flatnonzero(~hot)
+    cold = cold[np.argsort(term[cold], kind="stable")]
+    begins = np.concatenate([[0], np.cumsum(np.where(common, 0, n))])
+    return ids, coded.dictionary, column, matrix, begins, q[cold], w[cold]
+
+
+def scored(batch: pa.RecordBatch, asked: tuple) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(scores, ids) of a batch(id, term, weight) of documents, queries by documents, some documents at a time."""
+    ids, terms, column, matrix, begins, query, w = asked
+    own, to = batch.column(0).to_numpy(), batch.column(1).offsets.to_numpy()
+    found = pc.fill_null(pc.index_in(batch.column(1).values, value_set=terms), -1).to_numpy().astype(np.int64)
+    weight = batch.column(2).values.to_numpy()
+    products = np.where(found >= 0, (begins[1:] - begins[:-1])[found], 0) if len(terms) else np.zeros(len(found), np.int64)
+    upto = np.concatenate([[0], np.cumsum(products)])[to]
+    a = 0
+    while a < len(own):
+        b = int(np.clip(np.searchsorted(upto, upto[a] + PRODUCTS, "right") - 1, a + 1, min(a + ROWS, len(own))))
+        at = np.arange(to[a], to[b])
+        doc = np.repeat(np.arange(b - a), np.diff(to[a : b + 1]))
+        doc, at = doc[found[at] >= 0], at[found[at] >= 0]
+        hot = column[found[at]] >= 0
+        dense = np.zeros((b - a, matrix.shape[1]))
+        dense[doc[hot], column[found[at[hot]]]] = weight[at[hot]]
+        doc, at = doc[~hot], at[~hot]
+        size = products[at]
+        each = np.repeat(begins[found[at]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        single = np.bincount(query[each] * (b - a) + np.repeat(doc, size), w[each] * np.repeat(weight[at], size), len(ids) * (b - a))
+        score = matrix @ dense.T + single.reshape(len(ids), b - a)
+        yield np.where(score > 0, np.round(score, DIGITS), -np.inf), own[a:b]  # all products are positive
+        a = b
+
+
 def lexical(counted: DataFrame, queries: DataFrame, k: int, id_: str = "doc_id") -> DataFrame:
     """(query_id, id, score, rank): the k best documents by term weights times inverse document frequency, a query's term counting
     as often as it stands there. counted: index.terms; queries(query_id, text)."""
-    weights = scratch.stored(index.term_weights(counted).select(F.col(id_).alias("id"), "term", "weight"), "postings")
-    idf = scratch.stored(index.document_frequency(counted, id_).select("term", "idf"), "idf")
+    weights = index.term_weights(counted).groupBy(F.col(id_).alias("id")).agg(F.collect_list(F.struct("term", "weight")).alias("x"))
+    postings = scratch.stored(weights.select("id", "x.term", "x.weight"), "postings")
+    idf = scratch.stored(index.document_frequency(postings.select("id", F.explode("term").alias("term")), "id").select("term", "idf"), "idf")
 
     def leg(block: DataFrame) -> DataFrame:
         asked = index.terms(block, "query_id").join(idf, "term").select("query_id", "term", (F.col("n") * F.col("idf")).alias("w"))
-        asked = scratch.stored(asked, "asked")
-        hit = weights.join(F.broadcast(asked), "term")  # the terms of QUERIES queries at most
-        return best(hit.groupBy("query_id", "id").agg(F.round(F.sum(F.col("weight") * F.col("w")), DIGITS).alias("score")), k)
+        sent = block.sparkSession.sparkContext.broadcast(asked_terms(asked.toArrow()))  # the terms of QUERIES queries at most
 
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked = sent.value
+            top = Best(len(asked[0]), k)
+            for b in batches:
+                for score, own in scored(b, asked):
+                    top.add(score, own)
+            yield top.rows(asked[0])
+
+        return best(postings.where("id is not null").mapInArrow(near, SCORES), k)
+
+    scratch.small_batches(counted.sparkSession)
     return in_blocks(queries.select("query_id", "text"), leg)
 
 
@@ -67,16 +156,14 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             query, unit = sent.value
+            top = Best(len(query), k)
             for b in batches:
-                if not b.num_rows or not len(query):
-                    continue
-                own = b.column(0).to_numpy()
-                x = b.column(1).flatten().to_numpy().astype(np.float64).reshape(b.num_rows, -1)
-                score = np.round(unit @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T, DIGITS)
-                order = np.lexsort((np.broadcast_to(own, score.shape), -score), axis=1)[:, :k]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(query, order.shape[1])), pa.array(own[order].ravel()), pa.array(np.take_along_axis(score, order, 1).ravel())], ["query_id", "id", "score"])
-
-        return best(vectors.select("id", "embedding").where("id is not null and embedding is not null").mapInArrow(near, "query_id long, id long, score double"), k)
+                for part in (b.slice(a, ROWS) for a in range(0, b.num_rows, ROWS) if len(query)):
+                    x = part.column(1).flatten().to_numpy().astype(np.float64).reshape(part.num_rows, -1)
+                    top.add(np.round(unit @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T, DIGITS), part.column(0).to_numpy())
+            yield top.rows(query)
+
+        return best(vectors.select("id", "embedding").where("id is not null and embedding is not null").mapInArrow(near, SCORES), k)
 
     return in_blocks(queries.select("query_id", "embedding"), leg)
 

@@ -27,3 +27,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Bounds the rows of an Arrow batch, since a row may hold a whole text: a worker's memory then doesn't grow with its split."""
+    if not 0 < int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

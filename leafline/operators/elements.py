@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,21 +122,21 @@ def figure_blocks(elements: DataFrame) -> DataFrame:
     return g.select("doc", "key", F.array_join(F.transform("x", lambda r: r["line"]), "\n").alias("block"))
 
 
-
-
 def suppressed(found: DataFrame, iou: float) -> DataFrame:
     """Detections without those that overlap a surer one of their page and class by more than iou (intersection over union);
-    equally sure ones in their order. What is left depends on what was left before, so a page goes through one function call."""
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        box = pdf.sort_values(["confidence", "ord"], ascending=[False, True])
-        kept: list[int] = []
-        x0, y0, x1, y1 = (box[c].to_numpy(float) for c in ("x0", "y0", "x1", "y1"))
-        area = (x1 - x0).clip(0) * (y1 - y0).clip(0)
-        for n in range(len(box)):
-            both = (x1[kept].clip(max=x1[n]) - x0[kept].clip(min=x0[n])).clip(0) * (y1[kept].clip(max=y1[n]) - y0[kept].clip(min=y0[n])).clip(0)
-            if not (both > iou * (area[kept] + area[n] - both)).any():
-                kept.append(n)
-        return box.iloc[kept]
-
-    return found.groupBy("doc", "page", "label").applyInPandas(keep, found.schema)
+    equally sure ones in their order. What is left depends on what was left before, so a page's boxes fold in order inside one
+    expression; boxes without a coordinate overlap nothing, and those without a confidence come last."""
+    number = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    long = lambda a, b: F.when(b > a, b - a).when(b <= a, 0.0)
+    x0, y0, x1, y1, sure = map(number, ("x0", "y0", "x1", "y1", "confidence"))
+    area = long(x0, x1) * long(y0, y1)
+    box = F.struct(sure.isNull().alias("unsure"), (-sure).alias("last"), "ord", x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"), area.alias("area"), F.struct(*found.columns).alias("row"))
+    each = found.groupBy("doc", "page", "label").agg(F.array_sort(F.collect_list(box)).alias("boxes"))
+
+    def over(a: Column, b: Column) -> Column:
+        both = long(F.greatest(a["x0"], b["x0"]), F.least(a["x1"], b["x1"])) * long(F.greatest(a["y0"], b["y0"]), F.least(a["y1"], b["y1"]))
+        return F.coalesce(both > iou * (a["area"] + b["area"] - both), F.lit(False))
+
+    none = F.slice("boxes", 1, 0)
+    kept = F.aggregate("boxes", none, lambda kept, b: F.when(F.exists(kept, lambda a: over(a, b)), kept).otherwise(F.concat(kept, F.array(b))))
+    return each.select(F.explode(kept).alias("box")).select("box.row.*")

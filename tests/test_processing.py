@@ -128,3 +128,10 @@ def test_calls_are_patient():
     with pytest.raises(RuntimeError):
         providers.patient(lambda m, p: flaky(m, tries.clear()), "gpu", waits.append)("m", "p")
     assert waits[2:] == [2.0, 6.0, 18.0, 54.0]
+
+
+def test_overlaps_need_no_python_call_a_page(spark):
+    data = [("d", 1, 1, "figure", 0.5, 0, 0, 10, 10), ("d", 1, 2, "figure", 0.9, 1, 0, 11, 10), ("d", 1, 3, "figure", None, 0, 0, 10, 10), ("d", 1, 4, "figure", 0.1, None, 0, 10, 10), ("d", 2, 5, "figure", 0.1, 0, 0, 10, 10)]
+    got = elements.suppressed(spark.createDataFrame(data, "doc string, page int, ord int, label string, confidence double, x0 int, y0 int, x1 int, y1 int"), 0.3)
+    assert sorted(r["ord"] for r in got.collect()) == [2, 4, 5]
+    assert "Pandas" not in got._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,7 @@ document passes through as few ways as its verification allows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.functions import answers, prompts, providers, text
@@ -25,9 +26,12 @@ def post_processed(sections: DataFrame, last_page: Column) -> DataFrame:
     runs of citations made one node. sections(doc, ord, structure, title, physical_index, appear_start)."""
     ranged = trees.section_ranges(sections, last_page).select("doc", "ord", "structure", "title", "start_index", "end_index")
     kin = trees.parents(ranged)
-    inner = kin.where("parent_ord is not null").select("doc", F.col("parent_ord").alias("ord"), F.lit(True).alias("inner")).distinct()
-    nodes = kin.join(inner, ["doc", "ord"], "left")
-    return trees.citation_runs(nodes.select("doc", F.col("parent_ord").alias("parent"), "ord", "title", "start_index", "end_index", F.col("inner").isNull().alias("is_leaf")))
+    # each row stands under its own ord and under its parent's, so that a node knows whether another names it; documents don't move
+    node = F.struct(F.col("parent_ord").alias("parent"), "ord", "title", "start_index", "end_index")
+    at = lambda key, names: F.struct(F.col(key).alias("key"), F.lit(names).alias("names"))
+    each = kin.select("doc", node.alias("node"), F.explode(F.array(at("ord", False), at("parent_ord", True))).alias("at")).select("doc", "node", "at.*")
+    named = each.withColumn("inner", F.max("names").over(W.partitionBy("doc", "key"))).where(~F.col("names"))
+    return trees.citation_runs(named.select("doc", "node.*", (~F.col("inner")).alias("is_leaf")))
 
 
 def content(wanted: DataFrame, pages: DataFrame, *key: str) -> DataFrame:

@@ -41,10 +41,15 @@ def with_preface(toc: DataFrame) -> DataFrame:
 def parents(toc: DataFrame) -> DataFrame:
     """toc with parent_ord: the latest earlier row whose structure is this one's without its last part; null for roots."""
     up = F.when(F.contains("structure", F.lit(".")), F.regexp_replace("structure", r"\.[^.]*$", ""))
-    child = toc.withColumn("up", up)
-    p = toc.select(F.col("doc").alias("pdoc"), F.col("structure").alias("pstructure"), F.col("ord").alias("pord"))
-    j = child.join(p, (F.col("doc") == F.col("pdoc")) & (F.col("up") == F.col("pstructure")) & (F.col("pord") < F.col("ord")), "left")
-    return j.groupBy(*toc.columns).agg(F.max("pord").alias("parent_ord"))
+    # each row stands twice: under the structure it looks for and, after those of its ord and without its columns, under its own
+    own = F.struct(*(c for c in toc.columns if c not in ("doc", "ord")))
+    at = lambda key, row, last: F.struct(key.alias("key"), row.alias("row"), F.lit(last).alias("last"))
+    each = toc.select("doc", "ord", F.explode(F.array(at(up, own, False), at(F.col("structure"), F.lit(None).cast(toc.select(own.alias("row")).schema["row"].dataType), True))).alias("at")).select("doc", "ord", "at.*")
+    w = W.partitionBy("doc", "key").orderBy("ord", "last", "row")
+    parent = F.when(F.col("key").isNotNull(), F.last(F.when(F.col("last"), F.col("ord")), ignorenulls=True).over(w))
+    again = F.coalesce((F.lag("ord").over(w) == F.col("ord")) & F.col("row").eqNullSafe(F.lag("row").over(w)), F.lit(False))
+    found = each.withColumns({"parent_ord": parent, "again": again}).where(~F.col("last") & ~F.col("again"))
+    return found.select(*(c if c in ("doc", "ord") else F.col("row")[c].alias(c) for c in toc.columns), "parent_ord")
 
 
 def preorder(nodes: DataFrame) -> DataFrame:
@@ -89,9 +94,10 @@ def citation_runs(nodes: DataFrame, run: int = CITATION_RUN) -> DataFrame:
     marked = cited.withColumn("island", F.sum(F.when(F.col("c") & F.coalesce(F.lag("c").over(w), F.lit(False)), 0).otherwise(1)).over(w))
     sized = marked.withColumn("n", F.count("*").over(W.partitionBy("doc", "parent", "island")))
     merge = F.col("c") & (F.col("n") >= run)
-    kept = sized.where(~merge).select("doc", "parent", "ord", "title", "start_index", "end_index", "is_leaf")
-    merged = sized.where(merge).groupBy("doc", "parent", "island").agg(F.min("ord").alias("ord"), F.min("start_index").alias("start_index"), F.max("end_index").alias("end_index"))
-    return kept.unionByName(merged.select("doc", "parent", "ord", F.lit("References").alias("title"), "start_index", "end_index", F.lit(True).alias("is_leaf")))
+    island = W.partitionBy("doc", "parent", "island")
+    whole = sized.withColumns({"merge": merge, "first": F.row_number().over(island.orderBy("ord")) == 1, "begin": F.min("start_index").over(island), "end": F.max("end_index").over(island)})
+    either = lambda merged, own: F.when(F.col("merge"), merged).otherwise(F.col(own)).alias(own)
+    return whole.where("first or not merge").select("doc", "parent", "ord", either(F.lit("References"), "title"), either(F.col("begin"), "start_index"), either(F.col("end"), "end_index"), "is_leaf")
 
 
 def page_indexes(start: Column, end: Column) -> Column:

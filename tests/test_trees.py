@@ -118,3 +118,21 @@ def test_deep_trees_are_read_and_written_whole(spark, tmp_path):
     got = documents.trees(spark, str(tmp_path / "tree.json"))
     assert [(r["depth"], r["title"], len(r["path"])) for r in got.orderBy("depth").collect()] == [(d, f"T{d}", d) for d in range(1, 41)]
     assert json.loads(sinks.nested_trees(got).first()["tree"]) == [node]
+
+
+def test_parents_need_no_join_and_merge_equal_rows(spark):
+    """One window instead of a join of the table with itself; equal rows are one, and rows of one ord aren't each other's parents."""
+    data = [("d", 1, "1"), ("d", 2, "1.1"), ("d", 2, "1.1"), ("d", 2, "1"), ("d", 3, "1.1"), ("d", 4, "1.1.1"), ("d", 5, None), ("d", 6, "2.1"), ("e", 1, "1.1"), ("e", 2, "1")]
+    got = trees.parents(spark.createDataFrame(data, "doc string, ord int, structure string"))
+    want = [("d", 1, "1", None), ("d", 2, "1.1", 1), ("d", 2, "1", None), ("d", 3, "1.1", 2), ("d", 4, "1.1.1", 3), ("d", 5, None, None), ("d", 6, "2.1", None), ("e", 1, "1.1", None), ("e", 2, "1", None)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_post_processing_moves_sections_by_document_alone(spark):
+    from leafline.operators import processing
+
+    data = [("d", n, s, t, n, "no") for n, (s, t) in enumerate([("1", "One"), ("1.1", "Two"), *((f"1.1.{k}", f"A. B. Name{k}") for k in range(6)), ("2", "Three")], 1)]
+    made = processing.post_processed(spark.createDataFrame(data, "doc string, ord int, structure string, title string, physical_index int, appear_start string"), F.lit(9))
+    assert sorted(tuple(r) for r in made.select("ord", "title", "start_index", "end_index", "is_leaf").collect()) == [(1, "One", 1, 2, False), (2, "Two", 2, 3, False), (3, "References", 3, 9, True), (9, "Three", 9, 9, True)]
+    assert "Join" not in made._jdf.queryExecution().executedPlan().toString()

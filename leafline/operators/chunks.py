@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leafline.functions import ids, text
+from leafline.operators import scratch
 
 MAX_TOKENS, OVERLAP_TOKENS = 512, 64
 # Kinds and sources of chunks.
@@ -94,6 +95,7 @@ def chunk(unit_rows: DataFrame, max_tokens: int = MAX_TOKENS, overlap: int = OVE
         for b in batches:
             yield b.map(lambda s: split(s, max_tokens, overlap))
 
+    scratch.small_batches(unit_rows.sparkSession)
     each = unit_rows.withColumn("parts", parts("text")).select(*[c for c in unit_rows.columns if c != "text"], F.posexplode("parts").alias("sub_index", "text"))
     position = F.row_number().over(W.partitionBy("paper").orderBy("key", "sub_index")) - 1
     return each.withColumns({"doc_id": ids.chunk_id(F.col("paper"), F.col("node_id"), F.col("sub_index")), "position": position, "depth": F.size("breadcrumb"), "token_count": text.count_tokens(F.col("text"))})

@@ -469,6 +469,7 @@ def _(s, d):
 
 @query("f5_vision_parse")
 def _(s, d):
+    scratch.small_batches(s)
     return A.table(s, d, "pages").select("page_id", elements.vision_json(F.concat(F.lit('<div data-label="Text" data-bbox="1 2 3 4">'), "html", F.lit("</div>"))).alias("parsed"))
 
 

@@ -41,15 +41,14 @@ def with_preface(toc: DataFrame) -> DataFrame:
 def parents(toc: DataFrame) -> DataFrame:
     """toc with parent_ord: the latest earlier row whose structure is this one's without its last part; null for roots."""
     up = F.when(F.contains("structure", F.lit(".")), F.regexp_replace("structure", r"\.[^.]*$", ""))
-    # each row stands twice: under the structure it looks for and, after those of its ord and without its columns, under its own
-    own = F.struct(*(c for c in toc.columns if c not in ("doc", "ord")))
-    at = lambda key, row, last: F.struct(key.alias("key"), row.alias("row"), F.lit(last).alias("last"))
-    each = toc.select("doc", "ord", F.explode(F.array(at(up, own, False), at(F.col("structure"), F.lit(None).cast(toc.select(own.alias("row")).schema["row"].dataType), True))).alias("at")).select("doc", "ord", "at.*")
+    own = F.struct(*toc.columns)
+    # each row stands twice: under the structure it looks for and, after those of its ord, under its own
+    at = lambda key, last: F.struct(key.alias("key"), F.lit(last).alias("last"))
+    each = toc.select("doc", own.alias("row"), F.explode(F.array(at(up, False), at(F.col("structure"), True))).alias("at")).select("doc", "row", "at.*", F.col("row.ord").alias("ord"))
     w = W.partitionBy("doc", "key").orderBy("ord", "last", "row")
     parent = F.when(F.col("key").isNotNull(), F.last(F.when(F.col("last"), F.col("ord")), ignorenulls=True).over(w))
-    again = F.coalesce((F.lag("ord").over(w) == F.col("ord")) & F.col("row").eqNullSafe(F.lag("row").over(w)), F.lit(False))
-    found = each.withColumns({"parent_ord": parent, "again": again}).where(~F.col("last") & ~F.col("again"))
-    return found.select(*(c if c in ("doc", "ord") else F.col("row")[c].alias(c) for c in toc.columns), "parent_ord")
+    found = each.withColumns({"parent_ord": parent, "again": F.col("row").eqNullSafe(F.lag("row").over(w)) & (F.lag("last").over(w) == F.col("last"))})
+    return found.where(~F.col("last") & ~F.coalesce("again", F.lit(False))).select("row.*", "parent_ord")
 
 
 def preorder(nodes: DataFrame) -> DataFrame:

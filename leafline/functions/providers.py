@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +32,7 @@ Provider = Callable[[str, str], "str | Answer"]
 # Names that providers have for an answer cut at its limit.
 FINISHED = {"max_tokens": "length", "": "stop"}
 ANSWER = "content string, finish_reason string, ok boolean, error string, attempts int, started_at double, ended_at double, input_tokens long, output_tokens long"
+KINDS = {"string": pa.string(), "boolean": pa.bool_(), "int": pa.int32(), "double": pa.float64(), "long": pa.int64()}
 
 #: Seconds before the second and each further try, and tries, of calls on processors and on graphics cards.
 RETRY_FIRST_S, RETRY_FACTOR = 2.0, 3.0
@@ -66,12 +67,22 @@ def heading_reader(coarse: str, fine: str, words: int = 4) -> Provider:
     """A deterministic reader of tagged pages. A page is a heading if its text matches one of two patterns and its title, its first
     words, is neither too short nor too long for a title. Where pages beyond the first are coarse headings, these are listed, else all; a list that is continued keeps
     its kind, and pages up to its last one aren't listed again."""
-    page = re.compile(r"<physical_index_(\d+)>\n(.*?)\n<physical_index_\1>", re.DOTALL)
-    title = lambda x: " ".join(x.split(" ")[:words])
+    tag = re.compile(r"<physical_index_(\d+)>\n")
+    title = lambda x: " ".join(x.split(" ", words)[:words])
+
+    def tagged(prompt: str) -> Iterator[tuple[int, str]]:
+        """The pages between two tags of a number each, up to the next such tag."""
+        at = tag.search(prompt)
+        while at:
+            close = f"\n<physical_index_{at[1]}>"
+            end = prompt.find(close, at.end())
+            if end >= 0:
+                yield int(at[1]), prompt[at.end() : end]
+            at = tag.search(prompt, end + len(close) if end >= 0 else at.start() + 1)
 
     def read(model: str, prompt: str) -> str:
         seen = [int(x) for x in re.findall(r'"physical_index":(\d+)', prompt)]
-        pages = {int(n): x for n, x in page.findall(prompt)}
+        pages = dict(tagged(prompt))
         fits = lambda x: answers.TITLE_LENGTHS[0] <= len(title(x)) <= answers.TITLE_LENGTHS[1]
         listed = [n for n, x in pages.items() if n > max(seen, default=0) and fits(x) and (re.match(coarse, x) or re.match(fine, x))]
         first = min(pages, default=0)
@@ -110,7 +121,7 @@ def call(prompts: DataFrame, provider: Provider = stub, response: str | None = N
         answers.known(response)
 
     def one(row: tuple) -> tuple:
-        model, prompt = row[-2:]
+        model, prompt = row
         start, error = clock(), None
         for n in range(1, tries + 1):
             try:
@@ -118,28 +129,35 @@ def call(prompts: DataFrame, provider: Provider = stub, response: str | None = N
                 got = got if isinstance(got, Answer) else Answer(got)
                 content = answers.normalised(response, got.content) if response else got.content
                 tokens = (len(t.split()) if k is None else k for t, k in ((prompt, got.input_tokens), (content, got.output_tokens)))
-                return *row[0], content, FINISHED.get(got.finish_reason or "", got.finish_reason), True, None, n, start, clock(), *tokens
+                return content, FINISHED.get(got.finish_reason or "", got.finish_reason), True, None, n, start, clock(), *tokens
             except Exception as e:  # noqa: BLE001 - the error becomes data
                 error = f"{type(e).__name__}: {e}"
                 if not response:
                     break
-        return *row[0], f"ERROR: {error}", "error", False, error, n, start, clock(), len(prompt.split()), 0
+        return f"ERROR: {error}", "error", False, error, n, start, clock(), len(prompt.split()), 0
 
     names = [*prompts.columns, *(f.split(" ")[0] for f in ANSWER.split(", "))]
+    at_model, at_prompt = prompts.columns.index("model"), prompts.columns.index("prompt")
+    kinds = [KINDS[f.split(" ")[1]] for f in ANSWER.split(", ")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: deque[pa.RecordBatch] = deque()  # read, and not answered as a whole
+
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                for a in range(0, b.num_rows, batch):
+                    parts.append(b.slice(a, batch))
+                    yield from zip(parts[-1].column(at_model).to_pylist(), parts[-1].column(at_prompt).to_pylist(), strict=True)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((x, m, p) for b in batches for x, m, p in zip(b.itertuples(index=False, name=None), b["model"], b["prompt"], strict=True))
         held = []
-        for row in in_order(one, rows, window):
-            held.append(row)
-            if len(held) == batch:
-                yield pd.DataFrame(held, columns=names)
+        for answer in in_order(one, rows(), window):
+            held.append(answer)
+            if len(held) == parts[0].num_rows:
+                yield pa.RecordBatch.from_arrays([*parts.popleft().columns, *(pa.array(x, k) for x, k in zip(zip(*held, strict=True), kinds, strict=True))], names)
                 held = []
-        if held:
-            yield pd.DataFrame(held, columns=names)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields)
-    return (prompts if tasks is None else prompts.repartition(tasks)).mapInPandas(work, f"{kept}, {ANSWER}")
+    return (prompts if tasks is None else prompts.repartition(tasks)).mapInArrow(work, f"{kept}, {ANSWER}")
 
 
 @dataclass

@@ -31,7 +31,8 @@ def word_count(text: Column) -> Column:
 
 def count_tokens(text: Column) -> Column:
     """A deterministic stand-in for a subword count: words cut into runs of up to four letters or digits, other signs one each."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"[A-Za-z0-9]{1,4}|[^\sA-Za-z0-9]")), F.lit(0)).cast("long")
+    # one sign stands for each token, so that no text is made for it
+    return F.coalesce(F.length(F.regexp_replace(text, r"([A-Za-z0-9])[A-Za-z0-9]{0,3}|\s+", "$1")), F.lit(0)).cast("long")
 
 
 def wrap_page(text: Column, number: Column) -> Column:

@@ -150,8 +150,8 @@ def whole(pages: DataFrame) -> DataFrame:
 def fixed(seen: DataFrame, pages: DataFrame, units: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None, rounds: int = building.FIX_ROUNDS) -> DataFrame:
     """Checked sections whose answer is no, moved to the page that a model names between the right ones around them, if a check
     finds the title there; otherwise they stay where they are and are asked for again, for so many rounds. seen(doc, ord,
-    structure, title, physical_index, answer)."""
-    rows = scratch.stored(seen.select("doc", "ord", "structure", "title", "physical_index", F.coalesce(F.col("answer") == "yes", F.lit(False)).alias("right")), "to-fix")
+    structure, title, physical_index, answer, appear_start); appear_start is that of the page where a section ends up."""
+    rows = scratch.stored(seen.select("doc", "ord", "structure", "title", "physical_index", "appear_start", F.coalesce(F.col("answer") == "yes", F.lit(False)).alias("right")), "to-fix")
     for _ in range(rounds):
         wrong = rows.where("not right").select("doc", "ord", "title")
         if wrong.isEmpty():
@@ -165,15 +165,15 @@ def fixed(seen: DataFrame, pages: DataFrame, units: DataFrame, opt: Options, pro
         told = asked(ask, "single_toc_item_index_fixer", opt, provider, "physical_index_fix", section_title=F.col("title"), content=F.col("body"))
         v = answer("physical_index", "")
         found = told.select("doc", "ord", "title", F.coalesce(text.parse_page_tag(v), v.try_cast("int")).alias("physical_index")).where("physical_index is not null")
-        found = checked(scratch.stored(found, "found"), pages, opt, checks, units).where("answer = 'yes'").select("doc", "ord", F.col("physical_index").alias("fixed"))
+        found = checked(scratch.stored(found, "found"), pages, opt, checks, units).where("answer = 'yes'").select("doc", "ord", F.col("physical_index").alias("fixed"), F.col("appear_start").alias("opens"))
         moved = rows.join(found, ["doc", "ord"], "left")
-        rows = scratch.stored(moved.select("doc", "ord", "structure", "title", F.coalesce("fixed", "physical_index").alias("physical_index"), (F.col("right") | F.col("fixed").isNotNull()).alias("right")), "sections")
+        rows = scratch.stored(moved.select("doc", "ord", "structure", "title", F.coalesce("fixed", "physical_index").alias("physical_index"), F.coalesce("opens", "appear_start").alias("appear_start"), (F.col("right") | F.col("fixed").isNotNull()).alias("right")), "sections")
     return rows.drop("right")
 
 
 def accepted(made: DataFrame, pages: DataFrame, units: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None, last_way: bool) -> DataFrame:
     """The sections of the units that stay with this way: all verified, or mostly and then fixed; with the last way all others
-    too, as they are. made(doc, ord, structure, title, physical_index)."""
+    too, as they are; with appear_start, as the check found it. made(doc, ord, structure, title, physical_index)."""
     own = made.select("doc", "ord", "structure", "title", "physical_index").join(units.select("doc", "first", (F.col("last") - F.col("first") + 1).alias("slice_pages")), "doc")
     own = scratch.stored(toc.located(toc.within_document(own, F.col("slice_pages"), F.col("first"))).drop("first"), "made")
     seen = scratch.stored(checked(own, pages, opt, checks, units), "checked")
@@ -181,19 +181,19 @@ def accepted(made: DataFrame, pages: DataFrame, units: DataFrame, opt: Options,
     verdict = F.when((F.col("accuracy") == 1) & (F.col("errors") == 0), "keep").when((F.col("accuracy") > GOOD_ENOUGH) & (F.col("errors") > 0), "fix").otherwise("keep" if last_way else "next")
     verdicts = scratch.stored(right.join(wrong, "doc").select("doc", verdict.alias("verdict")), "verdicts")
     some = lambda v: seen.join(verdicts.where(F.col("verdict") == v), "doc", "left_semi")
-    kept = some("keep").select("doc", "ord", "structure", "title", "physical_index")
+    kept = some("keep").select("doc", "ord", "structure", "title", "physical_index", "appear_start")
     mend = some("fix")
     return scratch.stored(kept if mend.isEmpty() else kept.unionByName(fixed(mend, pages, units, opt, provider, checks)), "accepted")
 
 
 def without_toc(units: DataFrame, pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
-    """(doc, ord, structure, title, physical_index) of units(doc, source, first, last), runs of a document's pages, by the way that
-    needs no printed table; a unit without any section is one section."""
-    own = units.select(F.col("doc").alias("unit"), F.col("source").alias("doc"), F.explode(F.sequence(F.col("first") - 1, F.col("last") - 1)).alias("page_idx"))
-    own = scratch.stored(own.join(pages, ["doc", "page_idx"]).select(F.col("unit").alias("doc"), "page_idx", "text", "token_count"), "slices")
-    rows = accepted(building.generated_toc(own, opt, provider), pages, units, opt, provider, checks, True)
+    """(doc, ord, structure, title, physical_index, appear_start) of units(doc, source, first, last), runs of a document's pages, by the
+    way that needs no printed table; a unit without any section is one section, whose appear_start is null."""
+    inside = (F.col("source") == F.col("pdoc")) & (F.col("page_idx") >= F.col("first") - 1) & (F.col("page_idx") < F.col("last"))
+    own = toc.by_document(units.join(pages.withColumnRenamed("doc", "pdoc"), inside), "source")
+    rows = accepted(building.generated_toc_of(own, opt, provider), pages, units, opt, provider, checks, True)
     bare = units.join(rows.select("doc").distinct(), "doc", "left_anti")
-    return rows.unionByName(bare.select("doc", F.lit(1).alias("ord"), F.lit(WHOLE[0]).alias("structure"), F.lit(WHOLE[1]).alias("title"), F.col("first").alias("physical_index")))
+    return rows.unionByName(bare.select("doc", F.lit(1).alias("ord"), F.lit(WHOLE[0]).alias("structure"), F.lit(WHOLE[1]).alias("title"), F.col("first").alias("physical_index"), F.lit(None).cast("string").alias("appear_start")))
 
 
 def sections(pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
@@ -202,7 +202,11 @@ def sections(pages: DataFrame, opt: Options, provider: providers.Provider, check
     A document begins with the way that its printed table allows. Sections that all verify stay; those that mostly do are fixed;
     others go to the next way. The last way keeps what it has; a document without any section is one section.
     """
-    pages = scratch.stored(pages, "pages")
+    return sections_seen(scratch.stored(pages, "pages"), opt, provider, checks).drop("appear_start")
+
+
+def sections_seen(pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
+    """`sections` of stored pages with appear_start, as the check found it; null for a document without any section."""
     units = scratch.stored(whole(pages), "units")
     printed = scratch.stored(printed_toc(detected_pages(pages, opt, provider), pages, opt, provider), "printed")
     begin = units.join(printed, "doc", "left").select("doc", F.when(F.col("toc").isNull(), 2).when(F.col("given") == "yes", 0).otherwise(1).alias("way"))

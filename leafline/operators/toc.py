@@ -86,13 +86,20 @@ def strategy(has_toc: Column, has_pages: Column) -> Column:
     return F.when(~has_toc, "none").when(has_pages, "with_pages").otherwise("without_pages")
 
 
-def page_groups(pages: DataFrame, max_tokens: int = 10_000, overlap: int = 1, overhead: int = 0) -> DataFrame:
-    """(doc, grp, page_idx): consecutive pages within a token budget; a group begins with `overlap` pages of the one before.
+def by_document(pages: DataFrame, *also: str) -> DataFrame:
+    """(doc, p): the pages of each document in order, in one row. also: columns that are the same on all its pages, which may say
+    where the pages are already together."""
+    return pages.groupBy("doc", *also).agg(F.array_sort(F.collect_list(F.struct("page_idx", "token_count", "text"))).alias("p")).drop(*also)
+
+
+def grouped(documents: DataFrame, max_tokens: int = 10_000, overlap: int = 1, overhead: int = 0) -> DataFrame:
+    """(doc, grp, p): the pages p(page_idx, token_count, ...) of documents(doc, p) as consecutive ones within a token budget; a group
+    begins with `overlap` pages of the one before.
 
     A document's pages fold in order inside one expression; documents are independent.
     """
-    each = pages.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_idx", (F.col("token_count") + overhead).alias("n")))).alias("p"))
-    total = F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    each = documents.withColumn("n", F.transform("p", lambda x: x["token_count"] + overhead))
+    total = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)
     each = each.withColumn("total", total)
     parts = F.ceil(F.col("total") / max_tokens)
     each = each.withColumn("cap", F.ceil((F.col("total") / F.greatest(parts, F.lit(1)) + max_tokens) / 2))
@@ -100,15 +107,21 @@ def page_groups(pages: DataFrame, max_tokens: int = 10_000, overlap: int = 1, ov
 
     def step(a, x):
         back = F.greatest(a["k"] - overlap, F.lit(0))
-        carried = F.aggregate(F.slice("p", back + 1, a["k"] - back), F.lit(0).cast("long"), lambda s, y: s + y["n"])
-        over = (a["k"] > 0) & (a["n"] + x["n"] > F.col("cap"))
-        return F.struct((a["k"] + 1).alias("k"), F.when(over, carried + x["n"]).otherwise(a["n"] + x["n"]).alias("n"), F.when(over, F.concat(a["starts"], F.array(a["k"]))).otherwise(a["starts"]).alias("starts"))
+        carried = F.aggregate(F.slice("n", back + 1, a["k"] - back), F.lit(0).cast("long"), lambda s, y: s + y)
+        over = (a["k"] > 0) & (a["n"] + x > F.col("cap"))
+        return F.struct((a["k"] + 1).alias("k"), F.when(over, carried + x).otherwise(a["n"] + x).alias("n"), F.when(over, F.concat(a["starts"], F.array(a["k"]))).otherwise(a["starts"]).alias("starts"))
 
-    cut = each.withColumn("starts", F.concat(F.array(F.lit(0)), F.when(F.col("total") <= max_tokens, F.array().cast("array<int>")).otherwise(F.aggregate("p", zero, step)["starts"])))
+    cut = each.withColumn("starts", F.concat(F.array(F.lit(0)), F.when(F.col("total") <= max_tokens, F.array().cast("array<int>")).otherwise(F.aggregate("n", zero, step)["starts"])))
     g = cut.select("doc", "p", "starts", F.posexplode("starts").alias("grp", "from"))
     end = F.coalesce(F.try_element_at("starts", F.col("grp") + 2), F.size("p"))
     begin = F.when(F.col("grp") > 0, F.greatest(F.col("from") - overlap, F.lit(0))).otherwise(0)
-    return g.select("doc", "grp", F.explode(F.slice("p", begin + 1, end - begin)).alias("x")).select("doc", "grp", "x.page_idx")
+    return g.select("doc", "grp", F.slice("p", begin + 1, end - begin).alias("p"))
+
+
+def page_groups(pages: DataFrame, max_tokens: int = 10_000, overlap: int = 1, overhead: int = 0) -> DataFrame:
+    """(doc, grp, page_idx) of the groups of pages(doc, page_idx, token_count)."""
+    each = pages.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("page_idx", "token_count"))).alias("p"))
+    return grouped(each, max_tokens, overlap, overhead).select("doc", "grp", F.explode("p").alias("x")).select("doc", "grp", "x.page_idx")
 
 
 def likely_scanned(pages: DataFrame, fewest: int = 30) -> DataFrame:

@@ -59,7 +59,6 @@ def divided(nodes: DataFrame, pages: DataFrame, opt: Options, provider: provider
             continue
         units = scratch.stored(big.select(F.col("unit").alias("doc"), F.col("doc").alias("source"), F.col("start_index").alias("first"), F.col("end_index").alias("last")), "units")
         found = scratch.stored(processing.without_toc(units, pages, opt, provider, checks), "subsections")
-        found = scratch.stored(processing.checked(found, pages, opt, checks, units).select("doc", "ord", "structure", "title", "physical_index", "appear_start"), "subsections")
         of = big.select(F.col("unit").alias("doc"), F.col("title").alias("own"), F.col("end_index").alias("last"), (F.col("end_index") - F.col("start_index")).alias("span"))
         nth = F.row_number().over(W.partitionBy("doc").orderBy("ord"))
         listed = found.join(of, "doc").withColumn("nth", nth)
@@ -82,9 +81,8 @@ def divided(nodes: DataFrame, pages: DataFrame, opt: Options, provider: provider
 def structured(pages: DataFrame, opt: Options, provider: providers.Provider, checks: providers.Provider | None = None) -> DataFrame:
     """(doc, path, node_id, title, start_index, end_index) of the trees of pages(doc, page_idx, text, token_count)."""
     pages = scratch.stored(pages.select("doc", "page_idx", "text", "token_count"), "pages")
-    found = processing.sections(pages, opt, provider, checks).drop("mode").withColumn("appear_start", F.lit(None).cast("string"))
-    found = scratch.stored(trees.with_preface(found).drop("appear_start"), "sections")
-    seen = processing.checked(found, pages, opt, checks).select("doc", "ord", "structure", "title", "physical_index", "appear_start")
+    # a first section's appear_start is not asked for: no section ends before it
+    seen = trees.with_preface(processing.sections_seen(pages, opt, provider, checks).drop("mode"))
     total = pages.groupBy("doc").agg(F.count("*").cast("int").alias("total"))
     nodes = nodes_of(scratch.stored(seen.join(total, "doc"), "checked"), F.col("total"))
     rows = divided(nodes, pages, opt, provider, checks)

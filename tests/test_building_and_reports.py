@@ -161,3 +161,42 @@ def test_batches_to_python_are_small(spark):
         scratch.small_batches(spark)
         assert spark.conf.get(size) == after
     spark.conf.unset(size)
+
+
+def test_later_rounds_read_only_documents_with_more_groups(spark, monkeypatch):
+    plans, ask = [], building.asked_of
+
+    def seen(asked, *more):
+        plans.append(asked._jdf.queryExecution().optimizedPlan().toString())
+        return ask(asked, *more)
+
+    monkeypatch.setattr(building, "asked_of", seen)
+    p = pages(spark).unionByName(spark.createDataFrame([("e", 0, "Single", 50)], PAGES))
+    got = building.generated_toc(p, building.Options(), model, budget=160).orderBy("doc", "ord").collect()
+    assert [(r["doc"], r["title"], r["physical_index"]) for r in got] == [("d", "First part", 1), ("d", "Later part", 3), ("d", "Later part", 3), ("e", "First part", 1)]
+    # neither are answers parsed again nor pages put together again for a later group
+    assert len(plans) == 3 and not any(x in plan for plan in plans[1:] for x in ("Generate", "LogicalRDD", "page_idx"))
+
+
+def test_tokens_are_counted_as_their_pattern_finds_them(spark):
+    import re
+
+    from leafline.functions import text
+
+    texts = ["", " ", "abcd efghi j", "  a1b2c3, d.e\t\nf--g  ", "ÄÖ ab cd ef 😀😀 x", "a\x0bb\x0cc\rd", "12345678 123456789"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string").select("i", text.count_tokens(F.col("t")).alias("n")).collect()
+    pattern = re.compile(r"[A-Za-z0-9]{1,4}|[^ \t\n\x0b\f\rA-Za-z0-9]")
+    assert {r["i"]: r["n"] for r in got} == {**{i: len(pattern.findall(t)) for i, t in enumerate(texts)}, len(texts): 0}
+
+
+def test_titles_that_stand_as_they_are_and_others(spark):
+    body = ["Alpha  Beta\tgamma", "one alpha beta", "ΟΔΟΣ street", "İx", "nothing"]
+    p = spark.createDataFrame([("d", i, t, 1) for i, t in enumerate(body)], PAGES)
+    asked = [("Alpha  Beta", 1), ("alpha BETA", 1), ("Alpha", 2), ("ΟΔΟΣ", 3), ("ΟΔΟ", 3), ("Street", 3), ("", 5), (None, 5), ("beta", 9)]
+    rows = spark.createDataFrame([("d", n, t, i) for n, (t, i) in enumerate(asked)], TOC)
+    squeeze = F.udf(lambda x: None if x is None else "".join(x.lower().split()))
+    by = rows.join(p.select("doc", (F.col("page_idx") + 1).alias("physical_index"), squeeze("text").alias("s")), ["doc", "physical_index"], "left").withColumn("t", squeeze("title")).collect()
+    yes = lambda x: "yes" if x else "no"
+    known = lambda r: r["s"] is not None and r["t"] is not None
+    want = {r["ord"]: (yes(known(r) and r["t"] in r["s"]), yes(known(r) and r["s"].startswith(r["t"]))) for r in by}
+    assert {r["ord"]: (r["answer"], r["appear_start"]) for r in building.title_checks(rows, p).collect()} == want

@@ -199,3 +199,32 @@ def test_slices_are_fixed_within_their_pages(spark):
     more = made.where("ord < 3").unionByName(spark.createDataFrame([("a/1", 0, "0", "Early topic here", 4)], made.schema))
     got = processing.accepted(more, p, units, building.Options(), ask, None, True)
     assert sorted((r["ord"], r["physical_index"]) for r in got.collect()) == [(0, 4), (1, 4), (2, 7)]
+
+
+def test_each_section_is_checked_once(spark, tmp_path):
+    log = str(tmp_path / "checked")
+
+    def checks(model, prompt):
+        if prompt.startswith("Does the section"):
+            with open(log, "a") as f:
+                f.write(prompt.split(" on this page")[0].split(" this page?")[0] + "\n")
+        return json.dumps({"answer": "yes", "start_begin": "yes"})
+
+    opt = building.Options(toc_check_pages=1, max_pages=4, max_tokens=10_000)
+    nodes = told(treebuild.structured(pages(spark, a=BODY), opt, READER, checks))
+    assert [x[1:] for x in nodes] == [("0", "Preface", 1, 1), ("1", "Alpha part one", 2, 9), ("2", "Beta part two", 10, 11), ("3", "Chapter last one", 12, 17)]
+    assert len(open(log).readlines()) == 6  # two questions for each of three sections
+
+
+def test_tagged_pages_are_read_as_a_pattern_finds_them():
+    import re
+
+    pattern = re.compile(r"<physical_index_(\d+)>\n(.*?)\n<physical_index_\1>", re.DOTALL)
+    tag = "<physical_index_{}>".format
+    parts = [tag(1), tag(2), tag(12), "\n", "Alpha part one", "Beta\npart", "x", "<physical_index_"]
+    for n in range(400):
+        prompt = "".join(parts[(n * 31 + k * k * (n % 7 + 1) + k) % len(parts)] for k in range(24))
+        pages_of = {int(a): x for a, x in pattern.findall(prompt)}
+        got = json.loads(providers.heading_reader("[A-R]", "[A-R]")("m", prompt))["toc"]
+        want = [p for p, x in pages_of.items() if 5 <= len(" ".join(x.split(" ")[:4])) <= 300 and re.match("[A-R]", x)]
+        assert [int(re.search(r"\d+", r["physical_index"])[0]) for r in got] == want

@@ -44,9 +44,18 @@ def terms(texts: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFram
     return each.groupBy(id_, "term").agg(F.count("*").alias("n"), F.first("length").alias("length"))
 
 
+def saturated(n, length, k1: float = K1, b: float = B, average: float = AVERAGE_LENGTH):
+    """The weight of a term that stands n times in a text of so many words, of columns or arrays."""
+    return n * (k1 + 1) / (n + k1 * (1 - b + b * length / average))
+
+
+def inverse_frequency(df: Column, total: Column) -> Column:
+    return F.log(1 + (total - df + 0.5) / (df + 0.5))
+
+
 def term_weights(counted: DataFrame, k1: float = K1, b: float = B, average: float = AVERAGE_LENGTH) -> DataFrame:
     """counted with weight: the saturated term frequency; inverse document frequency belongs to the query."""
-    return counted.withColumn("weight", F.col("n") * (k1 + 1) / (F.col("n") + k1 * (1 - b + b * F.col("length") / average)))
+    return counted.withColumn("weight", saturated(F.col("n"), F.col("length"), k1, b, average))
 
 
 def sparse_vectors(counted: DataFrame, id_: str = "doc_id") -> DataFrame:
@@ -60,7 +69,7 @@ def document_frequency(counted: DataFrame, id_: str = "doc_id") -> DataFrame:
     """(term, df, idf) over all documents that hold a term."""
     n = counted.agg(F.countDistinct(id_).alias("total"))
     d = counted.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n))  # the one row of the total
-    return d.select("term", "df", F.log(1 + (F.col("total") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    return d.select("term", "df", inverse_frequency(F.col("df"), F.col("total")).alias("idf"))
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -1,15 +1,16 @@
 """Hybrid retrieval over index rows: a lexical leg over postings, a dense leg over vectors, and the fusion of their ranks.
 
 Queries are a stated set, taken in blocks of at most QUERIES: a block goes to every task, documents and vectors stay where they
-are. A document's postings are one row, so that a task knows whole scores; it keeps the best k of its rows for each query and gives
-only these, so that the final ranking sees k rows a query and task. Every query meets every row: time grows with their product,
-memory and what moves don't. Scores are compared after rounding to DIGITS places, so that the order of additions does not decide;
-ties go to the smaller id.
+are. A document's postings are one row, counted where its text is, so that a task knows whole scores; it keeps the best k of its
+rows for each query and gives only these, so that the final ranking sees k rows a query and task. Every query meets every row: time
+grows with their product, memory and what moves don't. Scores are compared after rounding to DIGITS places, so that the order of
+additions does not decide; ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,14 @@ from pyspark.sql import functions as F
 
 from leafline.operators import index, scratch
 
-QUERIES = 2000
+QUERIES = 4096
 DIGITS = 6
 # Public constant of reciprocal-rank fusion.
 RRF = 60
-#: Rows scored at a time, products of single postings at a time, and the share of a block's queries from which a term is multiplied as
-#: a column of a matrix.
-ROWS, PRODUCTS, COMMON = 256, 1_000_000, 0.05
+#: Rows scored at a time, pairs of them and queries, products of single postings at a time, the share of a block's queries from which
+#: a term is multiplied as a column of a matrix, how many times the best scores may wait before they are sorted in, and terms of
+#: documents counted at a time.
+ROWS, PAIRS, PRODUCTS, COMMON, WAITING, TERMS = 256, 1 << 19, 1_000_000, 0.05, 3, 1 << 21
 
 
 def best(scores: DataFrame, k: int) -> DataFrame:
@@ -47,85 +49,179 @@ def in_blocks(queries: DataFrame, leg, size: int = QUERIES) -> DataFrame:
 
 
 class Best:
-    """The k best of the scores seen so far, by query; not a number counts as the highest, as in a descending sort."""
+    """The k best of the scores seen so far above `least`, by query, rounded; not a number counts as the highest, as in a descending
+    sort. Scores that may be among them wait until there are enough to be sorted in together."""
 
-    def __init__(self, queries: int, k: int):
+    def __init__(self, queries: int, k: int, least: float = 0.0):
         self.k, self.score, self.id = k, np.full((queries, k), -np.inf), np.zeros((queries, k), np.int64)
+        self.least = self.floor = np.full(queries, np.nextafter(least, np.inf))
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def add(self, score: np.ndarray, ids: np.ndarray) -> None:
-        """score: queries by ids, -inf where a pair is none."""
-        score[np.isnan(score)] = np.inf
-        floor = self.score[:, -1:]
-        if score.shape[1] > self.k and np.isneginf(floor).any():
-            floor = np.maximum(floor, np.partition(score, -self.k, axis=1)[:, -self.k, None])
-        q, at = np.nonzero((score >= floor) & (score > -np.inf))
-        some = np.unique(q)
-        q, s, i = np.concatenate([q, np.repeat(some, self.k)]), np.concatenate([score[q, at], self.score[some].ravel()]), np.concatenate([ids[at], self.id[some].ravel()])
+        """score: queries by ids, `least` or less where a pair is none."""
+        by_id = score.T
+        doc, q = np.divmod(np.flatnonzero(~(by_id < self.floor)), max(1, len(self.floor)))
+        s = by_id[doc, q]
+        self.waiting.append((q, np.round(np.where(np.isnan(s), np.inf, s), DIGITS), ids[doc]))
+        if sum(len(w[0]) for w in self.waiting) > WAITING * self.score.size:
+            self.sort_in()
+
+    def sort_in(self) -> None:
+        own = np.repeat(np.arange(len(self.score)), self.k), self.score.ravel(), self.id.ravel()
+        q, s, i = (np.concatenate(x) for x in zip(own, *self.waiting, strict=True))
         order = np.lexsort((i, -s, q))
         q = q[order]
         order = order[np.arange(len(q)) - np.searchsorted(q, q) < self.k]
-        self.score[some], self.id[some] = s[order].reshape(-1, self.k), i[order].reshape(-1, self.k)
+        self.score, self.id, self.waiting = s[order].reshape(-1, self.k), i[order].reshape(-1, self.k), []
+        self.floor = np.maximum(self.least, self.score[:, -1] - 10.0**-DIGITS)
 
     def rows(self, queries: np.ndarray) -> pa.RecordBatch:
+        self.sort_in()
         q, n = np.nonzero(self.score > -np.inf)
         score = self.score[q, n]
         score[np.isposinf(score)] = np.nan
         return pa.RecordBatch.from_arrays([pa.array(queries[q]), pa.array(self.id[q, n]), pa.array(score)], ["query_id", "id", "score"])
 
 
+def at_a_time(queries: int) -> int:
+    """So many rows are scored at a time."""
+    return max(1, min(ROWS, PAIRS // max(1, queries)))
+
+
 SCORES = "query_id long, id long, score double"
 
 
 def asked_terms(asked: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of asked(query_id, term, w): the queries; the terms; the column of each common term or -1, and the matrix of queries by common
-    terms; and for the others, by term, where its queries begin, and their places and weights."""
+    """Of asked(query_id, term, w): the queries; the terms; the column of each common term or -1, and the matrix of common terms by
+    queries; and for the others, by term, where its queries begin, and their places and weights."""
     ids, q = np.unique(asked.column("query_id").to_numpy(), return_inverse=True)
     coded = asked.column("term").combine_chunks().dictionary_encode()
     term, w = coded.indices.to_numpy().astype(np.int64), asked.column("w").to_numpy()
     n = np.bincount(term, minlength=len(coded.dictionary))
     common = n > COMMON * len(ids)
-    column = np.where(common, np.cumsum(common) - 1, -1)
-    matrix = np.zeros((len(ids), int(common.sum())))
+    column = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
+    matrix = np.zeros((int(common.sum()), len(ids)))
     hot = common[term]
-    matrix[q[hot], column[term[hot]]] = w[hot]
+    matrix[column[term[hot]], q[hot]] = w[hot]
     cold = np.flatnonzero(~hot)
     cold = cold[np.argsort(term[cold], kind="stable")]
     begins = np.concatenate([[0], np.cumsum(np.where(common, 0, n))])
-    return ids, coded.dictionary, column, matrix, begins, q[cold], w[cold]
+    return ids, coded.dictionary, column, matrix, begins, q[cold].astype(np.int32), w[cold]
 
 
 def scored(batch: pa.RecordBatch, asked: tuple) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(scores, ids) of a batch(id, term, weight) of documents, queries by documents, some documents at a time."""
+    """(scores, ids) of a batch(id, term, weight) of documents, queries by documents, some documents at a time; 0 where a pair shares
+    no term, as all products are positive."""
     ids, terms, column, matrix, begins, query, w = asked
     own, to = batch.column(0).to_numpy(), batch.column(1).offsets.to_numpy()
-    found = pc.fill_null(pc.index_in(batch.column(1).values, value_set=terms), -1).to_numpy().astype(np.int64)
+    found = pc.fill_null(pc.index_in(batch.column(1).values, value_set=terms), -1).to_numpy()
     weight = batch.column(2).values.to_numpy()
-    products = np.where(found >= 0, (begins[1:] - begins[:-1])[found], 0) if len(terms) else np.zeros(len(found), np.int64)
+    size = begins[1:] - begins[:-1]
+    products = np.where(found >= 0, size[found], 0) if len(terms) else np.zeros(len(found), np.int64)
     upto = np.concatenate([[0], np.cumsum(products)])[to]
-    a = 0
+    a, rows = 0, at_a_time(len(ids))
     while a < len(own):
-        b = int(np.clip(np.searchsorted(upto, upto[a] + PRODUCTS, "right") - 1, a + 1, min(a + ROWS, len(own))))
+        b = int(np.clip(np.searchsorted(upto, upto[a] + PRODUCTS, "right") - 1, a + 1, min(a + rows, len(own))))
         at = np.arange(to[a], to[b])
         doc = np.repeat(np.arange(b - a), np.diff(to[a : b + 1]))
         doc, at = doc[found[at] >= 0], at[found[at] >= 0]
         hot = column[found[at]] >= 0
-        dense = np.zeros((b - a, matrix.shape[1]))
-        dense[doc[hot], column[found[at[hot]]]] = weight[at[hot]]
+        of = np.zeros((b - a, len(matrix)))
+        of[doc[hot], column[found[at[hot]]]] = weight[at[hot]]
+        score = of @ matrix
         doc, at = doc[~hot], at[~hot]
-        size = products[at]
-        each = np.repeat(begins[found[at]] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        single = np.bincount(query[each] * (b - a) + np.repeat(doc, size), w[each] * np.repeat(weight[at], size), len(ids) * (b - a))
-        score = matrix @ dense.T + single.reshape(len(ids), b - a)
-        yield np.where(score > 0, np.round(score, DIGITS), -np.inf), own[a:b]  # all products are positive
+        n = products[at]
+        # a posting's products stand together: where its term's queries begin, and on
+        each = np.repeat((begins[found[at]] - np.cumsum(n) + n).astype(np.int32), n)
+        each += np.arange(len(each), dtype=np.int32)
+        place, product = query.take(each), w.take(each)
+        place += np.repeat((doc * len(ids)).astype(np.int32), n)
+        product *= np.repeat(weight[at], n)
+        score += np.bincount(place, product, score.size).reshape(score.shape)
+        yield score.T, own[a:b]
         a = b
 
 
-def lexical(counted: DataFrame, queries: DataFrame, k: int, id_: str = "doc_id") -> DataFrame:
+WORD = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
+
+
+def words(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The runs of lower-case ASCII letters and digits of all texts in order, and the text of each."""
+    to = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
+    signs = np.frombuffer(texts.buffers()[2], np.uint8)[to[0] : to[-1]] if to[-1] > to[0] else np.zeros(0, np.uint8)
+    to = to - to[0]
+    inside = WORD[signs]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = to[:-1][to[:-1] < len(signs)]
+    begins[first] = inside[first]  # words end with their text
+    at = np.flatnonzero(begins)
+    upto = np.append(np.cumsum(inside, dtype=np.int32)[at] - 1, np.count_nonzero(inside)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(upto), pa.py_buffer(signs[inside])), np.searchsorted(to, at, "right") - 1
+
+
+def counted(texts: pa.StringArray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.StringArray, np.ndarray, np.ndarray]:
+    """The documents' terms: (doc, code of the term, terms by code, how often, words of the first text that has it), by doc. doc: the
+    document of each text, ascending."""
+    word, text = words(texts)
+    coded = word.dictionary_encode()
+    length, many = np.bincount(text, minlength=len(texts)), max(1, len(coded.dictionary))
+    key, n = np.unique(text * many + coded.indices.to_numpy(), return_counts=True)
+    text, code = np.divmod(key, many)
+    length = length[text]
+    if len(np.unique(doc)) < len(doc):
+        key, first, again = np.unique(doc[text] * many + code, return_index=True, return_inverse=True)
+        n, length, (of, code) = np.bincount(again, n, len(key)).astype(np.int64), length[first], np.divmod(key, many)
+        return of, code, coded.dictionary, n, length
+    return doc[text], code, coded.dictionary, n, length
+
+
+POSTINGS = "id long, term array<string>, weight array<double>"
+
+
+def postings(texts: DataFrame, id_: str = "doc_id") -> DataFrame:
+    """(id, term, weight): the words of index.terms of each document that has any, with their weights; a document is one row, and its
+    texts are counted where they are."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(1)
+            doc, code, terms, n, length = counted(own.flatten(), np.repeat(np.arange(len(own)), np.diff(own.offsets.to_numpy())))
+            some, to = np.unique(doc, return_index=True)
+            to = pa.array(np.append(to, len(doc)), pa.int32())
+            term = pa.ListArray.from_arrays(to, terms.take(pa.array(code)))
+            weight = pa.ListArray.from_arrays(to, pa.array(index.saturated(n, length), pa.float64()))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(some)), term, weight], ["id", "term", "weight"])
+
+    whole = texts.groupBy(F.col(id_).cast("long").alias("id")).agg(F.collect_list(F.lower("text")).alias("texts"))
+    scratch.small_batches(texts.sparkSession)
+    return scratch.stored(whole.mapInArrow(work, POSTINGS), "postings")
+
+
+def inverse_frequencies(found: DataFrame) -> DataFrame:
+    """(term, idf) over all documents of postings; tasks give counts of about TERMS of them at a time."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for b in chain(batches, [None]):
+            if held and (b is None or sum(map(len, held)) > TERMS):
+                n = pc.value_counts(pa.chunked_array(held))
+                yield pa.RecordBatch.from_arrays([n.field("values"), n.field("counts")], ["term", "n"])
+                held = []
+            if b is not None:
+                held.append(b.column(0).flatten())
+
+    total = found.agg(F.count("id").alias("total"))
+    df = found.select("term").mapInArrow(counts, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    each = df.crossJoin(F.broadcast(total))  # the one row of the total
+    return scratch.stored(each.select("term", index.inverse_frequency(F.col("df"), F.col("total")).alias("idf")), "idf")
+
+
+def lexical(texts: DataFrame, queries: DataFrame, k: int, id_: str = "doc_id") -> DataFrame:
     """(query_id, id, score, rank): the k best documents by term weights times inverse document frequency, a query's term counting
-    as often as it stands there. counted: index.terms; queries(query_id, text)."""
-    weights = index.term_weights(counted).groupBy(F.col(id_).alias("id")).agg(F.collect_list(F.struct("term", "weight")).alias("x"))
-    postings = scratch.stored(weights.select("id", "x.term", "x.weight"), "postings")
-    idf = scratch.stored(index.document_frequency(postings.select("id", F.explode("term").alias("term")), "id").select("term", "idf"), "idf")
+    as often as it stands there. texts(id, text); queries(query_id, text)."""
+    found = postings(texts, id_)
+    idf = inverse_frequencies(found)
 
     def leg(block: DataFrame) -> DataFrame:
         asked = index.terms(block, "query_id").join(idf, "term").select("query_id", "term", (F.col("n") * F.col("idf")).alias("w"))
@@ -139,9 +235,8 @@ def lexical(counted: DataFrame, queries: DataFrame, k: int, id_: str = "doc_id")
                     top.add(score, own)
             yield top.rows(asked[0])
 
-        return best(postings.where("id is not null").mapInArrow(near, SCORES), k)
+        return best(found.where("id is not null").mapInArrow(near, SCORES), k)
 
-    scratch.small_batches(counted.sparkSession)
     return in_blocks(queries.select("query_id", "text"), leg)
 
 
@@ -156,11 +251,11 @@ def dense(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
         def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             query, unit = sent.value
-            top = Best(len(query), k)
+            top, rows = Best(len(query), k, -np.inf), at_a_time(len(query))
             for b in batches:
-                for part in (b.slice(a, ROWS) for a in range(0, b.num_rows, ROWS) if len(query)):
+                for part in (b.slice(a, rows) for a in range(0, b.num_rows, rows) if len(query)):
                     x = part.column(1).flatten().to_numpy().astype(np.float64).reshape(part.num_rows, -1)
-                    top.add(np.round(unit @ (x / np.linalg.norm(x, axis=1, keepdims=True)).T, DIGITS), part.column(0).to_numpy())
+                    top.add(((x / np.linalg.norm(x, axis=1, keepdims=True)) @ unit.T).T, part.column(0).to_numpy())
             yield top.rows(query)
 
         return best(vectors.select("id", "embedding").where("id is not null and embedding is not null").mapInArrow(near, SCORES), k)
@@ -176,6 +271,6 @@ def fused(legs: list[DataFrame], k: int, constant: int = RRF) -> DataFrame:
     return best(rows.groupBy("query_id", "id").agg(F.round(F.sum(1 / (F.lit(constant) + F.col("rank"))), 2 * DIGITS).alias("score")), k)
 
 
-def hybrid(counted: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 10, depth: int = 50, id_: str = "doc_id") -> DataFrame:
-    """The k best of both legs, each taken `depth` deep. queries(query_id, text, embedding)."""
-    return fused([lexical(counted, queries, depth, id_), dense(vectors, queries, depth)], k)
+def hybrid(texts: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 10, depth: int = 50, id_: str = "doc_id") -> DataFrame:
+    """The k best of both legs, each taken `depth` deep. texts(id, text); vectors(id, embedding); queries(query_id, text, embedding)."""
+    return fused([lexical(texts, queries, depth, id_), dense(vectors, queries, depth)], k)

@@ -899,8 +899,8 @@ def _(s, d):
     docs = A.table(s, d, "documents").select("doc_id", "text")
     vectors = A.table(s, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     asked = docs.join(vectors, F.col("doc_id") == F.col("id")).where(F.col("id") % 20 == 0).select(F.col("id").alias("query_id"), "text", "embedding")
-    parts = max(1, -(-docs.count() // 4096))  # so many documents a task, whose terms needn't move again
-    return retrieval.hybrid(index.terms(docs.repartition(parts, "doc_id")), vectors, asked)
+    parts = max(1, -(-docs.count() // 4096))  # so many documents a task, which needn't move again
+    return retrieval.hybrid(docs.repartition(parts, "doc_id"), vectors, asked)
 
 
 @query("a13_selected_percentiles", f"WITH {A.METRICS} SELECT metric, count(value) AS n, round(max(value), 6) AS max, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM metrics GROUP BY metric")

@@ -1,7 +1,9 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 
-from leafline.operators import retrieval
+from leafline.operators import index, retrieval
 
 
 def brute(asked, docs, k):
@@ -39,3 +41,48 @@ def test_best_takes_no_number_first_and_smaller_ids_on_ties():
     for scores, ids in (([[1.0, 2.0, 2.0, 2.0]], [9, 8, 5, 7]), ([[2.0, -np.inf, np.nan]], [6, 1, 4])):
         top.add(np.array(scores), np.array(ids))
     assert [x["id"] for x in top.rows(np.array([3])).to_pylist()] == [4, 5, 6]
+
+
+def test_words_are_counted_as_a_pattern_finds_them():
+    """Words end with their text, in slices too; a document's texts count together, and a word's length is its first text's."""
+    texts = ["ab cd", "ef ab ab", "", "ä é1x", "  ", "9a-9a--k", "x", "x y", "tail"]
+    word = re.compile("[a-z0-9]+")
+    for a, b in ((0, 9), (1, 7), (2, 5), (4, 5), (2, 3), (3, 3)):
+        got, text = retrieval.words(pa.array(texts, pa.string()).slice(a, b - a))
+        want = [(w, n) for n, t in enumerate(texts[a:b]) for w in word.findall(t)]
+        assert list(zip(got.to_pylist(), text.tolist(), strict=True)) == want
+    for doc in ([0, 1, 2, 3, 4, 5, 6, 7, 8], [0, 0, 0, 2, 2, 2, 5, 5, 6]):
+        of, code, terms, n, length = retrieval.counted(pa.array(texts, pa.string()), np.array(doc))
+        want = {}
+        for d, t in zip(doc, texts, strict=True):
+            for w in word.findall(t):
+                was = want.get((d, w), (0, len(word.findall(t))))
+                want[d, w] = (was[0] + 1, was[1])
+        assert {(d, terms[c].as_py()): (k, x) for d, c, k, x in zip(of.tolist(), code.tolist(), n.tolist(), length.tolist(), strict=True)} == want and sorted(of) == of.tolist()
+
+
+def test_postings_and_frequencies_are_those_of_counted_terms(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "TERMS", 5)
+    texts = spark.createDataFrame([(1, "The cat, the CAT\nsat"), (2, "a cat"), (3, None), (4, "..."), (5, "KK cat1 ÄB"), (6, "x" * 9), (6, "x y cat")], "doc_id long, text string").repartition(2)
+    counted = index.terms(texts)
+    want = {(r["doc_id"], r["term"]): round(r["weight"], 9) for r in index.term_weights(counted).collect() if r["doc_id"] != 6}
+    found = retrieval.postings(texts)
+    got = {(r["id"], t): round(w, 9) for r in found.collect() for t, w in zip(r["term"], r["weight"], strict=True)}
+    assert {k: v for k, v in got.items() if k[0] != 6} == want and {t for d, t in got if d == 6} == {"x" * 9, "x", "y", "cat"} and found.count() == 4
+    idf = {r["term"]: round(r["idf"], 9) for r in index.document_frequency(counted).collect()}
+    assert {r["term"]: round(r["idf"], 9) for r in retrieval.inverse_frequencies(found).collect()} == idf
+
+
+def test_scores_wait_until_there_are_many_and_sorting_them_in_is_seldom(monkeypatch):
+    r, sorts = np.random.default_rng(2), []
+    score, ids = np.round(r.normal(size=(7, 4000)) * 50, 1), r.permutation(4000)
+    sort_in = retrieval.Best.sort_in
+    monkeypatch.setattr(retrieval.Best, "sort_in", lambda self: (sorts.append(1), sort_in(self)))
+    for least in (0.0, -np.inf):
+        sorts.clear()
+        top = retrieval.Best(7, 5, least)
+        for a in range(0, 4000, 20):
+            top.add(score[:, a : a + 20], ids[a : a + 20])
+        got = [(x["query_id"], x["id"], x["score"]) for x in top.rows(np.arange(7)).to_pylist()]
+        assert got == [(q, int(ids[i]), score[q, i]) for q in range(7) for i in sorted(range(4000), key=lambda i, q=q: (-score[q, i], ids[i]))[:5]]
+        assert len(sorts) < 20  # of 200 parts

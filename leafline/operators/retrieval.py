@@ -1,16 +1,20 @@
 """Hybrid retrieval over index rows: a lexical leg over postings, a dense leg over vectors, and the fusion of their ranks.
 
 Queries are a stated set, taken in blocks of at most QUERIES: a block goes to every task, documents and vectors stay where they
-are. A document's postings are one row, counted where its text is, so that a task knows whole scores; it keeps the best k of its
-rows for each query and gives only these, so that the final ranking sees k rows a query and task. Every query meets every row: time
-grows with their product, memory and what moves don't. Scores are compared after rounding to DIGITS places, so that the order of
+are. A document's postings are counted where its text is and stay in one row, a packet of some hundred documents, so that a task
+knows whole scores; it keeps the best k of its documents for each query and gives only these, so that the final ranking sees k rows a
+query and task. Every query meets every row: time grows with their product, memory and what moves don't. What a part of the
+documents gives as k-th best bounds the k-th best of all from below, and sums in single precision, whose error is bounded, tell which
+pairs can reach it; these few are summed in double precision. Scores are compared after rounding to DIGITS places, so that the order of
 additions does not decide; ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +31,9 @@ DIGITS = 6
 RRF = 60
 #: Rows scored at a time, pairs of them and queries, products of single postings at a time, the share of a block's queries from which
 #: a term is multiplied as a column of a matrix, how many times the best scores may wait before they are sorted in, and terms of
-#: documents counted at a time.
-ROWS, PAIRS, PRODUCTS, COMMON, WAITING, TERMS = 256, 1 << 19, 1_000_000, 0.05, 3, 1 << 21
+#: documents counted at a time. FIRST: one packet in so many gives the first bounds. FEW: the share of pairs up to which they are summed
+#: again one by one.
+ROWS, PAIRS, PRODUCTS, COMMON, WAITING, TERMS, FIRST, FEW = 256, 1 << 19, 1_000_000, 0.05, 3, 1 << 20, 32, 0.01
 
 
 def best(scores: DataFrame, k: int) -> DataFrame:
@@ -50,19 +55,25 @@ def in_blocks(queries: DataFrame, leg, size: int = QUERIES) -> DataFrame:
 
 class Best:
     """The k best of the scores seen so far above `least`, by query, rounded; not a number counts as the highest, as in a descending
-    sort. Scores that may be among them wait until there are enough to be sorted in together."""
+    sort. Scores that may be among them wait until there are enough to be sorted in together. known: by query, a k-th best score of some
+    of the rows, or -inf."""
 
-    def __init__(self, queries: int, k: int, least: float = 0.0):
+    def __init__(self, queries: int, k: int, least: float = 0.0, known: np.ndarray | None = None):
         self.k, self.score, self.id = k, np.full((queries, k), -np.inf), np.zeros((queries, k), np.int64)
-        self.least = self.floor = np.full(queries, np.nextafter(least, np.inf))
+        self.floor = np.full(queries, np.nextafter(least, np.inf))
+        if known is not None:
+            self.floor = np.maximum(self.floor, known - 10.0**-DIGITS)
         self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def add(self, score: np.ndarray, ids: np.ndarray) -> None:
         """score: queries by ids, `least` or less where a pair is none."""
         by_id = score.T
         doc, q = np.divmod(np.flatnonzero(~(by_id < self.floor)), max(1, len(self.floor)))
-        s = by_id[doc, q]
-        self.waiting.append((q, np.round(np.where(np.isnan(s), np.inf, s), DIGITS), ids[doc]))
+        self.take(q, by_id[doc, q], ids[doc])
+
+    def take(self, q: np.ndarray, s: np.ndarray, ids: np.ndarray) -> None:
+        """Scores of pairs of a query and an id each."""
+        self.waiting.append((q, np.round(np.where(np.isnan(s), np.inf, s), DIGITS), ids))
         if sum(len(w[0]) for w in self.waiting) > WAITING * self.score.size:
             self.sort_in()
 
@@ -73,7 +84,7 @@ class Best:
         q = q[order]
         order = order[np.arange(len(q)) - np.searchsorted(q, q) < self.k]
         self.score, self.id, self.waiting = s[order].reshape(-1, self.k), i[order].reshape(-1, self.k), []
-        self.floor = np.maximum(self.least, self.score[:, -1] - 10.0**-DIGITS)
+        self.floor = np.maximum(self.floor, self.score[:, -1] - 10.0**-DIGITS)
 
     def rows(self, queries: np.ndarray) -> pa.RecordBatch:
         self.sort_in()
@@ -91,65 +102,177 @@ def at_a_time(queries: int) -> int:
 SCORES = "query_id long, id long, score double"
 
 
-def asked_terms(asked: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of asked(query_id, term, w): the queries; the terms; the column of each common term or -1, and the matrix of common terms by
-    queries; and for the others, by term, where its queries begin, and their places and weights."""
+class Asked(NamedTuple):
+    """A block of queries: their ids; their terms, the terms' hashes in order and the terms' places in this order; the column of each
+    common term or -1, and the matrix of queries by common terms; and for the others, by term, where its queries begin, and their
+    places and weights."""
+
+    ids: np.ndarray
+    terms: pa.Array
+    hash: np.ndarray
+    order: np.ndarray
+    column: np.ndarray
+    matrix: np.ndarray
+    begins: np.ndarray
+    query: np.ndarray
+    weight: np.ndarray
+
+    def places(self, terms: pa.Array, hashed: np.ndarray | None = None) -> np.ndarray:
+        """The places of terms, or -1: by their hashes, where no two asked terms share one, and then by the terms that these name."""
+        if hashed is None or not len(self.hash) or (self.hash[1:] == self.hash[:-1]).any():
+            return pc.fill_null(pc.index_in(terms, value_set=self.terms), -1).to_numpy()
+        at = np.minimum(np.searchsorted(self.hash, hashed), len(self.hash) - 1)
+        hit = np.flatnonzero(self.hash[at] == hashed)
+        place = self.order[at[hit]]
+        same = pc.equal(terms.take(pa.array(hit)), self.terms.take(pa.array(place))).to_numpy(zero_copy_only=False)
+        found = np.full(len(terms), -1, np.int32)
+        found[hit[same]] = place[same]
+        return found
+
+
+def asked_terms(asked: pa.Table) -> Asked:
+    """Asked of asked(query_id, term, w)."""
     ids, q = np.unique(asked.column("query_id").to_numpy(), return_inverse=True)
     coded = asked.column("term").combine_chunks().dictionary_encode()
     term, w = coded.indices.to_numpy().astype(np.int64), asked.column("w").to_numpy()
     n = np.bincount(term, minlength=len(coded.dictionary))
     common = n > COMMON * len(ids)
     column = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
-    matrix = np.zeros((int(common.sum()), len(ids)))
+    matrix = np.zeros((len(ids), int(common.sum())))
     hot = common[term]
-    matrix[column[term[hot]], q[hot]] = w[hot]
+    matrix[q[hot], column[term[hot]]] = w[hot]
     cold = np.flatnonzero(~hot)
     cold = cold[np.argsort(term[cold], kind="stable")]
     begins = np.concatenate([[0], np.cumsum(np.where(common, 0, n))])
-    return ids, coded.dictionary, column, matrix, begins, q[cold].astype(np.int32), w[cold]
-
-
-def scored(batch: pa.RecordBatch, asked: tuple) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(scores, ids) of a batch(id, term, weight) of documents, queries by documents, some documents at a time; 0 where a pair shares
-    no term, as all products are positive."""
-    ids, terms, column, matrix, begins, query, w = asked
-    own, to = batch.column(0).to_numpy(), batch.column(1).offsets.to_numpy()
-    found = pc.fill_null(pc.index_in(batch.column(1).values, value_set=terms), -1).to_numpy()
-    weight = batch.column(2).values.to_numpy()
-    size = begins[1:] - begins[:-1]
-    products = np.where(found >= 0, size[found], 0) if len(terms) else np.zeros(len(found), np.int64)
+    hashed = hashes(coded.dictionary)
+    order = np.argsort(hashed, kind="stable")
+    return Asked(ids, coded.dictionary, hashed[order], order, column, matrix, begins, q[cold].astype(np.int32), w[cold])
+
+
+@dataclass
+class Part:
+    """Some documents that are scored at once: their ids, and of the postings whose term is asked the document's place and the term's,
+    and the weight."""
+
+    own: np.ndarray
+    doc: np.ndarray
+    term: np.ndarray
+    weight: np.ndarray
+    asked: Asked
+
+    def __post_init__(self) -> None:
+        hot = self.asked.column[self.term] >= 0
+        self.common = np.zeros((len(self.own), self.asked.matrix.shape[1]))
+        self.common[self.doc[hot], self.asked.column[self.term[hot]]] = self.weight[hot]
+        term, doc, self.cold = self.term[~hot], self.doc[~hot], self.weight[~hot]
+        begins = self.asked.begins
+        # a posting's products stand together: where its term's queries begin, and on
+        self.n = (begins[1:] - begins[:-1])[term] if len(term) else np.zeros(0, np.int64)
+        self.each = np.repeat((begins[term] - np.cumsum(self.n) + self.n).astype(np.int32), self.n)
+        self.each += np.arange(len(self.each), dtype=np.int32)
+        self.place = np.take(self.asked.query, self.each, out=np.empty(len(self.each), np.int32), mode="clip")
+        self.place += np.repeat((doc * len(self.asked.ids)).astype(np.int32), self.n)
+
+    def exact(self) -> np.ndarray:
+        """The scores, documents by queries; 0 where a pair shares no term, as all products are positive."""
+        score = self.common @ self.asked.matrix.T
+        score += np.bincount(self.place, self.asked.weight[self.each] * np.repeat(self.cold, self.n), score.size).reshape(score.shape)
+        return score
+
+    def exact_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, score, id) of the pairs at these places, ascending, of the scores in a row."""
+        doc, q = np.divmod(at, max(1, len(self.asked.ids)))
+        score = np.einsum("ij,ij->i", self.common[doc], self.asked.matrix[q])
+        wanted = np.zeros(len(self.own) * len(self.asked.ids), bool)
+        wanted[at] = True
+        of = np.flatnonzero(wanted.take(self.place))
+        posting = np.searchsorted(np.cumsum(self.n), of, "right")
+        score += np.bincount(np.searchsorted(at, self.place[of]), self.asked.weight[self.each[of]] * self.cold[posting], len(at))
+        return q, score, self.own[doc]
+
+    def rough(self, matrix: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The scores in single precision, of the queries' matrix, turned, and weights in single precision."""
+        # arrays of our own make: numpy adds in place slowly where a type has come through a pickle
+        score = np.matmul(self.common.astype(np.float32), matrix, out=np.empty((len(self.own), len(self.asked.ids)), np.float32))
+        product = np.take(weight, self.each, out=np.empty(len(self.each), np.float32), mode="clip")
+        product *= np.repeat(self.cold.astype(np.float32), self.n)
+        np.add.at(score.reshape(-1), self.place, product)
+        return score
+
+
+def parts(own: np.ndarray, to: np.ndarray, found: np.ndarray, weight: np.ndarray, asked: Asked) -> Iterator[Part]:
+    """Documents `own`, some at a time, whose postings begin at `to`: the places of their terms among the asked ones, and weights."""
+    size = asked.begins[1:] - asked.begins[:-1]
+    products = np.where(found >= 0, size[found], 0) if len(size) else np.zeros(len(found), np.int64)
     upto = np.concatenate([[0], np.cumsum(products)])[to]
-    a, rows = 0, at_a_time(len(ids))
+    a, rows = 0, at_a_time(len(asked.ids))
     while a < len(own):
         b = int(np.clip(np.searchsorted(upto, upto[a] + PRODUCTS, "right") - 1, a + 1, min(a + rows, len(own))))
         at = np.arange(to[a], to[b])
         doc = np.repeat(np.arange(b - a), np.diff(to[a : b + 1]))
         doc, at = doc[found[at] >= 0], at[found[at] >= 0]
-        hot = column[found[at]] >= 0
-        of = np.zeros((b - a, len(matrix)))
-        of[doc[hot], column[found[at[hot]]]] = weight[at[hot]]
-        score = of @ matrix
-        doc, at = doc[~hot], at[~hot]
-        n = products[at]
-        # a posting's products stand together: where its term's queries begin, and on
-        each = np.repeat((begins[found[at]] - np.cumsum(n) + n).astype(np.int32), n)
-        each += np.arange(len(each), dtype=np.int32)
-        place, product = query.take(each), w.take(each)
-        place += np.repeat((doc * len(ids)).astype(np.int32), n)
-        product *= np.repeat(weight[at], n)
-        score += np.bincount(place, product, score.size).reshape(score.shape)
-        yield score.T, own[a:b]
+        yield Part(own[a:b], doc, found[at], weight[at], asked)
         a = b
 
 
+def scored(batch: pa.RecordBatch, asked: Asked) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(scores, ids) of a batch(id, term, weight) of documents, queries by documents, some documents at a time."""
+    found = asked.places(batch.column(1).values)
+    for part in parts(batch.column(0).to_numpy(), batch.column(1).offsets.to_numpy(), found, batch.column(2).values.to_numpy(), asked):
+        yield part.exact().T, part.own
+
+
+def best_of(packets: Iterator[list], asked: Asked, k: int, known: np.ndarray | None = None) -> Best:
+    """The k best documents of packets (id, known, begin, term, hash, code, weight). A pair is summed in double precision if its sum in single
+    precision, of at most so many positive products, can be that of a score at the bound."""
+    top = Best(len(asked.ids), k, known=known)
+    matrix, weight = np.ascontiguousarray(asked.matrix.T, np.float32), asked.weight.astype(np.float32)
+    for ids, named, begin, terms, hashed, code, own in packets:
+        many = np.diff(begin)
+        if not named.all():
+            kept = np.repeat(named, many)
+            ids, many, code, own = ids[named], many[named], code[kept], own[kept]
+            begin = np.append(0, np.cumsum(many))
+        for part in parts(ids, begin, asked.places(terms, hashed)[code], own, asked):
+            score = part.rough(matrix, weight)
+            products = np.bincount(part.doc, minlength=1).max()  # of a document and any query
+            low = (top.floor * max(0, 1 - (products + 16) * 2.0**-23)).astype(np.float32)
+            at = np.flatnonzero(score >= np.maximum(np.nextafter(low, np.float32(-1)), np.finfo(np.float32).tiny))
+            if len(at) > FEW * score.size:
+                top.add(part.exact().T, part.own)
+            else:
+                top.take(*part.exact_at(at))
+    return top
+
+
+def signs_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where texts begin, and the bytes of all."""
+    to = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
+    signs = np.frombuffer(texts.buffers()[2], np.uint8)[to[0] : to[-1]] if to[-1] > to[0] else np.zeros(0, np.uint8)
+    return to - to[0], signs
+
+
+#: Of a sign and of a place in a word, what it adds to a hash.
+SIGN = np.random.default_rng(17).integers(1, 2**63, 256).astype(np.uint64)
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hashes(terms: pa.StringArray) -> np.ndarray:
+    """64 bits of each term, none of which is empty; two terms may share them."""
+    to, signs = signs_of(terms)
+    if not len(terms):
+        return np.zeros(0, np.uint64)
+    place = np.arange(len(signs)) - np.repeat(to[:-1], np.diff(to))
+    factor = np.cumprod(np.full(int(place.max()) + 1, FACTOR))
+    return np.add.reduceat(SIGN[signs] * factor[place], to[:-1])
+
+
 WORD = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz0123456789"))
 
 
 def words(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
     """The runs of lower-case ASCII letters and digits of all texts in order, and the text of each."""
-    to = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset) if len(texts) else np.zeros(1, np.int32)
-    signs = np.frombuffer(texts.buffers()[2], np.uint8)[to[0] : to[-1]] if to[-1] > to[0] else np.zeros(0, np.uint8)
-    to = to - to[0]
+    to, signs = signs_of(texts)
     inside = WORD[signs]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -176,22 +299,40 @@ def counted(texts: pa.StringArray, doc: np.ndarray) -> tuple[np.ndarray, np.ndar
     return doc[text], code, coded.dictionary, n, length
 
 
-POSTINGS = "id long, term array<string>, weight array<double>"
+#: A packet: ids of documents, which of them are known, where their postings begin; the packet's terms one after another, where they
+#: begin and their hashes; and of each posting the term's place there and the weight. Cells are bytes, so that the JVM needn't touch each.
+POSTINGS = "documents long, id binary, known binary, begin binary, term binary, at binary, hash binary, code binary, weight binary"
+KIND = {"id": np.dtype("<i8"), "known": np.dtype("?"), "begin": np.dtype("<i8"), "at": np.dtype("<i4"), "hash": np.dtype("<u8"), "code": np.dtype("<i4"), "weight": np.dtype("<f8")}
+
+
+def packed(ids: pa.Array, begin: np.ndarray, terms: pa.StringArray, code: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
+    """A row of POSTINGS; an id may be null."""
+    at, signs = signs_of(terms)
+    values = {"id": pc.fill_null(ids, 0).to_numpy(), "known": ids.is_valid().to_numpy(zero_copy_only=False), "begin": begin, "at": at, "hash": hashes(terms), "code": code, "weight": weight}
+    cells = {k: pa.array([v.astype(KIND[k]).tobytes()], pa.binary()) for k, v in values.items()}
+    cells |= {"documents": pa.array([len(ids) - ids.null_count], pa.int64()), "term": pa.array([signs.tobytes()], pa.binary())}
+    names = [f.split(" ")[0] for f in POSTINGS.split(", ")]
+    return pa.RecordBatch.from_arrays([cells[n] for n in names], names)
+
+
+def unpacked(batch: pa.RecordBatch, *names: str) -> Iterator[list]:
+    """The named cells of each packet of a batch that has these columns, as arrays; "term" needs "at" in the batch."""
+    column = {n: batch.column(batch.schema.get_field_index(n)) for n in {*names, "at"}}
+    for i in range(batch.num_rows):
+        cell = lambda n: np.array(np.frombuffer(column[n][i].as_buffer(), KIND[n]))  # noqa: E731, B023
+        yield [pa.StringArray.from_buffers(len(column["at"][i].as_buffer()) // 4 - 1, pa.py_buffer(cell("at")), column["term"][i].as_buffer()) if n == "term" else cell(n) for n in names]
 
 
 def postings(texts: DataFrame, id_: str = "doc_id") -> DataFrame:
-    """(id, term, weight): the words of index.terms of each document that has any, with their weights; a document is one row, and its
-    texts are counted where they are."""
+    """POSTINGS: the words of index.terms of each document that has any, with their weights; texts are counted where they are."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = b.column(1)
             doc, code, terms, n, length = counted(own.flatten(), np.repeat(np.arange(len(own)), np.diff(own.offsets.to_numpy())))
-            some, to = np.unique(doc, return_index=True)
-            to = pa.array(np.append(to, len(doc)), pa.int32())
-            term = pa.ListArray.from_arrays(to, terms.take(pa.array(code)))
-            weight = pa.ListArray.from_arrays(to, pa.array(index.saturated(n, length), pa.float64()))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(some)), term, weight], ["id", "term", "weight"])
+            some, begin = np.unique(doc, return_index=True)
+            if len(some):
+                yield packed(b.column(0).take(pa.array(some)), np.append(begin, len(doc)), terms, code, index.saturated(n, length))
 
     whole = texts.groupBy(F.col(id_).cast("long").alias("id")).agg(F.collect_list(F.lower("text")).alias("texts"))
     scratch.small_batches(texts.sparkSession)
@@ -199,20 +340,19 @@ def postings(texts: DataFrame, id_: str = "doc_id") -> DataFrame:
 
 
 def inverse_frequencies(found: DataFrame) -> DataFrame:
-    """(term, idf) over all documents of postings; tasks give counts of about TERMS of them at a time."""
+    """(term, idf) over all documents of POSTINGS; tasks give the sums of packets, about TERMS terms at a time."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
-        for b in chain(batches, [None]):
-            if held and (b is None or sum(map(len, held)) > TERMS):
-                n = pc.value_counts(pa.chunked_array(held))
-                yield pa.RecordBatch.from_arrays([n.field("values"), n.field("counts")], ["term", "n"])
+        for packet in chain((x for b in batches for x in unpacked(b, "term", "code")), [None]):
+            if held and (packet is None or sum(t.num_rows for t in held) > TERMS):
+                yield from pa.concat_tables(held).group_by("term").aggregate([("n", "sum")]).rename_columns(["term", "n"]).combine_chunks().to_batches()
                 held = []
-            if b is not None:
-                held.append(b.column(0).flatten())
+            if packet is not None:
+                held.append(pa.table({"term": packet[0], "n": np.bincount(packet[1], minlength=len(packet[0]))}))
 
-    total = found.agg(F.count("id").alias("total"))
-    df = found.select("term").mapInArrow(counts, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    total = found.agg(F.coalesce(F.sum("documents"), F.lit(0)).alias("total"))
+    df = found.select("term", "at", "code").mapInArrow(counts, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
     each = df.crossJoin(F.broadcast(total))  # the one row of the total
     return scratch.stored(each.select("term", index.inverse_frequency(F.col("df"), F.col("total")).alias("idf")), "idf")
 
@@ -223,19 +363,24 @@ def lexical(texts: DataFrame, queries: DataFrame, k: int, id_: str = "doc_id") -
     found = postings(texts, id_)
     idf = inverse_frequencies(found)
 
+    first = scratch.stored(found.where(F.pmod(F.xxhash64("id"), F.lit(FIRST)) == 0), "first")
+
     def leg(block: DataFrame) -> DataFrame:
         asked = index.terms(block, "query_id").join(idf, "term").select("query_id", "term", (F.col("n") * F.col("idf")).alias("w"))
-        sent = block.sparkSession.sparkContext.broadcast(asked_terms(asked.toArrow()))  # the terms of QUERIES queries at most
+        asked = asked_terms(asked.toArrow())  # the terms of QUERIES queries at most
+        sent = block.sparkSession.sparkContext.broadcast(asked)
 
-        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            asked = sent.value
-            top = Best(len(asked[0]), k)
-            for b in batches:
-                for score, own in scored(b, asked):
-                    top.add(score, own)
-            yield top.rows(asked[0])
+        def near(packets: DataFrame, known: np.ndarray | None) -> DataFrame:
+            def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                each = (x for b in batches for x in unpacked(b, "id", "known", "begin", "term", "hash", "code", "weight"))
+                yield best_of(each, sent.value, k, known).rows(sent.value.ids)
+
+            return best(packets.mapInArrow(work, SCORES), k)
 
-        return best(found.where("id is not null").mapInArrow(near, SCORES), k)
+        last = near(first, None).where(F.col("rank") == k).select("query_id", "score").toArrow()  # a row a query at most
+        known = np.full(len(asked.ids), -np.inf)
+        known[np.searchsorted(asked.ids, last.column("query_id").to_numpy())] = last.column("score").to_numpy()
+        return near(found, known)
 
     return in_blocks(queries.select("query_id", "text"), leg)
 

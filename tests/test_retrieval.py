@@ -63,12 +63,17 @@ def test_words_are_counted_as_a_pattern_finds_them():
 
 def test_postings_and_frequencies_are_those_of_counted_terms(spark, monkeypatch):
     monkeypatch.setattr(retrieval, "TERMS", 5)
-    texts = spark.createDataFrame([(1, "The cat, the CAT\nsat"), (2, "a cat"), (3, None), (4, "..."), (5, "KK cat1 ÄB"), (6, "x" * 9), (6, "x y cat")], "doc_id long, text string").repartition(2)
+    texts = spark.createDataFrame([(1, "The cat, the CAT\nsat"), (2, "a cat"), (3, None), (4, "..."), (5, "KK cat1 ÄB"), (6, "x" * 9), (6, "x y cat"), (None, "lost cat")], "doc_id long, text string").repartition(2)
     counted = index.terms(texts)
-    want = {(r["doc_id"], r["term"]): round(r["weight"], 9) for r in index.term_weights(counted).collect() if r["doc_id"] != 6}
+    want = {(r["doc_id"], r["term"]): round(r["weight"], 9) for r in index.term_weights(counted).collect() if r["doc_id"] not in (6, None)}
     found = retrieval.postings(texts)
-    got = {(r["id"], t): round(w, 9) for r in found.collect() for t, w in zip(r["term"], r["weight"], strict=True)}
-    assert {k: v for k, v in got.items() if k[0] != 6} == want and {t for d, t in got if d == 6} == {"x" * 9, "x", "y", "cat"} and found.count() == 4
+    got = {}
+    for part in found.toArrow().to_batches():
+        for ids, known, begin, terms, code, weight in retrieval.unpacked(part, "id", "known", "begin", "term", "code", "weight"):
+            each = zip(np.repeat(np.where(known, ids, -1), np.diff(begin)).tolist(), terms.take(pa.array(code)).to_pylist(), weight.tolist(), strict=True)
+            got |= {(-1 if d < 0 else d, t): round(w, 9) for d, t, w in each}
+    assert {k: v for k, v in got.items() if k[0] not in (6, -1)} == want and {t for d, t in got if d == 6} == {"x" * 9, "x", "y", "cat"}
+    assert {t for d, t in got if d == -1} == {"cat", "lost"} and len({d for d, _ in got}) == 5
     idf = {r["term"]: round(r["idf"], 9) for r in index.document_frequency(counted).collect()}
     assert {r["term"]: round(r["idf"], 9) for r in retrieval.inverse_frequencies(found).collect()} == idf
 
@@ -86,3 +91,50 @@ def test_scores_wait_until_there_are_many_and_sorting_them_in_is_seldom(monkeypa
         got = [(x["query_id"], x["id"], x["score"]) for x in top.rows(np.arange(7)).to_pylist()]
         assert got == [(q, int(ids[i]), score[q, i]) for q in range(7) for i in sorted(range(4000), key=lambda i, q=q: (-score[q, i], ids[i]))[:5]]
         assert len(sorts) < 20  # of 200 parts
+
+
+def test_bounds_and_single_precision_leave_no_pair_out(monkeypatch):
+    """Scores that only differ beyond single precision, ties, packets in any order, and bounds that are the k-th best of some."""
+    r, pairs = np.random.default_rng(3), []
+    docs = {int(i): {f"t{t}": float(r.integers(1, 3)) / 3 + float(r.integers(0, 3)) * 1e-6 for t in set(r.zipf(1.2, 15) % 60)} for i in r.permutation(600)}
+    asked = [(q, f"t{t}", float(r.integers(1, 3)) * 100) for q in range(30) for t in sorted(set(r.zipf(1.2, 12) % 70))]
+    known = retrieval.asked_terms(pa.table({"query_id": [a for a, _, _ in asked], "term": [t for _, t, _ in asked], "w": [w for _, _, w in asked]}))
+
+    def packets(ids):
+        for n in range(0, len(ids), 50):
+            own = ids[n : n + 50]
+            terms = sorted({t for i in own for t in docs[i]})
+            batch = retrieval.packed(pa.array([*own, None], pa.int64()), np.cumsum([0, *(len(docs[i]) for i in own), 1]), pa.array(terms), np.array([terms.index(t) for i in own for t in docs[i]] + [0]), np.array([w for i in own for w in docs[i].values()] + [1e9]))
+            yield from retrieval.unpacked(batch, "id", "known", "begin", "term", "hash", "code", "weight")
+
+    def got(ids, floor=None):
+        out = {}
+        for x in retrieval.best_of(packets(ids), known, 5, floor).rows(known.ids).to_pylist():
+            out.setdefault(x["query_id"], []).append((x["id"], x["score"]))
+        return out
+
+    exact_at = retrieval.Part.exact_at
+    monkeypatch.setattr(retrieval.Part, "exact_at", lambda self, at: (pairs.append(len(at)), exact_at(self, at))[1])
+    want, some = {q: x for q, x in brute(asked, docs, 5).items() if x}, got(list(docs)[:150])
+    floor = np.array([some[q][4][1] if len(some.get(q, [])) == 5 else -np.inf for q in known.ids.tolist()])
+    for few, common in ((0.01, 0.05), (1.0, 0.05), (1.0, 1.0), (0.2, -1.0)):
+        monkeypatch.setattr(retrieval, "FEW", few)
+        monkeypatch.setattr(retrieval, "COMMON", common)
+        known = retrieval.asked_terms(pa.table({"query_id": [a for a, _, _ in asked], "term": [t for _, t, _ in asked], "w": [w for _, _, w in asked]}))
+        assert got(list(docs)) == want
+        pairs.clear()
+        assert got(list(docs), floor) == want
+        assert few < 1 or 0 < sum(pairs) < 0.1 * 30 * 600
+
+
+def test_terms_that_share_a_hash_are_told_apart(monkeypatch):
+    words = [f"w{n % 37}{'x' * (n % 5)}" for n in range(200)]
+    terms = pa.array(sorted(set(words)))
+    assert len(set(retrieval.hashes(terms).tolist())) == len(terms) and retrieval.hashes(terms.slice(3, 4)).tolist() == retrieval.hashes(terms)[3:7].tolist()
+    asked = pa.table({"query_id": [1] * 40, "term": terms[:40], "w": [1.0] * 40})
+    for factor in (retrieval.FACTOR, np.uint64(0)):  # with no factor all terms share a hash
+        monkeypatch.setattr(retrieval, "FACTOR", factor)
+        for some in (asked, asked.slice(0, 1), asked.slice(0, 0)):
+            known = retrieval.asked_terms(some)
+            place = known.places(terms, retrieval.hashes(terms))
+            assert [known.terms[i].as_py() if i >= 0 else None for i in place.tolist()] == [t if t in some["term"].to_pylist() else None for t in terms.to_pylist()]
